@@ -43,7 +43,7 @@ def iterate(events: DataFrame, key: str | None = None, *, name: str | None = Non
     marked = errors.mark(events, error).withColumn("_elements", elements)
     # A bad row contributes one NULL element so it survives the generator, and a
     # good one exactly its own elements.
-    one_null = F.array(F.lit(None)).cast(marked.schema["_elements"].dataType)
+    one_null = F.array(F.lit(None).cast(marked.schema["_elements"].dataType.elementType))
     spread = F.when(F.col(ERROR).isNotNull(), one_null).otherwise(F.col("_elements"))
     others = [c for c in marked.columns if c not in ("data", "_elements", "id", "subject")]
     subject = F.col("subject") if name is None else F.when(

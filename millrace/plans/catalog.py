@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import reshape  # noqa: F401
+from . import flowqueries, reshape, sinkqueries, sourcequeries, statequeries, streamqueries  # noqa: F401
+from .flowqueries import land_counts
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL", "land_counts"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,18 @@ def read_json_docs(spark: SparkSession, paths: str | list[str], *, recursive: bo
     ).drop("_text")
 
 
+def read_json_lines(spark: SparkSession, paths: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """Landed JSON Lines, one event per line: typed by ``schema``, else VARIANT.
+
+    Partition columns of the layout are kept beside ``data``.  A line that does not
+    parse stays as a row marked ``InvalidJson``.
+    """
+    lines = spark.read.text(_paths(paths))
+    parsed = F.try_parse_json("value") if schema is None else F.from_json("value", schema)
+    out = lines.withColumn("data", parsed).drop("value")
+    return errors.mark(out, F.when(F.col("data").isNull(), F.lit(errors.INVALID_JSON)))
+
+
 def infer_csv_schema(
     spark: SparkSession,
     paths: str | list[str],
@@ -180,6 +192,10 @@ def object_path(url: str) -> str:
     return "/" + rest.partition("/")[2]
 
 
+def _without_scheme(url: Column) -> Column:
+    return F.regexp_replace(url, r"^[A-Za-z][\w+.-]*:(?://[^/]*)?", "")
+
+
 def read_from_events(
     spark: SparkSession,
     events: DataFrame,
@@ -197,7 +213,7 @@ def read_from_events(
     path-sized passes through the driver.
     """
     rendered = render(path_template, events)
-    wanted = events.withColumn("_path", F.regexp_replace(rendered, r"^[A-Za-z][\w+.-]*://[^/]*", ""))
+    wanted = events.withColumn("_path", _without_scheme(rendered))
     distinct = wanted.select("_path").distinct()
     listed = [r["_path"] for r in distinct.limit(max_listed + 1).collect()]
     base = root.rstrip("/")
@@ -205,8 +221,8 @@ def read_from_events(
         documents = read_json_docs(spark, [base + p for p in listed], recursive=False)
     else:
         documents = read_json_docs(spark, base)
-    base_path = object_path(base if "://" in base else "file://" + base)
-    local = F.regexp_replace("path", r"^[A-Za-z][\w+.-]*:(?://[^/]*)?/*", "/")
+    base_path = object_path(base).rstrip("/")
+    local = _without_scheme(F.col("path"))
     documents = documents.select(
         F.substring(local, len(base_path) + 1, 2**31 - 1).alias("_path"),
         F.col("data").alias("_data"),
