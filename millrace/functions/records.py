@@ -6,6 +6,7 @@ the payload stays a typed struct, which is what columnar files want.
 
 from __future__ import annotations
 
+import itertools
 import json
 from dataclasses import dataclass
 from typing import Any
@@ -117,22 +118,23 @@ def _default_column(kind: Kind, value: Any) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind.spark)
 
 
-def _is_null(value: Column) -> Column:
-    return F.is_variant_null(value)
-
-
 def _kind_name(value: Column) -> Column:
     return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z_]+", 0)
 
 
-def _read(value: Column, kind: Kind) -> tuple[Column, Column]:
+def _read(value: Column, kind: Kind, hyphens: bool = False) -> tuple[Column, Column]:
     """(typed column, conforms) for a VARIANT that is present."""
     if kind.shape == "record":
-        columns, checks = [], [_kind_name(value) == "OBJECT"]
+        columns, checks, present = [], [], F.lit(False)
         for field in kind.fields:
-            column, check = _read_field(value, field)
+            found = _find(value, field.name, hyphens)
+            column, check = _read_field(found, field)
             columns.append(column.alias(field.name))
             checks.append(check)
+            present = present | found.isNotNull()
+        # Having any declared field proves an object; only a value without one is
+        # inspected as a whole.
+        checks.append(present | (_kind_name(value) == "OBJECT"))
         typed, ok = F.struct(*columns), _all(checks)
     elif kind.shape == "map":
         members = F.try_variant_get(value, "$", "map<string,variant>")
@@ -144,21 +146,37 @@ def _read(value: Column, kind: Kind) -> tuple[Column, Column]:
         members = F.try_variant_get(value, "$", "array<variant>")
         typed = F.transform(members, lambda v: _read(v, kind.item)[0])
         ok = F.coalesce(F.forall(members, lambda v: _read(v, kind.item)[1]), F.lit(False))
+    elif isinstance(kind.spark, T.NullType):
+        typed, ok = F.lit(None), F.is_variant_null(value)
     else:
         typed = F.try_variant_get(value, "$", kind.spark.simpleString())
-        ok = _kind_name(value).isin(*ACCEPTED_KINDS.get(type(kind.spark), ("VOID",)))
-        ok = ok & typed.isNotNull() if not isinstance(kind.spark, T.NullType) else _is_null(value)
+        ok = typed.isNotNull() & _kind_name(value).isin(*ACCEPTED_KINDS[type(kind.spark)])
         if kind.symbols:
             ok = ok & typed.isin(*kind.symbols)
     if kind.nullable:
-        null = _is_null(value)
+        null = F.is_variant_null(value)
         typed = F.when(~null, typed)
         ok = null | ok
     return typed, ok
 
 
-def _read_field(record: Column, field: Field) -> tuple[Column, Column]:
-    value = F.try_variant_get(record, f"$.{field.name}", "variant")
+def _find(record: Column, name: str, hyphens: bool) -> Column:
+    """Member of an object as VARIANT, NULL when absent.
+
+    With ``hyphens``, members whose name has ``-`` for ``_`` are looked for first,
+    later names in key order before earlier ones, then the plain name: the same
+    member that renaming all keys would have left, without rebuilding the object.
+    """
+    names = [name]
+    if hyphens and "_" in name:
+        spellings = itertools.product(*[("-", "_") if c == "_" else (c,) for c in name])
+        renamed = sorted({"".join(s) for s in spellings} - {name}, reverse=True)
+        names = renamed + names
+    found = [F.try_variant_get(record, f"$['{n}']", "variant") for n in names]
+    return found[0] if len(found) == 1 else F.coalesce(*found)
+
+
+def _read_field(value: Column, field: Field) -> tuple[Column, Column]:
     typed, ok = _read(value, field.kind)
     present = value.isNotNull()
     if field.default is MISSING:
@@ -178,11 +196,12 @@ def _all(checks: list[Column]) -> Column:
     return F.coalesce(combined, F.lit(False))
 
 
-def conform(payload: Column, schema: Kind) -> tuple[Column, Column]:
+def conform(payload: Column, schema: Kind, *, hyphens: bool = False) -> tuple[Column, Column]:
     """VARIANT payload → (typed record, whether it conforms).
 
     A required field without a default must be present and of the declared kind;
     an absent field with a default takes it; fields not declared are left out.
+    ``hyphens`` lets top-level names be spelled with ``-`` for ``_``.
     """
-    typed, ok = _read(payload, schema)
+    typed, ok = _read(payload, schema, hyphens)
     return typed, F.coalesce(ok, F.lit(False))

@@ -43,19 +43,17 @@ def to_record(df: DataFrame, schema: str | dict | None, *, normalize: bool = Tru
     source = F.col("data")
     if payload_form(df) == "text":
         source = P.parse(source)
-    if normalize:
-        source = P.normalize_keys(source)
     # The variant is its own projection: many field reads, one parse.
     staged = df.withColumn("_json", source)
-    typed, conforms = conform(F.col("_json"), declared)
-    unreadable = F.col("_json").isNull()
+    typed, conforms = conform(F.col("_json"), declared, hyphens=normalize)
     marked = errors.mark(
-        staged.withColumn("_ok", conforms),
-        F.when(unreadable, F.lit(errors.INVALID_JSON)).when(
-            ~F.col("_ok"), F.lit(errors.SCHEMA_MISMATCH)
+        staged,
+        F.when(F.col("_json").isNull(), F.lit(errors.INVALID_JSON)).when(
+            ~conforms, F.lit(errors.SCHEMA_MISMATCH)
         ),
     )
-    return marked.withColumn("data", F.when(F.col("_ok"), typed)).drop("_json", "_ok")
+    conforming = F.col(errors.ERROR).isNull()
+    return marked.withColumn("data", F.when(conforming, typed)).drop("_json")
 
 
 def to_json_value(df: DataFrame) -> DataFrame:

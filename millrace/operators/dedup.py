@@ -18,10 +18,9 @@ _SECOND = 1_000_000
 def _accepted_cold(rows: DataFrame, window: int) -> DataFrame:
     """Bounded ids: walk each id's sorted times in one built-in fold."""
     times = F.array_sort(F.collect_list(F.struct("_ts", "_tie")))
-    start = F.lit(None).cast("array<struct<_ts:bigint,_tie:bigint>>")
     walk = F.aggregate(
         "_times",
-        F.coalesce(start, F.array().cast("array<struct<_ts:bigint,_tie:bigint>>")),
+        F.array().cast("array<struct<_ts:bigint,_tie:bigint>>"),
         lambda kept, e: F.when(
             (F.size(kept) == 0) | (e["_ts"] >= F.element_at(kept, -1)["_ts"] + window),
             F.concat(kept, F.array(e)),
@@ -107,11 +106,15 @@ def accepted(
         F.col(id).alias("_id"), F.col(timestamp).alias("_ts"), F.col(tie).cast("bigint").alias("_tie")
     ).where(F.col("_id").isNotNull())
     # Partial counts combine map-side; usually no id is over the bound.
-    hot = rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("_id")
-    cold = _accepted_cold(rows.join(hot, "_id", "left_anti"), length)
+    hot = materialize(
+        rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("_id"),
+        "dedup-hot",
+    )
     if hot.isEmpty():
-        return cold
-    return cold.unionByName(_accepted_hot(rows.join(hot, "_id", "left_semi"), length))
+        return _accepted_cold(rows, length)
+    return _accepted_cold(rows.join(hot, "_id", "left_anti"), length).unionByName(
+        _accepted_hot(rows.join(hot, "_id", "left_semi"), length)
+    )
 
 
 def mark_duplicates(

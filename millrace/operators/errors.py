@@ -16,10 +16,16 @@ INVALID_JSON = "InvalidJson"
 
 
 def mark(df: DataFrame, error: Column) -> DataFrame:
-    """Record an error class; the first one a row met is kept."""
+    """Record an error class; the first one a row met is kept.
+
+    The class is emitted by a one-element ``explode``.  A later ``_error IS NULL``
+    filter then stays above it: as a plain column it would be pushed down and the
+    parse it depends on would run once in the filter and again in the projection.
+    """
     if ERROR in df.columns:
         error = F.coalesce(F.col(ERROR), error)
-    return df.withColumn(ERROR, error.cast("string"))
+    others = [F.col(c) for c in df.columns if c != ERROR]
+    return df.select(*others, F.explode(F.array(error.cast("string"))).alias(ERROR))
 
 
 def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.payload import variant_kind
 from . import errors
 from .envelope import ERROR
 
@@ -21,9 +20,9 @@ def iterate(events: DataFrame, key: str | None = None, *, name: str | None = Non
     if isinstance(kind, T.VariantType):
         target = F.col("data") if key is None else F.try_variant_get("data", f"$['{key}']", "variant")
         elements = F.try_variant_get(target, "$", "array<variant>")
-        is_array = variant_kind(target) == "ARRAY"
-        error = F.when(target.isNull(), F.lit(errors.INVALID_JSON if key is None else errors.KEY_NOT_FOUND)).when(
-            ~is_array, F.lit(errors.EXPECTED_ARRAY)
+        absent = errors.INVALID_JSON if key is None else errors.KEY_NOT_FOUND
+        error = F.when(target.isNull(), F.lit(absent)).when(
+            F.col("_elements").isNull(), F.lit(errors.EXPECTED_ARRAY)
         )
     elif isinstance(kind, T.StructType):
         if key is None:
@@ -32,7 +31,7 @@ def iterate(events: DataFrame, key: str | None = None, *, name: str | None = Non
             elements, error = F.lit(None).cast("array<string>"), F.lit(errors.KEY_NOT_FOUND)
         elif isinstance(kind[key].dataType, T.ArrayType):
             elements = F.col("data")[key]
-            error = F.when(elements.isNull(), F.lit(errors.EXPECTED_ARRAY))
+            error = F.when(F.col("_elements").isNull(), F.lit(errors.EXPECTED_ARRAY))
         else:
             elements, error = F.lit(None).cast("array<string>"), F.lit(errors.EXPECTED_ARRAY)
     elif isinstance(kind, T.ArrayType) and key is None:
@@ -40,7 +39,7 @@ def iterate(events: DataFrame, key: str | None = None, *, name: str | None = Non
     else:
         raise ValueError("iterate needs a JSON payload")
 
-    marked = errors.mark(events, error).withColumn("_elements", elements)
+    marked = errors.mark(events.withColumn("_elements", elements), error)
     # A bad row contributes one NULL element so it survives the generator, and a
     # good one exactly its own elements.
     one_null = F.array(F.lit(None).cast(marked.schema["_elements"].dataType.elementType))

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Sequences are narrowed in three steps of 2^15, so no step holds more than a few
-# tens of thousands of rows per key whatever the table size (up to 2^45 messages
-# per 2^15 top-level buckets; beyond that only the top level grows).
+# Sequences are unique, so a bucket of width 2^15 holds at most that many messages.
+# Narrowing in steps of 2^15 keeps each step's totals to tens of thousands of rows
+# for tables of up to 2^45 messages.
 _SHIFTS = (30, 15, 0)
 
 # Ranks up to this size are cut in the map tasks by the window group limit.
@@ -41,54 +41,74 @@ def retain_size(messages: DataFrame, max_message_size: int, size: str = "bytes")
     return messages.where(F.col(size) <= max_message_size)
 
 
-def _boundary(
-    messages: DataFrame, keys: list[str], sequence: str, weight: Column, limit: int, newest: bool
-) -> DataFrame:
-    """Per key, the sequence at which the running total first exceeds ``limit``.
+def _cut(messages: DataFrame, sequence: str, weight: Column, limit: int, newest: bool) -> int | None:
+    """The sequence at which the running total first exceeds ``limit``; None if never.
 
     Totals per coarse sequence bucket (map-side combined) find the bucket in which
-    the limit is crossed; only that bucket is looked at again, twice, at finer
-    width.  Keys that never reach the limit have no row.
+    the limit is crossed; only that bucket is read again, twice, at finer width.
+    Each step returns one row, whose literal bounds prune the next step's scan.
+    """
+    within, used = messages, 0
+    for shift in _SHIFTS:
+        totals = within.groupBy(F.shiftright(sequence, shift).alias("_bucket")).agg(
+            F.sum(weight).alias("_w")
+        )
+        direction = F.col("_bucket").desc() if newest else F.col("_bucket").asc()
+        running = Window.orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+        crossed = (
+            totals.withColumn("_total", F.sum("_w").over(running) + used)
+            .where(F.col("_total") > limit)
+            .orderBy(direction)
+            .select("_bucket", (F.col("_total") - F.col("_w")).alias("_used"))
+            .first()
+        )
+        if crossed is None:
+            return None
+        used = crossed["_used"]
+        low = crossed["_bucket"] << shift
+        within = messages.where(F.col(sequence).between(low, low + (1 << shift) - 1))
+    return low
+
+
+def _cuts_by_key(
+    messages: DataFrame, key: str, sequence: str, limit: int, newest: bool
+) -> DataFrame:
+    """``_cut`` for message counts, for every key at once: (key, ``_cut``).
+
+    Keys that never exceed the limit have no row.  Buckets of one key meet in one
+    task, rows of one key do not.
     """
-    narrowed = messages.select(*keys, F.col(sequence).alias("_s"), weight.alias("_w")).withColumn(
-        "_used", F.lit(0).cast("bigint")
-    )
+    narrowed = messages.select(key, F.col(sequence).alias("_s"), F.lit(0).cast("bigint").alias("_used"))
     found = None
     for step, shift in enumerate(_SHIFTS):
         if found is not None:
-            parent = F.shiftright("_s", _SHIFTS[step - 1])
-            narrowed = (
-                narrowed.drop("_used")
-                .withColumn("_parent", parent)
-                .join(found.withColumnRenamed("_bucket", "_parent"), [*keys, "_parent"])
+            narrowed = narrowed.drop("_used").withColumn("_parent", F.shiftright("_s", _SHIFTS[step - 1])).join(
+                found.withColumnRenamed("_bucket", "_parent"), [key, "_parent"]
             )
-        totals = narrowed.groupBy(*keys, F.shiftright("_s", shift).alias("_bucket")).agg(
-            F.sum("_w").alias("_w"), F.max("_used").alias("_used")
+        totals = narrowed.groupBy(key, F.shiftright("_s", shift).alias("_bucket")).agg(
+            F.count(F.lit(1)).alias("_w"), F.max("_used").alias("_used")
         )
         direction = F.col("_bucket").desc() if newest else F.col("_bucket").asc()
-        running = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+        running = Window.partitionBy(key).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+        total = F.col("_total")
         found = (
             totals.withColumn("_total", F.sum("_w").over(running) + F.col("_used"))
-            .where((F.col("_total") > limit) & (F.col("_total") - F.col("_w") <= limit) & (F.col("_w") > 0))
-            .groupBy(*keys)
-            .agg(
-                (F.max("_bucket") if newest else F.min("_bucket")).alias("_bucket"),
-                F.min(F.col("_total") - F.col("_w")).alias("_used"),
-            )
+            .where((total > limit) & (total - F.col("_w") <= limit))
+            .select(key, "_bucket", (total - F.col("_w")).alias("_used"))
         )
-    return found.select(*keys, F.col("_bucket").alias("_cut"))
+    return found.select(key, F.col("_bucket").alias("_cut"))
 
 
 def _retain_running(
     messages: DataFrame, sequence: str, weight: Column, limit: int, discard: str
 ) -> DataFrame:
+    # The table itself is only filtered, never moved, and the literal comparison
+    # reaches the file scan.
     newest = discard == "old"
-    cut = _boundary(messages, [], sequence, weight, limit, newest).select("_cut").scalar()
-    # The cut is a scalar subquery: the table itself is only filtered, never moved,
-    # and the comparison reaches the file scan.
-    if newest:
-        return messages.where(F.col(sequence) > F.coalesce(cut, F.lit(-1)))
-    return messages.where(F.col(sequence) < F.coalesce(cut, F.lit(2**63 - 1)))
+    cut = _cut(messages, sequence, weight, limit, newest)
+    if cut is None:
+        return messages
+    return messages.where(F.col(sequence) > cut if newest else F.col(sequence) < cut)
 
 
 def retain_total(messages: DataFrame, max_messages: int, *, sequence: str = "sequence", discard: str = "old") -> DataFrame:
@@ -119,9 +139,7 @@ def retain_per_subject(
         return messages.withColumn("_rank", rank).where(F.col("_rank") <= max_per_subject).drop("_rank")
     # A long tail per subject must not be sorted inside one task: find each
     # subject's cut from bucket totals and filter on it.
-    cuts = _boundary(
-        messages, [subject], sequence, F.lit(1).cast("bigint"), max_per_subject, newest
-    )
+    cuts = _cuts_by_key(messages, subject, sequence, max_per_subject, newest)
     joined = messages.join(cuts, subject, "left")
     inside = F.col(sequence) > F.col("_cut") if newest else F.col(sequence) < F.col("_cut")
     return joined.where(F.col("_cut").isNull() | inside).select(*messages.columns)
