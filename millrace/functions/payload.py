@@ -2,26 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import uuid
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import prepare
+
 
-def parse(text: Column) -> Column:
-    """JSON text → VARIANT, NULL when it is not valid JSON."""
-    return F.try_parse_json(text)
+def with_json(df: DataFrame, name: str, text: Column, otherwise: Column | None = None) -> DataFrame:
+    """Add ``name``: ``text`` as VARIANT, or ``otherwise`` where it is not JSON.
 
+    The *whole* text must be one JSON value.  Spark's parser stops after the first
+    value (``5 apples`` would be ``5``), so the text is parsed as the first element
+    of an array that must still end in a marker no text can know.  The parse is its
+    own projection, so it runs once although it is looked at twice.
+    """
+    prepare(df.sparkSession)
+    marker = uuid.uuid4().hex
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{marker}"]')))
+    whole = F.try_variant_get("_framed", "$[1]", "string") == marker
+    value = F.when(whole, F.try_variant_get("_framed", "$[0]", "variant"))
+    if otherwise is not None:
+        value = value.otherwise(otherwise)
+    return df.withColumn("_framed", framed).withColumn(name, value).drop("_framed")
 
-def parse_or_string(text: Column) -> Column:
-    """JSON text → VARIANT; text that is not JSON is kept as a JSON string."""
-    return F.coalesce(F.try_parse_json(text), text.cast("variant"))
 
+def with_json_or_string(df: DataFrame, name: str, text: Column) -> DataFrame:
+    """As ``with_json``; text that is not JSON is kept as a JSON string."""
+    return with_json(df, name, text, otherwise=text.cast("variant"))
 
-def reparse_string(payload: Column) -> Column:
-    """A VARIANT holding a JSON *string* is parsed again; anything else stays."""
-    as_text = F.try_variant_get(payload, "$", "string")
-    is_text = F.schema_of_variant(payload) == "STRING"
-    return F.when(is_text, F.coalesce(F.try_parse_json(as_text), payload)).otherwise(payload)
+
+def with_reparsed(df: DataFrame, name: str, payload: str) -> DataFrame:
+    """A VARIANT column holding a JSON *string* is parsed again; anything else stays."""
+    as_text = F.when(
+        F.schema_of_variant(payload) == "STRING", F.try_variant_get(payload, "$", "string")
+    )
+    return with_json(df, name, as_text, otherwise=F.col(payload))
 
 
 def to_json_text(payload: Column, kind: T.DataType) -> Column:

@@ -40,11 +40,10 @@ def to_record(df: DataFrame, schema: str | dict | None, *, normalize: bool = Tru
     declared = parse_schema(schema)
     if payload_form(df) == "record":
         return df
-    source = F.col("data")
     if payload_form(df) == "text":
-        source = P.parse(source)
-    # The variant is its own projection: many field reads, one parse.
-    staged = df.withColumn("_json", source)
+        staged = P.with_json(df, "_json", F.col("data"))
+    else:
+        staged = df.withColumn("_json", F.col("data"))
     typed, conforms = conform(F.col("_json"), declared, hyphens=normalize)
     marked = errors.mark(
         staged,

@@ -125,16 +125,18 @@ def mark_duplicates(
     ``tie`` orders rows of one id at the same time and makes them distinct.  Rows
     without an id are never duplicates.
     """
-    kept = accepted(df, id, timestamp, tie, window, hot_rows=hot_rows).withColumn("_kept", F.lit(True))
+    kept = accepted(df, id, timestamp, tie, window, hot_rows=hot_rows).select(
+        F.col("_id").alias("_kept_id"), F.col("_ts").alias("_kept_ts"), F.col("_tie").alias("_kept_tie")
+    )
     match = [
-        F.col(id) == F.col("_id"),
-        F.col(timestamp) == F.col("_ts"),
-        F.col(tie).cast("bigint") == F.col("_tie"),
+        df[id] == F.col("_kept_id"),
+        df[timestamp] == F.col("_kept_ts"),
+        df[tie].cast("bigint") == F.col("_kept_tie"),
     ]
     return (
         df.join(kept, match, "left")
-        .withColumn("duplicate", F.col(id).isNotNull() & F.col("_kept").isNull())
-        .drop("_id", "_ts", "_tie", "_kept")
+        .withColumn("duplicate", df[id].isNotNull() & F.col("_kept_id").isNull())
+        .drop("_kept_id", "_kept_ts", "_kept_tie")
     )
 
 

@@ -77,13 +77,14 @@ def render_requests(events: DataFrame, config: dict[str, Any]) -> DataFrame:
     elif payload.get("object") is not None:
         source = render_tree(payload["object"], events)
     elif payload.get("input") is not None:
-        source = P.parse(render(payload["input"], events))
+        out = P.with_json(out, "_payload", render(payload["input"], events))
+        source = F.col("_payload")
     else:
         raise ValueError("a payload needs from_event, object or input")
     out = out.withColumn("_payload", source)
     kind = out.schema["_payload"].dataType
     if isinstance(kind, T.StringType):
-        out = out.withColumn("_payload", P.parse_or_string(F.col("_payload")))
+        out = P.with_json_or_string(out, "_payload", F.col("_payload"))
         kind = T.VariantType()
     out = errors.mark(out, F.when(F.col("_payload").isNull(), F.lit(errors.INVALID_JSON)))
     if send_as == "Json":
@@ -99,7 +100,7 @@ def render_requests(events: DataFrame, config: dict[str, Any]) -> DataFrame:
 
 def parse_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     """Body as JSON, or as a JSON string where it is not JSON; other columns stay."""
-    return responses.withColumn("data", P.parse_or_string(F.col(body)))
+    return P.with_json_or_string(responses, "data", F.col(body))
 
 
 def publish_records(

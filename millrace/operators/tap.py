@@ -2,31 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.payload import parse_or_string, reparse_string
+from ..functions.payload import with_json_or_string, with_reparsed
 
 # Log levels.
 LEVELS = ("trace", "debug", "info", "warn", "error")
 
 
-def parsed_payload(events: DataFrame) -> Column:
-    """What a structured log shows: a JSON *string* payload is parsed again."""
+def with_parsed_payload(events: DataFrame, name: str = "parsed") -> DataFrame:
+    """Add what a structured log shows: a JSON *string* payload is parsed again."""
     kind = events.schema["data"].dataType
     if isinstance(kind, T.VariantType):
-        return reparse_string(F.col("data"))
+        return with_reparsed(events, name, "data")
     if isinstance(kind, T.StringType):
-        return parse_or_string(F.col("data"))
-    return F.col("data")
+        return with_json_or_string(events, name, F.col("data"))
+    return events.withColumn(name, F.col("data"))
 
 
 def tap(events: DataFrame, level: str = "info", name: str = "tap") -> tuple[DataFrame, Observation]:
     """Pass events through unchanged and count them on the way.
 
     Counting is an observed metric of the same job; no extra pass, no rows on
-    the driver.
+    the driver.  If Spark itself reads this step twice, as sampling for a later
+    global sort does, the metric counts both readings.
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}")

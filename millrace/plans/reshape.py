@@ -12,7 +12,7 @@ from ..operators.convert import batch_to_json, to_json_value, to_record
 from ..operators.envelope import ERROR, event_key, to_events
 from ..operators.errors import split_errors
 from ..operators.iterate import iterate
-from ..operators.tap import parsed_payload
+from ..operators.tap import with_parsed_payload
 from ..sources.tables import event_envelope, event_rows, table
 from .registry import query
 
@@ -243,7 +243,7 @@ def normalize_keys(spark, sf_dir):
         F.lit(',"event-type":"'), F.col("event_type"),
         F.lit('","nested":{"inner-key":'), F.col("k").cast("string"), F.lit("}}"),
     )
-    staged = rows.select("event_id", P.parse(text).alias("v"))
+    staged = rows.select("event_id", F.parse_json(text).alias("v"))
     return staged.select("event_id", F.to_json(P.normalize_keys(F.col("v"))).alias("payload"))
 
 
@@ -305,7 +305,7 @@ def conform_to_record(spark, sf_dir):
     )
     # Rows of every eleventh conversation are arrays instead of objects.
     text = F.when(F.col("conv_id") % 11 == 0, F.concat(F.lit("["), members, F.lit("]"))).otherwise(members)
-    events = rows.select("conv_id", "turn", P.parse(text).alias("data"))
+    events = rows.select("conv_id", "turn", F.parse_json(text).alias("data"))
     record = to_record(events, MESSAGE_SCHEMA)
     return record.select(
         "conv_id", "turn", "data.subject", "data.cc", "data.message_id",
@@ -364,7 +364,7 @@ def _json_events(spark, sf_dir, text):
     rows = event_rows(spark, sf_dir)
     return to_events(
         rows,
-        data=P.parse(text),
+        data=F.parse_json(text),
         subject=F.concat(F.lit("events."), "event_type"),
         id=F.col("event_id"),
         timestamp=F.unix_micros(F.col("ts").cast("timestamp")),
@@ -458,9 +458,9 @@ def tap_parsed(spark, sf_dir):
         .otherwise(F.concat(F.lit('"plain '), "event_type", F.lit('"')))
     )
     events = _json_events(spark, sf_dir, text)
-    seen = events.select(F.col("id").cast("bigint").alias("event_id"), parsed_payload(events).alias("seen"))
+    seen = with_parsed_payload(events, "seen")
     return seen.select(
-        "event_id",
+        F.col("id").cast("bigint").alias("event_id"),
         P.variant_kind(F.col("seen")).alias("kind"),
         F.try_variant_get("seen", "$.k", "bigint").alias("k"),
     )

@@ -191,3 +191,36 @@ FROM events
 def publish_ack(spark, sf_dir):
     messages = publish(event_envelope(spark, sf_dir), "shop", "shop.{{event.data.event_type}}")
     return messages.select("id", "subject", "stream", "sequence", "domain", "duplicate")
+
+
+@query(
+    "publish_duplicates",
+    """
+WITH RECURSIVE m AS (
+  SELECT user_id, event_type, event_id, epoch_us(ts) AS t,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n
+  FROM events),
+walk AS (
+  SELECT user_id, event_type, n, event_id, t AS kept, event_id AS original FROM m WHERE n = 1
+  UNION ALL
+  SELECT m.user_id, m.event_type, m.n, m.event_id,
+         CASE WHEN m.t >= w.kept + 86400000000 THEN m.t ELSE w.kept END,
+         CASE WHEN m.t >= w.kept + 86400000000 THEN m.event_id ELSE w.original END
+  FROM walk w JOIN m ON m.user_id = w.user_id AND m.event_type = w.event_type AND m.n = w.n + 1),
+numbered AS (
+  SELECT event_id AS original, row_number() OVER (ORDER BY ts, event_id) AS sequence
+  FROM events WHERE event_id IN (SELECT original FROM walk))
+SELECT event_id, sequence, event_id <> original AS duplicate FROM walk JOIN numbered USING (original)
+""",
+)
+def publish_duplicates(spark, sf_dir):
+    """Acks under a one-day duplicate window, message id = user and event type."""
+    events = event_envelope(spark, sf_dir)
+    named = events.withColumns(
+        {"id": F.concat_ws(".", "data.user_id", "data.event_type"), "number": F.col("data.event_id")}
+    )
+    out = publish(
+        named, "shop", "shop.{{event.data.event_type}}",
+        order_by=["timestamp", "number"], tie=F.col("number"), duplicate_window="1day",
+    )
+    return out.select(F.col("number").alias("event_id"), "sequence", "duplicate")

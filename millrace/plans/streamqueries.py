@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.payload import with_json
 from ..operators.errors import INVALID_JSON, mark
-from ..session import scratch_path, use_utc
+from ..session import scratch_path
 from ..sinks.files import DATE_PARTITIONS, with_event_date
 from ..sources.tables import table
 from ..streaming.streams import dedup_stream, durable_subscription, land_split, land_stream, message_stream
@@ -13,7 +14,7 @@ from .registry import query
 
 
 def _event_stream(spark, sf_dir):
-    schema = table(use_utc(spark), sf_dir, "events").schema
+    schema = table(spark, sf_dir, "events").schema
     rows = message_stream(spark, sf_dir, schema, name_filter="events.parquet", max_files=1)
     return rows.select(
         "event_id",
@@ -83,7 +84,7 @@ def stream_errors(spark, sf_dir):
     """Good and bad rows of a stream land in two tables."""
     home = scratch_path(spark, "stream-errors")
     text = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{"), "props")).otherwise(F.col("props"))
-    rows = _event_stream(spark, sf_dir).select("event_id", F.try_parse_json(text).alias("v"))
+    rows = with_json(_event_stream(spark, sf_dir), "v", text)
     marked = mark(
         rows.select("event_id", F.try_variant_get("v", "$.k", "bigint").alias("k"), F.col("v").isNull().alias("bad")),
         F.when(F.col("bad"), F.lit(INVALID_JSON)),

@@ -1,7 +1,7 @@
 """Session settings the operators rely on, and the shared scratch area.
 
 Nothing here starts a session.  The library runs on whatever session it is
-given; ``use_utc`` sets the one runtime option results depend on.
+given; ``prepare`` sets the two runtime options results depend on.
 """
 
 from __future__ import annotations
@@ -12,10 +12,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session zone: event times are UTC throughout."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+# Options that decide results: event times are UTC, and of a repeated key in a JSON
+# object the last one counts.
+RESULT_OPTIONS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.variant.allowDuplicateKeys": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set the options results depend on, where they are not set already."""
+    for option, value in RESULT_OPTIONS.items():
+        if spark.conf.get(option, None) != value:
+            spark.conf.set(option, value)
     return spark
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.durations import duration_micros
 from ..functions.template import render
 from ..operators.dedup import mark_duplicates
 from ..operators.sequence import assign_sequence
+from ..session import materialize
 
 
 def publish(
@@ -24,7 +26,8 @@ def publish(
     """Number events for a stream: subject rendered per row, id as message id.
 
     Stored messages get gap-free sequences in time order.  With a duplicate
-    window, a repeated id is acknowledged as ``duplicate`` and takes no sequence.
+    window, a repeated id is acknowledged as ``duplicate`` with the sequence of the
+    message it repeats, and is not stored again.
     Returns the message rows with their ack columns.
     """
     rendered = events.withColumn("subject", render(subject_template, events))
@@ -32,13 +35,42 @@ def publish(
     if duplicate_window is None:
         stored = assign_sequence(rendered.withColumn("duplicate", F.lit(False)), order, start=start)
     else:
-        keyed = rendered.withColumn("_tie", tie if tie is not None else F.xxhash64(*order, "subject"))
-        marked = mark_duplicates(keyed, "id", "timestamp", "_tie", duplicate_window).drop("_tie")
+        length = duration_micros(duplicate_window) if isinstance(duplicate_window, str) else duplicate_window
+        if tie is None:
+            # Equal rows must stay apart: number them once and store the numbers.
+            keyed = materialize(rendered.withColumn("_tie", F.monotonically_increasing_id()), "publish")
+        else:
+            keyed = rendered.withColumn("_tie", tie)
+        marked = mark_duplicates(keyed, "id", "timestamp", "_tie", length).drop("_tie")
         numbered = assign_sequence(marked.where(~F.col("duplicate")), order, start=start)
-        stored = numbered.unionByName(marked.where("duplicate"), allowMissingColumns=True)
+        repeats = _with_original(marked.where("duplicate"), numbered, length)
+        stored = numbered.unionByName(repeats)
     return stored.withColumns({"stream": F.lit(stream), "domain": F.lit(domain).cast("string")})
 
 
+def _with_original(repeats: DataFrame, numbered: DataFrame, window: int) -> DataFrame:
+    """Give each repeat the sequence of the message it repeats.
+
+    The original lies less than one window earlier.  Time slices one window long
+    hold at most one original per id, so an equality join on (id, slice) with each
+    original in its own and the next slice finds it with at most two candidates.
+    """
+    time_slice = F.floor(F.col("timestamp") / window)
+    originals = numbered.where(F.col("id").isNotNull()).select(
+        F.col("id").alias("_id"),
+        F.col("timestamp").alias("_at"),
+        "sequence",
+        F.explode(F.array(time_slice, time_slice + 1)).alias("_slice"),
+    )
+    match = [
+        F.col("id") == F.col("_id"),
+        time_slice == F.col("_slice"),
+        F.col("timestamp") >= F.col("_at"),
+        F.col("timestamp") < F.col("_at") + window,
+    ]
+    return repeats.join(originals, match).select(*repeats.columns, "sequence")
+
+
 def acks(messages: DataFrame) -> DataFrame:
     """Acknowledgement columns only."""
     return messages.select("stream", "sequence", "domain", "duplicate")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.payload import with_json
 from ..functions.template import render
 from ..operators import errors
 from ..operators.envelope import ERROR
@@ -32,13 +33,12 @@ def read_json_docs(spark: SparkSession, paths: str | list[str], *, recursive: bo
     A file that does not parse stays as a row marked ``InvalidJson``.
     """
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", recursive)
+        spark.read.option("recursiveFileLookup", recursive)
         .option("pathGlobFilter", "*.json")
-        .text(_paths(paths))
+        .text(_paths(paths), wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("_text"))
     )
-    parsed = files.withColumn("data", F.try_parse_json("_text"))
+    parsed = with_json(files, "data", F.col("_text"))
     return errors.mark(
         parsed, F.when(F.col("data").isNull(), F.lit(errors.INVALID_JSON))
     ).drop("_text")
@@ -51,8 +51,10 @@ def read_json_lines(spark: SparkSession, paths: str | list[str], schema: T.Struc
     parse stays as a row marked ``InvalidJson``.
     """
     lines = spark.read.text(_paths(paths))
-    parsed = F.try_parse_json("value") if schema is None else F.from_json("value", schema)
-    out = lines.withColumn("data", parsed).drop("value")
+    if schema is None:
+        out = with_json(lines, "data", F.col("value")).drop("value")
+    else:
+        out = lines.withColumn("data", F.from_json("value", schema)).drop("value")
     return errors.mark(out, F.when(F.col("data").isNull(), F.lit(errors.INVALID_JSON)))
 
 
@@ -106,10 +108,23 @@ def read_csv_typed(
     )
     if line_ending is not None:
         reader = reader.option("lineSep", line_ending)
-    raw = reader.schema(columns.add(T.StructField(CORRUPT, T.StringType(), True))).csv(_paths(paths))
-    return errors.mark(
-        raw, F.when(F.col(CORRUPT).isNotNull(), F.lit(errors.SCHEMA_MISMATCH))
-    ).drop(CORRUPT)
+    names = columns.fieldNames()
+    raw = reader.schema(_with_corrupt(columns)).csv(_paths(paths))
+    return errors.mark(raw, _csv_error(names[0])).drop(CORRUPT)
+
+
+def _with_corrupt(columns: T.StructType) -> T.StructType:
+    return T.StructType([*columns.fields, T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def _csv_error(first_column: str) -> Column:
+    """Mismatch where Spark kept the raw line.
+
+    Spark refuses a query that reads nothing but the raw-line column, so the test
+    also mentions a data column.
+    """
+    touched = F.concat(F.coalesce(F.col(first_column).cast("string"), F.lit("")), F.col(CORRUPT))
+    return F.when(touched.isNotNull(), F.lit(errors.SCHEMA_MISMATCH))
 
 
 def read_avro(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -174,13 +189,13 @@ def _csv_objects(spark: SparkSession, root: str, has_header: bool, delimiter: st
         .option("header", has_header)
         .option("sep", delimiter[:1])
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(schema.add(T.StructField(CORRUPT, T.StringType(), True)))
+        .schema(_with_corrupt(schema))
         .csv(root)
     )
     return rows.select(
         F.col("_metadata.file_path").alias("path"),
         F.to_variant_object(F.struct(*names)).alias("data"),
-        F.when(F.col(CORRUPT).isNotNull(), F.lit(errors.SCHEMA_MISMATCH)).alias("_error"),
+        _csv_error(names[0]).alias(ERROR),
     )
 
 

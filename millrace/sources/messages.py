@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import with_json
 from ..functions.subjects import subject_matches
 from ..operators import errors
 
@@ -56,7 +57,7 @@ def decode_payload(messages: DataFrame, column: str = "payload", headers: str |
     """
     text = F.col(column).cast("string")
     readable = F.when(F.is_valid_utf8(text), text)
-    out = messages.withColumn("data", F.try_parse_json(readable))
+    out = with_json(messages, "data", readable)
     if headers is not None:
         out = out.withColumn("id", F.element_at(F.col(headers), F.lit(MESSAGE_ID_HEADER)))
     out = out.withColumn(

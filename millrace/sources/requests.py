@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.payload import with_json
 from ..functions.auth import Credentials, auth_error
 
 
@@ -32,10 +33,10 @@ def ingest_requests(
     )
     text = F.col(body).cast("string")
     empty = F.coalesce(F.length(text) == 0, F.lit(True))
-    parsed = F.when(empty, F.parse_json(F.lit("null"))).otherwise(F.try_parse_json(text))
-    judged = requests.withColumn("auth_error", auth_error(authorization, credentials)).withColumn(
-        "_payload", F.when(F.col("auth_error").isNull(), parsed)
-    )
+    judged = requests.withColumn("auth_error", auth_error(authorization, credentials))
+    # Bodies of rejected requests are not parsed at all.
+    wanted = F.when(F.col("auth_error").isNull(), F.when(empty, F.lit("null")).otherwise(text))
+    judged = with_json(judged, "_payload", wanted)
     status = (
         F.when(F.col("auth_error").isNotNull(), F.lit(401))
         .when(F.col("_payload").isNull(), F.lit(400))

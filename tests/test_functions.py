@@ -258,7 +258,21 @@ def test_normalize_keys(spark, before, after):
     "stored,seen", [('"{\\"a\\":1}"', '{"a":1}'), ('"text"', '"text"'), ('{"a":"{}"}', '{"a":"{}"}'), ("5", "5"), ('"5"', "5")]
 )
 def test_reparse_string(spark, stored, seen):
-    assert one(spark, F.to_json(P.reparse_string(F.parse_json(F.col("j")))), j=stored) == seen
+    df = spark.range(1).select(F.parse_json(F.lit(stored)).alias("v"))
+    assert P.with_reparsed(df, "s", "v").select(F.to_json("s").alias("t")).first()["t"] == seen
+
+
+@pytest.mark.parametrize(
+    "text,parsed",
+    [
+        ('{"a":1}', '{"a":1}'), (" 5 ", "5"), ("null", "null"), ('{"a":1,"a":2}', '{"a":2}'),
+        ("5 apples", None), ('{"a":1} x', None), ("1,2", None), ("1],[2", None), ('"name": "x",', None),
+        ("", None), ("  ", None), ("{", None), (None, None),
+    ],
+)
+def test_only_whole_json_counts(spark, text, parsed):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert P.with_json(df, "v", F.col("t")).select(F.to_json("v").alias("o")).first()["o"] == parsed
 
 
 def test_bad_schemas():
