@@ -64,30 +64,33 @@ def to_variant(payload: Column, kind: T.DataType) -> Column:
 
 def variant_kind(payload: Column) -> Column:
     """Leading word of the variant's type: OBJECT, ARRAY, STRING, BIGINT, VOID, …"""
-    return F.regexp_extract(F.schema_of_variant(payload), r"^[A-Z_]+", 0)
+    described = F.schema_of_variant(payload)
+    return F.substring_index(F.substring_index(described, "<", 1), "(", 1)
 
 
-def normalized_keys(payload: Column) -> Column:
-    """Top-level ``-`` → ``_`` in the keys of a VARIANT object.
+# Values for keys that meet after renaming: the last renamed member, else the plain one.
+_SETTLED = """
+transform(array_distinct(_names), n -> coalesce(
+    try_element_at(filter(map_entries(_map), e -> e.key <> n AND translate(e.key, '-', '_') = n), -1).value,
+    try_element_at(_map, n)))
+"""
 
-    Nested keys stay.  A renamed key replaces a plain key of the same name, and
-    of two renamed keys that meet, the later one in key order is kept.
-    """
-    fields = payload.cast("map<string,variant>")
-    plain = F.map_filter(fields, lambda k, _: ~F.contains(k, F.lit("-")))
-    hyphened = F.filter(F.map_entries(fields), lambda e: F.contains(e["key"], F.lit("-")))
-    names = F.array_distinct(F.transform(hyphened, lambda e: F.translate(e["key"], "-", "_")))
-    winners = F.transform(
-        names,
-        lambda n: F.element_at(
-            F.filter(hyphened, lambda e: F.translate(e["key"], "-", "_") == n), -1
-        )["value"],
-    )
-    kept = F.map_filter(plain, lambda k, _: ~F.array_contains(names, k))
-    merged = F.map_concat(kept, F.map_from_arrays(names, winners))
-    return F.to_variant_object(merged)
+_NORMALIZED = f"""
+CASE WHEN _names IS NULL OR _names = map_keys(_map) THEN {{payload}}
+     WHEN size(array_distinct(_names)) = size(_names)
+     THEN to_variant_object(map_from_arrays(_names, map_values(_map)))
+     ELSE to_variant_object(map_from_arrays(array_distinct(_names), {_SETTLED})) END
+"""
 
 
-def normalize_keys(payload: Column) -> Column:
-    """Rename only where a top-level object has hyphens; other payloads pass."""
-    return F.when(variant_kind(payload) == "OBJECT", normalized_keys(payload)).otherwise(payload)
+def with_normalized_keys(df: DataFrame, name: str, payload: str) -> DataFrame:
+    """Add ``name``: the VARIANT column with ``-`` → ``_`` in its top-level keys.
+
+    Nested keys stay, and a payload that is not an object stays.  A renamed key
+    replaces a plain key of the same name; of two renamed keys that meet, the later
+    one in key order is kept.  The object is opened once, in its own projection,
+    and passed on as it came when no key has a hyphen.
+    """
+    opened = df.withColumn("_map", F.try_variant_get(payload, "$", "map<string,variant>"))
+    named = opened.withColumn("_names", F.expr("transform(map_keys(_map), k -> translate(k, '-', '_'))"))
+    return named.withColumn(name, F.expr(_NORMALIZED.format(payload=f"`{payload}`"))).drop("_map", "_names")

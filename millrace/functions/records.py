@@ -1,7 +1,8 @@
 """Declared record schemas: schema JSON → Spark types and conforming columns.
 
 The declaration uses the public Avro schema JSON.  Conformance needs no codec:
-the payload stays a typed struct, which is what columnar files want.
+the payload stays a typed struct, which is what columnar files want.  The checks
+are SQL expressions generated from the schema once, when the plan is built.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import json
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,57 +111,79 @@ def _resolve(node: Any, named: dict[str, Kind]) -> Kind:
     return found
 
 
-def _default_column(kind: Kind, value: Any) -> Column:
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _default(kind: Kind, value: Any) -> str:
+    ddl = kind.spark.simpleString()
     if value is None:
-        return F.lit(None).cast(kind.spark)
+        return f"CAST(NULL AS {ddl})"
+    if isinstance(kind.spark, T.StringType | T.BinaryType):
+        return f"CAST({_quoted(value)} AS {ddl})"
     if kind.shape == "scalar":
-        return F.lit(value).cast(kind.spark)
-    return F.from_json(F.lit(json.dumps(value)), kind.spark)
+        return f"CAST({json.dumps(value)} AS {ddl})"
+    return f"from_json({_quoted(json.dumps(value))}, {_quoted(ddl)})"
 
 
-def _kind_name(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z_]+", 0)
+def _has_kind(value: str, names: tuple[str, ...]) -> str:
+    """Whether a variant's type is one of ``names``; type parameters are ignored."""
+    listed = ", ".join(_quoted(n) for n in names)
+    test = f"schema_of_variant({value}) IN ({listed})"
+    if "DECIMAL" in names:
+        test += f" OR startswith(schema_of_variant({value}), 'DECIMAL')"
+    return f"({test})"
 
 
-def _read(value: Column, kind: Kind, hyphens: bool = False) -> tuple[Column, Column]:
-    """(typed column, conforms) for a VARIANT that is present."""
+def _read(value: str, kind: Kind, depth: int = 0) -> tuple[str, str]:
+    """SQL for (typed value, conforms) of a VARIANT expression that is present."""
+    ddl = kind.spark.simpleString()
     if kind.shape == "record":
-        columns, checks, present = [], [], F.lit(False)
-        for field in kind.fields:
-            found = _find(value, field.name, hyphens)
-            column, check = _read_field(found, field)
-            columns.append(column.alias(field.name))
-            checks.append(check)
-            present = present | found.isNotNull()
-        # Having any declared field proves an object; only a value without one is
-        # inspected as a whole.
-        checks.append(present | (_kind_name(value) == "OBJECT"))
-        typed, ok = F.struct(*columns), _all(checks)
+        found = [_find(value, f.name, False) for f in kind.fields]
+        typed, ok = _read_members(value, found, kind, depth)
     elif kind.shape == "map":
-        members = F.try_variant_get(value, "$", "map<string,variant>")
-        typed = F.transform_values(members, lambda _, v: _read(v, kind.item)[0])
-        ok = F.coalesce(
-            F.forall(F.map_values(members), lambda v: _read(v, kind.item)[1]), F.lit(False)
-        )
+        item, item_ok = _read(f"v{depth}", kind.item, depth + 1)
+        members = f"try_variant_get({value}, '$', 'map<string,variant>')"
+        typed = f"transform_values({members}, (k{depth}, v{depth}) -> {item})"
+        ok = f"coalesce(forall(map_values({members}), v{depth} -> {item_ok}), false)"
     elif kind.shape == "array":
-        members = F.try_variant_get(value, "$", "array<variant>")
-        typed = F.transform(members, lambda v: _read(v, kind.item)[0])
-        ok = F.coalesce(F.forall(members, lambda v: _read(v, kind.item)[1]), F.lit(False))
+        item, item_ok = _read(f"v{depth}", kind.item, depth + 1)
+        members = f"try_variant_get({value}, '$', 'array<variant>')"
+        typed = f"transform({members}, v{depth} -> {item})"
+        ok = f"coalesce(forall({members}, v{depth} -> {item_ok}), false)"
     elif isinstance(kind.spark, T.NullType):
-        typed, ok = F.lit(None), F.is_variant_null(value)
+        typed, ok = "NULL", f"is_variant_null({value})"
     else:
-        typed = F.try_variant_get(value, "$", kind.spark.simpleString())
-        ok = typed.isNotNull() & _kind_name(value).isin(*ACCEPTED_KINDS[type(kind.spark)])
+        typed = f"try_variant_get({value}, '$', '{ddl}')"
+        ok = f"{typed} IS NOT NULL AND {_has_kind(value, ACCEPTED_KINDS[type(kind.spark)])}"
         if kind.symbols:
-            ok = ok & typed.isin(*kind.symbols)
+            ok += f" AND {typed} IN ({', '.join(_quoted(s) for s in kind.symbols)})"
+        ok = f"({ok})"
     if kind.nullable:
-        null = F.is_variant_null(value)
-        typed = F.when(~null, typed)
-        ok = null | ok
+        typed = f"CASE WHEN NOT is_variant_null({value}) THEN {typed} END"
+        ok = f"(is_variant_null({value}) OR {ok})"
     return typed, ok
 
 
-def _find(record: Column, name: str, hyphens: bool) -> Column:
+def _read_members(value: str, found: list[str], kind: Kind, depth: int) -> tuple[str, str]:
+    columns, checks = [], []
+    for member, field in zip(found, kind.fields):
+        typed, ok = _read(member, field.kind, depth)
+        if field.default is MISSING:
+            absent = f"CAST(NULL AS {field.kind.spark.simpleString()})"
+            absent_ok = "true" if field.kind.nullable else "false"
+        else:
+            absent, absent_ok = _default(field.kind, field.default), "true"
+        columns.append(f"{_quoted(field.name)}, CASE WHEN {member} IS NOT NULL THEN {typed} ELSE {absent} END")
+        checks.append(f"CASE WHEN {member} IS NOT NULL THEN {ok} ELSE {absent_ok} END")
+    # Having any declared field proves an object; only a value without one is
+    # inspected as a whole.
+    present = " OR ".join(f"{m} IS NOT NULL" for m in found) or "false"
+    checks.append(f"({present} OR startswith(schema_of_variant({value}), 'OBJECT'))")
+    return f"named_struct({', '.join(columns)})", f"coalesce({' AND '.join(checks)}, false)"
+
+
+def _find(record: str, name: str, hyphens: bool) -> str:
     """Member of an object as VARIANT, NULL when absent.
 
     With ``hyphens``, members whose name has ``-`` for ``_`` are looked for first,
@@ -170,38 +193,29 @@ def _find(record: Column, name: str, hyphens: bool) -> Column:
     names = [name]
     if hyphens and "_" in name:
         spellings = itertools.product(*[("-", "_") if c == "_" else (c,) for c in name])
-        renamed = sorted({"".join(s) for s in spellings} - {name}, reverse=True)
-        names = renamed + names
-    found = [F.try_variant_get(record, f"$['{n}']", "variant") for n in names]
-    return found[0] if len(found) == 1 else F.coalesce(*found)
+        names = sorted({"".join(s) for s in spellings} - {name}, reverse=True) + names
+    found = ", ".join(f"""try_variant_get({record}, "$['{n}']", 'variant')""" for n in names)
+    return found if len(names) == 1 else f"coalesce({found})"
 
 
-def _read_field(value: Column, field: Field) -> tuple[Column, Column]:
-    typed, ok = _read(value, field.kind)
-    present = value.isNotNull()
-    if field.default is MISSING:
-        missing_value, missing_ok = F.lit(None).cast(field.kind.spark), F.lit(field.kind.nullable)
-    else:
-        missing_value, missing_ok = _default_column(field.kind, field.default), F.lit(True)
-    return (
-        F.when(present, typed).otherwise(missing_value),
-        F.when(present, ok).otherwise(missing_ok),
-    )
-
-
-def _all(checks: list[Column]) -> Column:
-    combined = checks[0]
-    for check in checks[1:]:
-        combined = combined & check
-    return F.coalesce(combined, F.lit(False))
-
-
-def conform(payload: Column, schema: Kind, *, hyphens: bool = False) -> tuple[Column, Column]:
-    """VARIANT payload → (typed record, whether it conforms).
+def with_record(
+    df: DataFrame, payload: str, schema: Kind, *, hyphens: bool = False, record: str = "_record", ok: str = "_ok"
+) -> DataFrame:
+    """Add the typed record of a VARIANT column and whether it conforms.
 
     A required field without a default must be present and of the declared kind;
     an absent field with a default takes it; fields not declared are left out.
     ``hyphens`` lets top-level names be spelled with ``-`` for ``_``.
+
+    Members are taken out in a projection of their own, once each; typing and
+    checking then read the small members instead of the whole payload.
     """
-    typed, ok = _read(payload, schema, hyphens)
-    return typed, F.coalesce(ok, F.lit(False))
+    value = f"`{payload}`"
+    if schema.shape != "record":
+        typed, conforms = _read(value, schema)
+        return df.select("*", F.expr(typed).alias(record), F.expr(f"coalesce({conforms}, false)").alias(ok))
+    members = [f"_m{i}" for i in range(len(schema.fields))]
+    found = [F.expr(_find(value, f.name, hyphens)).alias(m) for m, f in zip(members, schema.fields)]
+    typed, conforms = _read_members(value, members, schema, 0)
+    staged = df.select("*", *found).select("*", F.expr(typed).alias(record), F.expr(conforms).alias(ok))
+    return staged.drop(*members)

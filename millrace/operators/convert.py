@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import payload as P
-from ..functions.records import conform, parse_schema
+from ..functions.records import parse_schema, with_record
 from . import errors
 
 
@@ -44,15 +44,14 @@ def to_record(df: DataFrame, schema: str | dict | None, *, normalize: bool = Tru
         staged = P.with_json(df, "_json", F.col("data"))
     else:
         staged = df.withColumn("_json", F.col("data"))
-    typed, conforms = conform(F.col("_json"), declared, hyphens=normalize)
+    read = with_record(staged, "_json", declared, hyphens=normalize)
     marked = errors.mark(
-        staged,
+        read,
         F.when(F.col("_json").isNull(), F.lit(errors.INVALID_JSON)).when(
-            ~conforms, F.lit(errors.SCHEMA_MISMATCH)
+            ~F.col("_ok"), F.lit(errors.SCHEMA_MISMATCH)
         ),
     )
-    conforming = F.col(errors.ERROR).isNull()
-    return marked.withColumn("data", F.when(conforming, typed)).drop("_json")
+    return marked.withColumn("data", F.when(F.col("_ok"), F.col("_record"))).drop("_json", "_record", "_ok")
 
 
 def to_json_value(df: DataFrame) -> DataFrame:

@@ -244,7 +244,7 @@ def normalize_keys(spark, sf_dir):
         F.lit('","nested":{"inner-key":'), F.col("k").cast("string"), F.lit("}}"),
     )
     staged = rows.select("event_id", F.parse_json(text).alias("v"))
-    return staged.select("event_id", F.to_json(P.normalize_keys(F.col("v"))).alias("payload"))
+    return P.with_normalized_keys(staged, "n", "v").select("event_id", F.to_json("n").alias("payload"))
 
 
 # A declared record with every schema feature: union, map, nested record, defaults.
