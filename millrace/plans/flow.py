@@ -326,10 +326,11 @@ def _writer(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     place = run.place(static)
     form = "csv" if run.batched else ("parquet" if convert.payload_form(events) == "record" else "json")
     form = task.config.get("format", form)
+    before = file_sink.files_before(run.spark, place)
     file_sink.write_events(events, place, form, partition_by=partitions, mode="append")
     run.result.written[task.name] = place
     run.batched = None
-    receipts = file_sink.write_receipts(run.spark, place, form)
+    receipts = file_sink.write_receipts(run.spark, place, form, before=before)
     return _as_events(task, receipts, F.struct("status", "path", "e_tag", "rows"), id="e_tag")
 
 

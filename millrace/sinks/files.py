@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.template import render
 from ..operators.envelope import ERROR
+from ..session import materialize, path_exists
 
 # Date partition columns and payload extensions.
 DATE_PARTITIONS = ("year", "month", "day")
@@ -45,17 +46,22 @@ def write_events(
     format: str = "json",
     *,
     partition_by: list[str] | None = None,
+    cluster: bool = True,
     mode: str = "error",
     delimiter: str = ",",
     line_ending: str | None = None,
 ) -> None:
     """Write payloads: ``json`` lines, ``csv`` with header, ``parquet`` or ``avro``.
 
-    One distributed write.  Rows are first grouped by partition value inside the
-    existing tasks only; when a write would scatter many small files, repartition
-    with ``spread_by`` before it.
+    One distributed write.  With partitions, rows are rebalanced by partition value
+    first: adaptive execution splits a hot value over several tasks and merges rare
+    ones, so files come out near the advisory size and a value's rows do not scatter
+    into one file per task.  ``cluster=False`` skips that shuffle for input that is
+    already ordered by partition value.
     """
     partitions = list(partition_by or [])
+    if partitions and cluster:
+        df = df.hint("rebalance", *[F.col(p) for p in partitions])
     if format == "json":
         out = df.select("data", *partitions)
         kind = df.schema["data"].dataType
@@ -76,25 +82,27 @@ def write_events(
     writer.save(path)
 
 
-def spread_by(df: DataFrame, partitions: list[str], files_each: int) -> DataFrame:
-    """Cluster rows by partition value, each value over ``files_each`` tasks.
-
-    The salt keeps one hot date or subject from landing in a single task.
-    """
-    salt = F.pmod(F.xxhash64("subject", "timestamp", "id"), F.lit(files_each))
-    return df.withColumn("_salt", salt).repartition(*partitions, "_salt").drop("_salt")
-
-
 def write_split(df: DataFrame, path: str, format: str = "parquet", *, mode: str = "error") -> None:
     """Good and bad rows in one pass, as ``outcome=good`` / ``outcome=error``."""
     outcome = F.when(F.col(ERROR).isNull(), F.lit("good")).otherwise(F.lit("error"))
     df.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").format(format).save(path)
 
 
-def write_receipts(spark: SparkSession, path: str, format: str) -> DataFrame:
+def files_before(spark: SparkSession, path: str) -> DataFrame | None:
+    """Names of the files a folder holds now, kept for ``write_receipts``."""
+    if not path_exists(spark, path):
+        return None
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return materialize(listed.select(F.col("_metadata.file_path").alias("path")), "files-before")
+
+
+def write_receipts(
+    spark: SparkSession, path: str, format: str, *, before: DataFrame | None = None
+) -> DataFrame:
     """One receipt per written file: status, path, rows, bytes, e_tag.
 
-    The tag stands for content identity: name, size and modification time.
+    ``before`` leaves out files an append found in place.  The tag stands for content
+    identity: name, size and modification time.
     """
     reader = spark.read.format("text" if format == "json" else format)
     if format == "csv":
@@ -104,6 +112,8 @@ def write_receipts(spark: SparkSession, path: str, format: str) -> DataFrame:
         F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_modification_time").alias("_changed"),
     )
+    if before is not None:
+        meta = meta.join(before, "path", "left_anti")
     files = meta.groupBy("path", "bytes", "_changed").agg(F.count(F.lit(1)).alias("rows"))
     return files.select(
         F.lit("success").alias("status"),

@@ -70,6 +70,9 @@ def infer_csv_schema(
     lines = INFER_RECORDS + (1 if has_header else 0)
     reader = spark.read.options(**(options or {}))
     head = [r.value for r in reader.text(_paths(paths)).limit(lines).collect()]
+    if has_header:
+        # Short files let the sample reach the next file's header.
+        head = head[:1] + [line for line in head[1:] if line != head[0]]
     sample = spark.read.csv(
         spark.sparkContext.parallelize(head, 1),
         header=has_header,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.durations import duration_micros
 from ..operators import errors
+from ..session import path_exists
 from ..sources.messages import subscribe
 
 
@@ -66,8 +67,7 @@ def durable_subscription(
 
 
 def _stored_pattern(spark: SparkSession, path: str) -> str | None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+    if not path_exists(spark, path):
         return None
     row = spark.read.text(path).first()
     return None if row is None else row["value"]

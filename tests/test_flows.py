@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.flow import Bindings, load_flows, parse_flow, run_flow
 from millrace.sinks.export import bulk_export, bulk_select
-from millrace.sinks.files import object_name, spread_by, templated_path, with_event_date, write_events, write_receipts, write_split
+from millrace.sinks.files import object_name, templated_path, with_event_date, write_events, write_receipts, write_split
 from millrace.sources.files import (
     infer_csv_schema,
     object_path,
@@ -155,6 +155,10 @@ def test_templated_landing_and_bulk_export(spark, tmp_path):
     assert sorted(r["data"]["path"].split("/land/")[1].rsplit("/", 1)[0] for r in receipts) == [
         "destination=in.0/year=2024/month=1/day=1", "destination=in.1/year=2024/month=1/day=2"
     ]
+    # A second run appends; its receipts are about its own files only.
+    again = run_flow(spark, flow, Bindings(inputs={"sub": events(spark, '{"a":3}')}, root=root))
+    fresh = {r["data"]["path"] for r in again.outputs[0].collect()}
+    assert len(fresh) == 1 and not fresh & {r["data"]["path"] for r in receipts}
     spark.createDataFrame([(1, False), (2, True)], "id int, is_deleted boolean").createOrReplaceTempView("accounts")
     task = {"name": "b", "query": "SELECT * FROM accounts", "path": "file:///out", "column_delimiter": "TAB", "line_ending": "CRLF"}
     result = run_flow(
@@ -188,6 +192,11 @@ def test_csv_reading(spark, tmp_path):
     df = read_csv_typed(spark, str(path), delimiter=";")
     assert df.where("_error is null").count() == 150
     assert [r["_error"] for r in df.where("_error is not null").collect()] == ["SchemaMismatch"]
+    short = tmp_path / "short"
+    short.mkdir()
+    for n in range(3):
+        (short / f"{n}.csv").write_text(f"id,x\n{n},1.5\n")
+    assert [f.dataType.simpleString() for f in infer_csv_schema(spark, str(short))] == ["bigint", "double"]
     bare = tmp_path / "b.csv"
     bare.write_text("1,x\n2,y\n")
     assert read_csv_typed(spark, str(bare), has_header=False).count() == 2
@@ -231,7 +240,7 @@ def test_write_formats_and_receipts(spark, tmp_path):
     assert sorted(r["t"] for r in back.select(F.to_json("data").alias("t")).collect()) == ['{"a":1,"b":null}', '{"a":2}']
     with pytest.raises(ValueError, match="record"):
         write_events(df, str(tmp_path / "c"), "csv")
-    dated = spread_by(with_event_date(df), ["year", "month", "day"], 4)
+    dated = with_event_date(df)
     write_events(dated, str(tmp_path / "p"), "json", partition_by=["year", "month", "day"])
     assert (tmp_path / "p" / "year=2024" / "month=1" / "day=2").exists()
     receipts = write_receipts(spark, str(tmp_path / "p"), "json").collect()
@@ -259,3 +268,23 @@ def test_bulk_export(spark, tmp_path):
         assert text == f"id{separator}name\r\n1{separator}a\r\n".encode()
     with pytest.raises(NotImplementedError):
         bulk_select(df, ["id"], "upsert")
+
+
+def test_partitioned_write_rebalances_a_hot_value(spark, tmp_path):
+    """A value holding most rows is written by several tasks, most others by one.
+
+    A rare value may share the hot value's shuffle partition and be split with it.
+    """
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.struct(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("text")).alias("data"),
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("d"), (F.col("id") % 9).cast("string"))).alias("day"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "300k")
+    try:
+        write_events(df, str(tmp_path / "p"), "parquet", partition_by=["day"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {f"d{n}": len(list((tmp_path / "p" / f"day=d{n}").glob("*.parquet"))) for n in (0, 3, 6)}
+    files["hot"] = len(list((tmp_path / "p" / "day=hot").glob("*.parquet")))
+    assert files["hot"] > 1 and min(files.values()) == 1
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 60_000
