@@ -12,10 +12,18 @@ _ROW_BITS = 33  # monotonically_increasing_id: partition above, row position bel
 
 
 def assign_sequence(
-    df: DataFrame, order_by: list[str], *, start: int = 1, column: str = "sequence", partitions: int | None = None
+    df: DataFrame,
+    order_by: list[str],
+    *,
+    start: int = 1,
+    column: str = "sequence",
+    skip: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Number rows ``start, start+1, …`` in ``order_by`` order.
 
+    Rows whose ``skip`` flag is true stay in the result without a number.
+
     Range-partition on the whole ordering key (ties are split by the later key
     columns, so one hot timestamp does not fill one task), sort inside the
     partitions, and store the rows once with their position.  Row counts per
@@ -25,16 +33,19 @@ def assign_sequence(
     n = partitions or max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
+    # Skipped rows go last in their partition, so the others keep dense positions.
+    inner_order = order_by if skip is None else [skip, *order_by]
     placed = materialize(
         df.repartitionByRange(n, *order_by)
-        .sortWithinPartitions(*order_by)
+        .sortWithinPartitions(*inner_order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "sequence",
     )
     part = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     # At most `n` rows: one per range partition.
-    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    numbered = F.lit(True) if skip is None else ~F.col(skip)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count_if(numbered).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
@@ -42,6 +53,6 @@ def assign_sequence(
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(column, F.lit(start) + F.col("_before") + row)
+        .withColumn(column, F.when(numbered, F.lit(start) + F.col("_before") + row))
         .drop("_part", "_place", "_before")
     )

@@ -42,9 +42,10 @@ def publish(
         else:
             keyed = rendered.withColumn("_tie", tie)
         marked = mark_duplicates(keyed, "id", "timestamp", "_tie", length).drop("_tie")
-        numbered = assign_sequence(marked.where(~F.col("duplicate")), order, start=start)
-        repeats = _with_original(marked.where("duplicate"), numbered, length)
-        stored = numbered.unionByName(repeats)
+        placed = assign_sequence(marked, order, start=start, skip="duplicate")
+        numbered = placed.where(~F.col("duplicate"))
+        repeats = placed.where("duplicate").drop("sequence")
+        stored = numbered.unionByName(_with_original(repeats, numbered, length))
     return stored.withColumns({"stream": F.lit(stream), "domain": F.lit(domain).cast("string")})
 
 

@@ -33,7 +33,10 @@ def ingest_requests(
     )
     text = F.col(body).cast("string")
     empty = F.coalesce(F.length(text) == 0, F.lit(True))
-    judged = requests.withColumn("auth_error", auth_error(authorization, credentials))
+    # Looked up once; the outcome rules then read the one header.
+    judged = requests.withColumn("_authorization", authorization).withColumn(
+        "auth_error", auth_error(F.col("_authorization"), credentials)
+    )
     # Bodies of rejected requests are not parsed at all.
     wanted = F.when(F.col("auth_error").isNull(), F.when(empty, F.lit("null")).otherwise(text))
     judged = with_json(judged, "_payload", wanted)
@@ -51,5 +54,5 @@ def ingest_requests(
                 F.struct(kept.alias("headers"), F.col("_payload").alias("payload")),
             ),
         )
-        .drop("_payload")
+        .drop("_payload", "_authorization")
     )

@@ -382,6 +382,14 @@ def test_sequence_is_gap_free_under_ties(spark):
     assert keys == sorted(keys)
 
 
+def test_sequence_skips_flagged_rows(spark):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("t"), (F.col("id") % 4 == 0).alias("skip"))
+    out = assign_sequence(df, ["t"], skip="skip", partitions=7).orderBy("t").collect()
+    assert len(out) == 3000
+    assert [r["sequence"] for r in out if not r["skip"]] == list(range(1, 2251))
+    assert all(r["sequence"] is None for r in out if r["skip"])
+
+
 def test_publish_with_duplicates(spark):
     events = spark.createDataFrame(
         [("a", 0, "x"), ("a", 5, "x"), ("b", 6, "y"), ("a", 20, "z"), (None, 21, "w"), (None, 22, "w")],
