@@ -29,21 +29,19 @@ def assign_sequence(
     partitions, and store the rows once with their position.  Row counts per
     partition — one small row each — give every partition its offset.
     """
-    spark = df.sparkSession
-    n = partitions or max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
-    )
     # Skipped rows go last in their partition, so the others keep dense positions.
     inner_order = order_by if skip is None else [skip, *order_by]
+    # Without a count, adaptive execution merges small neighbouring ranges.
+    ranges = [*order_by] if partitions is None else [partitions, *order_by]
     placed = materialize(
-        df.repartitionByRange(n, *order_by)
+        df.repartitionByRange(*ranges)
         .sortWithinPartitions(*inner_order)
         .withColumn("_place", F.monotonically_increasing_id()),
         "sequence",
     )
     part = F.shiftright("_place", _ROW_BITS)
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    # At most `n` rows: one per range partition.
+    # One row per range partition.
     numbered = F.lit(True) if skip is None else ~F.col(skip)
     counts = placed.groupBy(part.alias("_part")).agg(F.count_if(numbered).alias("_rows"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

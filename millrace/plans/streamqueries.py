@@ -68,7 +68,9 @@ def stream_dedup(spark, sf_dir):
     home = scratch_path(spark, "stream-dedup")
     named = _event_stream(spark, sf_dir).withColumn("id", F.concat_ws(".", "user_id", "subject"))
     once = dedup_stream(named, "id", "at", "365d").select("user_id", "subject")
-    land_stream(once, f"{home}/data", f"{home}/checkpoint").awaitTermination()
+    land_stream(
+        once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
+    ).awaitTermination()
     return spark.read.parquet(f"{home}/data")
 
 

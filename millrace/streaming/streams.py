@@ -91,17 +91,30 @@ def land_stream(
     delay: str | None = None,
     once: bool = True,
     name: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append to partitioned files, exactly once, from a checkpoint.
 
     ``once`` drains what is there and stops; otherwise ``delay`` spaces the fetches.
+    ``state_partitions`` sets how many state stores a stateful stream starts with; a
+    checkpoint keeps that number for good, so size it for the cluster.
     """
     writer = stream.writeStream.format(format).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if name is not None:
         writer = writer.queryName(name)
-    return writer.trigger(**_trigger(delay, once)).start(path)
+    writer = writer.trigger(**_trigger(delay, once))
+    if state_partitions is None:
+        return writer.start(path)
+    # A query copies the session's options when it starts.
+    conf, option = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    usual = conf.get(option)
+    conf.set(option, state_partitions)
+    try:
+        return writer.start(path)
+    finally:
+        conf.set(option, usual)
 
 
 def land_split(
