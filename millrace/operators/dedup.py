@@ -54,6 +54,7 @@ def _successors(nodes: DataFrame, window: int) -> DataFrame:
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
     within = both.withColumn("_next", F.min(node_at).over(ahead))
+    # One row per id and second that has anything: bounded by the span of time.
     seconds = both.groupBy("_id", "_sec").agg(F.min(node_at).alias("_first"))
     later = (
         Window.partitionBy("_id").orderBy("_sec").rowsBetween(1, Window.unboundedFollowing)

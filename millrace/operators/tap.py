@@ -22,16 +22,17 @@ def with_parsed_payload(events: DataFrame, name: str = "parsed") -> DataFrame:
     return events.withColumn(name, F.col("data"))
 
 
-def tap(events: DataFrame, level: str = "info", name: str = "tap") -> tuple[DataFrame, Observation]:
+def tap(events: DataFrame, level: str = "info", name: str = "tap") -> tuple[DataFrame, Observation | str]:
     """Pass events through unchanged and count them on the way.
 
     Counting is an observed metric of the same job; no extra pass, no rows on
     the driver.  If Spark itself reads this step twice, as sampling for a later
-    global sort does, the metric counts both readings.
+    global sort does, the metric counts both readings.  On a stream the
+    metric is found under ``name`` in the query's progress.
     """
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}")
-    seen = Observation(name)
+    seen = name if events.isStreaming else Observation(name)
     counted = events.observe(
         seen,
         F.count(F.lit(1)).alias("events"),

@@ -26,7 +26,9 @@ from ..sinks import export, files as file_sink
 from ..sinks.publish import append_messages, publish
 from ..sources import files as file_source
 from ..sources.messages import subscribe
+from ..session import materialize, path_exists
 from ..sources.schedule import check_schedule, cron_schedule, interval_schedule, run_windows
+from ..streaming.streams import for_each_batch
 
 log = logging.getLogger(__name__)
 
@@ -55,6 +57,14 @@ SOURCE_TYPES = (
 )
 
 
+# Tasks that write.
+SINK_TYPES = (
+    "object_store_writer",
+    "nats_jetstream_publisher",
+    "salesforce_bulkapi_job_creator",
+)
+
+
 @dataclass(frozen=True)
 class Task:
     task_id: int
@@ -99,6 +109,10 @@ class Bindings:
     start: int = 0
     """Epoch second at which schedules begin."""
     end: int | None = None
+    checkpoints: str = ""
+    """Folder for stream checkpoints; needed when an input is a stream."""
+    once: bool = True
+    """Drain a stream and stop, or keep it running."""
 
 
 @dataclass
@@ -110,6 +124,8 @@ class Result:
     written: dict[str, str] = field(default_factory=dict)
     """Paths written, by task name."""
     observations: dict[str, Any] = field(default_factory=dict)
+    queries: dict[str, Any] = field(default_factory=dict)
+    """Streaming queries started, by the name of the sink task they feed."""
 
 
 def parse_flow(spec: dict[str, Any]) -> Flow:
@@ -348,15 +364,20 @@ def _as_events(task: Task, rows: DataFrame, data: Any, *, id: str | None = None)
 def _message_publisher(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     stream = (task.config.get("stream") or {}).get("name", task.name)
     window = (task.config.get("stream") or {}).get("duplicate_window_secs")
+    place = run.bindings.message_tables.get(stream)
+    stored = run.spark.read.parquet(place) if place and path_exists(run.spark, place) else None
     messages = publish(
         events,
         stream,
         task.config["subject"],
         duplicate_window=None if window is None else window * 1_000_000,
+        stored=stored,
     )
-    if stream in run.bindings.message_tables:
-        append_messages(messages, run.bindings.message_tables[stream])
-        run.result.written[task.name] = run.bindings.message_tables[stream]
+    if place:
+        # Acks are read after the append, which `stored` must not see.
+        messages = materialize(messages, "messages")
+        append_messages(messages, place)
+        run.result.written[task.name] = place
     return _as_events(task, messages, F.struct("stream", "sequence", "domain", "duplicate"))
 
 
@@ -420,16 +441,42 @@ _BATCH_AWARE = ("convert", "iterate", "log", "object_store_writer")
 
 
 def run_flow(spark: SparkSession, flow: Flow, bindings: Bindings | None = None) -> Result:
-    """Run every segment.  Only sinks start jobs; the rest stays one lazy plan."""
+    """Run every segment.  Only sinks start jobs; the rest stays one lazy plan.
+
+    With a stream as input, the steps before the first sink are one streaming plan,
+    and the sink and what follows it run on every batch.  A batch that is repeated
+    after a failure is written again: use ``streaming.land_stream`` where files must
+    be written exactly once.
+    """
     run = _Run(spark, flow, bindings or Bindings())
     for segment in flow.segments():
         events: DataFrame | None = None
         run.batched = None
-        for task in segment:
-            if run.batched and task.type not in _BATCH_AWARE:
-                raise ValueError(
-                    f"task {task.name!r} needs single events: convert the batch to json and iterate it first"
-                )
-            events = _STEPS[task.type](run, task, events)
+        for position, task in enumerate(segment):
+            if events is not None and events.isStreaming and task.type in SINK_TYPES:
+                run.result.queries[task.name] = _stream_into(run, events, segment[position:])
+                break
+            events = _step(run, task, events)
         run.result.outputs.append(events)
     return run.result
+
+
+def _step(run: _Run, task: Task, events: DataFrame | None) -> DataFrame:
+    if run.batched and task.type not in _BATCH_AWARE:
+        raise ValueError(
+            f"task {task.name!r} needs single events: convert the batch to json and iterate it first"
+        )
+    return _STEPS[task.type](run, task, events)
+
+
+def _stream_into(run: _Run, events: DataFrame, tasks: list[Task]) -> Any:
+    if not run.bindings.checkpoints:
+        raise ValueError("streaming inputs need a checkpoint folder")
+
+    def each(batch: DataFrame, _: int) -> None:
+        run.spark = batch.sparkSession
+        for task in tasks:
+            batch = _step(run, task, batch)
+
+    home = f"{run.bindings.checkpoints}/{run.flow.name}/{tasks[0].name}"
+    return for_each_batch(events, each, home, once=run.bindings.once)

@@ -22,18 +22,22 @@ def publish(
     domain: str | None = None,
     duplicate_window: str | int | None = None,
     start: int = 1,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
     """Number events for a stream: subject rendered per row, id as message id.
 
     Stored messages get gap-free sequences in time order.  With a duplicate
     window, a repeated id is acknowledged as ``duplicate`` with the sequence of the
-    message it repeats, and is not stored again.
-    Returns the message rows with their ack columns.
+    message it repeats, and is not stored again.  ``stored`` are messages the stream
+    already holds (id, timestamp, sequence): numbering goes on after them, and they
+    count as originals.  Returns the message rows with their ack columns.
     """
     rendered = events.withColumn("subject", render(subject_template, events))
     order = order_by or ["timestamp", "id"]
+    if stored is not None:
+        start = (stored.agg(F.max("sequence").alias("last")).first()["last"] or start - 1) + 1
     if duplicate_window is None:
-        stored = assign_sequence(rendered.withColumn("duplicate", F.lit(False)), order, start=start)
+        out = assign_sequence(rendered.withColumn("duplicate", F.lit(False)), order, start=start)
     else:
         length = duration_micros(duplicate_window) if isinstance(duplicate_window, str) else duplicate_window
         if tie is None:
@@ -41,12 +45,25 @@ def publish(
             keyed = materialize(rendered.withColumn("_tie", F.monotonically_increasing_id()), "publish")
         else:
             keyed = rendered.withColumn("_tie", tie)
+        if stored is not None:
+            keyed, repeated = _split_repeats(keyed, stored, length)
         marked = mark_duplicates(keyed, "id", "timestamp", "_tie", length).drop("_tie")
         placed = assign_sequence(marked, order, start=start, skip="duplicate")
         numbered = placed.where(~F.col("duplicate"))
         repeats = placed.where("duplicate").drop("sequence")
-        stored = numbered.unionByName(_with_original(repeats, numbered, length))
-    return stored.withColumns({"stream": F.lit(stream), "domain": F.lit(domain).cast("string")})
+        out = numbered.unionByName(_with_original(repeats, numbered, length))
+        if stored is not None:
+            out = out.unionByName(repeated.drop("_tie").withColumn("duplicate", F.lit(True)))
+    return out.withColumns({"stream": F.lit(stream), "domain": F.lit(domain).cast("string")})
+
+
+def _split_repeats(events: DataFrame, stored: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(events no stored message precedes within the window, repeats with its sequence)."""
+    earliest = events.agg(F.min("timestamp")).scalar()
+    recent = stored.where(F.col("timestamp") > earliest - window)
+    repeats = _with_original(events, recent, window)
+    fresh = events.join(repeats.select(F.col("_tie").alias("_repeat")), F.col("_tie") == F.col("_repeat"), "left_anti")
+    return fresh, repeats
 
 
 def _with_original(repeats: DataFrame, numbered: DataFrame, window: int) -> DataFrame:

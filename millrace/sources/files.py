@@ -138,11 +138,24 @@ def read_avro(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         raise RuntimeError("reading avro needs the spark-avro package on the classpath") from failure
 
 
-def extensions_under(spark: SparkSession, root: str) -> dict[str, int]:
-    """File counts by extension; lists names only, file contents are not read."""
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    extension = F.regexp_extract("path", r"\.([^./]+)$", 1)
-    return {r["extension"]: r["n"] for r in names.groupBy(extension.alias("extension")).agg(F.count(F.lit(1)).alias("n")).collect()}
+def extensions_under(spark: SparkSession, root: str) -> dict[str, int | str | None]:
+    """File counts: per known extension, ``none`` and ``other`` with one example.
+
+    Lists names only, file contents are not read; the answer is one row.
+    """
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    found = names.select(F.regexp_extract("path", r"\.([^./]+)$", 1).alias("x"))
+    unknown = ~F.col("x").isin("", *EXTENSIONS)
+    return (
+        found.agg(
+            *[F.count_if(F.col("x") == e).alias(e) for e in EXTENSIONS],
+            F.count_if(F.col("x") == "").alias("none"),
+            F.count_if(unknown).alias("other"),
+            F.min(F.when(unknown, F.col("x"))).alias("example"),
+        )
+        .first()
+        .asDict()
+    )
 
 
 def read_objects(
@@ -154,17 +167,16 @@ def read_objects(
     extension is an error.
     """
     found = extensions_under(spark, root)
-    if found.get("", 0):
-        raise ValueError(f"{found['']} files under {root} have no extension")
-    for extension, count in sorted(found.items()):
-        if extension not in EXTENSIONS:
-            log.warning("skipping %d files with unsupported extension %s", count, extension)
+    if found["none"]:
+        raise ValueError(f"{found['none']} files under {root} have no extension")
+    if found["other"]:
+        log.warning("skipping %d files with unsupported extensions, such as %s", found["other"], found["example"])
     parts = []
-    if "json" in found:
+    if found["json"]:
         parts.append(read_json_docs(spark, root))
-    if "csv" in found:
+    if found["csv"]:
         parts.append(_csv_objects(spark, root, has_header, delimiter))
-    if "avro" in found:
+    if found["avro"]:
         avro = read_avro(spark, root)
         parts.append(
             avro.select(

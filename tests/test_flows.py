@@ -212,7 +212,7 @@ def test_json_documents_and_mixed_folder(spark, tmp_path, caplog):
     objects = read_objects(spark, str(tmp_path))
     found = sorted(r["t"] for r in objects.where("_error is null").select(F.to_json("data").alias("t")).collect())
     assert found == ['{"id":1,"name":"x"}', '{"id":2,"name":"y"}', '{"name":"test","value":123}']
-    assert "unsupported extension txt" in caplog.text
+    assert "unsupported extensions, such as txt" in caplog.text
     (tmp_path / "README").write_text("x")
     with pytest.raises(ValueError, match="no extension"):
         read_objects(spark, str(tmp_path))
@@ -288,3 +288,54 @@ def test_partitioned_write_rebalances_a_hot_value(spark, tmp_path):
     files["hot"] = len(list((tmp_path / "p" / "day=hot").glob("*.parquet")))
     assert files["hot"] > 1 and sorted(files.values())[20] == 1
     assert spark.read.parquet(str(tmp_path / "p")).count() == 60_000
+
+
+def test_publish_goes_on_after_stored_messages(spark, tmp_path):
+    task = {"nats_jetstream_publisher": {"name": "p", "subject": "out.{{event.data.k}}", "stream": {"name": "st", "duplicate_window_secs": 10}}}
+    flow = parse_flow(spec(SUBSCRIBE, task))
+    table = str(tmp_path / "st")
+
+    def send(*rows):
+        df = spark.createDataFrame([(i, s * 1_000_000) for i, s in rows], "id string, timestamp bigint").select(
+            F.struct(F.col("id").alias("k")).alias("data"), F.lit("in.x").alias("subject"), "id", "timestamp",
+            F.lit(0).alias("task_id"), F.lit("t").alias("task_type"),
+        )
+        out = run_flow(spark, flow, Bindings(inputs={"sub": df}, message_tables={"st": table})).outputs[0]
+        return sorted((r["data"]["sequence"], r["data"]["duplicate"]) for r in out.collect())
+
+    assert send(("a", 0), ("b", 1), ("a", 5)) == [(1, False), (1, True), (2, False)]
+    # "a" at 9 repeats message 1, at 10 it is new, at 15 it repeats that one.
+    assert send(("a", 9), ("a", 10), ("a", 15), ("c", 9)) == [(1, True), (3, False), (4, False), (4, True)]
+    stored = spark.read.parquet(table).orderBy("sequence").collect()
+    assert [(r["sequence"], r["subject"]) for r in stored] == [(1, "out.a"), (2, "out.b"), (3, "out.c"), (4, "out.a")]
+
+
+def test_streaming_flow_equals_batch_flow(spark, tmp_path):
+    inbox = str(tmp_path / "in")
+    flow = parse_flow(
+        spec(
+            SUBSCRIBE,
+            {"script": {"name": "odd", "mode": "filter", "code": "data.n % 2 = 1"}},
+            {"log": {"name": "seen"}},
+            {"object_store_writer": {"name": "w", "path": "file:///land/{{event.subject}}"}},
+            {"log": {"name": "receipts"}},
+        )
+    )
+    rows = spark.range(20).select(
+        F.struct(F.col("id").alias("n")).alias("data"), F.concat(F.lit("in."), (F.col("id") % 3).cast("string")).alias("subject"),
+        F.col("id").cast("string").alias("id"), F.col("id").alias("timestamp"), F.lit(0).alias("task_id"), F.lit("t").alias("task_type"),
+    )
+    rows.write.parquet(inbox)
+
+    def landed(root, source, **more):
+        result = run_flow(spark, flow, Bindings(inputs={"sub": source}, root=root, **more))
+        for query in result.queries.values():
+            query.awaitTermination()
+        return sorted((r["n"], r["destination"]) for r in spark.read.parquet(result.written["w"]).collect())
+
+    stream = spark.readStream.schema(rows.schema).parquet(inbox)
+    batch = landed(str(tmp_path / "b"), spark.read.parquet(inbox))
+    assert len(batch) == 10
+    assert landed(str(tmp_path / "s"), stream, checkpoints=str(tmp_path / "cp")) == batch
+    with pytest.raises(ValueError, match="checkpoint"):
+        landed(str(tmp_path / "x"), stream)
