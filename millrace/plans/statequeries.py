@@ -8,7 +8,7 @@ from ..operators import retention
 from ..operators.dedup import dedup
 from ..operators.envelope import micros
 from ..operators.state import last_run_key, state_history, state_latest
-from ..sinks.publish import acks, publish
+from ..sinks.publish import publish
 from ..sources.messages import replay_from, subscribe
 from ..sources.tables import event_envelope, event_rows
 from .registry import query
