@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing  # noqa: F401
+from . import mixing, secrets  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
