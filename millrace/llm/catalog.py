@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language, mixing, quality, secrets, tokens  # noqa: F401
+from . import language, mixing, pages, quality, secrets, tokens  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
