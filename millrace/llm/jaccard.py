@@ -91,7 +91,7 @@ def _roots(settings: JoinSettings) -> tuple[np.ndarray, np.ndarray]:
     return positions, salts
 
 
-def _set_id(hashes: np.ndarray) -> bytes:
+def set_id(hashes: np.ndarray) -> bytes:
     import xxhash
 
     return xxhash.xxh3_128_digest(hashes.tobytes())
@@ -112,7 +112,7 @@ def _sketched(docs: DataFrame, doc_id: str, text: str, settings: JoinSettings) -
                     column.append(None)
                 continue
             least = minima(found, settings.sketch)
-            ids.append(_set_id(found))
+            ids.append(set_id(found))
             sizes.append(len(found))
             sketches.append(((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes())
             keys.append(mixed(least[positions].astype(np.uint64) ^ salts).view(np.int64))
@@ -186,7 +186,7 @@ class _Group:
                     yield int(a), int(b)
 
 
-def _candidates(members: DataFrame, settings: JoinSettings) -> DataFrame:
+def likely_members(members: DataFrame, settings: JoinSettings) -> DataFrame:
     """Rows of ``members`` that have a likely partner in their task."""
 
     def work(group: pa.Table):
@@ -201,7 +201,7 @@ def _candidates(members: DataFrame, settings: JoinSettings) -> DataFrame:
     return map_groups(members.select(names), ["key", "left", "right"], work, schema)
 
 
-def _links(candidates: DataFrame, settings: JoinSettings) -> DataFrame:
+def verified_links(candidates: DataFrame, settings: JoinSettings) -> DataFrame:
     """``a, b, n``: for each set of a task its number of linked texts there, and the
     smallest set that its links lead to."""
 
@@ -271,7 +271,7 @@ def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_
     def run(values: pa.Array) -> pa.Array:
         found = [shingle_set(value.as_py()) for value in values]
         return pa.StructArray.from_arrays(
-            [pa.array([_set_id(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["own", "shingles"]
+            [pa.array([set_id(x) for x in found], pa.binary()), pa.array([x.tobytes() for x in found], pa.binary())], ["own", "shingles"]
         )
 
     made = texts.select("sid", run.asNondeterministic()("_text").alias("s")).select("sid", "s.*")
@@ -302,8 +302,8 @@ def join_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sett
     lists = final.groupBy("sid").agg(F.collect_set("key").alias("keys"))
     members = sets.drop("keys").join(lists, "sid").withColumn("key", F.explode("keys"))
     members = in_block_pairs(members, sizes, "key", "sid", settings.bucket)
-    candidates = scratch.store(_candidates(members, settings), "candidates")
-    links = scratch.store(_links(_with_shingles(candidates, docs, sets, doc_id, text, scratch), settings), "links")
+    candidates = scratch.store(likely_members(members, settings), "candidates")
+    links = scratch.store(verified_links(_with_shingles(candidates, docs, sets, doc_id, text, scratch), settings), "links")
 
     n_links = links.groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("n_links"))
     groups = components(links.select("a", "b")).withColumnsRenamed({"node": "sid", "component": "root"})
