@@ -6,6 +6,7 @@ The expression is read once on the driver into small literal sets; matching and
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -31,6 +32,19 @@ class Cron:
         """Minutes since midnight at which a matching day fires, ascending."""
         return [h * 60 + m for h in self.hours for m in self.minutes]
 
+    def ever_fires(self) -> bool:
+        """Whether any date matches.  Calendar dates repeat after 400 years, weekdays too."""
+        first = datetime.date(2000, 1, 1).toordinal()
+        return any(self._matches(datetime.date.fromordinal(first + n)) for n in range(146_097))
+
+    def _matches(self, day: datetime.date) -> bool:
+        by_day, by_weekday = day.day in self.days, day.isoweekday() % 7 in self.weekdays
+        if self.any_day or self.any_weekday:
+            chosen = (self.any_day or by_day) and (self.any_weekday or by_weekday)
+        else:
+            chosen = by_day or by_weekday
+        return day.month in self.months and chosen
+
     def fires_on(self, day: Column) -> Column:
         """Whether a DATE column is a firing day.
 

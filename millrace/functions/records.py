@@ -53,7 +53,7 @@ class Field:
 class Kind:
     """A resolved schema node."""
 
-    shape: str  # "scalar", "record", "map" or "array"
+    shape: str  # "scalar", "record", "map", "array" or "union"
     spark: T.DataType
     nullable: bool
     fields: tuple[Field, ...] = ()
@@ -81,8 +81,12 @@ def _resolve(node: Any, named: dict[str, Kind]) -> Kind:
         raise ValueError(f"unknown type {node!r} in schema")
     if isinstance(node, list):
         branches = [b for b in node if b != "null"]
-        if len(branches) != 1:
-            raise ValueError("only unions of null and one type are supported")
+        if not branches:
+            raise ValueError("a union needs a type besides null")
+        if len(branches) > 1:
+            fields = tuple(Field(_branch_name(b), _resolve(b, named), MISSING) for b in branches)
+            spark = T.StructType([T.StructField(f.name, f.kind.spark, True) for f in fields])
+            return Kind("union", spark, len(branches) < len(node), fields)
         inner = _resolve(branches[0], named)
         nullable = inner.nullable or len(branches) < len(node)
         return Kind(inner.shape, inner.spark, nullable, inner.fields, inner.item, inner.symbols)
@@ -104,13 +108,24 @@ def _resolve(node: Any, named: dict[str, Kind]) -> Kind:
         found = Kind("array", T.ArrayType(item.spark, True), False, item=item)
     elif name == "enum":
         found = Kind("scalar", T.StringType(), False, symbols=tuple(node["symbols"]))
+    elif name == "fixed":
+        found = Kind("scalar", T.BinaryType(), False)
     else:
         return _resolve(name, named)
     if "name" in node:
         named[node["name"]] = found
+        if node.get("namespace"):
+            named[f"{node['namespace']}.{node['name']}"] = found
     return found
 
 
+def _branch_name(branch: Any) -> str:
+    """What a union's branch is called: its own name, or its type."""
+    if isinstance(branch, str):
+        return branch
+    return branch.get("name") or _branch_name(branch["type"])
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -119,10 +134,13 @@ def _default(kind: Kind, value: Any) -> str:
     ddl = kind.spark.simpleString()
     if value is None:
         return f"CAST(NULL AS {ddl})"
-    if isinstance(kind.spark, T.StringType | T.BinaryType):
+    if kind.shape == "scalar" and isinstance(kind.spark, T.StringType | T.BinaryType):
         return f"CAST({_quoted(value)} AS {ddl})"
     if kind.shape == "scalar":
         return f"CAST({json.dumps(value)} AS {ddl})"
+    if kind.shape == "union":
+        # A default is of the first branch.
+        value = {kind.fields[0].name: value}
     return f"from_json({_quoted(json.dumps(value))}, {_quoted(ddl)})"
 
 
@@ -151,6 +169,16 @@ def _read(value: str, kind: Kind, depth: int = 0) -> tuple[str, str]:
         members = f"try_variant_get({value}, '$', 'array<variant>')"
         typed = f"transform({members}, v{depth} -> {item})"
         ok = f"coalesce(forall({members}, v{depth} -> {item_ok}), false)"
+    elif kind.shape == "union":
+        # One member per branch; the first branch that conforms is filled.
+        read = [_read(value, f.kind, depth) for f in kind.fields]
+        members, before = [], []
+        for field, (branch, branch_ok) in zip(kind.fields, read):
+            taken = " AND ".join([f"coalesce({branch_ok}, false)", *[f"NOT coalesce({b}, false)" for b in before]])
+            members.append(f"{_quoted(field.name)}, CASE WHEN {taken} THEN {branch} END")
+            before.append(branch_ok)
+        typed = f"named_struct({', '.join(members)})"
+        ok = "(" + " OR ".join(f"coalesce({b}, false)" for b in before) + ")"
     elif isinstance(kind.spark, T.NullType):
         typed, ok = "NULL", f"is_variant_null({value})"
     else:

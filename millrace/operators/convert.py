@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 from ..functions import payload as P
 from ..functions.records import parse_schema, with_record
 from . import errors
+from .sequence import assign_sequence
+
+# Fixed value: rows of a batch where nothing else is set.
+DEFAULT_BATCH_ROWS = 10_000
 
 
 def payload_form(df: DataFrame) -> str:
@@ -29,18 +33,24 @@ def check_conversion(source: str, target: str) -> None:
         raise ValueError(errors.UNSUPPORTED_CONVERSION + ": convert the batch to json first")
 
 
-def to_record(df: DataFrame, schema: str | dict | None, *, normalize: bool = True) -> DataFrame:
+def to_record(
+    df: DataFrame, schema: str | dict | None, *, normalize: bool = True, form: str | None = None
+) -> DataFrame:
     """JSON payload → declared record; rows that do not conform are marked.
 
-    A record passes through.  Top-level hyphens are normalised first.  No schema,
-    or one that cannot be read, fails when the plan is built.
+    ``form="record"`` says that the payload is a declared record already: it passes
+    through.  Typed columns alone are not: they are conformed like the JSON they stand
+    for.  Top-level hyphens are normalised first.  No schema, or one that cannot be
+    read, fails when the plan is built.
     """
     if schema is None:
         raise ValueError("Missing required attribute: schema")
     declared = parse_schema(schema)
-    if payload_form(df) == "record":
+    if form == "record":
         return df
-    if payload_form(df) == "text":
+    if payload_form(df) == "record":
+        staged = df.withColumn("_json", P.to_variant(F.col("data"), df.schema["data"].dataType))
+    elif payload_form(df) == "text":
         staged = P.with_json(df, "_json", F.col("data"))
     else:
         staged = df.withColumn("_json", F.col("data"))
@@ -74,37 +84,27 @@ def with_batch_id(df: DataFrame, rows_per_batch: int) -> DataFrame:
 
 
 def batch_to_json(
-    df: DataFrame, batch: Column | str, row: Column, *, order_by: str, max_rows: int | None = 10_000
+    df: DataFrame, batch: Column | str, row: Column, *, order_by: str, chunk_rows: int = DEFAULT_BATCH_ROWS
 ) -> DataFrame:
-    """One JSON array of row objects per batch, rows in ``order_by`` order.
+    """JSON arrays of row objects, rows in ``order_by`` order: (batch_id, chunk, n_rows, data).
 
-    A batch becomes one value, so its size is checked *before* rows are gathered:
-    the largest batch is counted with map-side combining over the key column
-    alone, and one above ``max_rows`` fails the job in the scan stage.  Pass
-    ``max_rows=None`` for batches bounded by construction (``with_batch_id``).
+    A batch of any size comes out in chunks of ``chunk_rows`` rows, the last one
+    shorter, so no value and no task holds a whole batch.  Rows are numbered over
+    (batch, order) by range partitions; a chunk is a run of those numbers.
     """
     key = F.col(batch) if isinstance(batch, str) else batch
-    keyed = df.select(
-        key.alias("batch_id"), F.struct(F.col(order_by).alias("_o"), row.alias("_r")).alias("_e")
-    )
-    if max_rows is not None:
-        largest = (
-            df.groupBy(key.alias("batch_id"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"))
-        )
-        keyed = keyed.where(
-            F.when(largest.scalar() <= max_rows, F.lit(True)).otherwise(
-                F.raise_error(F.lit(f"a batch holds more than {max_rows} rows")).cast("boolean")
-            )
-        )
-    gathered = keyed.groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.array_sort(F.collect_list("_e")).alias("_rows")
+    keyed = df.select(key.alias("batch_id"), F.col(order_by).alias("_order"), row.alias("_row"))
+    placed = assign_sequence(keyed, ["batch_id", "_order"], column="_number")
+    starts = placed.groupBy(F.col("batch_id").alias("_batch")).agg(F.min("_number").alias("_start"))
+    chunked = placed.join(starts, F.col("batch_id").eqNullSafe(F.col("_batch")))
+    chunked = chunked.withColumn("chunk", F.floor((F.col("_number") - F.col("_start")) / chunk_rows))
+    gathered = chunked.groupBy("batch_id", "chunk").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.array_sort(F.collect_list(F.struct("_number", "_row"))).alias("_rows"),
     )
     return gathered.select(
         "batch_id",
+        "chunk",
         "n_rows",
-        F.to_json(
-            F.transform("_rows", lambda e: e["_r"]), {"ignoreNullFields": "false"}
-        ).alias("data"),
+        F.to_json(F.transform("_rows", lambda e: e["_row"]), {"ignoreNullFields": "false"}).alias("data"),
     )

@@ -13,6 +13,9 @@ EXPECTED_ARRAY = "ExpectedArray"
 SCHEMA_MISMATCH = "SchemaMismatch"
 UNSUPPORTED_CONVERSION = "UnsupportedConversion"
 INVALID_JSON = "InvalidJson"
+NOT_FOUND = "NotFound"
+UNSUPPORTED_EXTENSION = "UnsupportedExtension"
+NO_EXTENSION = "NoExtension"
 
 
 def mark(df: DataFrame, error: Column) -> DataFrame:

@@ -13,9 +13,6 @@ from pyspark.sql.window import Window
 # for tables of up to 2^45 messages.
 _SHIFTS = (30, 15, 0)
 
-# Ranks up to this size are cut in the map tasks by the window group limit.
-_RANK_LIMIT = 1000
-
 
 @dataclass(frozen=True)
 class Limits:
@@ -82,9 +79,11 @@ def _cuts_by_key(
     found = None
     for step, shift in enumerate(_SHIFTS):
         if found is not None:
-            narrowed = narrowed.drop("_used").withColumn("_parent", F.shiftright("_s", _SHIFTS[step - 1])).join(
-                found.withColumnRenamed("_bucket", "_parent"), [key, "_parent"]
-            )
+            crossed = found.select(F.col(key).alias("_key"), F.col("_bucket").alias("_parent"), "_used")
+            narrowed = narrowed.drop("_used").join(
+                crossed,
+                F.col(key).eqNullSafe(F.col("_key")) & (F.shiftright("_s", _SHIFTS[step - 1]) == F.col("_parent")),
+            ).drop("_key", "_parent")
         totals = narrowed.groupBy(key, F.shiftright("_s", shift).alias("_bucket")).agg(
             F.count(F.lit(1)).alias("_w"), F.max("_used").alias("_used")
         )
@@ -131,16 +130,14 @@ def retain_per_subject(
     subject: str = "subject",
     discard: str = "old",
 ) -> DataFrame:
-    """Newest (or oldest) ``max_per_subject`` messages of every subject."""
+    """Newest (or oldest) ``max_per_subject`` messages of every subject; NULL is one.
+
+    No subject's messages are sorted or gathered in one task, whatever the limit: each
+    subject's cut comes from bucket totals, and the table is filtered on it.
+    """
     newest = discard == "old"
-    if max_per_subject <= _RANK_LIMIT:
-        order = F.col(sequence).desc() if newest else F.col(sequence).asc()
-        rank = F.row_number().over(Window.partitionBy(subject).orderBy(order))
-        return messages.withColumn("_rank", rank).where(F.col("_rank") <= max_per_subject).drop("_rank")
-    # A long tail per subject must not be sorted inside one task: find each
-    # subject's cut from bucket totals and filter on it.
-    cuts = _cuts_by_key(messages, subject, sequence, max_per_subject, newest)
-    joined = messages.join(cuts, subject, "left")
+    cuts = _cuts_by_key(messages, subject, sequence, max_per_subject, newest).withColumnRenamed(subject, "_key")
+    joined = messages.join(cuts, messages[subject].eqNullSafe(F.col("_key")), "left")
     inside = F.col(sequence) > F.col("_cut") if newest else F.col(sequence) < F.col("_cut")
     return joined.where(F.col("_cut").isNull() | inside).select(*messages.columns)
 

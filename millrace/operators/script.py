@@ -44,18 +44,23 @@ def script_envelope(events: DataFrame, edit: Column | str) -> DataFrame:
     """Edit the envelope with a result holding ``subject``, ``data`` and maybe ``id``.
 
     A subject that is not a string leaves the old one; an id that is absent or
-    not a string becomes NULL.  Payload columns the edit passes on untouched stay
-    typed columns.
+    not a string becomes NULL.  A JSON result without both members is no envelope: it
+    is the new payload, and subject and id stay.  Payload columns the edit passes on
+    untouched stay typed columns.
     """
     edited = events.withColumn("_edit", _column(edit))
     kind = edited.schema["_edit"].dataType
     result = F.col("_edit")
     if isinstance(kind, T.VariantType):
+        data = F.try_variant_get(result, "$.data", "variant")
+        whole = F.try_variant_get(result, "$.subject", "variant").isNull() | data.isNull()
         return edited.withColumns(
             {
-                "subject": F.coalesce(_variant_string(result, "subject"), F.col("subject")),
-                "id": _variant_string(result, "id"),
-                "data": F.try_variant_get(result, "$.data", "variant"),
+                "subject": F.when(whole, F.col("subject")).otherwise(
+                    F.coalesce(_variant_string(result, "subject"), F.col("subject"))
+                ),
+                "id": F.when(whole, F.col("id")).otherwise(_variant_string(result, "id")),
+                "data": F.when(whole, result).otherwise(data),
             }
         ).drop("_edit")
     if not isinstance(kind, T.StructType) or not {"subject", "data"} <= set(kind.fieldNames()):

@@ -24,11 +24,15 @@ def assign_sequence(
 
     Rows whose ``skip`` flag is true stay in the result without a number.
 
-    Range-partition on the whole ordering key (ties are split by the later key
-    columns, so one hot timestamp does not fill one task), sort inside the
-    partitions, and store the rows once with their position.  Row counts per
-    partition — one small row each — give every partition its offset.
+    Rows that are equal in the ordering key are told apart by a row number, so one hot
+    timestamp with no ids does not fill one task.  The number is not the same when
+    computed again, so the rows are stored with it first; the sampling for the ranges
+    then reads the stored key columns instead of the plan.  Range-partition on key and
+    number, sort inside the partitions, and store the rows with their position.  Row
+    counts per partition — one small row each — give every partition its offset.
     """
+    df = materialize(df.withColumn("_tie_break", F.monotonically_increasing_id()), "sequence-input")
+    order_by = [*order_by, "_tie_break"]
     # Skipped rows go last in their partition, so the others keep dense positions.
     inner_order = order_by if skip is None else [skip, *order_by]
     # Without a count, adaptive execution merges small neighbouring ranges.
@@ -52,5 +56,5 @@ def assign_sequence(
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
         .withColumn(column, F.when(numbered, F.lit(start) + F.col("_before") + row))
-        .drop("_part", "_place", "_before")
+        .drop("_part", "_place", "_before", "_tie_break")
     )

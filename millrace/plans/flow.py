@@ -332,7 +332,7 @@ def _writer(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     static = head.rpartition("/")[0] if tag else template
     partitions = []
     if tag:
-        varying = template[len(static) + 1 :]
+        varying = template[len(static) :].lstrip("/")
         events = events.withColumn("destination", file_sink.templated_path(varying, events))
         partitions.append("destination")
     hive = task.config.get("hive_partition_options") or {}

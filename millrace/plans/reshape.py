@@ -346,7 +346,7 @@ def record_to_json(spark, sf_dir):
 @query(
     "batch_to_json",
     """
-SELECT event_id // 100 AS batch_id, count(*) AS n_rows,
+SELECT event_id // 100 AS batch_id, 0 AS chunk, count(*) AS n_rows,
        '[' || string_agg('{"event_id":' || CAST(event_id AS VARCHAR) || ',"event_type":"' || event_type || '"}',
                          ',' ORDER BY event_id) || ']' AS data
 FROM events GROUP BY 1

@@ -228,7 +228,7 @@ def from_events(spark, sf_dir):
         F.lit(0).alias("task_id"),
         F.lit("object_store_writer").alias("task_type"),
     )
-    documents = read_from_events(spark, triggers, "{{event.data.path}}", name="reader", root="")
+    documents = read_from_events(spark, triggers, "{{event.data.path}}", name="reader", root=path)
     return _order_rows(documents)
 
 

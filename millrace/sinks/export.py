@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .files import CSV_WRITER
+
 # Operation names, column delimiters and line endings.
 OPERATIONS = ("query", "queryAll")
 DELIMITERS = {
@@ -41,6 +43,7 @@ def bulk_export(
     (
         bulk_select(df, columns, operation, deleted)
         .write.mode(mode)
+        .options(**CSV_WRITER)
         .option("header", True)
         .option("sep", DELIMITERS[delimiter])
         .option("lineSep", LINE_ENDINGS[line_ending])

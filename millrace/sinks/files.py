@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.payload import to_json_text
 from ..functions.template import render
 from ..operators.envelope import ERROR
 from ..session import materialize, path_exists
@@ -13,6 +14,8 @@ from ..session import materialize, path_exists
 # Date partition columns and payload extensions.
 DATE_PARTITIONS = ("year", "month", "day")
 EXTENSION_BY_FORM = {"json": "json", "batch": "csv", "record": "avro"}
+# Quotes are doubled inside quotes; white space at the ends of a value stays.
+CSV_WRITER = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def with_event_date(df: DataFrame, timestamp: str | None = "timestamp") -> DataFrame:
@@ -65,7 +68,8 @@ def write_events(
     if format == "json":
         out = df.select("data", *partitions)
         kind = df.schema["data"].dataType
-        text = F.to_json("data", {"ignoreNullFields": "false"}) if not isinstance(kind, T.StringType) else F.col("data")
+        # A string payload is a JSON string: quoted, with its line feeds escaped.
+        text = to_json_text(F.col("data"), kind)
         writer = out.select(text.alias("value"), *partitions).write.mode(mode)
         if partitions:
             writer = writer.partitionBy(*partitions)
@@ -74,7 +78,7 @@ def write_events(
     out = _flat(df, partitions)
     writer = out.write.mode(mode).format(format)
     if format == "csv":
-        writer = writer.option("header", True).option("sep", delimiter)
+        writer = writer.options(**CSV_WRITER).option("header", True).option("sep", delimiter)
         if line_ending is not None:
             writer = writer.option("lineSep", line_ending)
     if partitions:
@@ -97,16 +101,20 @@ def files_before(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def write_receipts(
-    spark: SparkSession, path: str, format: str, *, before: DataFrame | None = None
+    spark: SparkSession, path: str, format: str, *, before: DataFrame | None = None, payload: T.StructType | None = None
 ) -> DataFrame:
     """One receipt per written file: status, path, rows, bytes, e_tag.
 
-    ``before`` leaves out files an append found in place.  The tag stands for content
-    identity: name, size and modification time.
+    ``before`` leaves out files an append found in place.  ``payload`` is the schema of
+    the payload; with it a write of no rows, which leaves no file to infer one from,
+    has no receipts instead of failing.  The tag stands for content identity: name,
+    size and modification time.
     """
     reader = spark.read.format("text" if format == "json" else format)
+    if payload is not None and format != "json":
+        reader = reader.schema(payload)
     if format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).options(quote='"', escape='"', multiLine="true")
     meta = reader.load(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_size").alias("bytes"),

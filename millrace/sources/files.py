@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import logging
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,12 +14,12 @@ from ..functions.payload import with_json
 from ..functions.template import render
 from ..operators import errors
 from ..operators.envelope import ERROR
+from ..session import materialize
 
 log = logging.getLogger(__name__)
 
 # File extensions with a reader, and reader defaults.
 EXTENSIONS = ("json", "csv", "avro")
-DEFAULT_BATCH_ROWS = 10_000
 INFER_RECORDS = 100
 
 CORRUPT = "_corrupt_record"
@@ -58,6 +60,20 @@ def read_json_lines(spark: SparkSession, paths: str | list[str], schema: T.Struc
     return errors.mark(out, F.when(F.col("data").isNull(), F.lit(errors.INVALID_JSON)))
 
 
+# Delimited text as RFC 4180 has it, for readers and the writer.  Quotes
+# are doubled inside quotes, and a quoted value may hold delimiters and line ends.  A
+# file that may hold quoted line ends is read by one task; ``multi_line=False`` lets
+# files without them be split.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
+
+def _csv_reader(spark: SparkSession, has_header: bool, delimiter: str, multi_line: bool, line_ending: str | None = None):
+    reader = spark.read.options(**CSV_OPTIONS).option("header", has_header).option("sep", delimiter[:1])
+    reader = reader.option("multiLine", multi_line).option("mode", "PERMISSIVE")
+    # With line ends inside values, the reader finds the line end by itself.
+    return reader.option("lineSep", line_ending) if line_ending is not None and not multi_line else reader
+
+
 def infer_csv_schema(
     spark: SparkSession,
     paths: str | list[str],
@@ -65,24 +81,30 @@ def infer_csv_schema(
     has_header: bool = True,
     delimiter: str = ",",
     options: dict[str, str] | None = None,
+    multi_line: bool = True,
 ) -> T.StructType:
     """Column types from the first 100 records; integers are 64-bit."""
-    lines = INFER_RECORDS + (1 if has_header else 0)
-    reader = spark.read.options(**(options or {}))
-    head = [r.value for r in reader.text(_paths(paths)).limit(lines).collect()]
-    if has_header:
-        # Short files let the sample reach the next file's header.
-        head = head[:1] + [line for line in head[1:] if line != head[0]]
-    sample = spark.read.csv(
-        spark.sparkContext.parallelize(head, 1),
-        header=has_header,
-        sep=delimiter[:1],
-        inferSchema=True,
-    ).schema
+    read = _csv_reader(spark, has_header, delimiter, multi_line).options(**(options or {})).csv(_paths(paths))
+    return _typed(spark, read.columns, read.limit(INFER_RECORDS).collect())
+
+
+def _typed(spark: SparkSession, names: list[str], records: list) -> T.StructType:
+    """Types of a few records of strings."""
+    lines = io.StringIO()
+    writer = csv.writer(lines, lineterminator="\n")
+    texts = []
+    for record in [names, *records]:
+        lines.seek(0)
+        lines.truncate()
+        writer.writerow(["" if v is None else v for v in record])
+        texts.append(lines.getvalue())
+    sample = spark.read.options(**CSV_OPTIONS).csv(
+        spark.sparkContext.parallelize(texts, 1), header=True, inferSchema=True
+    )
     return T.StructType(
         [
-            T.StructField(f.name, T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType, True)
-            for f in sample.fields
+            T.StructField(name, T.LongType() if isinstance(f.dataType, T.IntegerType) else f.dataType, True)
+            for name, f in zip(names, sample.schema.fields)
         ]
     )
 
@@ -95,22 +117,20 @@ def read_csv_typed(
     delimiter: str = ",",
     schema: T.StructType | None = None,
     line_ending: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Delimited text as typed columns.
 
     Only the first byte of ``delimiter`` counts.  Types come from ``schema`` or the
-    first 100 records; a later row that does not fit is marked, not dropped.
+    first 100 records; a later row that does not fit is marked, not dropped.  All files
+    must have one header: another one is an error here, see ``read_objects``.
     """
-    columns = schema or infer_csv_schema(spark, paths, has_header=has_header, delimiter=delimiter)
+    columns = schema or infer_csv_schema(spark, paths, has_header=has_header, delimiter=delimiter, multi_line=multi_line)
     reader = (
-        spark.read.option("header", has_header)
-        .option("sep", delimiter[:1])
-        .option("mode", "PERMISSIVE")
+        _csv_reader(spark, has_header, delimiter, multi_line, line_ending)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", True)
+        .option("enforceSchema", not has_header)
     )
-    if line_ending is not None:
-        reader = reader.option("lineSep", line_ending)
     names = columns.fieldNames()
     raw = reader.schema(_with_corrupt(columns)).csv(_paths(paths))
     return errors.mark(raw, _csv_error(names[0])).drop(CORRUPT)
@@ -194,22 +214,48 @@ def read_objects(
 
 
 def _csv_objects(spark: SparkSession, root: str, has_header: bool, delimiter: str) -> DataFrame:
+    """Rows of all delimited files under a folder, each read by its own header.
+
+    Files are grouped by their header, found in one pass over the first record of each
+    file; a folder has few different headers.  Every group is typed by its own first
+    records and read by its own columns, and its files are chosen by join, so that no
+    list of files passes through the driver.
+    """
     only_csv = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    schema = infer_csv_schema(
-        spark, root, has_header=has_header, delimiter=delimiter, options=only_csv
-    )
+
+    def read(schema: T.StructType, header: bool) -> DataFrame:
+        reader = _csv_reader(spark, header, delimiter, True).options(**only_csv)
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True)
+        return reader.schema(schema).csv(root)
+
+    if not has_header:
+        schema = infer_csv_schema(spark, root, has_header=False, delimiter=delimiter, options=only_csv)
+        return _csv_variants(read(_with_corrupt(schema), False), schema)
+    lines = spark.read.options(**only_csv).text(root).where(F.col("_metadata.file_block_start") == 0)
+    lines = lines.select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_at"))
+    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
+    headers = materialize(headers, "csv-headers")
+    parts = []
+    for (header,) in headers.select("_header").distinct().orderBy("_header").collect():
+        names = next(csv.reader([header], delimiter=delimiter[:1]))
+        own = headers.where(F.col("_header") == header).select("_file")
+        texts = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+        sample = read(texts, True).withColumn("_file", F.col("_metadata.file_path"))
+        sample = sample.join(own, "_file", "left_semi").select(*[F.col(f"`{n}`") for n in names])
+        schema = _typed(spark, names, sample.limit(INFER_RECORDS).collect())
+        rows = _csv_variants(read(_with_corrupt(schema), True), schema)
+        parts.append(rows.join(own, rows["path"] == own["_file"], "left_semi"))
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
+def _csv_variants(rows: DataFrame, schema: T.StructType) -> DataFrame:
     names = schema.fieldNames()
-    rows = (
-        spark.read.options(**only_csv)
-        .option("header", has_header)
-        .option("sep", delimiter[:1])
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .schema(_with_corrupt(schema))
-        .csv(root)
-    )
     return rows.select(
         F.col("_metadata.file_path").alias("path"),
-        F.to_variant_object(F.struct(*names)).alias("data"),
+        F.to_variant_object(F.struct(*[F.col(f"`{n}`") for n in names])).alias("data"),
         _csv_error(names[0]).alias(ERROR),
     )
 
@@ -233,33 +279,47 @@ def read_from_events(
     *,
     name: str,
     root: str,
-    max_listed: int = 10_000,
+    has_header: bool = True,
+    delimiter: str = ",",
 ) -> DataFrame:
-    """Read the JSON document each event points to; one output event per input.
+    """Read what each event points to: one output event per document or row.
 
-    The path is rendered per event and taken relative to ``root``.  Distinct paths
-    are file names, so up to ``max_listed`` of them are handed to the reader
-    directly; above that the whole root is read and matched by join, and nothing
-    path-sized passes through the driver.
+    The path is rendered per event and taken relative to ``root``.  JSON documents and
+    delimited files under ``root`` are read and matched by a join on the path, whatever
+    the number of events: no path passes through the driver.  An event stays, marked,
+    if its file is missing, has no extension, or one without a reader.
     """
-    rendered = render(path_template, events)
-    wanted = events.withColumn("_path", _without_scheme(rendered))
-    distinct = wanted.select("_path").distinct()
-    listed = [r["_path"] for r in distinct.limit(max_listed + 1).collect()]
-    base = root.rstrip("/")
-    if len(listed) <= max_listed:
-        documents = read_json_docs(spark, [base + p for p in listed], recursive=False)
-    else:
-        documents = read_json_docs(spark, base)
-    base_path = object_path(base).rstrip("/")
+    base_path = object_path(root).rstrip("/")
+    inside = _without_scheme(render(path_template, events))
+    inside = F.when(
+        F.lit(bool(base_path)) & F.startswith(inside, F.lit(base_path + "/")), F.substring(inside, F.lit(len(base_path) + 1), F.length(inside))
+    ).otherwise(inside)
+    wanted = events.withColumn("_path", inside)
+    parts = []
+    found = extensions_under(spark, root)
+    if found["json"]:
+        parts.append(read_json_docs(spark, root))
+    if found["csv"]:
+        parts.append(_csv_objects(spark, root, has_header, delimiter))
+    documents = parts[0] if parts else spark.createDataFrame([], f"path string, data variant, {ERROR} string")
+    for part in parts[1:]:
+        documents = documents.unionByName(part)
     local = _without_scheme(F.col("path"))
     documents = documents.select(
-        F.substring(local, len(base_path) + 1, 2**31 - 1).alias("_path"),
+        F.substring(local, F.lit(len(base_path) + 1), F.length(local)).alias("_file"),
         F.col("data").alias("_data"),
         F.col(ERROR).alias("_read_error"),
+        F.lit(True).alias("_read"),
+    )
+    joined = wanted.join(documents, F.col("_path") == F.col("_file"), "left")
+    extension = F.regexp_extract("_path", r"\.([^./]+)$", 1)
+    missed = (
+        F.when(F.col("_path").isNull(), F.lit(errors.NOT_FOUND))
+        .when(extension == "", F.lit(errors.NO_EXTENSION))
+        .when(~extension.isin("json", "csv"), F.lit(errors.UNSUPPORTED_EXTENSION))
+        .otherwise(F.lit(errors.NOT_FOUND))
     )
-    joined = wanted.join(documents, "_path")
-    out = joined.select(
+    return joined.select(
         F.col("_data").alias("data"),
         F.lit(name).alias("subject"),
         F.lit(None).cast("string").alias("id"),
@@ -267,6 +327,5 @@ def read_from_events(
         "task_id",
         F.lit("object_store_reader").alias("task_type"),
         F.col("_path").alias("path"),
-        F.col("_read_error").alias(ERROR),
+        F.when(F.col("_read"), F.col("_read_error")).otherwise(missed).alias(ERROR),
     )
-    return out

@@ -21,16 +21,19 @@ def ingest_requests(
 
     Adds ``auth_error``, ``status`` (200, 400 or 401) and ``data`` =
     {headers, payload}.  Authentication comes before the body; an empty body is
-    JSON null; only allow-listed headers are kept.  Header names are lower case.
+    JSON null; only allow-listed headers are kept.  Header names are lower case; of
+    names that differ in case only the last counts.
     """
     lowered = F.transform(
         F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))
     )
-    authorization = F.get(F.filter(lowered, lambda e: e["key"] == "authorization"), F.lit(0))["value"]
-    allowed = [F.lit(h) for h in (allow_headers or [])]
-    kept = F.map_from_entries(
-        F.filter(lowered, lambda e: e["key"].isin(*allowed) if allowed else F.lit(False))
-    )
+    own = F.filter(lowered, lambda e: e["key"] == "authorization")
+    authorization = F.get(own, F.size(own) - 1)["value"]
+    allowed = [F.lit(h.lower()) for h in (allow_headers or [])]
+    listed = F.filter(lowered, lambda e: e["key"].isin(*allowed) if allowed else F.lit(False))
+    names = F.transform(listed, lambda e: e["key"])
+    last = F.filter(listed, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["key"]))
+    kept = F.map_from_entries(last)
     text = F.col(body).cast("string")
     empty = F.coalesce(F.length(text) == 0, F.lit(True))
     # Looked up once; the outcome rules then read the one header.

@@ -12,14 +12,15 @@ from ..functions.durations import duration_seconds
 _DAY = 86_400
 # The calendar is read this far past the end, enough for the rarest day (29 Feb).
 _LOOK_AHEAD_DAYS = 8 * 366 + 1
+_BROADCAST_DAYS = 500 * 366
 
 
 def check_schedule(interval: str | int | None, cron: str | None) -> None:
     """Exactly one of interval and cron."""
     if interval is None and cron is None:
-        raise ValueError("Either 'interval' or 'cron' params must be specified")
+        raise ValueError("a schedule needs an interval or a cron expression")
     if interval is not None and cron is not None:
-        raise ValueError("Cannot specify both 'interval' and 'cron' params")
+        raise ValueError("a schedule takes an interval or a cron expression, not both")
 
 
 def interval_schedule(
@@ -77,13 +78,14 @@ def cron_schedule(
     if end is None:
         if count is None:
             raise ValueError("a finite schedule needs count or end")
-        # Grow the span until it holds `count` fires.
+        # Grow the span until it holds `count` fires.  A date that does not exist, such as
+        # 30 February, never fires: the schedule is empty.
         span = max(1, count // len(cron.times_of_day)) * _DAY
-        while True:
-            end = start + span
-            if span >= 200 * 366 * _DAY or _fires(spark, cron, start, end).limit(count).count() >= count:
-                break
-            span *= 4
+        end = start + span
+        if cron.ever_fires():
+            while _fires(spark, cron, start, end).limit(count).count() < count:
+                span *= 4
+                end = start + span
     fires = _fires(spark, cron, start, end)
     if count is not None:
         fires = fires.orderBy("scheduled_at").limit(count)
@@ -137,16 +139,16 @@ def with_cron_run(df: DataFrame, seconds: str, expression: str, start: int, end:
 
     Within the day the fire is a literal lookup; across days it needs the next
     firing day, from a calendar with one row per day of the span.  That table's
-    size depends on the span alone, so it is safe to broadcast.
+    size depends on the span alone; it is broadcast for spans up to 500 years.
     """
     cron = parse_cron(expression)
     spark = df.sparkSession
-    if (end - start) // _DAY > 200_000:
-        raise ValueError("span too long for a day calendar")
     calendar = _calendar(spark, cron, start // _DAY, end // _DAY).select("day", "fires", "next_day")
+    if (end - start) // _DAY <= _BROADCAST_DAYS:
+        calendar = F.broadcast(calendar)
     day = F.floor(F.col(seconds) / _DAY)
     minute = F.floor((F.col(seconds) % _DAY) / 60)
-    joined = df.withColumn("day", day).join(F.broadcast(calendar), "day", "left")
+    joined = df.withColumn("day", day).join(calendar, "day", "left")
     today = F.when(F.col("fires"), F.col("day") * _DAY + cron.next_time_of_day(minute) * 60)
     later = F.col("next_day") * _DAY + cron.times_of_day[0] * 60
     return joined.withColumn("scheduled_at", F.coalesce(today, later)).drop("day", "fires", "next_day")

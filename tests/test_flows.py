@@ -223,13 +223,21 @@ def test_avro_needs_its_module(spark, tmp_path):
         read_avro(spark, str(tmp_path))
 
 
-@pytest.mark.parametrize("max_listed", [10, 0])
-def test_read_from_events(spark, tmp_path, max_listed):
+def test_read_from_events(spark, tmp_path):
     for n in (0, 1, 2):
         (tmp_path / f"doc{n}.json").write_text(f'{{"n":{n}}}')
-    triggers = events(spark, '{"f":"doc0"}', '{"f":"doc1"}', '{"f":"doc1"}')
-    out = read_from_events(spark, triggers, "s3://bucket/{{event.data.f}}.json", name="rd", root=str(tmp_path), max_listed=max_listed)
-    assert sorted(r["t"] for r in out.select(F.to_json("data").alias("t")).collect()) == ['{"n":0}', '{"n":1}', '{"n":1}']
+    (tmp_path / "rows.csv").write_text('a,b\n1,"x, ""y""\nz"\n2,w\n')
+    (tmp_path / "other.csv").write_text("b,c\nq,5\n")
+    (tmp_path / "note.txt").write_text("x")
+    names = ["doc0.json", "doc1.json", "doc1.json", "rows.csv", "other.csv", "gone.json", "note.txt", "bare"]
+    triggers = events(spark, *[f'{{"f":"{n}"}}' for n in names])
+    out = read_from_events(spark, triggers, "s3://bucket/{{event.data.f}}", name="rd", root=str(tmp_path)).collect()
+    good = sorted(str(json.loads(r["data"].toJson())) for r in out if r["_error"] is None)
+    rows = [{"a": 1, "b": 'x, "y"\nz'}, {"a": 2, "b": "w"}, {"b": "q", "c": 5}, {"n": 0}, {"n": 1}, {"n": 1}]
+    assert good == sorted(map(str, rows))
+    assert sorted((r["path"], r["_error"]) for r in out if r["_error"]) == [
+        ("/bare", "NoExtension"), ("/gone.json", "NotFound"), ("/note.txt", "UnsupportedExtension")
+    ]
     assert object_path("s3://bucket/a/b") == "/a/b" and object_path("/a/b") == "/a/b"
 
 

@@ -171,7 +171,7 @@ def test_record_and_json_pass_through(spark):
     events = json_events(spark, '{"a":1}')
     assert to_json_value(events) is events
     record = events.withColumn("data", F.struct(F.lit(1).alias("a"), F.lit(None).cast("int").alias("b")))
-    assert to_record(record, {"type": "string"}) is record
+    assert to_record(record, {"type": "string"}, form="record") is record
     assert texts(to_json_value(record)) == ['{"a":1,"b":null}']
 
 
@@ -188,8 +188,10 @@ def test_batches(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, None), (2, 9, "z")], "b int, id int, name string")
     rows = {r["batch_id"]: r["data"] for r in batch_to_json(df, "b", F.struct("id", "name"), order_by="id").collect()}
     assert rows == {1: '[{"id":1,"name":"a"},{"id":2,"name":null},{"id":3,"name":"c"}]', 2: '[{"id":9,"name":"z"}]'}
-    with pytest.raises(Exception, match="more than 2 rows"):
-        batch_to_json(df, "b", F.struct("id"), order_by="id", max_rows=2).collect()
+    chunks = batch_to_json(df, "b", F.struct("id"), order_by="id", chunk_rows=2).collect()
+    assert sorted((r["batch_id"], r["chunk"], r["n_rows"], r["data"]) for r in chunks) == [
+        (1, 0, 2, '[{"id":1},{"id":2}]'), (1, 1, 1, '[{"id":3}]'), (2, 0, 1, '[{"id":9}]')
+    ]
 
 
 def test_batch_ids_are_bounded(spark):
