@@ -68,18 +68,20 @@ def variant_kind(payload: Column) -> Column:
     return F.substring_index(F.substring_index(described, "<", 1), "(", 1)
 
 
-# Values for keys that meet after renaming: the last renamed member, else the plain one.
-_SETTLED = """
-transform(array_distinct(_names), n -> coalesce(
-    try_element_at(filter(map_entries(_map), e -> e.key <> n AND translate(e.key, '-', '_') = n), -1).value,
-    try_element_at(_map, n)))
+# Members that meet after renaming, sorted by name, plain before renamed and these in key
+# order: of each run of equal names the last one stays.  Sorting keeps the work in step
+# with the number of members, however many of them meet.
+_SORTED = """
+CASE WHEN size(array_distinct(_names)) < size(_names) THEN
+    array_sort(transform(_names, (n, i) -> struct(n AS name, contains(_keys[i], '-') AS renamed, i AS at))) END
 """
 
+_LAST = "filter(_sorted, (e, i) -> i = size(_sorted) - 1 OR _sorted[i + 1].name <> e.name)"
+
 _NORMALIZED = f"""
-CASE WHEN _names IS NULL OR _names = map_keys(_map) THEN {{payload}}
-     WHEN size(array_distinct(_names)) = size(_names)
-     THEN to_variant_object(map_from_arrays(_names, map_values(_map)))
-     ELSE to_variant_object(map_from_arrays(array_distinct(_names), {_SETTLED})) END
+CASE WHEN _names IS NULL OR _names = _keys THEN {{payload}}
+     WHEN _sorted IS NULL THEN to_variant_object(map_from_arrays(_names, map_values(_map)))
+     ELSE to_variant_object(map_from_arrays(transform({_LAST}, e -> e.name), transform({_LAST}, e -> _values[e.at]))) END
 """
 
 
@@ -92,5 +94,13 @@ def with_normalized_keys(df: DataFrame, name: str, payload: str) -> DataFrame:
     and passed on as it came when no key has a hyphen.
     """
     opened = df.withColumn("_map", F.try_variant_get(payload, "$", "map<string,variant>"))
-    named = opened.withColumn("_names", F.expr("transform(map_keys(_map), k -> translate(k, '-', '_'))"))
-    return named.withColumn(name, F.expr(_NORMALIZED.format(payload=f"`{payload}`"))).drop("_map", "_names")
+    named = opened.withColumn("_keys", F.map_keys("_map"))
+    named = named.withColumn("_names", F.expr("transform(_keys, k -> translate(k, '-', '_'))"))
+    met = F.size(F.array_distinct("_names")) < F.size("_names")
+    # An explode keeps these from being computed anew for every member.
+    named = named.withColumn("_values", F.when(met, F.map_values("_map"))).withColumn("_sorted", F.expr(_SORTED))
+    held = named.withColumn("_held", F.explode(F.array(F.struct("_values", "_sorted")))).drop("_values", "_sorted")
+    held = held.withColumns({"_values": F.col("_held._values"), "_sorted": F.col("_held._sorted")})
+    return held.withColumn(name, F.expr(_NORMALIZED.format(payload=f"`{payload}`"))).drop(
+        "_map", "_keys", "_names", "_values", "_sorted", "_held"
+    )

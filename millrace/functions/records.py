@@ -72,7 +72,8 @@ def parse_schema(text: str | dict | list) -> Kind:
     return _resolve(node, {})
 
 
-def _resolve(node: Any, named: dict[str, Kind]) -> Kind:
+def _resolve(node: Any, named: dict[str, Kind], space: str = "") -> Kind:
+    """``space`` is the namespace that names inside take where they set none."""
     if isinstance(node, str):
         if node in PRIMITIVES:
             return Kind("scalar", PRIMITIVES[node], node == "null")
@@ -84,38 +85,39 @@ def _resolve(node: Any, named: dict[str, Kind]) -> Kind:
         if not branches:
             raise ValueError("a union needs a type besides null")
         if len(branches) > 1:
-            fields = tuple(Field(_branch_name(b), _resolve(b, named), MISSING) for b in branches)
+            fields = tuple(Field(_branch_name(b), _resolve(b, named, space), MISSING) for b in branches)
             spark = T.StructType([T.StructField(f.name, f.kind.spark, True) for f in fields])
             return Kind("union", spark, len(branches) < len(node), fields)
-        inner = _resolve(branches[0], named)
+        inner = _resolve(branches[0], named, space)
         nullable = inner.nullable or len(branches) < len(node)
         return Kind(inner.shape, inner.spark, nullable, inner.fields, inner.item, inner.symbols)
     if not isinstance(node, dict) or "type" not in node:
         raise ValueError("a schema node needs a type")
     name = node["type"]
+    space = node.get("namespace", space)
     if name == "record":
         fields = tuple(
-            Field(f["name"], _resolve(f["type"], named), f.get("default", MISSING))
+            Field(f["name"], _resolve(f["type"], named, space), f.get("default", MISSING))
             for f in node["fields"]
         )
         spark = T.StructType([T.StructField(f.name, f.kind.spark, True) for f in fields])
         found = Kind("record", spark, False, fields)
     elif name == "map":
-        item = _resolve(node["values"], named)
+        item = _resolve(node["values"], named, space)
         found = Kind("map", T.MapType(T.StringType(), item.spark, True), False, item=item)
     elif name == "array":
-        item = _resolve(node["items"], named)
+        item = _resolve(node["items"], named, space)
         found = Kind("array", T.ArrayType(item.spark, True), False, item=item)
     elif name == "enum":
         found = Kind("scalar", T.StringType(), False, symbols=tuple(node["symbols"]))
     elif name == "fixed":
         found = Kind("scalar", T.BinaryType(), False)
     else:
-        return _resolve(name, named)
+        return _resolve(name, named, space)
     if "name" in node:
         named[node["name"]] = found
-        if node.get("namespace"):
-            named[f"{node['namespace']}.{node['name']}"] = found
+        if space:
+            named[f"{space}.{node['name']}"] = found
     return found
 
 

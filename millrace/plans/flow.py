@@ -16,16 +16,21 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.auth import Credentials
+from ..functions.payload import to_json_text
 from ..functions.subjects import publish_subject, source_subject
 from ..operators import convert, errors, requests, script
 from ..operators.envelope import COLUMNS, restamp
 from ..operators.iterate import iterate
+from ..operators.retention import Limits, retain
 from ..operators.tap import tap
 from ..sinks import export, files as file_sink
 from ..sinks.publish import append_messages, publish
 from ..sources import files as file_source
-from ..sources.messages import subscribe
+from ..sources.messages import advance_cursor, replay_from, subscribe
+from ..sources.requests import ingest_requests
 from ..session import materialize, path_exists
 from ..sources.schedule import check_schedule, cron_schedule, interval_schedule, run_windows
 from ..streaming.streams import for_each_batch
@@ -65,6 +70,10 @@ SINK_TYPES = (
 )
 
 
+# Tasks that may set rows aside.
+MARKING_TYPES = ("convert", "iterate", "object_store_reader", "http_request", "salesforce_pubsub_publisher")
+
+
 @dataclass(frozen=True)
 class Task:
     task_id: int
@@ -113,6 +122,10 @@ class Bindings:
     """Folder for stream checkpoints; needed when an input is a stream."""
     once: bool = True
     """Drain a stream and stop, or keep it running."""
+    credentials: dict[str, Credentials] = field(default_factory=dict)
+    """What callers of a webhook task must present, by task name."""
+    cursors: DataFrame | None = None
+    """Stored cursors (``name, replay_id``) of durable subscriptions."""
 
 
 @dataclass
@@ -125,7 +138,13 @@ class Result:
     """Paths written, by task name."""
     observations: dict[str, Any] = field(default_factory=dict)
     queries: dict[str, Any] = field(default_factory=dict)
-    """Streaming queries started, by the name of the sink task they feed."""
+    """Streaming queries started, by the name of the first task they run per batch."""
+    cursors: dict[str, DataFrame] = field(default_factory=dict)
+    """Cursor row after this run's messages, by the durable name."""
+    streams: dict[str, DataFrame] = field(default_factory=dict)
+    """Messages a stream holds under its declared limits, by stream name."""
+    error_tables: dict[str, str] = field(default_factory=dict)
+    """Folder of the error rows of a streaming task, one subfolder per batch."""
 
 
 def parse_flow(spec: dict[str, Any]) -> Flow:
@@ -167,12 +186,18 @@ def load_flows(pattern: str) -> list[Flow]:
 
 
 class _Run:
-    """State of one flow run; ``batched`` marks rows that still count as row batches."""
+    """State of one flow run.
+
+    ``batched`` marks rows that still count as row batches; ``form`` says what the
+    payload is (``json`` or a declared ``record``), which its Spark type does not.
+    """
 
     def __init__(self, spark: SparkSession, flow: Flow, bindings: Bindings):
         self.spark, self.flow, self.bindings = spark, flow, bindings
         self.result = Result()
         self.batched: str | None = None
+        self.form = "json"
+        self.batch: int | None = None
 
     def place(self, url: str) -> str:
         return self.bindings.root + file_source.object_path(url)
@@ -187,7 +212,15 @@ class _Run:
         if errors.ERROR not in events.columns:
             return events
         kept, failed = errors.split_errors(events)
-        self.result.errors[task.name] = failed
+        if self.batch is None:
+            self.result.errors[task.name] = failed
+            return kept
+        # Within a streaming batch: error rows are landed, a repeated batch replaces its own.
+        place = f"{self.bindings.checkpoints}/{self.flow.name}/errors/{task.name}"
+        self.result.error_tables[task.name] = place
+        payload = to_json_text(F.col("data"), failed.schema["data"].dataType)
+        names = [c for c in (*COLUMNS, errors.ERROR) if c in failed.columns and c != "data"]
+        failed.select(payload.alias("data"), *names).write.mode("overwrite").parquet(f"{place}/batch={self.batch}")
         return kept
 
     def own(self, task: Task, events: DataFrame) -> DataFrame:
@@ -223,7 +256,13 @@ def _generate(run: _Run, task: Task, _: None) -> DataFrame:
 
 
 def _webhook(run: _Run, task: Task, _: None) -> DataFrame:
-    accepted = run.bound(task).where(F.col("status") == 200)
+    """Judged requests, or raw ones that are judged here by the task's settings."""
+    bound = run.bound(task)
+    if "status" not in bound.columns:
+        bound = ingest_requests(
+            bound, credentials=run.bindings.credentials.get(task.name), allow_headers=list(task.config.get("headers") or {})
+        )
+    accepted = bound.where(F.col("status") == 200)
     return accepted.select(
         "data",
         F.lit(task.name).alias("subject"),
@@ -235,26 +274,52 @@ def _webhook(run: _Run, task: Task, _: None) -> DataFrame:
 
 
 def _message_subscriber(run: _Run, task: Task, _: None) -> DataFrame:
-    matching = subscribe(run.bound(task), task.config.get("subject", ">"))
+    """Messages of a subject; a durable name goes on after its stored cursor.
+
+    ``max_messages`` and ``throttle`` size and space fetches of a live connection: a
+    batch run takes all messages, a stream is paced by its source and ``delay``.
+    """
+    matching = _after_cursor(run, run.bound(task), task.config.get("durable_name"))
+    matching = subscribe(matching, task.config.get("subject", ">"))
     return restamp(matching.select(*COLUMNS), task_id=task.task_id, task_type=task.type)
 
 
+def _after_cursor(run: _Run, messages: DataFrame, name: str | None, **options: bool) -> DataFrame:
+    if name is None or messages.isStreaming or "sequence" not in messages.columns:
+        return messages
+    if run.bindings.cursors is not None:
+        messages = replay_from(messages, run.bindings.cursors, name, **options)
+    run.result.cursors[name] = advance_cursor(messages, name)
+    return messages
+
+
 def _topic_subscriber(run: _Run, task: Task, _: None) -> DataFrame:
     topic = task.config["topic"]
     name = topic["name"] if isinstance(topic, dict) else topic
-    events = run.bound(task).withColumn("subject", source_subject(F.lit(name)))
+    durable = (topic.get("durable_consumer_options") if isinstance(topic, dict) else None) or {}
+    messages = _after_cursor(
+        run,
+        run.bound(task),
+        durable.get("name"),
+        enabled=durable.get("enabled", True),
+        managed=durable.get("managed_subscription", False),
+    )
+    events = messages.withColumn("subject", source_subject(F.lit(name)))
     return restamp(events.select(*COLUMNS), task_id=task.task_id, task_type=task.type)
 
 
 def _convert(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     target = "record" if task.config.get("target_format", "json") == "avro" else task.config.get("target_format", "json")
-    convert.check_conversion("batch" if run.batched == "rows" else convert.payload_form(events), target)
+    convert.check_conversion("batch" if run.batched == "rows" else run.form, target)
     if run.batched == "rows":
         # batch → JSON array; kept as rows because `iterate` would undo the array.
         run.batched = "array"
         return run.own(task, events)
     if target == "record":
-        return run.own(task, run.good(task, convert.to_record(events, task.config.get("schema"))))
+        records = convert.to_record(events, task.config.get("schema"), form=run.form)
+        run.form = "record"
+        return run.own(task, run.good(task, records))
+    run.form = "json"
     return run.own(task, convert.to_json_value(events))
 
 
@@ -267,6 +332,7 @@ def _iterate(run: _Run, task: Task, events: DataFrame) -> DataFrame:
             raise ValueError("a batch is a root array and has no keys")
         run.batched = None
         return run.own(task, events)
+    run.form = "json"
     spread = iterate(events, key, name=task.name)
     return run.own(task, run.good(task, spread))
 
@@ -278,11 +344,15 @@ def _script(run: _Run, task: Task, events: DataFrame) -> DataFrame:
         "fanout": script.script_fanout,
         "envelope": script.script_envelope,
     }[task.config.get("mode", "map")]
+    if step is not script.script_filter:
+        run.form = "json"
     return restamp(step(events, task.config["code"]), task_id=task.task_id, task_type=task.type)
 
 
 def _log(run: _Run, task: Task, events: DataFrame) -> DataFrame:
-    passed, seen = tap(events, task.config.get("level", "info"), f"{run.flow.name}.{task.name}")
+    passed, seen = tap(
+        events, task.config.get("level", "info"), f"{run.flow.name}.{task.name}", structured=task.config.get("structured", False)
+    )
     run.result.observations[task.name] = seen
     return passed.withColumns(
         {"task_id": F.lit(task.task_id), "id": F.lit(None).cast("string")}
@@ -290,11 +360,21 @@ def _log(run: _Run, task: Task, events: DataFrame) -> DataFrame:
 
 
 def _reader(run: _Run, task: Task, events: DataFrame) -> DataFrame:
-    """Read what the trigger points to: one path per run, or one document per event."""
+    """Read what the trigger points to: one path per run, or one document per event.
+
+    A fixed path is read once if there is any trigger, and not at all without one.
+    """
     path = task.config["path"]
+    run.form = "json"
     if "{{" in path:
         documents = file_source.read_from_events(
-            run.spark, events, path, name=task.name, root=run.bindings.root
+            run.spark,
+            events,
+            path,
+            name=task.name,
+            root=run.bindings.root,
+            has_header=task.config.get("has_header", True),
+            delimiter=task.config.get("delimiter") or ",",
         )
         return run.own(task, run.good(task, documents))
     place = run.place(path)
@@ -313,6 +393,11 @@ def _reader(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     else:
         rows = file_source.read_avro(run.spark, place)
         rows = rows.select(F.struct(*rows.columns).alias("data"))
+        run.form = "record"
+    if not events.isStreaming:
+        # One row at most is broadcast.
+        triggered = F.broadcast(events.limit(1).select(F.lit(True).alias("_triggered")))
+        rows = rows.withColumn("_triggered", F.lit(True)).join(triggered, "_triggered", "left_semi").drop("_triggered")
     stamped = rows.withColumns(
         {
             "subject": F.lit(task.name),
@@ -340,13 +425,16 @@ def _writer(run: _Run, task: Task, events: DataFrame) -> DataFrame:
         events = file_sink.with_event_date(events)
         partitions += list(file_sink.DATE_PARTITIONS)
     place = run.place(static)
-    form = "csv" if run.batched else ("parquet" if convert.payload_form(events) == "record" else "json")
+    form = "csv" if run.batched else ("parquet" if run.form == "record" else "json")
     form = task.config.get("format", form)
+    run.form = "json"
+    kind = events.schema["data"].dataType
+    payload = kind if isinstance(kind, T.StructType) else None
     before = file_sink.files_before(run.spark, place)
     file_sink.write_events(events, place, form, partition_by=partitions, mode="append")
     run.result.written[task.name] = place
     run.batched = None
-    receipts = file_sink.write_receipts(run.spark, place, form, before=before)
+    receipts = file_sink.write_receipts(run.spark, place, form, before=before, payload=payload)
     return _as_events(task, receipts, F.struct("status", "path", "e_tag", "rows"), id="e_tag")
 
 
@@ -373,16 +461,36 @@ def _message_publisher(run: _Run, task: Task, events: DataFrame) -> DataFrame:
         duplicate_window=None if window is None else window * 1_000_000,
         stored=stored,
     )
+    run.form = "json"
     if place:
         # Acks are read after the append, which `stored` must not see.
         messages = materialize(messages, "messages")
         append_messages(messages, place)
         run.result.written[task.name] = place
+        run.result.streams[stream] = _held(run, task, run.spark.read.schema(messages.drop("duplicate").schema).parquet(place))
     return _as_events(task, messages, F.struct("stream", "sequence", "domain", "duplicate"))
 
 
+def _held(run: _Run, task: Task, messages: DataFrame) -> DataFrame:
+    """Messages of a stream that its declared limits keep; the table itself only grows."""
+    options = task.config.get("stream") or {}
+    limits = Limits(
+        max_age_secs=options.get("max_age_secs"),
+        max_messages_per_subject=options.get("max_messages_per_subject"),
+        max_messages=options.get("max_messages"),
+        max_bytes=options.get("max_bytes"),
+        max_message_size=options.get("max_message_size"),
+        discard=str(options.get("discard") or "old").lower(),
+    )
+    if limits.max_bytes is not None or limits.max_message_size is not None:
+        text = to_json_text(F.col("data"), messages.schema["data"].dataType)
+        messages = messages.withColumn("bytes", F.octet_length(text).cast("bigint"))
+    return retain(messages, limits, now=F.unix_micros(F.current_timestamp())).drop("bytes")
+
+
 def _request(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     rendered = run.good(task, requests.render_requests(events, task.config))
+    run.form = "json"
     if task.name in run.bindings.responses:
         answered = run.bindings.responses[task.name](rendered)
         return run.own(task, requests.parse_responses(answered))
@@ -392,6 +500,7 @@ def _request(run: _Run, task: Task, events: DataFrame) -> DataFrame:
 
 def _topic_publisher(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     records = requests.publish_records(events, task.config["payload"], task.config["schema"])
+    run.form = "record"
     named = run.good(task, records).withColumn("subject", publish_subject(F.lit(task.config["topic"])))
     return restamp(named.select(*COLUMNS), task_id=task.task_id, task_type=task.type)
 
@@ -405,17 +514,23 @@ def _bulk_export(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     if flag not in rows.columns:
         rows = rows.withColumn(flag, F.lit(False))
     place = run.place(task.config["path"])
+    before = file_sink.files_before(run.spark, place)
+    exported = [c for c in rows.columns if c != flag]
+    payload = T.StructType([rows.schema[c] for c in exported])
+    # A later run, or batch, adds its own files.
     export.bulk_export(
         rows,
         place,
-        [c for c in rows.columns if c != flag],
+        exported,
         operation=task.config.get("operation", "query"),
         deleted=flag,
         delimiter=task.config.get("column_delimiter", "COMMA"),
         line_ending=task.config.get("line_ending", "LF"),
+        mode="append",
     )
     run.result.written[task.name] = place
-    receipts = file_sink.write_receipts(run.spark, place, "csv")
+    run.form = "json"
+    receipts = file_sink.write_receipts(run.spark, place, "csv", before=before, payload=payload)
     return _as_events(task, receipts, F.struct("status", "path", "e_tag", "rows"), id="e_tag")
 
 
@@ -443,17 +558,19 @@ _BATCH_AWARE = ("convert", "iterate", "log", "object_store_writer")
 def run_flow(spark: SparkSession, flow: Flow, bindings: Bindings | None = None) -> Result:
     """Run every segment.  Only sinks start jobs; the rest stays one lazy plan.
 
-    With a stream as input, the steps before the first sink are one streaming plan,
-    and the sink and what follows it run on every batch.  A batch that is repeated
-    after a failure is written again: use ``streaming.land_stream`` where files must
-    be written exactly once.
+    With a stream as input and a sink in the segment, the steps before the first sink
+    or the first step that can set rows aside are one streaming plan, and what follows
+    runs on every batch; error rows are landed per batch under the checkpoints.  A
+    batch that is repeated after a failure is written again: use
+    ``streaming.land_stream`` where files must be written exactly once.
     """
     run = _Run(spark, flow, bindings or Bindings())
     for segment in flow.segments():
         events: DataFrame | None = None
-        run.batched = None
+        run.batched, run.form = None, "json"
+        sinks = any(task.type in SINK_TYPES for task in segment)
         for position, task in enumerate(segment):
-            if events is not None and events.isStreaming and task.type in SINK_TYPES:
+            if events is not None and events.isStreaming and sinks and task.type in SINK_TYPES + MARKING_TYPES:
                 run.result.queries[task.name] = _stream_into(run, events, segment[position:])
                 break
             events = _step(run, task, events)
@@ -473,10 +590,14 @@ def _stream_into(run: _Run, events: DataFrame, tasks: list[Task]) -> Any:
     if not run.bindings.checkpoints:
         raise ValueError("streaming inputs need a checkpoint folder")
 
-    def each(batch: DataFrame, _: int) -> None:
-        run.spark = batch.sparkSession
+    batched, form = run.batched, run.form
+    pace = next((t.config["delay"] for t in run.flow.tasks if t.is_source and t.config.get("delay")), None)
+
+    def each(batch: DataFrame, number: int) -> None:
+        own = _Run(batch.sparkSession, run.flow, run.bindings)
+        own.result, own.batched, own.form, own.batch = run.result, batched, form, number
         for task in tasks:
-            batch = _step(run, task, batch)
+            batch = _step(own, task, batch)
 
     home = f"{run.bindings.checkpoints}/{run.flow.name}/{tasks[0].name}"
-    return for_each_batch(events, each, home, once=run.bindings.once)
+    return for_each_batch(events, each, home, once=run.bindings.once, delay=pace)

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions.auth import Credentials
 from ..functions.template import render
-from ..operators.envelope import to_events
+from ..operators.envelope import ERROR, to_events
 from ..operators.script import script_filter
 from ..session import scratch_path
 from ..sinks.files import with_event_date
-from ..sources.requests import ingest_requests
+from ..sources.files import read_json_lines
 from ..sources.tables import event_envelope, table
 from .flow import Bindings, parse_flow, run_flow
 from .registry import query
@@ -61,7 +61,8 @@ def flow_land_events(spark, sf_dir):
     root = scratch_path(spark, "flow")
     bindings = Bindings(inputs={"start": event_envelope(spark, sf_dir)}, root=root)
     result = run_flow(spark, parse_flow(_LAND_SPEC), bindings)
-    landed = spark.read.parquet(result.written["land"])
+    payload = "event_id bigint, user_id bigint, event_type string, value double, k bigint"
+    landed = read_json_lines(spark, result.written["land"], payload).select("data.*", "destination", "day")
     return landed.groupBy("destination", F.col("day").cast("bigint").alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), F.max("event_id").alias("last_event")
     )
@@ -165,52 +166,51 @@ def flow_csv_rows(spark, sf_dir):
     )
 
 
-_LISTENER_SPEC = {
+_INTAKE_SPEC = {
     "flow": {
-        "name": "message_listener",
+        "name": "order_intake",
         "tasks": [
-            {"http_webhook": {"name": "receive", "method": "POST", "endpoint": "/messages"}},
-            {"script": {"name": "return_payload", "mode": "map", "code": "data.payload"}},
+            {"http_webhook": {"name": "till", "method": "PUT", "endpoint": "/orders", "headers": {"x-desk": ""}}},
+            {
+                "script": {
+                    "name": "priced",
+                    "mode": "envelope",
+                    "code": "named_struct('subject', try_variant_get(data.payload, '$.status', 'string'), "
+                    "'id', try_variant_get(data.payload, '$.order', 'string'), 'data', data.payload)",
+                }
+            },
             {
                 "nats_jetstream_publisher": {
-                    "name": "publish",
-                    "subject": "message.received",
-                    "stream": {"name": "inbox", "subjects": ["message.>"]},
+                    "name": "ledger",
+                    "subject": "orders.{{event.subject}}",
+                    "stream": {"name": "ledger", "max_messages_per_subject": 1500, "discard": "old"},
                 }
             },
         ],
     }
 }
 
-_WRITER_SPEC = {
+_ARCHIVE_SPEC = {
     "flow": {
-        "name": "message_writer",
+        "name": "order_archive",
         "tasks": [
-            {"nats_jetstream_subscriber": {"name": "start", "subject": "message.received"}},
+            {"nats_jetstream_subscriber": {"name": "settled", "subject": "orders.F", "durable_name": "archive"}},
             {
                 "convert": {
-                    "name": "to_record",
+                    "name": "typed",
                     "target_format": "avro",
                     "schema": {
                         "type": "record",
-                        "name": "Message",
+                        "name": "SettledOrder",
                         "fields": [
-                            {"name": "conv_id", "type": "long"},
-                            {"name": "turn", "type": "long"},
-                            {"name": "role", "type": "string", "default": ""},
-                            {"name": "cc", "type": ["null", "string"], "default": None},
-                            {"name": "text", "type": "string"},
+                            {"name": "order", "type": "long"},
+                            {"name": "total", "type": ["null", "double"], "default": None},
+                            {"name": "desk", "type": "string", "default": "none"},
                         ],
                     },
                 }
             },
-            {
-                "object_store_writer": {
-                    "name": "write",
-                    "path": "file:///messages",
-                    "hive_partition_options": {"enabled": True, "partition_keys": ["EventDate"]},
-                }
-            },
+            {"object_store_writer": {"name": "shelf", "path": "file:///{{event.subject}}/orders"}},
         ],
     }
 }
@@ -218,27 +218,119 @@ _WRITER_SPEC = {
 
 @query(
     "flow_messages",
-    "SELECT conv_id, turn, role, CAST(NULL AS VARCHAR) AS cc, text FROM conversations WHERE role <> 'system'",
+    """
+SELECT o_orderkey AS "order", o_totalprice AS total, 'none' AS desk, 'typed/orders' AS destination
+FROM orders
+WHERE o_orderstatus = 'F' AND o_custkey % 5 <> 0 AND o_orderkey > 500
+  AND o_orderkey IN (SELECT o_orderkey FROM (
+    SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey DESC) AS place
+    FROM orders WHERE o_custkey % 5 <> 0) WHERE place <= 1500)
+""",
 )
 def flow_messages(spark, sf_dir):
-    """Two flows over one message table: requests → publish, subscribe → record → files.
+    """Two flows over one stream: requests → ledger, ledger → typed files.
 
-    Requests without credentials (the ``system`` rows) are turned away.
+    Requests of every fifth customer have no credentials and are turned away.  The
+    ledger keeps 1,500 messages per subject, and the archive goes on after its cursor.
     """
     root = scratch_path(spark, "flow")
-    rows = table(spark, sf_dir, "conversations")
-    requests = rows.select(
-        F.when(F.col("role") != "system", F.create_map(F.lit("authorization"), F.lit("Bearer t")))
-        .otherwise(F.create_map(F.lit("accept"), F.lit("*/*")))
-        .alias("headers"),
-        F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("body"),
-        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("timestamp"),
+    orders = table(spark, sf_dir, "orders")
+    key = F.when(F.col("o_custkey") % 5 != 0, F.lit("Bearer desk-7")).otherwise(F.lit("none"))
+    requests = orders.select(
+        F.create_map(F.lit("Authorization"), key, F.lit("X-Desk"), F.lit("7"), F.lit("x-desk "), F.lit("-")).alias("headers"),
+        F.to_json(
+            F.struct(F.col("o_orderkey").alias("order"), F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("total"))
+        ).alias("body"),
+        F.col("o_orderkey").alias("timestamp"),
+    )
+    intake = Bindings(
+        inputs={"till": requests}, credentials={"till": Credentials(bearer="desk-7")}, message_tables={"ledger": f"{root}/ledger"}, root=root
+    )
+    ledger = run_flow(spark, parse_flow(_INTAKE_SPEC), intake).streams["ledger"]
+    # The cursor stands at the message of order 500.
+    last = spark.read.parquet(f"{root}/ledger").where(F.col("timestamp") <= 500)
+    cursors = last.agg(F.coalesce(F.max("sequence"), F.lit(0)).alias("replay_id")).select(F.lit("archive").alias("name"), "replay_id")
+    archive = Bindings(inputs={"settled": ledger}, cursors=cursors, root=f"{root}/files")
+    result = run_flow(spark, parse_flow(_ARCHIVE_SPEC), archive)
+    shelf = spark.read.option("basePath", result.written["shelf"]).parquet(result.written["shelf"])
+    return shelf.select("order", "total", "desk", "destination")
+
+
+_RECORD_SPEC = {
+    "flow": {
+        "name": "events_to_records",
+        "tasks": [
+            {"nats_jetstream_subscriber": {"name": "start", "subject": "events.>"}},
+            {
+                "script": {
+                    "name": "shape",
+                    "mode": "map",
+                    "code": "named_struct('event', data.event_id, 'kind', data.event_type, "
+                    "'amount', if(data.event_id % 9 = 0, 'unknown', cast(data.k as string)))",
+                }
+            },
+            {
+                "script": {
+                    "name": "numbers",
+                    "mode": "map",
+                    "code": "parse_json(concat('{\"event\":', data.event, ',\"kind\":\"', data.kind, '\",\"amount\":', "
+                    "if(data.amount = 'unknown', '\"unknown\"', data.amount), '}'))",
+                }
+            },
+            {
+                "convert": {
+                    "name": "typed",
+                    "target_format": "avro",
+                    "schema": {
+                        "type": "record",
+                        "name": "Amount",
+                        "fields": [
+                            {"name": "event", "type": "long"},
+                            {"name": "amount", "type": "long"},
+                            {"name": "unit", "type": "string", "default": "piece"},
+                        ],
+                    },
+                }
+            },
+            {"object_store_writer": {"name": "land", "path": "file:///amounts"}},
+        ],
+    }
+}
+
+_RECORD_SQL = """
+SELECT event_id AS event, CASE WHEN event_id % 9 <> 0 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS amount,
+       CASE WHEN event_id % 9 <> 0 THEN 'piece' END AS unit, CASE WHEN event_id % 9 = 0 THEN 'SchemaMismatch' END AS error
+FROM events
+"""
+
+
+@query("flow_script_to_record", _RECORD_SQL)
+def flow_script_to_record(spark, sf_dir):
+    """Typed columns a script made are conformed; what does not fit is set aside."""
+    root = scratch_path(spark, "flow")
+    result = run_flow(spark, parse_flow(_RECORD_SPEC), Bindings(inputs={"start": event_envelope(spark, sf_dir)}, root=root))
+    landed = spark.read.parquet(result.written["land"]).select("event", "amount", "unit", F.lit(None).cast("string").alias("error"))
+    failed = result.errors["typed"].select(
+        F.col("id").cast("bigint").alias("event"), F.lit(None).cast("bigint").alias("amount"),
+        F.lit(None).cast("string").alias("unit"), F.col(ERROR).alias("error"),
+    )
+    return landed.unionByName(failed)
+
+
+@query("stream_flow_errors", _RECORD_SQL)
+def stream_flow_errors(spark, sf_dir):
+    """The same flow on a stream of several batches: good and bad rows are landed."""
+    root = scratch_path(spark, "flow")
+    envelope = event_envelope(spark, sf_dir)
+    envelope.repartition(4, F.col("id")).write.parquet(f"{root}/inbox")
+    stream = spark.readStream.schema(envelope.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/inbox")
+    bindings = Bindings(inputs={"start": stream}, root=root, checkpoints=f"{root}/checkpoints")
+    result = run_flow(spark, parse_flow(_RECORD_SPEC), bindings)
+    for running in result.queries.values():
+        running.awaitTermination()
+    landed = spark.read.parquet(result.written["land"]).select("event", "amount", "unit", F.lit(None).cast("string").alias("error"))
+    failed = spark.read.parquet(result.error_tables["typed"]).select(
+        F.col("id").cast("bigint").alias("event"), F.lit(None).cast("bigint").alias("amount"),
+        F.lit(None).cast("string").alias("unit"), F.col(ERROR).alias("error"),
     )
-    judged = ingest_requests(requests, credentials=Credentials(bearer="t"))
-    store = f"{root}/inbox"
-    listener = Bindings(inputs={"receive": judged}, message_tables={"inbox": store}, root=root)
-    run_flow(spark, parse_flow(_LISTENER_SPEC), listener)
-    messages = spark.read.parquet(store)
-    writer = Bindings(inputs={"start": messages}, root=root)
-    result = run_flow(spark, parse_flow(_WRITER_SPEC), writer)
-    return spark.read.parquet(result.written["write"]).select("conv_id", "turn", "role", "cc", "text")
+    return landed.unionByName(failed)

@@ -339,7 +339,8 @@ def test_streaming_flow_equals_batch_flow(spark, tmp_path):
         result = run_flow(spark, flow, Bindings(inputs={"sub": source}, root=root, **more))
         for query in result.queries.values():
             query.awaitTermination()
-        return sorted((r["n"], r["destination"]) for r in spark.read.parquet(result.written["w"]).collect())
+        back = read_json_lines(spark, result.written["w"], "n bigint")
+        return sorted((r["data"]["n"], r["destination"]) for r in back.collect())
 
     stream = spark.readStream.schema(rows.schema).parquet(inbox)
     batch = landed(str(tmp_path / "b"), spark.read.parquet(inbox))

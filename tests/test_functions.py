@@ -44,9 +44,9 @@ def test_schedule_below_one_second_is_refused():
 def test_exactly_one_schedule_kind():
     check_schedule("5m", None)
     check_schedule(None, "* * * * *")
-    with pytest.raises(ValueError, match="must be specified"):
+    with pytest.raises(ValueError, match="needs an interval"):
         check_schedule(None, None)
-    with pytest.raises(ValueError, match="Cannot specify both"):
+    with pytest.raises(ValueError, match="not both"):
         check_schedule("5m", "* * * * *")
 
 
@@ -278,7 +278,7 @@ def test_only_whole_json_counts(spark, text, parsed):
 
 
 def test_bad_schemas():
-    for bad in ("{", {"type": "record"}, "strange", ["string", "int"], {"type": "record", "fields": [{"name": "a", "type": "x"}]}):
+    for bad in ("{", {"type": "record"}, "strange", ["null", "odd"], {"type": "record", "fields": [{"name": "a", "type": "x"}]}):
         with pytest.raises((ValueError, KeyError)):
             parse_schema(bad)
 
