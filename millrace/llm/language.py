@@ -45,8 +45,8 @@ STRETCH = 1 << 18
 ROWS_PER_LANGUAGE = 800
 DRAWS = 512
 
-# Whatever the calibration says, a text with a majority for one language is not rejected.
-HIGHEST_THRESHOLD = 0.5
+# Whatever the calibration says, a text half of which is in one language is not rejected.
+HIGHEST_THRESHOLD = 0.4
 
 
 @functools.cache

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .shipping import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,7 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(plan: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")
-        QUERIES[name] = plan
+        QUERIES[name] = lambda spark, sf_dir: plan(ship(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return plan
