@@ -467,6 +467,59 @@ def error_rows(spark, sf_dir):
     )
 
 
+@query(
+    "error_classes",
+    f"""
+SELECT event_id, CASE event_id % 5 WHEN 1 THEN 'InvalidJson' WHEN 2 THEN 'SchemaMismatch' WHEN 3 THEN 'KeyNotFound' ELSE 'ExpectedArray' END AS error
+FROM events WHERE event_id % 5 > 0
+""",
+)
+def error_classes(spark, sf_dir):
+    """Rows fail in different steps of one chain; each keeps the first class it met."""
+    rows = event_rows(spark, sf_dir)
+    kind = F.col("event_id") % 5
+    text = (
+        F.when(kind == 1, F.lit("{broken"))
+        .when(kind == 2, F.lit('{"items":"none","k":"text"}'))
+        .when(kind == 3, F.concat(F.lit('{"k":'), F.col("k").cast("string"), F.lit("}")))
+        .when(kind == 4, F.concat(F.lit('{"items":5,"k":'), F.col("k").cast("string"), F.lit("}")))
+        .otherwise(F.concat(F.lit('{"items":[1],"k":'), F.col("k").cast("string"), F.lit("}")))
+    )
+    events = to_events(
+        rows, data=text, subject="in", id=F.col("event_id"), timestamp=F.col("event_id"), task_type="table_reader"
+    )
+    schema = {"type": "record", "name": "Row", "fields": [{"name": "k", "type": "long"}]}
+    checked = to_record(events, schema)
+    # The record is what conforms; the element list is read from the text that came in.
+    again = checked.join(events.select(F.col("id").alias("_id"), F.parse_json(F.when(kind_of("id") != 1, F.col("data"))).alias("_data")), F.col("id") == F.col("_id"))
+    spread = iterate(again.withColumn("data", F.col("_data")).drop("_id", "_data"), "items", name="items")
+    _, failed = split_errors(spread)
+    return failed.select(F.col("id").cast("bigint").alias("event_id"), F.col(ERROR).alias("error"))
+
+
+def kind_of(column: str):
+    return F.col(column).cast("bigint") % 5
+
+
+@query(
+    "script_envelope_json",
+    f"""
+SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'events.' || event_type ELSE 'moved' END AS subject,
+       CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS VARCHAR) END AS id, {K} AS k
+FROM events
+""",
+)
+def envelope_of_json(spark, sf_dir):
+    """A JSON result with subject and data edits the envelope, any other is the payload."""
+    events = _json_events(spark, sf_dir, F.to_json(F.struct("event_id", "k")))
+    moved = "concat('{\"subject\":\"moved\",\"data\":', to_json(data), '}')"
+    out = script.script_envelope(events, f"parse_json(if(cast(id as bigint) % 2 = 0, to_json(data), {moved}))")
+    return out.select(
+        F.variant_get("data", "$.event_id", "bigint").alias("event_id"), "subject", "id",
+        F.variant_get("data", "$.k", "bigint").alias("k"),
+    )
+
+
 @query(
     "tap_parsed",
     f"""

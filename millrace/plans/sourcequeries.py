@@ -274,6 +274,8 @@ def request_ingest(spark, sf_dir):
     headers = F.map_filter(
         F.create_map(
             F.lit("Authorization"), authorization,
+            # The same name in other letters: the later one counts.
+            F.lit("X-REQUEST-ID"), F.lit("stale"),
             F.lit("X-Request-Id"), F.concat(F.lit("req-"), F.col("conv_id").cast("string")),
             F.lit("user-agent"), F.lit("agent/1"),
         ),

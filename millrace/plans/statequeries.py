@@ -150,6 +150,22 @@ def retain_per_subject(spark, sf_dir):
     return retention.retain_per_subject(message_log(spark, sf_dir), 100).select("sequence", "subject")
 
 
+@query(
+    "retain_null_subject",
+    """
+SELECT event_id AS sequence, subject FROM (
+  SELECT event_id, CASE WHEN event_type NOT IN ('click', 'view') THEN 'events.' || event_type END AS subject FROM events)
+QUALIFY row_number() OVER (PARTITION BY subject ORDER BY event_id DESC) <= 1200
+""",
+)
+def retain_null_subject(spark, sf_dir):
+    """Messages without a subject are held to the limit like a subject of their own."""
+    messages = message_log(spark, sf_dir)
+    none = F.col("subject").isin("events.click", "events.view")
+    messages = messages.withColumn("subject", F.when(~none, F.col("subject")))
+    return retention.retain_per_subject(messages, 1200).select("sequence", "subject")
+
+
 @query(
     "retain_total",
     """
