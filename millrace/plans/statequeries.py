@@ -8,7 +8,8 @@ from ..operators import retention
 from ..operators.dedup import dedup
 from ..operators.envelope import micros
 from ..operators.state import last_run_key, state_history, state_latest
-from ..sinks.publish import publish
+from ..session import scratch_path
+from ..sinks.publish import append_messages, publish
 from ..sources.messages import replay_from, subscribe
 from ..sources.tables import event_envelope, event_rows
 from .registry import query
@@ -70,6 +71,17 @@ def last_run_state(spark, sf_dir):
     return state_latest(log).select("key", "value")
 
 
+@query(
+    "subscribe_landed",
+    "SELECT event_id AS sequence, 'events.' || event_type AS subject FROM events WHERE event_type = 'click'",
+)
+def subscribe_landed(spark, sf_dir):
+    """A subscription over a stored message table: its subject test reaches the scan."""
+    place = scratch_path(spark, "messages")
+    append_messages(message_log(spark, sf_dir).withColumn("duplicate", F.lit(False)), place)
+    return subscribe(spark.read.parquet(place), "events.click").select("sequence", "subject")
+
+
 @query(
     "replay_after_cursor",
     """
