@@ -12,7 +12,7 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 ROUND = np.uint64(0xD6E8FEB86659FD93)
 
 
-@functools.lru_cache(maxsize=100_000)
+@functools.lru_cache(maxsize=40_000)
 def _word(word: str) -> int:
     return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 

@@ -16,22 +16,26 @@ replace those of the same name.  Decoding a null list of ids gives null.
 from __future__ import annotations
 
 import base64
+import codecs
 import functools
+import re
 import struct
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .registry import query, table
 
-# Entries of a worker's memory of encoded words; it is emptied when full.
-MEMORY = 150_000
-# Longer words are encoded each time they come.
-LONGEST_KEPT = 64
+# Entries of a worker's memory of encoded words; above that it is emptied between slices.
+MEMORY = 100_000
+# Bytes of text that are encoded at a time.
+SLICE = 2_000_000
 
 # Characters that stand for the 256 bytes: a contiguous range without white space.
 FIRST_CHARACTER = 0x100
@@ -59,8 +63,11 @@ def _field(number: int, value) -> bytes:
     return _varint(number << 3 | 2) + _varint(len(value)) + value
 
 
+CHARACTERS = "".join(chr(FIRST_CHARACTER + byte) for byte in range(256))
+
+
 def piece_of(token: bytes) -> str:
-    return "".join(chr(FIRST_CHARACTER + byte) for byte in token)
+    return codecs.charmap_decode(token, "strict", CHARACTERS)[0]
 
 
 def serialize_model(tokens: list[bytes]) -> bytes:
@@ -113,7 +120,9 @@ class Codec:
         import sentencepiece
 
         self.pre_tokens = regex.compile(vocabulary.pattern).findall
-        self.broken_space = regex.compile(r"\s ").search
+        # White space before a space; this class knows a few more characters than the
+        # pattern does, which only makes some texts go uncut.
+        self.broken_space = re.compile(r"\s ").search
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialize_model(list(vocabulary.tokens)))
         self.ids = vocabulary.ids
         self.whole = {token: n for n, token in enumerate(vocabulary.tokens)}
@@ -121,43 +130,53 @@ class Codec:
         self.first: dict[str, tuple[int, ...]] = {}
         self.later: dict[str, tuple[int, ...]] = {}
 
-    def _encode_piece(self, text: str) -> tuple[int, ...]:
-        """Ids of a stretch of text, match by match."""
-        out: list[int] = []
-        for match in self.pre_tokens(text):
+    def _learn(self, memory: dict[str, tuple[int, ...]], keys: set[str], before: str) -> None:
+        """Add the ids of new stretches of text, ``before`` put in front of each."""
+        stretches = {key: self._matches(before + key) for key in keys}
+        ids: dict[str, tuple[int, ...]] = {}
+        merged = []
+        for match in set(chain.from_iterable(stretches.values())):
             raw = match.encode()
             whole = self.whole.get(raw)
-            if whole is not None:
-                out.append(self.ids[whole])
+            if whole is None:
+                merged.append((match, piece_of(raw)))
             else:
-                out.extend(self.ids[n] for n in self.model.encode(piece_of(raw)))
-        return tuple(out)
-
-    def _kept(self, memory: dict, key: str, text: str) -> tuple[int, ...]:
-        ids = memory.get(key)
-        if ids is None:
-            ids = self._encode_piece(text)
-            if len(text) <= LONGEST_KEPT:
-                if len(memory) >= MEMORY:
-                    memory.clear()
-                memory[key] = ids
-        return ids
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text.
+                ids[match] = (self.ids[whole],)
+        if merged:
+            found = self.model.encode([piece for _, piece in merged], num_threads=1)
+            for (match, _), numbers in zip(merged, found):
+                ids[match] = tuple(map(self.ids.__getitem__, numbers))
+        for key, matches in stretches.items():
+            memory[key] = ids[matches[0]] if len(matches) == 1 else tuple(chain.from_iterable(map(ids.__getitem__, matches)))
+
+    def _matches(self, stretch: str) -> list[str]:
+        # A run of ASCII letters, with a space or not, is one match.
+        if stretch.isascii() and stretch.lstrip(" ").isalpha() and stretch[:2] != "  ":
+            return [stretch]
+        return self.pre_tokens(stretch)
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts.
 
         No match of the pattern goes on from a character that is not white space into
-        white space, so the text may be cut before every space that follows such a
-        character; each stretch is then looked up before it is encoded.
+        white space, so a text may be cut before every space that follows such a
+        character; each stretch is looked up, and the new ones are encoded together.
         """
-        if self.broken_space(text):
-            return list(self._encode_piece(text))
-        head, *rest = text.split(" ")
-        found = list(map(self.later.get, rest))
-        for place, ids in enumerate(found):
-            if ids is None:
-                found[place] = self._kept(self.later, rest[place], " " + rest[place])
-        return list(chain(self._kept(self.first, head, head), chain.from_iterable(found)))
+        for memory in (self.first, self.later):
+            if len(memory) > MEMORY:
+                memory.clear()
+        cut = [[text] if self.broken_space(text) else text.split(" ") for text in texts]
+        self._learn(self.first, {parts[0] for parts in cut} - self.first.keys(), "")
+        later = set(chain.from_iterable(parts[1:] for parts in cut)) - self.later.keys()
+        self._learn(self.later, later, " ")
+        out = []
+        for parts in cut:
+            rest = map(self.later.__getitem__, islice(parts, 1, None))
+            out.append(list(chain(self.first[parts[0]], chain.from_iterable(rest))))
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -168,17 +187,31 @@ def _codec(vocabulary: Vocabulary) -> Codec:
     return Codec(vocabulary)
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Parts of a batch of about SLICE bytes, one text at least: ids in Python take many
+    times the memory of their text."""
+    start, size = 0, 0
+    for at, length in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if at > start and size + length > SLICE:
+            yield texts.slice(start, at - start)
+            start, size = at, 0
+        size += length
+    yield texts.slice(start)
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (array of int) and ``decoded``, the bytes those ids stand for."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     @F.arrow_udf(ENCODED)
-    def run(texts: pa.Array) -> pa.Array:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         codec = _codec(shared.value)
-        ids = [codec.encode(value or "") for value in texts.to_pylist()]
-        return pa.StructArray.from_arrays(
-            [pa.array(ids, pa.list_(pa.int32())), pa.array(map(codec.decode, ids), pa.binary())], ["ids", "decoded"]
-        )
+        for texts in batches:
+            for part in _slices(texts):
+                ids = codec.encode_all([value or "" for value in part.to_pylist()])
+                yield pa.StructArray.from_arrays(
+                    [pa.array(ids, pa.list_(pa.int32())), pa.array(map(codec.decode, ids), pa.binary())], ["ids", "decoded"]
+                )
 
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), run(F.col(text).cast("string")).alias("out"))
