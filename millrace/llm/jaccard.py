@@ -324,7 +324,9 @@ def join_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sett
     alone = base.where(F.col("sid").isNull()).select(
         "doc_id", "sid", F.lit(0).cast("bigint").alias("n_links"), F.col("doc_id").alias("component"), F.lit(True).alias("kept")
     )
-    return Joined(scratch.store(rows.unionByName(alone), "joined"))
+    joined = Joined(scratch.store(rows.unionByName(alone), "joined"))
+    scratch.keep_only("joined")
+    return joined
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: JoinSettings | None = None) -> DataFrame:

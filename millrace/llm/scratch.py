@@ -36,6 +36,10 @@ class Scratch:
             if label in self.paths:
                 self._delete(self.paths.pop(label))
 
+    def keep_only(self, *labels: str) -> None:
+        """Delete all tables but those of these labels."""
+        self.drop(*[label for label in self.paths if label not in labels])
+
     def _delete(self, path: str) -> None:
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
