@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import in_block_pairs, map_groups
+from .blocks import map_groups
 from .components import components
 from .registry import query, table
 from .scratch import Scratch
@@ -99,6 +99,35 @@ def _dealt(classes: DataFrame, cells, width: int) -> DataFrame:
     return classes.select("cid", "n_rows", "vector").mapInArrow(run, "cell int, home int, cid string, n_rows bigint, point binary")
 
 
+def _in_tasks(dealt: DataFrame) -> DataFrame:
+    """Deal the rows of each cell to tasks (``left``, ``right``), by blocks of hashes.
+
+    Residents, which have their home in the cell, meet each other and all visitors;
+    visitors do not meet.  Blocks of residents are numbered first, those of visitors
+    after them: a pair of resident blocks is a task, and so is every block of visitors
+    with every block of residents.
+    """
+    resident = F.col("home") == F.col("cell")
+    blocks = lambda count: F.ceil(count / F.lit(BLOCK)).cast("int")
+    sizes = dealt.groupBy("cell").agg(
+        blocks(F.count_if(resident)).alias("_residents"), blocks(F.count_if(~resident)).alias("_visitors")
+    )
+    number = lambda of: F.pmod(F.xxhash64("cid", F.lit("block")), F.col(of)).cast("int")
+    placed = dealt.join(sizes.where("_residents > 0"), "cell").withColumn(
+        "block", F.when(resident, number("_residents")).otherwise(F.col("_residents") + number("_visitors"))
+    )
+    own = F.sequence(F.lit(0), F.col("_residents") - 1)
+    pair = lambda a, b: F.struct(a.alias("left"), b.alias("right"))
+    block = F.col("block")
+    among = F.transform(own, lambda k: pair(F.least(block, k), F.greatest(block, k)))
+    none = F.array().cast("array<struct<left:int,right:int>>")
+    others = F.transform(F.sequence(F.lit(0), F.col("_visitors") - 1), lambda k: pair(block, F.col("_residents") + k))
+    with_others = F.concat(among, F.when(F.col("_visitors") > 0, others).otherwise(none))
+    visits = F.transform(own, lambda k: pair(k, block))
+    tasks = placed.withColumn("_task", F.explode(F.when(resident, with_others).otherwise(visits)))
+    return tasks.select("cell", "home", "cid", "n_rows", "point", "block", "_task.left", "_task.right")
+
+
 def _roots(labels: np.ndarray, of: np.ndarray) -> np.ndarray:
     found = labels[of]
     while True:
@@ -161,8 +190,7 @@ def near_copies(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embeddin
         cells = min(MOST_CELLS, max(1, count // CLASSES_PER_CELL), len(points))
         shared = rows.sparkSession.sparkContext.broadcast(Cells(spherical_kmeans(points, cells), threshold))
         dealt = scratch.store(_dealt(classes, shared, width), "cells")
-        sizes = dealt.groupBy("cell").count()
-        links = scratch.store(_links(in_block_pairs(dealt, sizes, "cell", "cid", BLOCK), shared), "vector-links")
+        links = scratch.store(_links(_in_tasks(dealt), shared), "vector-links")
     else:
         links = rows.sparkSession.createDataFrame([], "a string, b string, n bigint")
     groups = components(links.select("a", "b")).withColumnsRenamed({"node": "cid", "component": "root"})
