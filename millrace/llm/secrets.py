@@ -187,9 +187,9 @@ def scan_secrets(docs: DataFrame, text: str = "text", reach: int = REACH) -> Dat
     """``docs`` with ``spans``: array of (start, kind, end, upto), kinds numbered as in KINDS."""
     kept = [c for c in docs.columns if c != "spans"]
     whole = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc")
-    # Stored with their keys, so that the patterns are looked for once; matches are then
-    # placed in the few texts that have any.
-    rows = materialize(_with_key(docs, text, whole), "secret-texts")
+    # Texts are read and searched again by what follows: a stored copy of them costs more
+    # disk than the search costs time.
+    rows = _with_key(docs, text, whole)
     found = rows.where(F.col("key").isNotNull()).select("key", parts(F.col(f"doc.`{text}`")).alias("parts"))
     spans = materialize(link(found, reach), "secret-spans")
     return _joined(rows, spans).select(*[F.col("doc").getField(c).alias(c) for c in kept], "spans")
