@@ -1,15 +1,17 @@
 """Passages that repeat across documents: paragraph MinHash banding, windows, components.
 
-Paragraphs are lines of at least ``words`` words.  Equal paragraphs are one class; the
-others are banded: the minwise sketch of a paragraph's five-word shingles is cut into
-bands, tuned so that two paragraphs at the threshold share a band almost surely.
-Paragraphs that collide are joined, verified by exact Jaccard similarity on their whole
-shingle sets, and clustered by components.  Colliding paragraphs of a band are dealt to
-tasks in pairs of blocks, and a pair is verified only in the first band that it shares.
-
-A repeated passage may also stand within a longer line.  Every sentence therefore begins
-a window of the fewest whole sentences that have ``words`` words; windows that are equal
-in several documents are repeats as well.
+Paragraphs are lines of at least ``words`` words; neighbouring shorter lines are taken
+together, on and back from each of them as many as have ``words`` words. Equal
+paragraphs are one class; the others are banded: the minwise sketch of a paragraph's
+five-word shingles is cut into bands, tuned so that two paragraphs at the threshold
+share a band almost surely. Paragraphs that collide are joined, verified by exact
+Jaccard similarity on their whole shingle sets, and clustered by components. Colliding
+paragraphs of a band are dealt to tasks in pairs of blocks, and a pair is verified only
+in the first band that it shares.
+
+A repeated passage may also stand within a longer line or run over several lines.  Every
+sentence and every line therefore begins a window of the fewest whole ones that have
+``words`` words; windows that are equal in several documents are repeats as well.
 
 The first occurrence of a repeat, by document id and place, is kept and all others are
 removals; overlapping removals of a document are one.
@@ -90,21 +92,36 @@ class _Words:
         changes = np.flatnonzero(np.diff(line)) + 1
         self.lines = list(zip([0, *changes.tolist()], [*changes.tolist(), n])) if n else []
         last = points[self.ends - 1] if n else points[:0]
-        self.stops = np.flatnonzero((last == 46) | (last == 33) | (last == 63)) + 1
-
-    def windows(self, words: int) -> list[tuple[int, int]]:
-        """From every sentence of a line the fewest whole sentences with enough words."""
-        out = []
-        for start, end in self.lines:
+        stops = np.flatnonzero((last == 46) | (last == 33) | (last == 63)) + 1
+        self.stops = np.union1d(stops, [end for _, end in self.lines]).astype(np.int64)
+
+    def units(self, words: int) -> list[tuple[int, int]]:
+        """Lines with enough words, and of neighbouring shorter lines, from every line on and
+        from every line back the fewest that have enough together."""
+        out, short = [], []
+        for start, end in [*self.lines, (0, words)]:
             if end - start < words:
+                short.append((start, end))
                 continue
-            inner = self.stops[np.searchsorted(self.stops, start, "right") : np.searchsorted(self.stops, end, "left")]
-            begins = np.concatenate([[start], inner])
-            closes = np.concatenate([inner, [end]])
-            at = np.searchsorted(closes, begins + words, "left")
-            ok = at < len(closes)
-            out += zip(begins[ok].tolist(), closes[at[ok]].tolist())
-        return out
+            if short and short[-1][1] - short[0][0] >= words:
+                begins, closes = np.array(short, np.int64).T
+                close = np.searchsorted(closes, begins + words, "left")
+                begin = np.searchsorted(begins, closes - words, "right") - 1
+                on, back = close < len(closes), begin >= 0
+                spans = {*zip(begins[on].tolist(), closes[close[on]].tolist()), *zip(begins[begin[back]].tolist(), closes[back].tolist())}
+                out += sorted(spans)
+            short = []
+            out.append((start, end))
+        return out[:-1]
+
+    def windows(self, words: int) -> list[tuple[int, int]]:
+        """From every sentence or line the fewest whole ones with enough words."""
+        if not len(self.stops):
+            return []
+        begins = np.concatenate([[0], self.stops[:-1]])
+        at = np.searchsorted(self.stops, begins + words, "left")
+        ok = at < len(self.stops)
+        return list(zip(begins[ok].tolist(), self.stops[at[ok]].tolist()))
 
     def run_hashes(self, spans: list[tuple[int, int]]) -> np.ndarray:
         """A hash for each run of words, the same wherever the run stands."""
@@ -129,9 +146,7 @@ def _scanned(docs: DataFrame, doc_id: str, text: str, settings: PassageSettings)
         for value in texts:
             words = _Words(value.as_py() or "")
             own = []
-            for start, end in words.lines:
-                if end - start < settings.words:
-                    continue
+            for start, end in words.units(settings.words):
                 found = np.unique(shingle_hashes(words.hashes[start:end], WORDS))
                 least = minima(found, count)
                 keys = salts.copy()
@@ -166,7 +181,7 @@ def _place():
     return F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row", "begin")
 
 
-def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, scratch: Scratch) -> DataFrame:
+def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, settings: PassageSettings, scratch: Scratch) -> DataFrame:
     """Candidates with their whole sets, made anew from the first occurrence of each."""
     wanted = candidates.select("sid").distinct().join(sets.select("sid", "first"), "sid")
     wanted = wanted.groupBy(F.col("first.doc_id").alias("_id")).agg(F.collect_set("first.begin").alias("_begins"))
@@ -180,7 +195,7 @@ def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_
         out = []
         for value, places in zip(values, begins.to_pylist()):
             words, places, own = _Words(value.as_py() or ""), set(places), []
-            for start, end in words.lines:
+            for start, end in words.units(settings.words):
                 if int(words.starts[start]) in places:
                     found = np.unique(shingle_hashes(words.hashes[start:end], WORDS))
                     own.append({"sid": set_id(found), "shingles": found.tobytes()})
@@ -212,7 +227,7 @@ def repeated_passages(
     members = sets.drop("keys").join(colliding, "sid").withColumn("key", F.explode("keys"))
     members = in_block_pairs(members, sizes, "key", "sid", settings.join.bucket)
     likely = scratch.store(likely_members(members, settings.join), "likely-lines")
-    links = scratch.store(verified_links(_with_shingles(likely, docs, sets, doc_id, text, scratch), settings.join), "line-links")
+    links = scratch.store(verified_links(_with_shingles(likely, docs, sets, doc_id, text, settings, scratch), settings.join), "line-links")
     groups = components(links.select("a", "b")).withColumnsRenamed({"node": "sid", "component": "root"})
     grouped = sets.select("sid", "first", "low", "high").join(groups, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     roots = grouped.groupBy("root").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
