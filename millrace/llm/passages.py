@@ -1,4 +1,4 @@
-"""Passages that repeat across documents: paragraph MinHash banding, windows, components.
+"""Passages that repeat across documents: paragraph MinHash banding, anchored runs, components.
 
 Paragraphs are lines of at least ``words`` words; neighbouring shorter lines are taken
 together, on and back from each of them as many as have ``words`` words. Equal
@@ -9,9 +9,13 @@ Jaccard similarity on their whole shingle sets, and clustered by components. Col
 paragraphs of a band are dealt to tasks in pairs of blocks, and a pair is verified only
 in the first band that it shares.
 
-A repeated passage may also stand within a longer line or run over several lines.  Every
-sentence and every line therefore begins a window of the fewest whole ones that have
-``words`` words; windows that are equal in several documents are repeats as well.
+A repeated passage may also stand anywhere else in a text, over lines and from the middle
+of a sentence on.  Every run of ``words`` words has an anchor, the least hash of the runs
+of half as many words in it, so that equal runs have equal anchors.  Runs of neighbouring
+words with one anchor make a stretch.  An anchor of several documents whose stretches are
+all equal repeats in whole; where they differ, at the ends of an equal passage, the texts
+are read again and the runs themselves compared.  So every run of ``words`` words that is
+equal in two documents is found, and nothing else; neighbouring runs make one passage.
 
 The first occurrence of a repeat, by document id and place, is kept and all others are
 removals; overlapping removals of a document are one.
@@ -91,9 +95,6 @@ class _Words:
         # Lines as ranges of words.
         changes = np.flatnonzero(np.diff(line)) + 1
         self.lines = list(zip([0, *changes.tolist()], [*changes.tolist(), n])) if n else []
-        last = points[self.ends - 1] if n else points[:0]
-        stops = np.flatnonzero((last == 46) | (last == 33) | (last == 63)) + 1
-        self.stops = np.union1d(stops, [end for _, end in self.lines]).astype(np.int64)
 
     def units(self, words: int) -> list[tuple[int, int]]:
         """Lines with enough words, and of neighbouring shorter lines, from every line on and
@@ -114,66 +115,98 @@ class _Words:
             out.append((start, end))
         return out[:-1]
 
-    def windows(self, words: int) -> list[tuple[int, int]]:
-        """From every sentence or line the fewest whole ones with enough words."""
-        if not len(self.stops):
+    def shingle_sets(self, spans: list[tuple[int, int]]) -> list[np.ndarray]:
+        """Sorted distinct shingles of each run of words."""
+        if not spans:
             return []
-        begins = np.concatenate([[0], self.stops[:-1]])
-        at = np.searchsorted(self.stops, begins + words, "left")
-        ok = at < len(self.stops)
-        return list(zip(begins[ok].tolist(), self.stops[at[ok]].tolist()))
+        whole = shingle_hashes(self.hashes, WORDS)
+        return [
+            np.unique(whole[start : end - WORDS + 1] if end - start >= WORDS else shingle_hashes(self.hashes[start:end], WORDS))
+            for start, end in spans
+        ]
+
+    @functools.cached_property
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.hashes)
+        sums = np.cumsum(mixed(self.hashes) * _powers(BASE, n), dtype=np.uint64)
+        return np.concatenate([np.zeros(1, np.uint64), sums]), _powers(INVERSE, n)
 
-    def run_hashes(self, spans: list[tuple[int, int]]) -> np.ndarray:
+    def run_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """A hash for each run of words, the same wherever the run stands."""
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.hashes) * _powers(BASE, len(self.hashes)), dtype=np.uint64)])
-        start, end = np.array(spans, np.int64).reshape(-1, 2).T
-        raw = (sums[end] - sums[start]) * _powers(INVERSE, len(self.hashes))[start]
-        return mixed(raw ^ (end - start).astype(np.uint64)).view(np.int64)
+        sums, inverse = self._sums
+        return mixed((sums[end] - sums[start]) * inverse[start] ^ (end - start).astype(np.uint64)).view(np.int64)
+
+    def stretches(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Anchor, hash, and the first words of the first and last run of each stretch."""
+        n, half = len(self.hashes) - words + 1, max(1, words // 2)
+        if n < 1:
+            return (np.empty(0, np.int64),) * 4
+        at = np.arange(len(self.hashes) - half + 1)
+        hashes, span = self.run_hashes(at, at + half), words - half + 1
+        # The first of equal least hashes, so the place depends on the run alone and never
+        # moves back from one run to the next.
+        place = np.empty(n, np.int64)
+        for low in range(0, n, STEP):
+            high = min(n, low + STEP)
+            seen = np.lib.stride_tricks.sliding_window_view(hashes[low : high + span - 1], span)
+            place[low:high] = at[low:high] + seen.argmin(axis=1)
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        last = np.append(first[1:], n) - 1
+        return hashes[place[first]], self.run_hashes(first, last + words), first, last
 
 
 LINES = "array<struct<sid:binary,size:int,begin:int,finish:int,sketch:binary,keys:array<bigint>>>"
-WINDOWS = "array<struct<hash:bigint,begin:int,finish:int>>"
+STRETCHES = "array<struct<anchor:bigint,hash:bigint,begin:int,finish:int>>"
+RUNS = "array<struct<hash:bigint,begin:int,finish:int>>"
+STEP = 1 << 14
+
+
+def _listed(parts: list[tuple[np.ndarray, ...]], fields: list[tuple[str, pa.DataType]]) -> pa.Array:
+    """An array of structs for each part, from its columns."""
+    offsets = np.cumsum([0, *[len(part[0]) for part in parts]])
+    columns = [np.concatenate([part[n] for part in parts] or [np.empty(0)]) for n in range(len(fields))]
+    structs = pa.StructArray.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], [f for f, _ in fields])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
 def _scanned(docs: DataFrame, doc_id: str, text: str, settings: PassageSettings) -> DataFrame:
-    """``doc_id, lines, windows`` of each text; places are code points."""
+    """``doc_id, text_id, lines, stretches`` of each text; places are code points."""
     count = settings.bands * settings.rows
 
-    @F.arrow_udf(f"lines {LINES}, windows {WINDOWS}")
+    @F.arrow_udf(f"lines {LINES}, stretches {STRETCHES}")
     def run(texts: pa.Array) -> pa.Array:
         salts = mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
-        lines, windows = [], []
+        lines, stretches = [], []
         for value in texts:
             words = _Words(value.as_py() or "")
-            own = []
-            for start, end in words.units(settings.words):
-                found = np.unique(shingle_hashes(words.hashes[start:end], WORDS))
-                least = minima(found, count)
-                keys = salts.copy()
-                for row in range(settings.rows):
-                    keys = mixed(keys ^ least[row :: settings.rows].astype(np.uint64))
-                sketch = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
-                own.append(
-                    {"sid": set_id(found), "size": len(found), "begin": int(words.starts[start]), "finish": int(words.ends[end - 1]), "sketch": sketch, "keys": keys.view(np.int64)}
-                )
+            units = words.units(settings.words)
+            sets = words.shingle_sets(units)
+            least = np.array([minima(found, count) for found in sets], np.uint32).reshape(-1, count)
+            keys = np.tile(salts, (len(units), 1))
+            for row in range(settings.rows):
+                keys = mixed(keys ^ least[:, row :: settings.rows].astype(np.uint64))
+            sketches = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+            own = [
+                {"sid": set_id(found), "size": len(found), "begin": int(words.starts[start]), "finish": int(words.ends[end - 1]), "sketch": sketch.tobytes(), "keys": key}
+                for (start, end), found, sketch, key in zip(units, sets, sketches, keys.view(np.int64))
+            ]
             lines.append(own)
-            spans = words.windows(settings.words)
-            if spans:
-                windows.append(
-                    [
-                        {"hash": h, "begin": int(words.starts[start]), "finish": int(words.ends[end - 1])}
-                        for h, (start, end) in zip(words.run_hashes(spans).tolist(), spans)
-                    ]
-                )
-            else:
-                windows.append([])
-        whole = pa.struct([("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())])
+            anchors, hashes, first, last = words.stretches(settings.words)
+            stretches.append((anchors, hashes, words.starts[first], words.ends[last + (settings.words - 1)]))
         line = pa.struct(
             [("sid", pa.binary()), ("size", pa.int32()), ("begin", pa.int32()), ("finish", pa.int32()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))]
         )
-        return pa.StructArray.from_arrays([pa.array(lines, pa.list_(line)), pa.array(windows, pa.list_(whole))], ["lines", "windows"])
+        fields = [("anchor", pa.int64()), ("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())]
+        return pa.StructArray.from_arrays([pa.array(lines, pa.list_(line)), _listed(stretches, fields)], ["lines", "stretches"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), run(F.col(text).cast("string")).alias("s")).select("doc_id", "s.*")
+    own = F.col(text).cast("string")
+    scanned = docs.select(F.col(doc_id).alias("doc_id"), _text_id(doc_id, own).alias("text_id"), run(own).alias("s"))
+    return scanned.select("doc_id", "text_id", "s.*")
+
+
+def _text_id(doc_id: str, text):
+    """The same for rows of equal id and text."""
+    return F.xxhash64(F.col(doc_id), text)
 
 
 def _place():
@@ -195,10 +228,8 @@ def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_
         out = []
         for value, places in zip(values, begins.to_pylist()):
             words, places, own = _Words(value.as_py() or ""), set(places), []
-            for start, end in words.units(settings.words):
-                if int(words.starts[start]) in places:
-                    found = np.unique(shingle_hashes(words.hashes[start:end], WORDS))
-                    own.append({"sid": set_id(found), "shingles": found.tobytes()})
+            units = [unit for unit in words.units(settings.words) if int(words.starts[unit[0]]) in places]
+            own += [{"sid": set_id(found), "shingles": found.tobytes()} for found in words.shingle_sets(units)]
             out.append(own)
         return pa.array(out, pa.list_(pa.struct([("sid", pa.binary()), ("shingles", pa.binary())])))
 
@@ -206,6 +237,45 @@ def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_
     return candidates.join(scratch.store(made.dropDuplicates(["sid"]), "line-shingles"), "sid")
 
 
+def _equal_runs(base: DataFrame, docs: DataFrame, doc_id: str, text: str, settings: PassageSettings, scratch: Scratch) -> DataFrame:
+    """``doc_id, row, begin, finish, first`` of runs that are equal in several documents."""
+    stretches = base.select("doc_id", "row", "text_id", F.inline("stretches"))
+    several = [F.min(_place()).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
+    anchors = stretches.groupBy("anchor").agg((F.min("hash") == F.max("hash")).alias("equal"), *several)
+    anchors = scratch.store(anchors.where("low <> high").select("anchor", "equal", "first"), "anchors")
+    anchored = scratch.store(stretches.drop("hash").join(anchors, "anchor").drop("anchor"), "anchored")
+    whole = anchored.where("equal").select("doc_id", "row", "begin", "finish", "first")
+
+    wanted = anchored.where("not equal").groupBy("text_id").agg(F.collect_set("begin").alias("_begins"))
+    wanted = scratch.store(wanted.withColumnRenamed("text_id", "_wanted"), "wanted-stretches")
+    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS // 10 else wanted
+    own = F.col(text).cast("string")
+    texts = docs.select(_text_id(doc_id, own).alias("text_id"), own.alias("_text")).join(chosen, F.col("text_id") == F.col("_wanted"))
+
+    @F.arrow_udf(RUNS)
+    def run(values: pa.Array, begins: pa.Array) -> pa.Array:
+        out = []
+        for value, places in zip(values, begins):
+            words = _Words(value.as_py() or "")
+            _, _, first, last = words.stretches(settings.words)
+            asked = np.isin(words.starts[first], places.values.to_numpy(zero_copy_only=False))
+            first, last = first[asked], last[asked]
+            # All runs of the stretches that are asked for.
+            many = last - first + 1
+            at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+            out.append((words.run_hashes(at, at + settings.words), words.starts[at], words.ends[at + settings.words - 1]))
+        return _listed(out, [("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())])
+
+    # Rows of equal id and text are read each, and their runs kept once.
+    read = texts.select("text_id", run.asNondeterministic()("_text", "_begins").alias("runs")).dropDuplicates(["text_id"])
+    read = scratch.store(read, "stretch-runs")
+    runs = base.select("doc_id", "row", "text_id").join(read, "text_id").select("doc_id", "row", F.inline("runs"))
+    shared = runs.groupBy("hash").agg(*several)
+    shared = scratch.store(shared.where("low <> high").select("hash", "first"), "shared-runs")
+    edges = runs.join(shared, "hash").select("doc_id", "row", "begin", "finish", "first")
+    return scratch.store(whole.unionByName(edges), "equal-runs")
+
+
 def repeated_passages(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: PassageSettings | None = None
 ) -> DataFrame:
@@ -221,6 +291,10 @@ def repeated_passages(
     classes = lines.groupBy("sid").agg(*occurring)
     once = lines.groupBy("sid").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
     sets = scratch.store(classes.join(once, "sid"), "line-sets")
+    runs = _equal_runs(base, docs, doc_id, text, settings, scratch)
+    light = F.transform("lines", lambda x: F.struct(x["sid"].alias("sid"), x["begin"].alias("begin"), x["finish"].alias("finish")))
+    lines = scratch.store(base.select("doc_id", "row", F.inline(light)), "lines")
+    scratch.keep_only("line-sets", "equal-runs", "lines")
     banded = sets.select("sid", F.explode("keys").alias("key"))
     sizes = scratch.store(banded.groupBy("key").count().where("count > 1"), "band-sizes")
     colliding = banded.join(sizes, "key").groupBy("sid").agg(F.collect_set("key").alias("keys"))
@@ -232,12 +306,9 @@ def repeated_passages(
     grouped = sets.select("sid", "first", "low", "high").join(groups, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     roots = grouped.groupBy("root").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
     repeated = grouped.select("sid", "root").join(roots.where("low <> high").select("root", "first"), "root").select("sid", "first")
-    found = lines.select("sid", "doc_id", "row", "begin", "finish").join(repeated, "sid").drop("sid")
+    found = lines.join(repeated, "sid").select("doc_id", "row", "begin", "finish", "first")
 
-    windows = base.select("doc_id", "row", F.inline("windows"))
-    shared = windows.groupBy("hash").agg(F.min(_place()).alias("first"), F.min("row").alias("low"), F.max("row").alias("high"))
-    shared = scratch.store(shared.where("low <> high").select("hash", "first"), "shared-windows")
-    found = found.unionByName(windows.join(shared, "hash").drop("hash"))
+    found = found.unionByName(runs)
 
     kept = (F.col("first.row") == F.col("row")) & (F.col("first.begin") == F.col("begin"))
     found = found.withColumn("kept", kept)
