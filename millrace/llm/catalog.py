@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embeddings, jaccard, language, mixing, neighbours, pages, passages, quality, secrets, tokens  # noqa: F401
+from . import embeddings, jaccard, language, mixing, neighbours, pages, passages, quality, secrets, spelling, tokens  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
