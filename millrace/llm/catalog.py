@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from . import embeddings, jaccard, language, mixing, neighbours, pages, passages, quality, secrets, spelling, tokens  # noqa: F401
+from . import (  # noqa: F401
+    codes,
+    embeddings,
+    idfiles,
+    jaccard,
+    language,
+    mixing,
+    neighbours,
+    pages,
+    passages,
+    quality,
+    secrets,
+    spelling,
+    tokens,
+)
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
