@@ -10,8 +10,9 @@ statistics that a reader skips by.  A manifest, one row a file, has where each f
 begins.
 
 The library splits a text by its pattern and encodes each part alone.  Parts repeat, so a
-task asks the library for every different part once and looks the others up; texts that
-hold a special token, and tokenizers of another kind, go through it whole.
+task asks the library for every different part once and looks the others up.  Texts that
+hold a special token or a character that is in no older Unicode version (on which the
+pattern's libraries differ), and tokenizers of another kind, go through it whole.
 
 Defined results for unusual rows: a null text is encoded as an empty one (the end id
 alone); texts of any length are encoded whole, and a shard holds one document at least;
@@ -22,12 +23,15 @@ written.
 
 from __future__ import annotations
 
+import functools
 import json
+import sys
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,18 +41,65 @@ from .registry import query, table
 from .repair import Shard, compress
 
 # Ids of a shard, and of parts of texts that a task remembers.
-SHARD_IDS = 1 << 20
+SHARD_IDS = 1 << 18
 MEMORY = 400_000
 # Texts that are split at a time, by characters.
 SLICE = 1 << 20
 
-# Fixed value: the pattern by which byte-level tokenizers of this kind split a text.
-PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# What byte-level tokenizers of this kind split a text into.  Letters,
+# numbers and other characters in runs, each with one space before it if there is one;
+# white space but its last character; and these endings after an apostrophe.
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+LETTER, NUMBER, OTHER, SPACE, UNKNOWN = range(5)
 
 SHARDS = "file int, shard int, start long, first_doc long, last_doc long, n_docs long, n_ids long, content binary"
 DOCUMENTS = "file int, doc_id long, start long, n_tokens long, ids binary"
 
 
+@functools.cache
+def character_kinds() -> np.ndarray:
+    """The kind of every code point; UNKNOWN where Python's Unicode tables have none."""
+    out = np.full(sys.maxunicode + 1, OTHER, np.uint8)
+    for code in range(sys.maxunicode + 1):
+        category = unicodedata.category(chr(code))
+        if category == "Cn":
+            out[code] = UNKNOWN
+        elif category[0] in "LN":
+            out[code] = LETTER if category[0] == "L" else NUMBER
+    # White space as Unicode has it.
+    out[[*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
+    return out
+
+
+def split_places(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the parts of texts begin: ``codes`` are the code points of texts one after
+    the other, ``starts`` the places at which a text begins (none is empty)."""
+    size = len(codes)
+    kinds = character_kinds()[codes]
+    begins = np.ones(size, bool)
+    begins[1:] = kinds[1:] != kinds[:-1]
+    text = np.zeros(size + 1, bool)
+    text[starts] = text[size] = True
+    begins |= text[:size]
+    # The last of some white space: a space goes to what follows, others stand alone.
+    space = kinds == SPACE
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~text[1:size])
+    begins[last] = True
+    begins[last[codes[last] == 0x20] + 1] = False
+    # An apostrophe that begins a part and is alone takes an ending with it.
+    marks = np.flatnonzero((codes[:-1] == 0x27) & begins[:-1] & (kinds[1:] == LETTER) & ~text[1:size])
+    for ending in ENDINGS:
+        ends = marks + 1 + len(ending)
+        inside = ends <= size
+        found, ends = marks[inside], ends[inside]
+        for k, letter in enumerate(ending):
+            fits = (codes[found + 1 + k] == ord(letter)) & ~text[found + 1 + k]
+            found, ends = found[fits], ends[fits]
+        begins[found + 1] = False
+        begins[ends[ends < size]] = True
+    return np.flatnonzero(begins)
+
+
 class Encoder:
     """Ids of texts, as the tokenizers library gives them without special tokens added."""
 
@@ -61,7 +112,6 @@ class Encoder:
         splits = parts.get("pre_tokenizer") or {}
         known = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
         self.by_parts = not parts.get("normalizer") and all(splits.get(k) == v for k, v in known.items())
-        self.split = regex.compile(PATTERN).findall
         self.memory = memory
         self._forget()
 
@@ -74,30 +124,53 @@ class Encoder:
         learned = [part.ids for part in self.library.encode_batch_fast(parts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, learned), np.int64, len(learned))
         self.numbers.update(zip(parts, range(len(self.lengths), len(self.lengths) + len(parts))))
-        flat = np.fromiter((i for ids in learned for i in ids), np.uint32, int(lengths.sum()))
-        self.begins = np.r_[self.begins, len(self.flat) + np.cumsum(lengths) - lengths]
-        self.flat, self.lengths = np.r_[self.flat, flat], np.r_[self.lengths, lengths]
+        flat = np.fromiter(chain.from_iterable(learned), np.uint32, int(lengths.sum()))
+        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        whole = {i for i, text in enumerate(texts) if not self.by_parts or any(token in text for token in self.special)}
-        parts = [[] if i in whole else self.split(text) for i, text in enumerate(texts)]
+    def _numbers(self, parts: list[str]) -> np.ndarray:
         if len(self.numbers) > self.memory:
             self._forget()
-        unknown = set().union(*parts).difference(self.numbers)
-        if unknown:
-            self._learn(sorted(unknown))
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        numbers = np.fromiter((n for own in parts for n in map(self.numbers.__getitem__, own)), np.int64, int(counts.sum()))
-        lengths = self.lengths[numbers]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.begins[numbers] - (ends - lengths), lengths) + np.arange(total)]
-        last = np.r_[0, ends][np.cumsum(counts)]
-        out = np.split(ids, last[:-1])
-        return [self._whole(texts[i]) if i in whole else own for i, own in enumerate(out)] if texts else []
+        numbers = np.fromiter(map(self.numbers.get, parts, repeat(-1)), np.int64, len(parts))
+        missing = np.flatnonzero(numbers < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(parts[i] for i in missing)))
+            numbers[missing] = [self.numbers[parts[i]] for i in missing]
+        return numbers
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
+        plain = [i for i, text in enumerate(texts) if text and self.by_parts and not any(token in text for token in self.special)]
+        whole = {i for i, text in enumerate(texts) if text}.difference(plain)
+        if plain:
+            joined = "".join([texts[i] for i in plain])
+            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+            sizes = np.fromiter((len(texts[i]) for i in plain), np.int64, len(plain))
+            starts = np.cumsum(sizes) - sizes
+            strange = np.flatnonzero(character_kinds()[codes] == UNKNOWN)
+            whole |= {plain[k] for k in np.searchsorted(starts, strange, "right") - 1}
+            places = split_places(codes, starts)
+            ends = np.append(places[1:], len(codes))
+            numbers = self._numbers([joined[a:b] for a, b in zip(places.tolist(), ends.tolist())])
+            lengths = self.lengths[numbers]
+            upto = np.cumsum(lengths)
+            ids = self.flat[np.repeat(self.begins[numbers] - (upto - lengths), lengths) + np.arange(upto[-1])]
+            cuts = np.concatenate([[0], upto])[np.append(np.searchsorted(places, starts), len(places))].tolist()
+            for i, a, b in zip(plain, cuts, cuts[1:]):
+                out[i] = ids[a:b]
+        for i in whole:
+            out[i] = self._whole(texts[i])
+        return out
+
+
+@functools.lru_cache(maxsize=2)
+def _encoder(definition: str) -> Encoder:
+    """One for all tasks of a worker: later ones find what earlier ones learned."""
+    return Encoder(definition)
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
@@ -168,7 +241,7 @@ def write_files(
     first = max([end_id, *added, *shape["model"]["vocab"].values()]) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = _encoder(shared.value)
         writer = _Writer(TaskContext.get().partitionId(), first, shard_ids)
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), [value or "" for value in batch.column("text").to_pylist()]

@@ -1,9 +1,10 @@
 """Re-Pair grammar compression of sequences of ids, and random access to what it wrote.
 
 Frequent neighbouring pairs are replaced by new symbols again and again.  One pass takes
-all pairs whose count is within a factor of the most frequent one's, more frequent ones
-first where they overlap, so that a few passes over numpy arrays do what would otherwise
-be a walk for each pair.  A pair that got its symbol in an earlier pass keeps it.
+all pairs that are frequent enough, more frequent ones first where they overlap, so that
+a few passes over numpy arrays do what would otherwise be a walk for each pair.  A pair
+that got its symbol in an earlier pass keeps it.  Passes end when one shortens the
+sequence by less than a stated share.
 
 The grammar is the list of rules (a symbol and its two halves), the expansion length of
 each and the passes they came from; a rule only refers to symbols of earlier passes.  The
@@ -20,8 +21,8 @@ import numpy as np
 
 # A rule has to be used so often: it costs two symbols and a length.
 LEAST_USES = 4
-# Pairs whose count is this share of the largest one are replaced in one pass.
-SHARE = 1 / 8
+# A pass has to shorten the sequence by this share.
+LEAST_GAIN = 1 / 50
 # Slots of the table that finds the pairs of a pass.
 SLOT_BITS = 17
 
@@ -31,21 +32,41 @@ UNRANKED = np.int32(2**31 - 1)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _pairs(symbols: np.ndarray) -> np.ndarray:
-    wide = symbols.astype(np.uint64)
-    return wide[:-1] << np.uint64(32) | wide[1:]
+def _pair_bits(top: int) -> int:
+    """Half the width of a pair of symbols below ``top``: narrow keys sort faster."""
+    return 16 if top <= 1 << 16 else 32
+
+
+def _pairs(symbols: np.ndarray, bits: int) -> np.ndarray:
+    wide = symbols.astype(np.uint32 if bits == 16 else np.uint64)
+    return wide[:-1] << bits | wide[1:]
 
 
 def _slot(pairs: np.ndarray) -> np.ndarray:
+    if pairs.dtype == np.uint32:
+        return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
     return (pairs * SPREAD) >> np.uint64(64 - SLOT_BITS)
 
 
-def _without_overlaps(pairs: np.ndarray, ranks: np.ndarray) -> None:
+def _frequent(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs with ``least`` occurrences and their counts, most frequent first."""
+    ordered = np.sort(pairs)
+    if len(ordered) < least:
+        return ordered[:0], np.zeros(0, np.int64)
+    many = ordered[least - 1 :] == ordered[: len(ordered) - least + 1]
+    found = ordered[: len(many)][many]
+    found = found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
+    counts = np.searchsorted(ordered, found, "right") - np.searchsorted(ordered, found, "left")
+    order = np.lexsort((found, -counts))
+    return found[order], counts[order]
+
+
+def _without_overlaps(ranks: np.ndarray) -> None:
     """In a run of one symbol the same pair stands at every place: take every second out."""
     same = np.flatnonzero((ranks[1:] == ranks[:-1]) & (ranks[1:] != UNRANKED)) + 1
     if not len(same):
         return
-    first = np.r_[True, np.diff(same) > 1]
+    first = np.concatenate([[True], np.diff(same) > 1])
     begins = same[np.maximum.accumulate(np.where(first, np.arange(len(same)), 0))] - 1
     ranks[same[(same - begins) % 2 == 1]] = UNRANKED
 
@@ -127,62 +148,59 @@ def _copy(flat: np.ndarray, to: np.ndarray, source: np.ndarray, lengths: np.ndar
     flat[_ragged(to, lengths)] = flat[_ragged(source, lengths)]
 
 
-def compress(ids: np.ndarray, first: int, least: int = LEAST_USES, share: float = SHARE) -> Grammar:
+def compress(ids: np.ndarray, first: int, least: int = LEAST_USES, gain: float = LEAST_GAIN) -> Grammar:
     """The grammar of ``ids``, all below ``first``."""
     symbols = np.array(ids, np.uint32)
     if len(symbols) and int(symbols.max()) >= first:
         raise ValueError(f"ids must be below {first}")
-    lengths = np.ones(first, np.int64)
-    rules = np.zeros(0, np.uint64)
-    known, known_rules, passes = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+    halves, lengths, passes = np.zeros((0, 2), np.uint32), np.ones(first, np.int64), []
     while len(symbols) > 1:
-        pairs = _pairs(symbols)
-        ordered = np.sort(pairs)
-        begins = np.r_[0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]
-        found, counts = ordered[begins], np.diff(np.r_[begins, len(ordered)])
-        old = np.zeros(len(found), bool)
+        bits = _pair_bits(len(lengths))
+        pairs = _pairs(symbols, bits)
+        known = halves[:, 0].astype(pairs.dtype) << bits | halves[:, 1].astype(pairs.dtype)
+        frequent, _ = _frequent(pairs, least)
+        candidates, numbers = frequent, np.full(len(frequent), -1, np.int64)
         if len(known):
-            at = np.minimum(np.searchsorted(known, found), len(known) - 1)
-            old = known[at] == found
-        top = counts[~old].max(initial=0)
-        wanted = old | (counts >= max(least, top * share))
-        if not wanted.any():
+            # Known pairs keep their symbols, whether they are frequent now or not.
+            order = np.argsort(known)
+            at = np.minimum(np.searchsorted(known[order], frequent), len(known) - 1)
+            old = known[order][at] == frequent
+            numbers[old] = first + order[at[old]]
+            rest = np.ones(len(known), bool)
+            rest[order[at[old]]] = False
+            candidates = np.concatenate([frequent, known[rest]])
+            numbers = np.concatenate([numbers, first + np.flatnonzero(rest)])
+        if not len(candidates):
             break
-        found, counts, old = found[wanted], counts[wanted], old[wanted]
-        by_rank = np.lexsort((found, -counts))
-        _, firsts = np.unique(_slot(found[by_rank]), return_index=True)
-        by_rank = by_rank[np.sort(firsts)]  # of pairs in one slot the others wait
-        found, old = found[by_rank], old[by_rank]
-        slots, table = _slot(found), np.zeros(1 << SLOT_BITS, np.int32)
-        holds = np.full(1 << SLOT_BITS, np.uint64(2**64 - 1))
-        holds[slots], table[slots] = found, np.arange(len(found), dtype=np.int32)
+        # Of pairs in one slot the less frequent wait for another pass.
+        _, kept = np.unique(_slot(candidates), return_index=True)
+        kept.sort()
+        candidates, numbers = candidates[kept], numbers[kept]
+        slots, table = _slot(candidates), np.full(1 << SLOT_BITS, UNRANKED)
+        holds = np.zeros(1 << SLOT_BITS, pairs.dtype)
+        holds[slots], table[slots] = candidates, np.arange(len(candidates), dtype=np.int32)
         place = _slot(pairs)
         ranks = np.full(len(pairs) + 2, UNRANKED)
         ranks[1:-1] = np.where(holds[place] == pairs, table[place], UNRANKED)
-        _without_overlaps(pairs, ranks[1:-1])
+        _without_overlaps(ranks[1:-1])
         chosen = np.flatnonzero((ranks[1:-1] < ranks[:-2]) & (ranks[1:-1] < ranks[2:]))
         chosen_ranks = ranks[1:-1][chosen]
-        uses = np.bincount(chosen_ranks, minlength=len(found))
-        worth = old | (uses >= least)
+        worth = (numbers >= 0) | (np.bincount(chosen_ranks, minlength=len(candidates)) >= least)
         chosen, chosen_ranks = chosen[worth[chosen_ranks]], chosen_ranks[worth[chosen_ranks]]
         if not len(chosen):
             break
-        numbers = np.zeros(len(found), np.int64)
-        if len(known):
-            numbers[old] = known_rules[np.searchsorted(known, found[old])]
-        new = ~old & worth
-        numbers[new] = len(lengths) + np.arange(int(new.sum()))
-        halves = found[new]
-        lengths = np.r_[lengths, lengths[(halves >> np.uint64(32)).astype(np.int64)] + lengths[(halves & np.uint64(0xFFFFFFFF)).astype(np.int64)]]
-        rules = np.r_[rules, halves]
-        passes.append(len(rules))
-        order = np.argsort(rules)
-        known, known_rules = rules[order], first + order
+        new = np.flatnonzero((numbers < 0) & worth)
+        numbers[new] = len(lengths) + np.arange(len(new))
+        own = np.stack([candidates[new] >> bits, candidates[new] & ((1 << bits) - 1)], axis=1).astype(np.uint32)
+        lengths = np.concatenate([lengths, lengths[own[:, 0]] + lengths[own[:, 1]]])
+        halves = np.concatenate([halves, own])
+        passes.append(len(halves))
         symbols[chosen] = numbers[chosen_ranks]
         keep = np.ones(len(symbols), bool)
         keep[chosen + 1] = False
         symbols = symbols[keep]
-    halves = np.stack([rules >> np.uint64(32), rules & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
+        if len(chosen) < gain * len(pairs):
+            break
     return Grammar(first, symbols, halves, lengths[first:].astype(np.uint64), np.array(passes, np.uint64))
 
 
