@@ -10,7 +10,8 @@ statistics that a reader skips by.  A manifest, one row a file, has where each f
 begins.
 
 The library splits a text by its pattern and encodes each part alone.  Parts repeat, so a
-task asks the library for every different part once and looks the others up.  Texts that
+task asks the library's model for every different part once and looks the others up by 128
+bits of a hash, all parts of many texts at once.  Texts that
 hold a special token or a character that is in no older Unicode version (on which the
 pattern's libraries differ), and tokenizers of another kind, go through it whole.
 
@@ -23,12 +24,13 @@ written.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import json
 import sys
 import unicodedata
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +43,8 @@ from .registry import query, table
 from .repair import Shard, compress
 
 # Ids of a shard, and of parts of texts that a task remembers.
-SHARD_IDS = 1 << 18
-MEMORY = 400_000
+SHARD_IDS = 1 << 19
+MEMORY = 1_500_000
 # Texts that are split at a time, by characters.
 SLICE = 1 << 20
 
@@ -100,6 +102,78 @@ def split_places(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+@functools.cache
+def _byte_table() -> str:
+    """The characters that stand for bytes in byte-level vocabularies.  Those
+    that can be printed stand for themselves, the others follow from 256 on in order."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [byte for byte in range(256) if byte not in printed]
+    return "".join(chr(byte if byte in printed else 256 + others.index(byte)) for byte in range(256))
+
+
+def _byte_characters(text: str) -> str:
+    return codecs.charmap_decode(text.encode("utf-8"), "strict", _byte_table())[0]
+
+
+# Two odd bases of hashes, and their inverses modulo 2^64.
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+INVERSES = tuple(pow(base, -1, 1 << 64) for base in BASES)
+SPREAD = np.uint64(0xD6E8FEB86659FD93)
+# Slots of the table of parts; of two parts of one slot the later one stays.
+SLOT_BITS = 20
+# Longer parts are not told by their hashes.
+LONGEST = 256
+
+
+@functools.lru_cache(maxsize=8)
+def _powers(base: int, size: int) -> np.ndarray:
+    out = np.full(size, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def part_hashes(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of a hash of each part's code points, the same wherever it stands."""
+    size, out = 1 << max(len(codes) - 1, 1).bit_length(), []
+    lengths = (ends - begins).astype(np.uint64) * SPREAD
+    sums = np.zeros(len(codes) + 1, np.uint64)
+    for base, inverse in zip(BASES, INVERSES):
+        np.cumsum(codes * _powers(base, size)[: len(codes)], dtype=np.uint64, out=sums[1:])
+        found = (sums[ends] - sums[begins]) * _powers(inverse, size)[begins] ^ lengths
+        out.append((found ^ found >> np.uint64(32)) * SPREAD)
+    return out[0], out[1]
+
+
+def _inside(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For runs of these lengths one after the other: each place's run, and its place there."""
+    runs = np.repeat(np.arange(len(lengths)), lengths)
+    return runs, np.arange(len(runs)) - (np.cumsum(lengths) - lengths)[runs]
+
+
+class _Lists:
+    """Lists of numbers one after the other, with room to grow."""
+
+    def __init__(self) -> None:
+        self.values, self.size = np.zeros(1 << 12, np.uint32), 0
+        self.begins, self.lengths, self.count = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64), 0
+
+    def extend(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        self.values = _room(self.values, self.size + len(values))
+        self.begins, self.lengths = (_room(a, self.count + len(lengths)) for a in (self.begins, self.lengths))
+        self.values[self.size : self.size + len(values)] = values
+        rows = slice(self.count, self.count + len(lengths))
+        self.begins[rows], self.lengths[rows] = self.size + np.cumsum(lengths) - lengths, lengths
+        self.size, self.count = self.size + len(values), self.count + len(lengths)
+
+
+def _room(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, 2 * len(array)), array.dtype)
+    out[: len(array)] = array
+    return out
+
+
 class Encoder:
     """Ids of texts, as the tokenizers library gives them without special tokens added."""
 
@@ -116,31 +190,61 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        """Numbers of parts, and their ids one after the other."""
-        self.numbers: dict[str, int] = {}
-        self.flat, self.begins, self.lengths = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, parts: list[str]) -> None:
-        learned = [part.ids for part in self.library.encode_batch_fast(parts, add_special_tokens=False)]
+        """The ids of each part; both hashes of all parts, sorted by the first, with their
+        numbers; and slots for those seen last."""
+        self.ids = _Lists()
+        self.first, self.second, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        size = 1 << SLOT_BITS
+        self.slots = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.full(size, -1, np.int32)
+
+    def _learn(self, parts: list[str], first: np.ndarray, second: np.ndarray) -> None:
+        """Encode parts that are not known, each by itself, and keep their ids."""
+        numbers = self._keep(parts)
+        first, second = np.concatenate([self.first, first]), np.concatenate([self.second, second])
+        order = np.argsort(first, kind="stable")
+        self.first, self.second, self.numbers = first[order], second[order], np.concatenate([self.numbers, numbers])[order]
+
+    def _keep(self, parts: list[str]) -> np.ndarray:
+        """Numbers of new parts."""
+        tokenize = self.library.model.tokenize
+        learned = [[token.id for token in tokenize(_byte_characters(part))] for part in parts]
+        numbers = np.arange(self.ids.count, self.ids.count + len(parts), dtype=np.int32)
         lengths = np.fromiter(map(len, learned), np.int64, len(learned))
-        self.numbers.update(zip(parts, range(len(self.lengths), len(self.lengths) + len(parts))))
-        flat = np.fromiter(chain.from_iterable(learned), np.uint32, int(lengths.sum()))
-        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.flat, self.lengths = np.concatenate([self.flat, flat]), np.concatenate([self.lengths, lengths])
+        self.ids.extend(np.fromiter(chain.from_iterable(learned), np.uint32, int(lengths.sum())), lengths)
+        return numbers
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+    def _by_hash(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        if not len(self.first):
+            return np.full(len(first), -1, np.int32)
+        at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+        return np.where((self.first[at] == first) & (self.second[at] == second), self.numbers[at], np.int32(-1))
 
-    def _numbers(self, parts: list[str]) -> np.ndarray:
-        if len(self.numbers) > self.memory:
+    def _numbers(self, text: str, codes: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if self.ids.count > self.memory:
             self._forget()
-        numbers = np.fromiter(map(self.numbers.get, parts, repeat(-1)), np.int64, len(parts))
-        missing = np.flatnonzero(numbers < 0).tolist()
-        if missing:
-            self._learn(list(dict.fromkeys(parts[i] for i in missing)))
-            numbers[missing] = [self.numbers[parts[i]] for i in missing]
+        first, second = part_hashes(codes, begins, ends)
+        slots = first >> np.uint64(64 - SLOT_BITS)
+        held_first, held_second, held = self.slots
+        numbers = np.where((held_first[slots] == first) & (held_second[slots] == second), held[slots], np.int32(-1))
+        long = np.flatnonzero(ends - begins > LONGEST)
+        numbers[long] = self._keep([text[a:b] for a, b in zip(begins[long].tolist(), ends[long].tolist())])
+        asked = np.flatnonzero(numbers < 0)
+        numbers[asked] = self._by_hash(first[asked], second[asked])
+        unknown = np.flatnonzero(numbers < 0)
+        if len(unknown):
+            _, places = np.unique(first[unknown], return_index=True)
+            places = unknown[places]
+            self._learn([text[a:b] for a, b in zip(begins[places].tolist(), ends[places].tolist())], first[places], second[places])
+            numbers[unknown] = self._by_hash(first[unknown], second[unknown])
+            # Parts that share the first hash with another one are not kept.
+            left = np.flatnonzero(numbers < 0)
+            numbers[left] = self._keep([text[a:b] for a, b in zip(begins[left].tolist(), ends[left].tolist())])
+        held_first[slots[asked]], held_second[slots[asked]], held[slots[asked]] = first[asked], second[asked], numbers[asked]
         return numbers
 
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         out: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
@@ -153,13 +257,13 @@ class Encoder:
             starts = np.cumsum(sizes) - sizes
             strange = np.flatnonzero(character_kinds()[codes] == UNKNOWN)
             whole |= {plain[k] for k in np.searchsorted(starts, strange, "right") - 1}
-            places = split_places(codes, starts)
-            ends = np.append(places[1:], len(codes))
-            numbers = self._numbers([joined[a:b] for a, b in zip(places.tolist(), ends.tolist())])
-            lengths = self.lengths[numbers]
-            upto = np.cumsum(lengths)
-            ids = self.flat[np.repeat(self.begins[numbers] - (upto - lengths), lengths) + np.arange(upto[-1])]
-            cuts = np.concatenate([[0], upto])[np.append(np.searchsorted(places, starts), len(places))].tolist()
+            begins = split_places(codes, starts)
+            ends = np.append(begins[1:], len(codes))
+            numbers = self._numbers(joined, codes, begins, ends)
+            lengths = self.ids.lengths[numbers]
+            runs, at = _inside(lengths)
+            ids = self.ids.values[self.ids.begins[numbers][runs] + at]
+            cuts = np.concatenate([[0], np.cumsum(lengths)])[np.append(np.searchsorted(begins, starts), len(begins))].tolist()
             for i, a, b in zip(plain, cuts, cuts[1:]):
                 out[i] = ids[a:b]
         for i in whole:

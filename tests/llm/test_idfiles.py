@@ -149,3 +149,16 @@ def test_unusual_rows_and_spans(spark, tmp_path):
     empty = str(tmp_path / "empty")
     idfiles.write_files(docs.limit(0), empty, idfiles.public_definition())
     assert idfiles.read_files(spark, empty).count() == 0
+
+
+def test_parts_of_one_slot_or_one_hash(monkeypatch):
+    """Hashes that say too little: every part still gets its own ids."""
+    definition = idfiles.public_definition()
+    library, hashes = Tokenizer.from_str(definition), idfiles.part_hashes
+    texts = ["one two three two one five six", "seven one " + "y" * 300 + " two", "three ten" * 40]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for narrow in (lambda h: h & np.uint64(3), lambda h: h % np.uint64(5) << np.uint64(60)):
+        monkeypatch.setattr(idfiles, "part_hashes", lambda *a, n=narrow: (n(hashes(*a)[0]), hashes(*a)[1]))  # noqa: B023
+        encoder = idfiles.Encoder(definition)
+        for _ in range(3):
+            assert [ids.tolist() for ids in encoder.encode(texts)] == expected
