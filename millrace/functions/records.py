@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -39,6 +39,20 @@ ACCEPTED_KINDS: dict[type[T.DataType], tuple[str, ...]] = {
     T.StringType: ("STRING",),
 }
 
+# Logical types, the primitives they annotate and their Spark types.  Any
+# other annotation is ignored, as the schema language asks.
+LOGICAL: dict[tuple[str, str], T.DataType] = {
+    ("int", "date"): T.DateType(),
+    ("long", "timestamp-millis"): T.TimestampType(),
+    ("long", "timestamp-micros"): T.TimestampType(),
+    ("long", "local-timestamp-millis"): T.TimestampNTZType(),
+    ("long", "local-timestamp-micros"): T.TimestampNTZType(),
+    ("string", "uuid"): T.StringType(),
+}
+UUID = "^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$"
+# Times outside the years 1 to 9999 are misfits; microseconds.
+FIRST_TIME, LAST_TIME = -62_135_596_800_000_000, 253_402_300_799_999_999
+
 MISSING = object()
 
 
@@ -47,6 +61,7 @@ class Field:
     name: str
     kind: "Kind"
     default: Any
+    aliases: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -59,6 +74,10 @@ class Kind:
     fields: tuple[Field, ...] = ()
     item: "Kind | None" = None
     symbols: tuple[str, ...] = ()
+    logical: str | None = None
+    name: str | None = None
+    aliases: tuple[str, ...] = ()
+    fallback: str | None = None  # the symbol that unknown ones of another schema become
 
 
 def parse_schema(text: str | dict | list) -> Kind:
@@ -89,15 +108,14 @@ def _resolve(node: Any, named: dict[str, Kind], space: str = "") -> Kind:
             spark = T.StructType([T.StructField(f.name, f.kind.spark, True) for f in fields])
             return Kind("union", spark, len(branches) < len(node), fields)
         inner = _resolve(branches[0], named, space)
-        nullable = inner.nullable or len(branches) < len(node)
-        return Kind(inner.shape, inner.spark, nullable, inner.fields, inner.item, inner.symbols)
+        return replace(inner, nullable=inner.nullable or len(branches) < len(node))
     if not isinstance(node, dict) or "type" not in node:
         raise ValueError("a schema node needs a type")
     name = node["type"]
     space = node.get("namespace", space)
     if name == "record":
         fields = tuple(
-            Field(f["name"], _resolve(f["type"], named, space), f.get("default", MISSING))
+            Field(f["name"], _resolve(f["type"], named, space), f.get("default", MISSING), tuple(f.get("aliases", ())))
             for f in node["fields"]
         )
         spark = T.StructType([T.StructField(f.name, f.kind.spark, True) for f in fields])
@@ -109,11 +127,13 @@ def _resolve(node: Any, named: dict[str, Kind], space: str = "") -> Kind:
         item = _resolve(node["items"], named, space)
         found = Kind("array", T.ArrayType(item.spark, True), False, item=item)
     elif name == "enum":
-        found = Kind("scalar", T.StringType(), False, symbols=tuple(node["symbols"]))
+        found = Kind("scalar", T.StringType(), False, symbols=tuple(node["symbols"]), fallback=node.get("default"))
     elif name == "fixed":
-        found = Kind("scalar", T.BinaryType(), False)
+        found = _annotated(node, "fixed") or Kind("scalar", T.BinaryType(), False)
     else:
-        return _resolve(name, named, space)
+        annotated = _annotated(node, name) if isinstance(name, str) else None
+        return annotated or _resolve(name, named, space)
+    found = replace(found, name=node.get("name"), aliases=tuple(node.get("aliases", ())))
     if "name" in node:
         named[node["name"]] = found
         if space:
@@ -121,6 +141,18 @@ def _resolve(node: Any, named: dict[str, Kind], space: str = "") -> Kind:
     return found
 
 
+def _annotated(node: dict, primitive: str) -> Kind | None:
+    """A node with a logical type, None if it has none that is known and valid."""
+    logical = node.get("logicalType")
+    if (primitive, logical) in LOGICAL:
+        return Kind("scalar", LOGICAL[primitive, logical], False, logical=logical)
+    precision, scale = node.get("precision"), node.get("scale", 0)
+    valid = isinstance(precision, int) and isinstance(scale, int) and 0 <= scale <= precision and 1 <= precision <= 38
+    if primitive in ("bytes", "fixed") and logical == "decimal" and valid:
+        return Kind("scalar", T.DecimalType(precision, scale), False, logical=logical)
+    return None
+
+
 def _branch_name(branch: Any) -> str:
     """What a union's branch is called: its own name, or its type."""
     if isinstance(branch, str):
@@ -136,6 +168,8 @@ def _default(kind: Kind, value: Any) -> str:
     ddl = kind.spark.simpleString()
     if value is None:
         return f"CAST(NULL AS {ddl})"
+    if kind.logical is not None and kind.logical != "uuid":
+        return _read(f"parse_json({_quoted(json.dumps(value))})", kind)[0]
     if kind.shape == "scalar" and isinstance(kind.spark, T.StringType | T.BinaryType):
         return f"CAST({_quoted(value)} AS {ddl})"
     if kind.shape == "scalar":
@@ -181,6 +215,8 @@ def _read(value: str, kind: Kind, depth: int = 0) -> tuple[str, str]:
             before.append(branch_ok)
         typed = f"named_struct({', '.join(members)})"
         ok = "(" + " OR ".join(f"coalesce({b}, false)" for b in before) + ")"
+    elif kind.logical is not None:
+        typed, ok = _read_logical(value, kind)
     elif isinstance(kind.spark, T.NullType):
         typed, ok = "NULL", f"is_variant_null({value})"
     else:
@@ -195,6 +231,31 @@ def _read(value: str, kind: Kind, depth: int = 0) -> tuple[str, str]:
     return typed, ok
 
 
+def _read_logical(value: str, kind: Kind) -> tuple[str, str]:
+    """The same for logical types: days and times since the epoch as numbers, decimals as
+    numbers or text with no more digits than declared."""
+    whole, ddl = _has_kind(value, ("BIGINT",)), kind.spark.simpleString()
+    if kind.logical == "date":
+        typed = f"date_from_unix_date(try_variant_get({value}, '$', 'int'))"
+        return typed, f"({typed} IS NOT NULL AND {whole})"
+    if kind.logical == "uuid":
+        typed = f"try_variant_get({value}, '$', 'string')"
+        return typed, f"({_has_kind(value, ('STRING',))} AND coalesce({typed} RLIKE {_quoted(UUID)}, false))"
+    if kind.logical == "decimal":
+        text = f"try_variant_get({value}, '$', 'string')"
+        plain = _quoted(rf"^-?\d+(\.\d{{0,{kind.spark.scale}}}0*)?$")
+        fits = f"coalesce({text} RLIKE {plain}, false) AND {_has_kind(value, ('BIGINT', 'DECIMAL', 'STRING'))}"
+        typed = f"CASE WHEN {fits} THEN try_cast({text} AS {ddl}) END"
+        return typed, f"({typed} IS NOT NULL)"
+    number, factor = f"try_variant_get({value}, '$', 'bigint')", 1000 if kind.logical.endswith("millis") else 1
+    inside = f"{number} BETWEEN {-(-FIRST_TIME // factor)} AND {LAST_TIME // factor}"
+    at = f"timestamp_micros({number} * {factor})"
+    if isinstance(kind.spark, T.TimestampNTZType):
+        at = f"CAST({at} AS TIMESTAMP_NTZ)"
+    typed = f"CASE WHEN {inside} THEN {at} END"
+    return typed, f"({typed} IS NOT NULL AND {whole})"
+
+
 def _read_members(value: str, found: list[str], kind: Kind, depth: int) -> tuple[str, str]:
     columns, checks = [], []
     for member, field in zip(found, kind.fields):

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import payload as P
+from ..functions.evolution import with_evolved
 from ..functions.records import parse_schema, with_record
 from . import errors
+from .lookup import held, left_lookup
 from .sequence import assign_sequence
 
 # Fixed value: rows of a batch where nothing else is set.
@@ -34,7 +36,7 @@ def check_conversion(source: str, target: str) -> None:
 
 
 def to_record(
-    df: DataFrame, schema: str | dict | None, *, normalize: bool = True, form: str | None = None
+    df: DataFrame, schema: str | dict | None, *, normalize: bool = True, form: str | None = None, writer: str | dict | None = None
 ) -> DataFrame:
     """JSON payload → declared record; rows that do not conform are marked.
 
@@ -46,6 +48,12 @@ def to_record(
     if schema is None:
         raise ValueError("Missing required attribute: schema")
     declared = parse_schema(schema)
+    if writer is not None:
+        written = parse_schema(writer)
+        read = df if form == "record" else to_record(df, writer, normalize=normalize)
+        evolved = with_evolved(read, "data", written, declared)
+        misfit = F.when(F.col("data").isNotNull() & ~F.col("_ok"), F.lit(errors.SCHEMA_MISMATCH))
+        return errors.mark(evolved, misfit).withColumn("data", F.when(F.col("_ok"), F.col("_record"))).drop("_record", "_ok")
     if form == "record":
         return df
     if payload_form(df) == "record":
@@ -89,22 +97,30 @@ def batch_to_json(
     """JSON arrays of row objects, rows in ``order_by`` order: (batch_id, chunk, n_rows, data).
 
     A batch of any size comes out in chunks of ``chunk_rows`` rows, the last one
-    shorter, so no value and no task holds a whole batch.  Rows are numbered over
-    (batch, order) by range partitions; a chunk is a run of those numbers.
+    shorter, so no value and no task holds a whole batch.  Batches of one chunk are
+    gathered by one shuffle.  Rows of longer ones are numbered over (batch, order) by
+    range partitions first; a chunk is a run of those numbers.
     """
     key = F.col(batch) if isinstance(batch, str) else batch
     keyed = df.select(key.alias("batch_id"), F.col(order_by).alias("_order"), row.alias("_row"))
-    placed = assign_sequence(keyed, ["batch_id", "_order"], column="_number")
-    starts = placed.groupBy(F.col("batch_id").alias("_batch")).agg(F.min("_number").alias("_start"))
-    chunked = placed.join(starts, F.col("batch_id").eqNullSafe(F.col("_batch")))
-    chunked = chunked.withColumn("chunk", F.floor((F.col("_number") - F.col("_start")) / chunk_rows))
-    gathered = chunked.groupBy("batch_id", "chunk").agg(
+    counts = keyed.groupBy(F.col("batch_id").alias("_batch")).agg(F.count(F.lit(1)).alias("_rows"))
+    long, few = held(counts.where(F.col("_rows") > chunk_rows), "long-batches")
+    is_long = F.col("batch_id").eqNullSafe(F.col("_batch"))
+    some = not (few and long.isEmpty())
+    short = (keyed.join(long, is_long, "left_anti") if some else keyed).withColumn("_number", F.monotonically_increasing_id())
+    gathered = short.groupBy("batch_id").agg(
+        F.lit(0).cast("long").alias("chunk"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.array_sort(F.collect_list(F.struct("_number", "_row"))).alias("_rows"),
-    )
-    return gathered.select(
-        "batch_id",
-        "chunk",
-        "n_rows",
-        F.to_json(F.transform("_rows", lambda e: e["_row"]), {"ignoreNullFields": "false"}).alias("data"),
+        F.array_sort(F.collect_list(F.struct("_order", "_number", "_row"))).alias("_rows"),
     )
+    arrays = gathered.select("batch_id", "chunk", "n_rows", F.transform("_rows", lambda e: e["_row"]).alias("_rows"))
+    if some:
+        placed = assign_sequence(keyed.join(long, is_long, "left_semi"), ["batch_id", "_order"], column="_number")
+        starts = placed.groupBy("batch_id").agg(F.min("_number").alias("_start"), F.count(F.lit(1)).alias("_count"))
+        chunked = left_lookup(placed, starts, "batch_id", "_count")
+        chunked = chunked.withColumn("chunk", F.floor((F.col("_number") - F.col("_start")) / chunk_rows))
+        gathered = chunked.groupBy("batch_id", "chunk").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.array_sort(F.collect_list(F.struct("_number", "_row"))).alias("_rows")
+        )
+        arrays = arrays.unionByName(gathered.select("batch_id", "chunk", "n_rows", F.transform("_rows", lambda e: e["_row"]).alias("_rows")))
+    return arrays.select("batch_id", "chunk", "n_rows", F.to_json("_rows", {"ignoreNullFields": "false"}).alias("data"))

@@ -1,7 +1,24 @@
-"""Duplicate detection inside a time window, measured from the last accepted row."""
+"""Duplicate detection inside a time window, measured from the last accepted row.
+
+The rule is sequential: a row is accepted if the id's last accepted row lies a window or
+more before it.  Rows of one id are reduced to their distinct times and put in ranges of
+(id, time), so a range cuts at most one id at its start.  Every id that starts inside a
+range is walked to its end there.  For the one id that may go on from earlier ranges, the
+range gives its *transfer*: for each time at which the walk may enter, the time at which
+it leaves.  Those transfers, at most one window of times for each range, are composed
+over the ranges, and the ranges are then walked from where they are entered.  Nothing
+depends on how many rows an id has.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,124 +26,186 @@ from pyspark.sql.window import Window
 from ..functions.durations import duration_micros
 from ..session import materialize
 
-# Ids with more rows than this take the distributed path.
-HOT_ROWS = 10_000
-
-_SECOND = 1_000_000
-
-
-def _accepted_cold(rows: DataFrame, window: int) -> DataFrame:
-    """Bounded ids: walk each id's sorted times in one built-in fold."""
-    times = F.array_sort(F.collect_list(F.struct("_ts", "_tie")))
-    walk = F.aggregate(
-        "_times",
-        F.array().cast("array<struct<_ts:bigint,_tie:bigint>>"),
-        lambda kept, e: F.when(
-            (F.size(kept) == 0) | (e["_ts"] >= F.element_at(kept, -1)["_ts"] + window),
-            F.concat(kept, F.array(e)),
-        ).otherwise(kept),
-    )
-    return (
-        rows.groupBy("_id")
-        .agg(times.alias("_times"))
-        .select("_id", F.explode(walk).alias("_a"))
-        .select("_id", F.col("_a._ts").alias("_ts"), F.col("_a._tie").alias("_tie"))
-    )
-
-
-def _successors(nodes: DataFrame, window: int) -> DataFrame:
-    """For every (id, time), the id's first time at or after ``time + window``.
 
-    Times are distinct per id, so a one-second bucket of one id has at most a
-    million nodes and a million probes, whatever the id's share of the table.
+def _walk(times: list[int], start: int, end: int, window: int) -> Iterator[int]:
+    """Places of the accepted times of ``times[start:end]``, the first one included."""
+    at = start
+    while at < end:
+        yield at
+        at = bisect_left(times, times[at] + window, at + 1, end)
+
+
+def exits(times: np.ndarray, window: int) -> np.ndarray:
+    """The last place of the walk from each place, all at once by following the followers."""
+    follower = np.searchsorted(times, times + window)
+    last = follower == len(times)
+    out = np.where(last, np.arange(len(times)), follower)
+    while True:
+        further = out[out]
+        if (further == out).all():
+            return out
+        out = further
+
+
+def _segments(ids: pa.Array) -> np.ndarray:
+    """Where each id's rows begin, and the end."""
+    if not len(ids):
+        return np.zeros(1, np.int64)
+    changes = np.array(pc.not_equal(ids.slice(1), ids.slice(0, len(ids) - 1)).to_pylist(), bool)
+    return np.concatenate([[0], np.flatnonzero(changes) + 1, [len(ids)]])
+
+
+def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
+    held = [batch for batch in batches if batch.num_rows]
+    return pa.Table.from_batches(held).combine_chunks() if held else None
+
+
+def _ranges(window: int):
+    """Sorted ``_id, _ts, _tie`` of one range, with ``_part``, ``_accepted`` (null for the
+    first id, which may go on from an earlier range) and ``_exit`` of its first times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _table(batches)
+        if rows is None:
+            return
+        ids, times = rows.column("_id").combine_chunks(), rows.column("_ts").to_numpy()
+        cuts, listed = _segments(ids), times.tolist()
+        accepted = np.zeros(len(times), bool)
+        accepted[cuts[:-1]] = True
+        # Ids whose times lie within one window are done.
+        for start, end in zip(cuts[1:-1].tolist(), cuts[2:].tolist()):
+            if listed[end - 1] >= listed[start] + window:
+                accepted[list(_walk(listed, start, end, window))] = True
+        first = times[: cuts[1]]
+        # The walk enters at the first time a window after some time before this range.
+        enters = min(len(first), int(np.searchsorted(first, first[0] + window)) + 1)
+        leaves = np.zeros(len(times), np.int64)
+        leaves[:enters] = first[exits(first, window)[:enters]]
+        outside = np.arange(len(times))
+        columns = {
+            "_id": ids,
+            "_ts": pa.array(times),
+            "_tie": rows.column("_tie").combine_chunks(),
+            "_part": pa.array(np.full(len(times), TaskContext.get().partitionId(), np.int32)),
+            "_accepted": pa.array(accepted, mask=outside < cuts[1]),
+            "_exit": pa.array(leaves, mask=outside >= enters),
+        }
+        yield from pa.table(columns).to_batches(max_chunksize=100_000)
+
+    return run
+
+
+def _entered(window: int):
+    """Sorted ``_id, _ts, _tie, _entry`` of ranges: the accepted ones of those entered."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _table(batches)
+        if rows is None:
+            return
+        parts, times = rows.column("_part").to_numpy(), rows.column("_ts").to_numpy().tolist()
+        entries = rows.column("_entry").to_pylist()
+        cuts = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1).tolist(), len(parts)]
+        chosen = [
+            place
+            for start, end in zip(cuts, cuts[1:])
+            for place in _walk(times, bisect_left(times, entries[start], start, end), end, window)
+        ]
+        yield from rows.select(["_id", "_ts", "_tie"]).take(pa.array(chosen, pa.int64())).to_batches()
+
+    return run
+
+
+def _followers(leaving: DataFrame, waiting: DataFrame, window: int) -> DataFrame:
+    """``_id, _ts, _next, _next_part``: for each time of ``leaving`` (``_id, _ts, _exit``)
+    the first of the ``waiting`` times a window or more after its exit.
+
+    Which range that is follows from the last times of the ranges, one row each; within a
+    range it is the first time that a walk may enter at.
     """
-    both = nodes.select(
-        "_id", F.col("_ts").alias("_at"), F.lit(1).alias("_is_node"), F.col("_ts").alias("_from")
-    ).unionByName(
-        nodes.select(
-            "_id", (F.col("_ts") + window).alias("_at"), F.lit(0).alias("_is_node"), F.col("_ts").alias("_from")
-        )
-    ).withColumn("_sec", F.floor(F.col("_at") / _SECOND))
-    node_at = F.when(F.col("_is_node") == 1, F.col("_at"))
-    ahead = (
-        Window.partitionBy("_id", "_sec")
-        .orderBy("_at", "_is_node")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
-    within = both.withColumn("_next", F.min(node_at).over(ahead))
-    # One row per id and second that has anything: bounded by the span of time.
-    seconds = both.groupBy("_id", "_sec").agg(F.min(node_at).alias("_first"))
-    later = (
-        Window.partitionBy("_id").orderBy("_sec").rowsBetween(1, Window.unboundedFollowing)
-    )
-    seconds = seconds.select("_id", "_sec", F.min("_first").over(later).alias("_later"))
-    return (
-        within.where(F.col("_is_node") == 0)
-        .join(seconds, ["_id", "_sec"])
-        .select("_id", F.col("_from").alias("_ts"), F.coalesce("_next", "_later").alias("_next"))
-        .where(F.col("_next").isNotNull())
-    )
-
-
-def _accepted_hot(rows: DataFrame, window: int) -> DataFrame:
-    """Unbounded ids: follow "next accepted" links by doubling.
-
-    After round *k* the first 2^k accepted times of every id are known, so the
-    number of rounds is the logarithm of the longest chain.  All joins are on
-    (id, time), which is unique, so a single hot id spreads over every task.
+    ends = waiting.groupBy("_id", "_part").agg(F.max("_ts").alias("_end"), F.min("_ts").alias("_begin"))
+    earlier = Window.partitionBy("_id").orderBy("_part")
+    ends = ends.withColumn("_before", F.coalesce(F.lag("_end").over(earlier), F.lit(-(2**63))))
+    probes = leaving.select("_id", "_ts", (F.col("_exit") + window).alias("_at"))
+    # At most one waiting id a range, so a row a range.
+    placed = probes.join(F.broadcast(ends), "_id").where((F.col("_at") <= F.col("_end")) & (F.col("_at") > F.col("_before")))
+    inside = placed.select("_id", "_part", F.greatest("_at", "_begin").alias("_at"), F.col("_ts").alias("_from"), F.lit(1).alias("_probe"))
+    nodes = waiting.where(F.col("_exit").isNotNull()).select("_id", "_part", F.col("_ts").alias("_at"), F.lit(None).cast("bigint").alias("_from"), F.lit(2).alias("_probe"))
+    ahead = Window.partitionBy("_id", "_part").orderBy("_at", "_probe").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = inside.unionByName(nodes).withColumn("_next", F.min(F.when(F.col("_probe") == 2, F.col("_at"))).over(ahead))
+    return found.where("_probe = 1").select("_id", F.col("_from").alias("_ts"), "_next", F.col("_part").alias("_next_part")).where(F.col("_next").isNotNull())
+
+
+def _entries(walked: DataFrame, waiting: DataFrame, window: int) -> DataFrame:
+    """``_id, _part, _entry``: where the walk of each id enters the ranges it comes to.
+
+    From the transfers of the ranges.  A link leads from an entry to the entry of a later
+    range; links are composed pairwise, so that the rounds are the logarithm of the number
+    of ranges that one id lies in.
     """
-    nodes = materialize(
-        rows.groupBy("_id", "_ts").agg(F.min("_tie").alias("_tie")), "dedup-times"
-    )
-    links = materialize(_successors(nodes.select("_id", "_ts"), window), "dedup-links")
-    found = nodes.groupBy("_id").agg(F.min("_ts").alias("_ts"))
-    known = found.count()
-    while known:
-        reached = found.join(links, ["_id", "_ts"]).select("_id", F.col("_next").alias("_ts"))
-        found = materialize(found.unionByName(reached), "dedup-found")
+    known = waiting.select("_id").distinct()
+    last = walked.where("_accepted").join(F.broadcast(known), "_id", "left_semi").groupBy("_id").agg(F.max("_ts").alias("_ts"))
+    first = waiting.groupBy("_id").agg(F.min_by("_part", "_ts").alias("_part"), F.min("_ts").alias("_entry"))
+    begun = materialize(last.select("_id", "_ts", F.col("_ts").alias("_exit")), "dedup-begun")
+    at_start = first.join(begun, "_id", "left_anti").select("_id", "_part", "_entry")
+    leaving = waiting.where(F.col("_exit").isNotNull()).select("_id", "_ts", "_exit")
+    found = at_start.unionByName(_followers(begun, waiting, window).select("_id", F.col("_next_part").alias("_part"), F.col("_next").alias("_entry")))
+    found = materialize(found, "dedup-entries")
+    links = materialize(_followers(leaving, waiting, window), "dedup-links")
+    count = found.count()
+    while True:
+        reached = found.join(links, (found["_id"] == links["_id"]) & (found["_entry"] == links["_ts"])).select(
+            found["_id"], links["_next_part"].alias("_part"), links["_next"].alias("_entry")
+        )
+        found = materialize(found.unionByName(reached), "dedup-entries")
         total = found.count()
-        if total == known:
-            break
-        known = total
-        onward = links.select("_id", F.col("_ts").alias("_next"), F.col("_next").alias("_after"))
+        if total == count:
+            return found
+        count = total
+        onward = links.select("_id", F.col("_ts").alias("_next"), F.col("_next").alias("_then"), F.col("_next_part").alias("_then_part"))
         links = materialize(
-            links.join(onward, ["_id", "_next"]).select("_id", "_ts", F.col("_after").alias("_next")),
-            "dedup-links",
+            links.join(onward, ["_id", "_next"]).select("_id", "_ts", F.col("_then").alias("_next"), F.col("_then_part").alias("_next_part")), "dedup-links"
         )
-    return found.join(nodes, ["_id", "_ts"])
 
 
-def accepted(
-    df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """(``_id``, ``_ts``, ``_tie``) of the rows a windowed duplicate check accepts."""
+def accepted(df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, ranges: int | None = None) -> DataFrame:
+    """(``_id``, ``_ts``, ``_tie``) of the rows a windowed duplicate check accepts.
+
+    ``ranges`` sets the number of (id, time) ranges; without it adaptive execution merges
+    small ones.
+    """
     length = duration_micros(window) if isinstance(window, str) else window
     if length <= 0:
         raise ValueError("a duplicate window is longer than nothing")
     rows = df.select(
-        F.col(id).alias("_id"), F.col(timestamp).alias("_ts"), F.col(tie).cast("bigint").alias("_tie")
-    ).where(F.col("_id").isNotNull())
-    # Partial counts combine map-side; usually no id is over the bound.
-    hot = materialize(
-        rows.groupBy("_id").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select("_id"),
-        "dedup-hot",
+        F.col(id).alias("_id"), F.col(timestamp).cast("bigint").alias("_ts"), F.col(tie).cast("bigint").alias("_tie")
+    ).where(F.col("_id").isNotNull() & F.col("_ts").isNotNull())
+    nodes = materialize(rows.groupBy("_id", "_ts").agg(F.min("_tie").alias("_tie")), "dedup-times")
+    dealt = nodes.repartitionByRange(ranges, "_id", "_ts") if ranges else nodes.repartitionByRange("_id", "_ts")
+    kind = nodes.schema["_id"].dataType.simpleString()
+    shape = f"_id {kind}, _ts long, _tie long"
+    walked = materialize(
+        dealt.sortWithinPartitions("_id", "_ts").mapInArrow(_ranges(length), f"{shape}, _part int, _accepted boolean, _exit long"), "dedup-walked"
     )
-    if hot.isEmpty():
-        return _accepted_cold(rows, length)
-    return _accepted_cold(rows.join(hot, "_id", "left_anti"), length).unionByName(
-        _accepted_hot(rows.join(hot, "_id", "left_semi"), length)
-    )
-
-
-def mark_duplicates(
-    df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+    done = walked.where("_accepted").select("_id", "_ts", "_tie")
+    waiting = walked.where(F.col("_accepted").isNull())
+    # Every range has rows that wait; a single one has nothing before it.
+    parts = waiting.agg(F.count_distinct("_part")).first()[0]
+    if parts <= 1:
+        entries = waiting.groupBy("_id", "_part").agg(F.min("_ts").alias("_entry"))
+    else:
+        entries = _entries(walked, waiting, length)
+    entered = waiting.select("_id", "_ts", "_tie", "_part").join(F.broadcast(entries), ["_id", "_part"])
+    dealt = entered.repartition("_part").sortWithinPartitions("_part", "_ts").select("_id", "_ts", "_tie", "_part", "_entry")
+    return done.unionByName(dealt.mapInArrow(_entered(length), shape))
+
+
+def mark_duplicates(df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, ranges: int | None = None) -> DataFrame:
     """Add ``duplicate``: a repeat of an id within ``window`` of its last accepted row.
 
     ``tie`` orders rows of one id at the same time and makes them distinct.  Rows
-    without an id are never duplicates.
+    without an id or a time are never duplicates.
     """
-    kept = accepted(df, id, timestamp, tie, window, hot_rows=hot_rows).select(
+    kept = accepted(df, id, timestamp, tie, window, ranges=ranges).select(
         F.col("_id").alias("_kept_id"), F.col("_ts").alias("_kept_ts"), F.col("_tie").alias("_kept_tie")
     )
     match = [
@@ -136,14 +215,12 @@ def mark_duplicates(
     ]
     return (
         df.join(kept, match, "left")
-        .withColumn("duplicate", df[id].isNotNull() & F.col("_kept_id").isNull())
+        .withColumn("duplicate", df[id].isNotNull() & df[timestamp].isNotNull() & F.col("_kept_id").isNull())
         .drop("_kept_id", "_kept_ts", "_kept_tie")
     )
 
 
-def dedup(
-    df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def dedup(df: DataFrame, id: str, timestamp: str, tie: str, window: int | str, *, ranges: int | None = None) -> DataFrame:
     """Only the accepted rows."""
-    marked = mark_duplicates(df, id, timestamp, tie, window, hot_rows=hot_rows)
+    marked = mark_duplicates(df, id, timestamp, tie, window, ranges=ranges)
     return marked.where(~F.col("duplicate")).drop("duplicate")

@@ -8,10 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .lookup import held, left_lookup
+
 # Sequences are unique, so a bucket of width 2^15 holds at most that many messages.
 # Narrowing in steps of 2^15 keeps each step's totals to tens of thousands of rows
 # for tables of up to 2^45 messages.
 _SHIFTS = (30, 15, 0)
+# Bits of a sequence that one step of the per-key narrowing settles.
+_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -67,35 +71,42 @@ def _cut(messages: DataFrame, sequence: str, weight: Column, limit: int, newest:
     return low
 
 
-def _cuts_by_key(
-    messages: DataFrame, key: str, sequence: str, limit: int, newest: bool
-) -> DataFrame:
-    """``_cut`` for message counts, for every key at once: (key, ``_cut``).
+def _cuts_by_key(messages: DataFrame, key: str, sequence: str, limit: int, newest: bool) -> DataFrame | None:
+    """``_cut`` for message counts, for every key at once: (key, ``_cut``, ``_rows``).
 
-    Keys that never exceed the limit have no row.  Buckets of one key meet in one
-    task, rows of one key do not.
+    Keys that never exceed the limit have no row; None if no key does.  Each step counts
+    the messages of every key by ranges of sequences, map-side combined, and keeps for
+    each key the range in which its limit is crossed; the next step counts within those.
+    A key has at most 2^12 ranges in a step, whatever its share of the messages.
     """
-    narrowed = messages.select(key, F.col(sequence).alias("_s"), F.lit(0).cast("bigint").alias("_used"))
-    found = None
-    for step, shift in enumerate(_SHIFTS):
-        if found is not None:
-            crossed = found.select(F.col(key).alias("_key"), F.col("_bucket").alias("_parent"), "_used")
-            narrowed = narrowed.drop("_used").join(
-                crossed,
-                F.col(key).eqNullSafe(F.col("_key")) & (F.shiftright("_s", _SHIFTS[step - 1]) == F.col("_parent")),
-            ).drop("_key", "_parent")
-        totals = narrowed.groupBy(key, F.shiftright("_s", shift).alias("_bucket")).agg(
-            F.count(F.lit(1)).alias("_w"), F.max("_used").alias("_used")
-        )
-        direction = F.col("_bucket").desc() if newest else F.col("_bucket").asc()
-        running = Window.partitionBy(key).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
-        total = F.col("_total")
-        found = (
-            totals.withColumn("_total", F.sum("_w").over(running) + F.col("_used"))
+    first, last = messages.agg(F.min(sequence), F.max(sequence)).first()
+    if first is None:
+        return None
+    place = F.col(sequence) - F.lit(first)
+    shift = max(0, (last - first).bit_length() - _BITS)
+    within = messages.select(key, place.alias("_s"), F.lit(0).cast("bigint").alias("_used"))
+    direction = F.col("_range").desc() if newest else F.col("_range").asc()
+    running = Window.partitionBy(key).orderBy(direction).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(key)
+    total, rows = F.col("_total"), F.sum("_w").over(whole)
+    while True:
+        totals = within.groupBy(key, F.shiftright("_s", shift).alias("_range")).agg(F.count(F.lit(1)).alias("_w"), F.max("_used").alias("_used"))
+        crossed = (
+            totals.withColumns({"_total": F.sum("_w").over(running) + F.col("_used"), "_rows": rows})
             .where((total > limit) & (total - F.col("_w") <= limit))
-            .select(key, "_bucket", (total - F.col("_w")).alias("_used"))
+            .select(key, "_range", (total - F.col("_w")).alias("_used"), "_rows")
         )
-    return found.select(key, F.col("_bucket").alias("_cut"))
+        found, few = held(crossed, "retain-ranges")
+        if few and found.isEmpty():
+            return None
+        if shift == 0:
+            return found.select(key, (F.col("_range") + F.lit(first)).alias("_cut"), "_rows")
+        narrow = found.select(F.col(key).alias("_key"), F.col("_range").alias("_parent"), "_used")
+        # Of one key only a 2^12-th of its sequences is left; more keys than are held meet
+        # their messages by key and range.
+        match = F.col(key).eqNullSafe(F.col("_key")) & (F.shiftright(place, shift) == F.col("_parent"))
+        within = messages.join(F.broadcast(narrow) if few else narrow, match).select(key, place.alias("_s"), "_used")
+        shift = max(0, shift - _BITS)
 
 
 def _retain_running(
@@ -133,13 +144,17 @@ def retain_per_subject(
     """Newest (or oldest) ``max_per_subject`` messages of every subject; NULL is one.
 
     No subject's messages are sorted or gathered in one task, whatever the limit: each
-    subject's cut comes from bucket totals, and the table is filtered on it.
+    subject's cut comes from range totals, and the table is filtered on the cuts of the
+    subjects above the limit.  Those few are broadcast; of more than a bounded number,
+    the ones with many messages are, and only the others' messages are shuffled.
     """
     newest = discard == "old"
-    cuts = _cuts_by_key(messages, subject, sequence, max_per_subject, newest).withColumnRenamed(subject, "_key")
-    joined = messages.join(cuts, messages[subject].eqNullSafe(F.col("_key")), "left")
+    cuts = _cuts_by_key(messages, subject, sequence, max_per_subject, newest)
+    if cuts is None:
+        return messages
+    joined = left_lookup(messages, cuts, subject, "_rows")
     inside = F.col(sequence) > F.col("_cut") if newest else F.col(sequence) < F.col("_cut")
-    return joined.where(F.col("_cut").isNull() | inside).select(*messages.columns)
+    return joined.where(F.col("_cut").isNull() | inside).select(*[F.col(f"`{c}`") for c in messages.columns])
 
 
 def retain(messages: DataFrame, limits: Limits, *, now: Column) -> DataFrame:

@@ -27,13 +27,12 @@ from ..operators.iterate import iterate
 from ..operators.retention import Limits, retain
 from ..operators.tap import tap
 from ..sinks import export, files as file_sink
-from ..sinks.publish import append_messages, publish
+from ..sinks.publish import publish, publish_batch
 from ..sources import files as file_source
-from ..sources.messages import advance_cursor, replay_from, subscribe
+from ..sources.messages import advance_cursor, commit_cursor, replay_from, stored_cursor, subscribe
 from ..sources.requests import ingest_requests
-from ..session import materialize, path_exists
 from ..sources.schedule import check_schedule, cron_schedule, interval_schedule, run_windows
-from ..streaming.streams import for_each_batch
+from ..streaming.streams import bind_filter, for_each_batch
 
 log = logging.getLogger(__name__)
 
@@ -126,6 +125,8 @@ class Bindings:
     """What callers of a webhook task must present, by task name."""
     cursors: DataFrame | None = None
     """Stored cursors (``name, replay_id``) of durable subscriptions."""
+    cursor_store: str = ""
+    """Folder of durable names: their filters, and the cursors that streams commit."""
 
 
 @dataclass
@@ -198,6 +199,14 @@ class _Run:
         self.batched: str | None = None
         self.form = "json"
         self.batch: int | None = None
+        self.durable: str | None = None
+
+    def run_name(self, events: DataFrame) -> str | None:
+        """What a batch of a stream writes under: the same when it is repeated."""
+        if self.batch is None:
+            return None
+        query = events.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        return f"{query}-{self.batch}"
 
     def place(self, url: str) -> str:
         return self.bindings.root + file_source.object_path(url)
@@ -279,18 +288,41 @@ def _message_subscriber(run: _Run, task: Task, _: None) -> DataFrame:
     ``max_messages`` and ``throttle`` size and space fetches of a live connection: a
     batch run takes all messages, a stream is paced by its source and ``delay``.
     """
-    matching = _after_cursor(run, run.bound(task), task.config.get("durable_name"))
-    matching = subscribe(matching, task.config.get("subject", ">"))
-    return restamp(matching.select(*COLUMNS), task_id=task.task_id, task_type=task.type)
+    pattern = task.config.get("subject", ">")
+    messages = _after_cursor(run, run.bound(task), task.config.get("durable_name"), pattern)
+    return _received(run, task, subscribe(messages, pattern))
+
+
+def _received(run: _Run, task: Task, messages: DataFrame) -> DataFrame:
+    """Events of messages; a stream whose cursor is to be committed keeps its sequence."""
+    kept = [*COLUMNS, "sequence"] if run.durable is not None else COLUMNS
+    return restamp(messages.select(*kept), task_id=task.task_id, task_type=task.type)
 
 
-def _after_cursor(run: _Run, messages: DataFrame, name: str | None, **options: bool) -> DataFrame:
-    if name is None or messages.isStreaming or "sequence" not in messages.columns:
+def _after_cursor(run: _Run, messages: DataFrame, name: str | None, pattern: str, **options: bool) -> DataFrame:
+    """Messages after the cursor of a durable name, which keeps the filter it began with.
+
+    A batch run gives the cursor that follows it; a stream commits one with each of its
+    batches where there is a store, and starts after the last one committed there.
+    """
+    run.durable = None
+    if name is None:
+        return messages
+    store = run.bindings.cursor_store or (f"{run.bindings.checkpoints}/durable" if run.bindings.checkpoints else "")
+    if store:
+        bind_filter(run.spark, f"{store}/{name}", pattern)
+    if "sequence" not in messages.columns:
         return messages
     if run.bindings.cursors is not None:
         messages = replay_from(messages, run.bindings.cursors, name, **options)
-    run.result.cursors[name] = advance_cursor(messages, name)
-    return messages
+    if not messages.isStreaming:
+        run.result.cursors[name] = advance_cursor(messages, name)
+        return messages
+    if not run.bindings.cursor_store or not options.get("enabled", True) or options.get("managed", False):
+        return messages
+    run.durable = name
+    last = stored_cursor(run.spark, run.bindings.cursor_store, name)
+    return messages if last is None else messages.where(F.col("sequence") > last)
 
 
 def _topic_subscriber(run: _Run, task: Task, _: None) -> DataFrame:
@@ -301,11 +333,11 @@ def _topic_subscriber(run: _Run, task: Task, _: None) -> DataFrame:
         run,
         run.bound(task),
         durable.get("name"),
+        name,
         enabled=durable.get("enabled", True),
         managed=durable.get("managed_subscription", False),
     )
-    events = messages.withColumn("subject", source_subject(F.lit(name)))
-    return restamp(events.select(*COLUMNS), task_id=task.task_id, task_type=task.type)
+    return _received(run, task, messages.withColumn("subject", source_subject(F.lit(name))))
 
 
 def _convert(run: _Run, task: Task, events: DataFrame) -> DataFrame:
@@ -430,11 +462,10 @@ def _writer(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     run.form = "json"
     kind = events.schema["data"].dataType
     payload = kind if isinstance(kind, T.StructType) else None
-    before = file_sink.files_before(run.spark, place)
-    file_sink.write_events(events, place, form, partition_by=partitions, mode="append")
+    write = lambda rows, folder: file_sink.write_events(rows, folder, form, partition_by=partitions, mode="overwrite")
+    receipts = file_sink.write_run(events, place, form, write, run=run.run_name(events), payload=payload)
     run.result.written[task.name] = place
     run.batched = None
-    receipts = file_sink.write_receipts(run.spark, place, form, before=before, payload=payload)
     return _as_events(task, receipts, F.struct("status", "path", "e_tag", "rows"), id="e_tag")
 
 
@@ -453,21 +484,14 @@ def _message_publisher(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     stream = (task.config.get("stream") or {}).get("name", task.name)
     window = (task.config.get("stream") or {}).get("duplicate_window_secs")
     place = run.bindings.message_tables.get(stream)
-    stored = run.spark.read.parquet(place) if place and path_exists(run.spark, place) else None
-    messages = publish(
-        events,
-        stream,
-        task.config["subject"],
-        duplicate_window=None if window is None else window * 1_000_000,
-        stored=stored,
-    )
+    window = None if window is None else window * 1_000_000
     run.form = "json"
-    if place:
-        # Acks are read after the append, which `stored` must not see.
-        messages = materialize(messages, "messages")
-        append_messages(messages, place)
+    if place is None:
+        messages = publish(events, stream, task.config["subject"], duplicate_window=window)
+    else:
+        messages = publish_batch(events, place, stream, task.config["subject"], batch=run.run_name(events), duplicate_window=window)
         run.result.written[task.name] = place
-        run.result.streams[stream] = _held(run, task, run.spark.read.schema(messages.drop("duplicate").schema).parquet(place))
+        run.result.streams[stream] = _held(run, task, run.spark.read.schema(messages.drop("duplicate").schema).parquet(place).drop("batch"))
     return _as_events(task, messages, F.struct("stream", "sequence", "domain", "duplicate"))
 
 
@@ -514,23 +538,22 @@ def _bulk_export(run: _Run, task: Task, events: DataFrame) -> DataFrame:
     if flag not in rows.columns:
         rows = rows.withColumn(flag, F.lit(False))
     place = run.place(task.config["path"])
-    before = file_sink.files_before(run.spark, place)
     exported = [c for c in rows.columns if c != flag]
     payload = T.StructType([rows.schema[c] for c in exported])
-    # A later run, or batch, adds its own files.
-    export.bulk_export(
+    # A later run, or batch, adds its own folder.
+    write = lambda rows, folder: export.bulk_export(
         rows,
-        place,
+        folder,
         exported,
         operation=task.config.get("operation", "query"),
         deleted=flag,
         delimiter=task.config.get("column_delimiter", "COMMA"),
         line_ending=task.config.get("line_ending", "LF"),
-        mode="append",
+        mode="overwrite",
     )
+    receipts = file_sink.write_run(rows, place, "csv", write, run=run.run_name(events), payload=payload)
     run.result.written[task.name] = place
     run.form = "json"
-    receipts = file_sink.write_receipts(run.spark, place, "csv", before=before, payload=payload)
     return _as_events(task, receipts, F.struct("status", "path", "e_tag", "rows"), id="e_tag")
 
 
@@ -561,16 +584,17 @@ def run_flow(spark: SparkSession, flow: Flow, bindings: Bindings | None = None)
     With a stream as input and a sink in the segment, the steps before the first sink
     or the first step that can set rows aside are one streaming plan, and what follows
     runs on every batch; error rows are landed per batch under the checkpoints.  A
-    batch that is repeated after a failure is written again: use
-    ``streaming.land_stream`` where files must be written exactly once.
+    batch that is repeated after a failure replaces the files it wrote, and a message
+    table numbers it once.  Cursors are committed with the batch that reached them.
     """
     run = _Run(spark, flow, bindings or Bindings())
     for segment in flow.segments():
         events: DataFrame | None = None
-        run.batched, run.form = None, "json"
+        run.batched, run.form, run.durable = None, "json", None
         sinks = any(task.type in SINK_TYPES for task in segment)
         for position, task in enumerate(segment):
-            if events is not None and events.isStreaming and sinks and task.type in SINK_TYPES + MARKING_TYPES:
+            per_batch = run.durable is not None or task.type in SINK_TYPES + MARKING_TYPES
+            if events is not None and events.isStreaming and sinks and per_batch:
                 run.result.queries[task.name] = _stream_into(run, events, segment[position:])
                 break
             events = _step(run, task, events)
@@ -593,11 +617,22 @@ def _stream_into(run: _Run, events: DataFrame, tasks: list[Task]) -> Any:
     batched, form = run.batched, run.form
     pace = next((t.config["delay"] for t in run.flow.tasks if t.is_source and t.config.get("delay")), None)
 
+    durable = run.durable
+
     def each(batch: DataFrame, number: int) -> None:
         own = _Run(batch.sparkSession, run.flow, run.bindings)
         own.result, own.batched, own.form, own.batch = run.result, batched, form, number
-        for task in tasks:
-            batch = _step(own, task, batch)
+        # Error rows, sinks and the cursor all read it.
+        held = batch.persist()
+        try:
+            events = held if durable is None else held.select(*COLUMNS)
+            for task in tasks:
+                events = _step(own, task, events)
+            last = None if durable is None else held.agg(F.max("sequence")).first()[0]
+            if last is not None:
+                commit_cursor(own.spark, run.bindings.cursor_store, durable, last, own.run_name(held))
+        finally:
+            held.unpersist()
 
     home = f"{run.bindings.checkpoints}/{run.flow.name}/{tasks[0].name}"
     return for_each_batch(events, each, home, once=run.bindings.once, delay=pace)

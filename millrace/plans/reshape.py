@@ -9,7 +9,7 @@ from ..functions.subjects import path_subject, publish_subject, source_subject,
 from ..functions.template import render
 from ..operators import script
 from ..operators.convert import batch_to_json, to_json_value, to_record
-from ..operators.envelope import ERROR, event_key, to_events
+from ..operators.envelope import ERROR, event_key, micros, to_events
 from ..operators.errors import split_errors
 from ..operators.iterate import iterate
 from ..operators.tap import with_parsed_payload
@@ -231,7 +231,7 @@ def subject_match(spark, sf_dir):
 @query(
     "normalize_keys",
     f"""
-SELECT event_id, '{{"event_type":"' || event_type || '","nested":{{"inner-key":' || CAST({K} AS VARCHAR)
+SELECT event_id, '{{"event_type":"' || event_type || '","legs":{{"toll-road":' || CAST({K} AS VARCHAR)
        || '}},"plain":1,"user_id":' || CAST(user_id AS VARCHAR) || '}}' AS payload
 FROM events
 """,
@@ -241,7 +241,7 @@ def normalize_keys(spark, sf_dir):
     text = F.concat(
         F.lit('{"user_id":"replaced","plain":1,"user-id":'), F.col("user_id").cast("string"),
         F.lit(',"event-type":"'), F.col("event_type"),
-        F.lit('","nested":{"inner-key":'), F.col("k").cast("string"), F.lit("}}"),
+        F.lit('","legs":{"toll-road":'), F.col("k").cast("string"), F.lit("}}"),
     )
     staged = rows.select("event_id", F.parse_json(text).alias("v"))
     return P.with_normalized_keys(staged, "n", "v").select("event_id", F.to_json("n").alias("payload"))
@@ -322,6 +322,76 @@ def conform_to_record(spark, sf_dir):
     )
 
 
+READING_WRITTEN = {
+    "type": "record",
+    "name": "Reading",
+    "fields": [
+        {"name": "number", "type": "int"},
+        {"name": "who", "type": ["null", "int"]},
+        {"name": "what", "type": {"type": "enum", "name": "What", "symbols": ["click", "view", "error", "purchase", "signup"]}},
+        {"name": "seen", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "price", "type": {"type": "bytes", "logicalType": "decimal", "precision": 10, "scale": 2}},
+        {"name": "k", "type": "int"},
+        {"name": "weight", "type": "float"},
+        {"name": "tags", "type": {"type": "array", "items": "int"}},
+    ],
+}
+READING_READ = {
+    "type": "record",
+    "name": "Observation",
+    "aliases": ["Reading"],
+    "fields": [
+        {"name": "id", "type": "long", "aliases": ["number"]},
+        {"name": "user", "type": "long", "aliases": ["user_id", "who"]},
+        {"name": "what", "type": {"type": "enum", "name": "What", "symbols": ["click", "view", "error", "signup"]}},
+        {"name": "seen", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "price", "type": {"type": "bytes", "logicalType": "decimal", "precision": 12, "scale": 4}},
+        {"name": "k", "type": "float"},
+        {"name": "weight", "type": "double"},
+        {"name": "tags", "type": {"type": "array", "items": "double"}},
+        {"name": "unit", "type": "string", "default": "each"},
+        {"name": "day", "type": ["null", {"type": "int", "logicalType": "date"}], "default": None},
+    ],
+}
+
+
+@query(
+    "record_evolution",
+    """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type = 'purchase' OR user_id % 50 = 0 AS misfit FROM events)
+SELECT event_id, CASE WHEN misfit THEN 'SchemaMismatch' END AS error,
+       CASE WHEN NOT misfit THEN event_id END AS id, CASE WHEN NOT misfit THEN user_id END AS "user",
+       CASE WHEN NOT misfit THEN event_type END AS what, CASE WHEN NOT misfit THEN epoch_us(ts) END AS seen,
+       CASE WHEN NOT misfit THEN k || '.2500' END AS price, CASE WHEN NOT misfit THEN CAST(k AS DOUBLE) END AS k,
+       CASE WHEN NOT misfit THEN k + 0.5 END AS weight, CASE WHEN NOT misfit THEN 2.0 * k + 1 END AS tag_sum,
+       CASE WHEN NOT misfit THEN 'each' END AS unit, CAST(NULL AS DATE) AS "day"
+FROM e
+""",
+)
+def record_evolution(spark, sf_dir):
+    """Records of one schema read by a later one: promoted numbers, aliases, defaults,
+    logical types; an enum symbol it lacks and a null it does not take are error rows."""
+    rows = event_rows(spark, sf_dir)
+    k = F.col("k")
+    payload = F.struct(
+        F.col("event_id").alias("number"),
+        F.when(F.col("user_id") % 50 != 0, F.col("user_id")).alias("who"),
+        F.col("event_type").alias("what"),
+        micros(rows, "ts").alias("seen"),
+        F.concat(k.cast("string"), F.lit(".25")).alias("price"),
+        k.alias("k"),
+        (k + 0.5).alias("weight"),
+        F.array(k, k + 1).alias("tags"),
+    )
+    events = rows.select("event_id", F.parse_json(F.to_json(payload, {"ignoreNullFields": "false"})).alias("data"))
+    read = to_record(events, READING_READ, writer=READING_WRITTEN)
+    return read.select(
+        "event_id", F.col(ERROR).alias("error"), "data.id", "data.user", "data.what", F.unix_micros("data.seen").alias("seen"),
+        F.col("data.price").cast("string").alias("price"), F.col("data.k").cast("double").alias("k"), "data.weight",
+        F.aggregate("data.tags", F.lit(0.0), lambda total, x: total + x).alias("tag_sum"), "data.unit", "data.day",
+    )
+
+
 @query(
     "record_to_json",
     f"""

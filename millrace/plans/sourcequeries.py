@@ -11,7 +11,7 @@ from ..operators.envelope import ERROR, micros
 from ..operators.iterate import iterate
 from ..operators.requests import parse_responses, publish_records, render_requests
 from ..session import scratch_path
-from ..sinks.files import write_receipts
+from ..sinks.files import write_events, write_receipts
 from ..sources.files import read_csv_typed, read_from_events, read_json_docs, read_objects
 from ..sources.messages import decode_payload
 from ..sources.requests import ingest_requests
@@ -184,6 +184,70 @@ def csv_typed(spark, sf_dir):
     return rows.where(F.col(ERROR).isNull()).drop(ERROR)
 
 
+def _note(quote, break_one, break_two):
+    """A value with quotes, commas and both kinds of line ends, in SQL of either engine."""
+    return f"CASE WHEN event_id % 3 = 0 THEN 'line ' || event_id || {break_one} || '{quote}' || event_type || '{quote}, x' || {break_two} || 'end' ELSE event_type END"
+
+
+@query("read_quoted_csv", f"""SELECT event_id, {_note('"', 'chr(10)', 'chr(13) || chr(10)')} AS note, value FROM events""")
+def quoted_csv(spark, sf_dir):
+    """Every third value goes over three lines; files are read in splits all the same."""
+    path = scratch_path(spark, "quoted-csv")
+    note = F.expr(_note('"', "char(10)", "char(13) || char(10)"))
+    rows = table(spark, sf_dir, "events").select(F.struct("event_id", note.alias("note"), "value").alias("data"))
+    write_events(rows, path, "csv")
+    back = read_csv_typed(spark, path)
+    return back.where(F.col(ERROR).isNull()).drop(ERROR)
+
+
+def _write_mixed_headers(spark, sf_dir) -> str:
+    """Twenty files with headers of their own: every fifth names a column over two lines,
+    one names a column twice; and a file with nothing in it."""
+    root = scratch_path(spark, "headers")
+    parts = spark.range(20).select(F.col("id").alias("part"))
+    first = F.when(F.col("part") % 5 == 0, F.lit('id,"kind')).when(F.col("part") == 7, F.lit("id,kind,id")).otherwise(
+        F.concat(F.lit("id,kind_"), F.col("part"), F.lit(",k"))
+    )
+    headers = parts.select("part", F.lit(0).cast("long").alias("at"), first.alias("line")).unionByName(
+        parts.where("part % 5 = 0").select("part", F.lit(1).cast("long").alias("at"), F.concat("part", F.lit('",k')).alias("line"))
+    )
+    line = F.concat_ws(",", "event_id", "event_type", "k")
+    rows = event_rows(spark, sf_dir).select((F.col("event_id") % 20).alias("part"), (F.col("event_id") + 2).alias("at"), line.alias("line"))
+    # Lines as they are: no character of theirs is special to this writer.
+    raw = {"sep": "\u0001", "quote": "\u0002", "escape": "\u0003"}
+    lines = headers.unionByName(rows).repartition("part").sortWithinPartitions("part", "at").select("part", "line")
+    lines.write.partitionBy("part").options(**raw).csv(f"{root}/files")
+    lines.limit(0).select("line").write.options(**raw).csv(f"{root}/empty")
+    return root
+
+
+@query(
+    "read_mixed_headers",
+    """
+SELECT event_id % 20 AS part, count(*) AS n_rows, count(CASE WHEN event_id % 20 = 7 THEN 1 END) AS n_errors,
+       CAST(sum(CASE WHEN event_id % 20 <> 7 THEN event_id END) AS BIGINT) AS ids,
+       max(CASE WHEN event_id % 20 <> 7 THEN event_type END) AS label,
+       max(CASE WHEN event_id % 20 = 7 THEN NULL WHEN event_id % 5 = 0 THEN 'kind' || chr(10) || event_id % 20 ELSE 'kind_' || event_id % 20 END) AS name
+FROM events GROUP BY 1
+""",
+)
+def mixed_headers(spark, sf_dir):
+    """A folder in which every file has its own header, read once."""
+    objects = read_objects(spark, _write_mixed_headers(spark, sf_dir))
+    members = F.try_variant_get("data", "$", "map<string,variant>")
+    kind = F.map_filter(members, lambda name, _: F.startswith(name, F.lit("kind")))
+    rows = objects.select(
+        F.regexp_extract("path", r"part=(\d+)/", 1).cast("bigint").alias("part"),
+        F.try_variant_get("data", "$.id", "bigint").alias("id"),
+        F.element_at(F.map_keys(kind), 1).alias("name"),
+        F.try_variant_get(F.element_at(F.map_values(kind), 1), "$", "string").alias("label"),
+        F.col(ERROR).isNotNull().alias("failed"),
+    )
+    return rows.groupBy("part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("failed").alias("n_errors"), F.sum("id").alias("ids"), F.max("label").alias("label"), F.max("name").alias("name")
+    )
+
+
 @query(
     "read_by_extension",
     """
@@ -232,6 +296,45 @@ def from_events(spark, sf_dir):
     return _order_rows(documents)
 
 
+@query(
+    "read_wanted_files",
+    """
+SELECT 'csv' AS kind, event_id AS record, event_type AS label FROM events WHERE event_type IN ('click', 'view')
+UNION ALL
+SELECT DISTINCT 'json', o_orderkey // 1000, NULL FROM orders WHERE o_orderkey // 1000 % 2 = 0
+UNION ALL
+SELECT 'error', n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'NotFound' WHEN 1 THEN 'UnsupportedExtension' ELSE 'NoExtension' END FROM nation
+""",
+)
+def wanted_files(spark, sf_dir):
+    """Events that point to some CSV and JSON files of a folder, and to files it lacks."""
+    root = scratch_path(spark, "wanted")
+    events = table(spark, sf_dir, "events")
+    events.select("event_id", "event_type", F.col("event_type").alias("part")).write.partitionBy("part").option("header", True).csv(f"{root}/rows")
+    orders = table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 1000).alias("document")).distinct()
+    orders.withColumn("part", F.col("document")).write.partitionBy("part").json(f"{root}/documents")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.substring_index("path", root.rpartition("/")[2], -1).alias("f"))
+    part = F.regexp_extract("f", "part=([^/]+)/", 1)
+    some = listed.where(part.isin("click", "view") | (F.startswith("f", F.lit("/documents")) & (part.try_cast("int") % 2 == 0)))
+    key = F.col("n_nationkey")
+    name = F.concat(F.lit("gone-"), key, F.when(key % 3 == 0, ".csv").when(key % 3 == 1, ".txt").otherwise(""))
+    # With a leading slash and without one.
+    pointers = some.unionByName(table(spark, sf_dir, "nation").select(name.alias("f")))
+    triggers = pointers.select(
+        F.struct("f").alias("data"), F.lit("pointers").alias("subject"), F.lit(None).cast("string").alias("id"),
+        F.lit(0).cast("bigint").alias("timestamp"), F.lit(0).alias("task_id"), F.lit("pointer").alias("task_type"),
+    )
+    found = read_from_events(spark, triggers, "{{event.data.f}}", name="reader", root=root)
+    missing = F.col(ERROR).isNotNull()
+    return found.select(
+        F.when(missing, "error").when(F.col("path").endswith(".csv"), "csv").otherwise("json").alias("kind"),
+        F.when(missing, F.regexp_extract("path", r"gone-(\d+)", 1).try_cast("bigint"))
+        .otherwise(F.coalesce(F.try_variant_get("data", "$.event_id", "bigint"), F.try_variant_get("data", "$.document", "bigint")))
+        .alias("record"),
+        F.when(missing, F.col(ERROR)).otherwise(F.try_variant_get("data", "$.event_type", "string")).alias("label"),
+    )
+
+
 _AUTH = Credentials(bearer="token-1", username="svc", password="s3cret:x")
 
 

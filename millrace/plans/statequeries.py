@@ -9,8 +9,8 @@ from ..operators.dedup import dedup
 from ..operators.envelope import micros
 from ..operators.state import last_run_key, state_history, state_latest
 from ..session import scratch_path
-from ..sinks.publish import append_messages, publish
-from ..sources.messages import replay_from, subscribe
+from ..sinks.publish import append_messages, publish, publish_batch, read_messages
+from ..sources.messages import replay_from, subscribe, subscribe_many
 from ..sources.tables import event_envelope, event_rows
 from .registry import query
 
@@ -111,9 +111,8 @@ def subscribe_filter(spark, sf_dir):
     return subscribe(shaped, "events.purchase")
 
 
-@query(
-    "dedup_window",
-    """
+# Rows of an id in time order, each against the last accepted one.
+DEDUP_SQL = """
 WITH RECURSIVE m AS (
   SELECT user_id, event_type, event_id, epoch_us(ts) AS t,
          row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n
@@ -126,8 +125,10 @@ walk AS (
          m.t >= w.kept + 259200000000
   FROM walk w JOIN m ON m.user_id = w.user_id AND m.event_type = w.event_type AND m.n = w.n + 1)
 SELECT event_id, user_id, event_type FROM walk WHERE accepted
-""",
-)
+"""
+
+
+@query("dedup_window", DEDUP_SQL)
 def dedup_window(spark, sf_dir):
     rows = event_rows(spark, sf_dir)
     messages = rows.select(
@@ -138,6 +139,48 @@ def dedup_window(spark, sf_dir):
     return dedup(messages, "id", "timestamp", "event_id", "3d").select("event_id", "user_id", "event_type")
 
 
+@query(
+    "dedup_hot_id",
+    """
+WITH RECURSIVE m AS (
+  SELECT CASE WHEN event_id % 10 < 9 THEN 'hot' ELSE event_type END AS id, epoch_us(ts) AS t, min(event_id) AS event_id FROM events GROUP BY 1, 2),
+walk AS (
+  SELECT id, min(t) AS t FROM m GROUP BY id
+  UNION ALL
+  SELECT id, t FROM (
+    SELECT m.id, m.t, row_number() OVER (PARTITION BY m.id ORDER BY m.t) AS n FROM walk w JOIN m ON m.id = w.id AND m.t >= w.t + 21600000000) WHERE n = 1)
+SELECT id, m.event_id FROM walk JOIN m USING (id, t)
+""",
+)
+def dedup_hot_id(spark, sf_dir):
+    """A six-hour window; nine rows of ten share one id."""
+    rows = event_rows(spark, sf_dir)
+    hot = F.when(F.col("event_id") % 10 < 9, F.lit("hot")).otherwise(F.col("event_type"))
+    return dedup(rows.select("event_id", hot.alias("id"), micros(rows, "ts").alias("timestamp")), "id", "timestamp", "event_id", "6h").select("id", "event_id")
+
+
+_SHOP = "'shop.' || event_type || '.' || (user_id % 5)"
+
+
+@query(
+    "subscribe_many",
+    f"""
+SELECT durable_name, event_id AS sequence FROM events JOIN (VALUES
+  ('everything', '.+'), ('clicks', 'shop[.]click[.].+'), ('one', 'shop[.]view[.]3'), ('threes', 'shop[.][^.]+[.]3'),
+  ('shop', 'shop[.].+'), ('types', 'shop[.][^.]+'), ('any', '[^.]+[.]purchase[.][^.]+'), ('again', 'shop[.]view[.]3')
+) AS p(durable_name, pattern) ON regexp_full_match({_SHOP}, pattern)
+""",
+)
+def subscriptions(spark, sf_dir):
+    """Eight overlapping subscriptions, the messages read once."""
+    messages = event_rows(spark, sf_dir).select(F.col("event_id").alias("sequence"), F.expr(_SHOP).alias("subject"))
+    patterns = {
+        "everything": ">", "clicks": "shop.click.>", "one": "shop.view.3", "threes": "shop.*.3",
+        "shop": "shop.>", "types": "shop.*", "any": "*.purchase.*", "again": "shop.view.3",
+    }
+    return subscribe_many(messages, patterns).select("durable_name", "sequence")
+
+
 @query(
     "retain_age",
     """
@@ -162,6 +205,21 @@ def retain_per_subject(spark, sf_dir):
     return retention.retain_per_subject(message_log(spark, sf_dir), 100).select("sequence", "subject")
 
 
+@query(
+    "retain_hot_subject",
+    """
+SELECT event_id AS sequence, subject FROM (
+  SELECT event_id, CASE WHEN event_id % 10 = 0 THEN 'events.' || event_type ELSE 'hot' END AS subject FROM events)
+QUALIFY row_number() OVER (PARTITION BY subject ORDER BY event_id) <= 150
+""",
+)
+def retain_hot_subject(spark, sf_dir):
+    """The oldest messages of every subject; one subject has nine of ten."""
+    subject = F.when(F.col("sequence") % 10 == 0, F.col("subject")).otherwise(F.lit("hot"))
+    messages = message_log(spark, sf_dir).withColumn("subject", subject)
+    return retention.retain_per_subject(messages, 150, discard="new").select("sequence", "subject")
+
+
 @query(
     "retain_null_subject",
     """
@@ -221,6 +279,22 @@ def publish_ack(spark, sf_dir):
     return messages.select("id", "subject", "stream", "sequence", "domain", "duplicate")
 
 
+@query(
+    "publish_replayed",
+    """
+SELECT event_id, row_number() OVER (ORDER BY event_id % 3, ts, event_id) AS sequence FROM events
+""",
+)
+def publish_replayed(spark, sf_dir):
+    """Three batches into one message table, two of them sent again: numbered once."""
+    path = scratch_path(spark, "replayed")
+    events = event_envelope(spark, sf_dir).withColumn("number", F.col("data.event_id"))
+    for batch in (0, 1, 1, 2, 0):
+        part = events.where(F.col("number") % 3 == batch)
+        publish_batch(part, path, "shop", "shop.{{event.data.event_type}}", batch=str(batch), order_by=["timestamp", "number"])
+    return read_messages(spark, path).select(F.col("number").alias("event_id"), "sequence")
+
+
 @query(
     "publish_duplicates",
     """

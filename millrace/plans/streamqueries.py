@@ -11,6 +11,7 @@ from ..sinks.files import DATE_PARTITIONS, with_event_date
 from ..sources.tables import table
 from ..streaming.streams import dedup_stream, durable_subscription, land_split, land_stream, message_stream
 from .registry import query
+from .statequeries import DEDUP_SQL
 
 
 def _event_stream(spark, sf_dir):
@@ -62,15 +63,32 @@ def stream_subscribe(spark, sf_dir):
     return spark.read.parquet(f"{home}/data")
 
 
-@query("stream_dedup", "SELECT DISTINCT user_id, 'events.' || event_type AS subject FROM events")
-def stream_dedup(spark, sf_dir):
+@query("stream_distinct", "SELECT DISTINCT user_id, 'events.' || event_type AS subject FROM events")
+def stream_distinct(spark, sf_dir):
     """Message ids kept once within a window longer than the table's span."""
-    home = scratch_path(spark, "stream-dedup")
+    home = scratch_path(spark, "stream-distinct")
     named = _event_stream(spark, sf_dir).withColumn("id", F.concat_ws(".", "user_id", "subject"))
-    once = dedup_stream(named, "id", "at", "365d").select("user_id", "subject")
-    land_stream(
-        once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism
-    ).awaitTermination()
+    once = dedup_stream(named, "id", "at", "365d", tie="event_id").select("user_id", "subject")
+    land_stream(once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return spark.read.parquet(f"{home}/data")
+
+
+@query("stream_dedup", DEDUP_SQL)
+def stream_dedup(spark, sf_dir):
+    """A three-day window over three batches in time order: the rows a batch run accepts."""
+    home = scratch_path(spark, "stream-dedup")
+    events = table(spark, sf_dir, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min("at"), F.max("at")).first()
+    third = (last - first) / 3
+    for part in range(3):
+        begin, end = F.lit(first + part * third), F.lit(first + (part + 1) * third)
+        later = F.col("at") >= begin if part else F.lit(True)
+        earlier = F.col("at") < end if part < 2 else F.lit(True)
+        events.where(later & earlier).drop("ts").write.mode("append").parquet(f"{home}/inbox")
+        stream = message_stream(spark, f"{home}/inbox", events.drop("ts").schema)
+        named = stream.withColumn("id", F.concat_ws(".", "user_id", "event_type"))
+        once = dedup_stream(named, "id", "at", "3d", tie="event_id").select("event_id", "user_id", "event_type")
+        land_stream(once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(f"{home}/data")
 
 

@@ -60,6 +60,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, none if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(place) if status.isDirectory())
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and continue from the stored columns.
 

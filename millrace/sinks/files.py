@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.payload import to_json_text
 from ..functions.template import render
 from ..operators.envelope import ERROR
-from ..session import materialize, path_exists
 
 # Date partition columns and payload extensions.
 DATE_PARTITIONS = ("year", "month", "day")
@@ -92,23 +94,32 @@ def write_split(df: DataFrame, path: str, format: str = "parquet", *, mode: str
     df.withColumn("outcome", outcome).write.mode(mode).partitionBy("outcome").format(format).save(path)
 
 
-def files_before(spark: SparkSession, path: str) -> DataFrame | None:
-    """Names of the files a folder holds now, kept for ``write_receipts``."""
-    if not path_exists(spark, path):
-        return None
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return materialize(listed.select(F.col("_metadata.file_path").alias("path")), "files-before")
+def run_folder(path: str, run: str) -> str:
+    """Where one run writes below a destination: a partition of its own."""
+    return f"{path.rstrip('/')}/run={run}"
 
 
-def write_receipts(
-    spark: SparkSession, path: str, format: str, *, before: DataFrame | None = None, payload: T.StructType | None = None
+def write_run(
+    df: DataFrame, path: str, format: str, write: Callable[[DataFrame, str], None], *, run: str | None = None, payload: T.StructType | None = None
 ) -> DataFrame:
-    """One receipt per written file: status, path, rows, bytes, e_tag.
+    """Write ``df`` by ``write(df, folder)`` into a run's own folder, and its receipts.
+
+    Only that folder is listed and read, whatever the destination held before.  The same
+    ``run`` again (a repeated batch) replaces what it wrote; without one a run is new.
+    A write of no rows has no receipts.
+    """
+    folder, counted = run_folder(path, run or uuid.uuid4().hex), Observation()
+    write(df.observe(counted, F.count(F.lit(1)).alias("rows")), folder)
+    receipts = write_receipts(df.sparkSession, folder, format, payload=payload)
+    return receipts if counted.get["rows"] else receipts.limit(0)
+
+
+def write_receipts(spark: SparkSession, path: str, format: str, *, payload: T.StructType | None = None) -> DataFrame:
+    """One receipt per file below ``path``: status, path, rows, bytes, e_tag.
 
-    ``before`` leaves out files an append found in place.  ``payload`` is the schema of
-    the payload; with it a write of no rows, which leaves no file to infer one from,
-    has no receipts instead of failing.  The tag stands for content identity: name,
-    size and modification time.
+    ``payload`` is the schema of the payload; with it a write of no rows, which leaves no
+    file to infer one from, has no receipts instead of failing.  The tag stands for
+    content identity: name, size and modification time.
     """
     reader = spark.read.format("text" if format == "json" else format)
     if payload is not None and format != "json":
@@ -120,8 +131,6 @@ def write_receipts(
         F.col("_metadata.file_size").alias("bytes"),
         F.col("_metadata.file_modification_time").alias("_changed"),
     )
-    if before is not None:
-        meta = meta.join(before, "path", "left_anti")
     files = meta.groupBy("path", "bytes", "_changed").agg(F.count(F.lit(1)).alias("rows"))
     return files.select(
         F.lit("success").alias("status"),

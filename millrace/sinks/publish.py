@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.durations import duration_micros
 from ..functions.template import render
 from ..operators.dedup import mark_duplicates
+from ..operators.lookup import HELD_ROWS
 from ..operators.sequence import assign_sequence
-from ..session import materialize
+from ..session import materialize, path_exists, subfolders
 
 
 def publish(
@@ -21,7 +25,7 @@ def publish(
     tie: Column | None = None,
     domain: str | None = None,
     duplicate_window: str | int | None = None,
-    start: int = 1,
+    start: int | None = None,
     stored: DataFrame | None = None,
 ) -> DataFrame:
     """Number events for a stream: subject rendered per row, id as message id.
@@ -29,13 +33,14 @@ def publish(
     Stored messages get gap-free sequences in time order.  With a duplicate
     window, a repeated id is acknowledged as ``duplicate`` with the sequence of the
     message it repeats, and is not stored again.  ``stored`` are messages the stream
-    already holds (id, timestamp, sequence): numbering goes on after them, and they
-    count as originals.  Returns the message rows with their ack columns.
+    already holds (id, timestamp, sequence), which count as originals.  Numbers begin
+    with ``start``, or after the stored messages.  Returns the message rows with their
+    ack columns.
     """
     rendered = events.withColumn("subject", render(subject_template, events))
     order = order_by or ["timestamp", "id"]
-    if stored is not None:
-        start = (stored.agg(F.max("sequence").alias("last")).first()["last"] or start - 1) + 1
+    if start is None:
+        start = 1 if stored is None else (stored.agg(F.max("sequence")).first()[0] or 0) + 1
     if duplicate_window is None:
         out = assign_sequence(rendered.withColumn("duplicate", F.lit(False)), order, start=start)
     else:
@@ -89,13 +94,79 @@ def _with_original(repeats: DataFrame, numbered: DataFrame, window: int) -> Data
     return repeats.join(originals, match).select(*repeats.columns, "sequence")
 
 
+LEDGER = "_ledger"
+
+
+@dataclass(frozen=True)
+class Published:
+    """What the ledger of a message table says about a batch."""
+
+    number: int
+    batch: str
+    last: int
+
+
+def ledger(spark: SparkSession, path: str) -> list[Published]:
+    """The committed batches in their order, from the names of the ledger's folders: no
+    file is read."""
+    found = []
+    for name in subfolders(spark, f"{path}/{LEDGER}"):
+        number, last, batch = name.split("-", 2)
+        if path_exists(spark, f"{path}/{LEDGER}/{name}/_SUCCESS"):
+            found.append(Published(int(number), batch, int(last)))
+    return sorted(found, key=lambda entry: entry.number)
+
+
+def _folder(batch: str) -> str:
+    return f"batch=b-{batch}"
+
+
+def read_messages(spark: SparkSession, path: str) -> DataFrame | None:
+    """The messages of the committed batches of a table, None before the first one."""
+    committed = ledger(spark, path)
+    if not committed:
+        return None
+    names = spark.createDataFrame([(f"b-{entry.batch}",) for entry in committed], "batch string")
+    names = F.broadcast(names) if len(committed) <= HELD_ROWS else names
+    return spark.read.parquet(path).join(names, "batch", "left_semi").drop("batch")
+
+
+def publish_batch(events: DataFrame, path: str, stream: str, subject_template: str, *, batch: str | None = None, **options) -> DataFrame:
+    """Publish a batch into the message table at ``path`` once; its ack rows.
+
+    Sequences go on after the last batch of the ledger, whose name says where it ended:
+    the messages are not searched for the largest one.  Messages and repeats are written
+    under the batch's own name, then the ledger gets its entry.  A batch that the ledger
+    has is not numbered again: its acks are read back.  One that failed before its entry
+    is numbered and written anew, in its own place.
+
+    Entries start with ``{number}-{last sequence}-{batch}``.  One writer at a time.
+    """
+    spark, batch = events.sparkSession, batch or uuid.uuid4().hex
+    committed = ledger(spark, path)
+    messages_at, repeats_at = f"{path}/{_folder(batch)}", f"{path}/_repeats/{_folder(batch)}"
+    if not any(entry.batch == batch for entry in committed):
+        last = committed[-1].last if committed else 0
+        stored = read_messages(spark, path) if options.get("duplicate_window") is not None else None
+        rows = materialize(publish(events, stream, subject_template, start=last + 1, stored=stored, **options), "publish-batch")
+        kept = rows.where(~F.col("duplicate"))
+        kept.sortWithinPartitions("subject", "sequence").drop("duplicate").write.mode("overwrite").parquet(messages_at)
+        rows.where("duplicate").drop("duplicate").write.mode("overwrite").parquet(repeats_at)
+        end = kept.agg(F.max("sequence")).first()[0] or last
+        number = committed[-1].number + 1 if committed else 0
+        entry = spark.createDataFrame([(stream, batch, last + 1, end)], "stream string, batch string, first long, last long")
+        entry.coalesce(1).write.mode("overwrite").parquet(f"{path}/{LEDGER}/{number:012d}-{end}-{batch}")
+    messages = spark.read.parquet(messages_at).withColumn("duplicate", F.lit(False))
+    return messages.unionByName(spark.read.parquet(repeats_at).withColumn("duplicate", F.lit(True)))
+
+
 def acks(messages: DataFrame) -> DataFrame:
     """Acknowledgement columns only."""
     return messages.select("stream", "sequence", "domain", "duplicate")
 
 
 def append_messages(messages: DataFrame, path: str) -> None:
-    """Append the stored (not duplicate) messages to the message table.
+    """Append the stored (not duplicate) messages to a plain message table.
 
     Rows are sorted by subject within each file, without a shuffle, so that a
     subscription's equality or prefix test skips the row groups of other subjects.

@@ -5,8 +5,9 @@ from __future__ import annotations
 import csv
 import io
 import logging
+import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +16,7 @@ from ..functions.template import render
 from ..operators import errors
 from ..operators.envelope import ERROR
 from ..session import materialize
+from . import delimited
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +24,9 @@ log = logging.getLogger(__name__)
 EXTENSIONS = ("json", "csv", "avro")
 INFER_RECORDS = 100
 
+# Paths that are read by name; beyond, a folder is read whole and joined.
+NAMED_PATHS = 10_000
+
 CORRUPT = "_corrupt_record"
 
 
@@ -61,9 +66,7 @@ def read_json_lines(spark: SparkSession, paths: str | list[str], schema: T.Struc
 
 
 # Delimited text as RFC 4180 has it, for readers and the writer.  Quotes
-# are doubled inside quotes, and a quoted value may hold delimiters and line ends.  A
-# file that may hold quoted line ends is read by one task; ``multi_line=False`` lets
-# files without them be split.
+# are doubled inside quotes, and a quoted value may hold delimiters and line ends.
 CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 
@@ -75,16 +78,10 @@ def _csv_reader(spark: SparkSession, has_header: bool, delimiter: str, multi_lin
 
 
 def infer_csv_schema(
-    spark: SparkSession,
-    paths: str | list[str],
-    *,
-    has_header: bool = True,
-    delimiter: str = ",",
-    options: dict[str, str] | None = None,
-    multi_line: bool = True,
+    spark: SparkSession, paths: str | list[str], *, has_header: bool = True, delimiter: str = ",", options: dict[str, str] | None = None
 ) -> T.StructType:
     """Column types from the first 100 records; integers are 64-bit."""
-    read = _csv_reader(spark, has_header, delimiter, multi_line).options(**(options or {})).csv(_paths(paths))
+    read = _csv_reader(spark, has_header, delimiter, True).options(**(options or {})).csv(_paths(paths))
     return _typed(spark, read.columns, read.limit(INFER_RECORDS).collect())
 
 
@@ -117,23 +114,51 @@ def read_csv_typed(
     delimiter: str = ",",
     schema: T.StructType | None = None,
     line_ending: str | None = None,
-    multi_line: bool = True,
 ) -> DataFrame:
-    """Delimited text as typed columns.
+    """Delimited text as typed columns, every file read in splits.
 
     Only the first byte of ``delimiter`` counts.  Types come from ``schema`` or the
     first 100 records; a later row that does not fit is marked, not dropped.  All files
     must have one header: another one is an error here, see ``read_objects``.
+
+    One pass finds the files in which a record goes over several lines.  The others are
+    read line by line as they are; of these the records are put together first.
     """
-    columns = schema or infer_csv_schema(spark, paths, has_header=has_header, delimiter=delimiter, multi_line=multi_line)
+    columns = schema or infer_csv_schema(spark, paths, has_header=has_header, delimiter=delimiter)
+    names = columns.fieldNames()
+    wanted = _with_corrupt(columns)
     reader = (
-        _csv_reader(spark, has_header, delimiter, multi_line, line_ending)
+        _csv_reader(spark, has_header, delimiter, False, line_ending)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", not has_header)
     )
-    names = columns.fieldNames()
-    raw = reader.schema(_with_corrupt(columns)).csv(_paths(paths))
-    return errors.mark(raw, _csv_error(names[0])).drop(CORRUPT)
+    raw = reader.schema(wanted).csv(_paths(paths))
+    lines = delimited.text_lines(spark, _paths(paths), line_ending=line_ending)
+    if not delimited.over_lines(lines, delimiter[:1]):
+        return errors.mark(raw, _csv_error(names[0])).drop(CORRUPT)
+    states = delimited.split_states(lines, delimiter[:1])
+    spread = states.where(F.col("opens") | F.col("quoted_returns")).select("file").distinct()
+    spread = delimited.small(materialize(spread, "csv-spread"))
+    whole = raw.withColumn("_file", F.col("_metadata.file_path")).join(spread.withColumnRenamed("file", "_file"), "_file", "left_anti").drop("_file")
+    own = states.join(spread, "file", "left_semi")
+    found = delimited.records(lines.join(spread, "file", "left_semi"), own, delimiter[:1], line_ending=line_ending)
+    folders = [c for c in lines.schema["parts"].dataType.names if c in raw.columns]
+    inside = T.StructType([f for f in columns if f.name not in folders])
+    if has_header:
+        heads = found.where("is_first").select(delimited.tokens(F.col("record"), delimiter[:1]).alias("names"))
+        expected = "\n".join(inside.fieldNames()).lower()
+        other = heads.where(F.lower(F.array_join("names", "\n")) != expected).first()
+        if other is not None:
+            raise ValueError(f"a file has the header {other['names']}, not {inside.fieldNames()}")
+        found = found.where(~F.col("is_first"))
+    options = {**CSV_OPTIONS, "sep": delimiter[:1], "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true"}
+    parsed = found.select("parts", F.from_csv("record", _ddl(_with_corrupt(inside)), options).alias("row"))
+    held = [F.col("parts" if c in folders else "row").getField(c).cast(raw.schema[c].dataType).alias(c) for c in raw.columns]
+    return errors.mark(whole.unionByName(parsed.select(*held)), _csv_error(names[0])).drop(CORRUPT)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
 
 
 def _with_corrupt(columns: T.StructType) -> T.StructType:
@@ -213,51 +238,94 @@ def read_objects(
     return merged
 
 
-def _csv_objects(spark: SparkSession, root: str, has_header: bool, delimiter: str) -> DataFrame:
-    """Rows of all delimited files under a folder, each read by its own header.
+# Kinds of values, from narrow to wide, and the texts that are of each.  A column has the
+# first kind that all its sampled values are of.
+KINDS = ("bigint", "double", "boolean", "date", "timestamp", "string")
+_DAY = r"\d{4}-\d{2}-\d{2}"
+_FORMS = {
+    "bigint": r"^[+-]?\d{1,19}$",
+    "double": r"^([+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?Inf(inity)?)$",
+    "boolean": r"^(?i:true|false)$",
+    "date": rf"^{_DAY}$",
+    "timestamp": rf"^{_DAY}([T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d{{1,6}})?)?(Z|[+-]\d{{2}}:\d{{2}})?)?$",
+}
 
-    Files are grouped by their header, found in one pass over the first record of each
-    file; a folder has few different headers.  Every group is typed by its own first
-    records and read by its own columns, and its files are chosen by join, so that no
-    list of files passes through the driver.
-    """
-    only_csv = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
-    def read(schema: T.StructType, header: bool) -> DataFrame:
-        reader = _csv_reader(spark, header, delimiter, True).options(**only_csv)
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", True)
-        return reader.schema(schema).csv(root)
-
-    if not has_header:
-        schema = infer_csv_schema(spark, root, has_header=False, delimiter=delimiter, options=only_csv)
-        return _csv_variants(read(_with_corrupt(schema), False), schema)
-    lines = spark.read.options(**only_csv).text(root).where(F.col("_metadata.file_block_start") == 0)
-    lines = lines.select(F.col("_metadata.file_path").alias("_file"), "value", F.monotonically_increasing_id().alias("_at"))
-    headers = lines.groupBy("_file").agg(F.min_by("value", "_at").alias("_header"))
-    headers = materialize(headers, "csv-headers")
-    parts = []
-    for (header,) in headers.select("_header").distinct().orderBy("_header").collect():
-        names = next(csv.reader([header], delimiter=delimiter[:1]))
-        own = headers.where(F.col("_header") == header).select("_file")
-        texts = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-        sample = read(texts, True).withColumn("_file", F.col("_metadata.file_path"))
-        sample = sample.join(own, "_file", "left_semi").select(*[F.col(f"`{n}`") for n in names])
-        schema = _typed(spark, names, sample.limit(INFER_RECORDS).collect())
-        rows = _csv_variants(read(_with_corrupt(schema), True), schema)
-        parts.append(rows.join(own, rows["path"] == own["_file"], "left_semi"))
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+def _fits(token: Column, kind: str) -> Column:
+    if kind == "string":
+        return F.lit(True)
+    return F.rlike(token, F.lit(_FORMS[kind])) & token.try_cast(kind).isNotNull()
 
 
-def _csv_variants(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    names = schema.fieldNames()
-    return rows.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.to_variant_object(F.struct(*[F.col(f"`{n}`") for n in names])).alias("data"),
-        _csv_error(names[0]).alias(ERROR),
-    )
+def _kinds_of(token: Column) -> Column:
+    """One bit for each kind that a text is of."""
+    bits = F.lit(0)
+    for place, kind in enumerate(KINDS):
+        bits = bits + F.when(_fits(token, kind), 1 << place).otherwise(0)
+    return bits
+
+
+def _typed_value(token: Column, kind: Column) -> Column:
+    """A text as a VARIANT of a kind given by its number; null where it does not fit."""
+    out = token.cast("variant")
+    for place, name in enumerate(KINDS[:-1]):
+        out = F.when(kind == place, F.when(_fits(token, name), token.try_cast(name)).cast("variant")).otherwise(out)
+    return out
+
+
+def csv_headers(found: DataFrame, has_header: bool, delimiter: str) -> tuple[DataFrame, DataFrame]:
+    """(``file, header``; ``header, names, kinds, repeats``) of records, both stored.
+
+    Names come from each file's first record and kinds from the first 100 records of
+    every file with that header: one aggregation over headers and columns, however many
+    headers there are.  ``repeats`` marks headers that name a column twice.
+    """
+    first = Window.partitionBy("file").orderBy("block", "place")
+    head = found.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= INFER_RECORDS + int(has_header))
+    head = materialize(head.select("file", "_n", delimited.tokens(F.col("record"), delimiter).alias("values")), "csv-head")
+    standing = lambda v, i: F.coalesce(v if has_header else F.lit(None).cast("string"), F.concat(F.lit("_c"), i.cast("string")))
+    names = F.transform("values", standing)
+    files = materialize(head.where("_n = 1").select("file", names.alias("names"), F.to_json(names).alias("header")), "csv-files")
+    sampled = head.where(F.col("_n") > int(has_header)).join(files.select("file", "header"), "file")
+    values = sampled.select("header", F.posexplode("values").alias("at", "value")).where(F.col("value").isNotNull())
+    columns = values.groupBy("header", "at").agg(F.bit_and(_kinds_of(F.col("value"))).alias("bits"))
+    narrowest = F.coalesce(*[F.when(F.col("bits").bitwiseAND(1 << i) != 0, i) for i in range(len(KINDS))])
+    kinds = columns.select("header", "at", narrowest.alias("kind")).groupBy("header").agg(F.map_from_entries(F.collect_list(F.struct("at", "kind"))).alias("found"))
+    known = files.groupBy("header").agg(F.first("names").alias("names")).join(kinds, "header", "left")
+    string = F.lit(len(KINDS) - 1)
+    kind_of = F.transform("names", lambda _, i: F.coalesce(F.try_element_at("found", i), string))
+    repeats = F.size(F.array_distinct("names")) < F.size("names")
+    headers = materialize(known.select("header", "names", kind_of.alias("kinds"), repeats.alias("repeats")), "csv-headers")
+    return files.select("file", "header"), headers
+
+
+def _csv_objects(spark: SparkSession, paths: str | list[str], has_header: bool, delimiter: str) -> DataFrame:
+    """Rows of delimited files, each by its own header, in one read.
+
+    Headers are data: a stored table that records are joined with through their file.  A
+    header that names a column twice marks the rows of its own files; a record with more
+    or fewer values than its header, or with a value of another kind, marks itself.
+    """
+    only_csv = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
+    delimiter = delimiter[:1]
+    lines = delimited.text_lines(spark, _paths(paths), options=only_csv)
+    found = delimited.records(lines, delimited.split_states(lines, delimiter), delimiter)
+    files, headers = csv_headers(found, has_header, delimiter)
+    rows = found.where(~F.col("is_first")) if has_header else found
+    rows = rows.join(delimited.small(files), "file").join(delimited.small(headers), "header")
+    rows = rows.withColumn("values", delimited.tokens(F.col("record"), delimiter))
+    typed = F.transform("kinds", lambda kind, i: _typed_value(F.get("values", i), kind))
+    rows = rows.withColumn("typed", F.when(~F.col("repeats"), typed))
+    misfit = F.exists(F.sequence(F.lit(0), F.size("names") - 1), lambda i: F.get("values", i).isNotNull() & F.get("typed", i).isNull())
+    bad = F.col("repeats") | (F.size("values") != F.size("names")) | misfit
+    return errors.mark(
+        rows.select(
+            F.col("file").alias("path"),
+            F.when(~F.col("repeats"), F.to_variant_object(F.map_from_arrays("names", "typed"))).alias("data"),
+            bad.alias("_bad"),
+        ),
+        F.when(F.col("_bad"), F.lit(errors.SCHEMA_MISMATCH)),
+    ).drop("_bad")
 
 
 def object_path(url: str) -> str:
@@ -268,8 +336,35 @@ def object_path(url: str) -> str:
     return "/" + rest.partition("/")[2]
 
 
-def _without_scheme(url: Column) -> Column:
-    return F.regexp_replace(url, r"^[A-Za-z][\w+.-]*:(?://[^/]*)?", "")
+_SCHEME = r"^[A-Za-z][\w+.-]*:(?://[^/]*)?"
+
+
+def _place_under(path: Column, base: str) -> Column:
+    """A path or URL relative to a folder, with one leading slash."""
+    bare = F.regexp_replace(path, _SCHEME, "")
+    inside = F.when(F.startswith(bare, F.lit(base + "/")), F.substring(bare, F.lit(len(base) + 1), F.length(bare))) if base else bare
+    return F.concat(F.lit("/"), F.ltrim(F.coalesce(inside, bare), F.lit("/")))
+
+
+def _decoded(path: Column) -> Column:
+    """File paths as metadata has them are URL-encoded."""
+    return F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+
+
+def _literal(path: str) -> str:
+    """A path that the reader takes as it stands, not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def wanted_paths(spark: SparkSession, root: str, wanted: DataFrame) -> list[str] | None:
+    """Paths of the files under ``root`` that ``wanted`` (``_path``) names; None if they
+    are more than NAMED_PATHS.  A join with the listing: no file is opened."""
+    base = re.sub(_SCHEME, "", root).rstrip("/")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    listed = listed.withColumn("_path", _place_under(F.col("path"), base))
+    met = listed.join(wanted.select("_path").distinct(), "_path", "left_semi").select("path")
+    rows = met.limit(NAMED_PATHS + 1).collect()
+    return None if len(rows) > NAMED_PATHS else sorted(row["path"] for row in rows)
 
 
 def read_from_events(
@@ -284,29 +379,30 @@ def read_from_events(
 ) -> DataFrame:
     """Read what each event points to: one output event per document or row.
 
-    The path is rendered per event and taken relative to ``root``.  JSON documents and
-    delimited files under ``root`` are read and matched by a join on the path, whatever
-    the number of events: no path passes through the driver.  An event stays, marked,
-    if its file is missing, has no extension, or one without a reader.
+    The path is rendered per event and taken relative to ``root``, with or without a
+    leading slash.  The listing of ``root`` is joined with the wanted paths, and the
+    files found are read by name: what is read follows what is wanted, not what the
+    folder holds.  Beyond NAMED_PATHS of them the folder is read and joined instead.  An
+    event stays, marked, if its file is missing, has no extension, or one without a
+    reader.
     """
-    base_path = object_path(root).rstrip("/")
-    inside = _without_scheme(render(path_template, events))
-    inside = F.when(
-        F.lit(bool(base_path)) & F.startswith(inside, F.lit(base_path + "/")), F.substring(inside, F.lit(len(base_path) + 1), F.length(inside))
-    ).otherwise(inside)
-    wanted = events.withColumn("_path", inside)
+    base = re.sub(_SCHEME, "", root).rstrip("/")
+    wanted = events.withColumn("_path", _place_under(render(path_template, events), base))
+    paths = wanted_paths(spark, root, wanted)
     parts = []
-    found = extensions_under(spark, root)
-    if found["json"]:
-        parts.append(read_json_docs(spark, root))
-    if found["csv"]:
-        parts.append(_csv_objects(spark, root, has_header, delimiter))
+    for extension, read in (
+        ("json", lambda p: read_json_docs(spark, p)),
+        ("csv", lambda p: _csv_objects(spark, p, has_header, delimiter)),
+    ):
+        if paths is None:
+            parts.append(read(root))
+        elif own := [_literal(p) for p in paths if p.endswith(f".{extension}")]:
+            parts.append(read(own))
     documents = parts[0] if parts else spark.createDataFrame([], f"path string, data variant, {ERROR} string")
     for part in parts[1:]:
         documents = documents.unionByName(part)
-    local = _without_scheme(F.col("path"))
     documents = documents.select(
-        F.substring(local, F.lit(len(base_path) + 1), F.length(local)).alias("_file"),
+        _place_under(_decoded(F.col("path")), base).alias("_file"),
         F.col("data").alias("_data"),
         F.col(ERROR).alias("_read_error"),
         F.lit(True).alias("_read"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState
 
 from ..functions.durations import duration_micros
 from ..operators import errors
@@ -54,16 +57,19 @@ def durable_subscription(
     The name resumes where it stopped.  Its pattern is stored beside the
     checkpoint; the same name with another pattern is an error.
     """
-    spark = messages.sparkSession
     home = f"{root.rstrip('/')}/{durable_name}"
-    stored = _stored_pattern(spark, f"{home}/filter")
+    bind_filter(messages.sparkSession, home, pattern)
+    return subscribe(messages, pattern), f"{home}/checkpoint"
+
+
+def bind_filter(spark: SparkSession, home: str, pattern: str) -> None:
+    """Keep a durable name's pattern in its folder; another one later is an error."""
+    stored = _stored_pattern(spark, f"{home}/_filter")
     if stored is None:
-        spark.createDataFrame([(pattern,)], "value string").coalesce(1).write.text(f"{home}/filter")
+        spark.createDataFrame([(pattern,)], "value string").coalesce(1).write.text(f"{home}/_filter")
     elif stored != pattern:
-        raise ValueError(
-            f"durable name {durable_name!r} is bound to {stored!r}, not {pattern!r}"
-        )
-    return subscribe(messages, pattern), f"{home}/checkpoint"
+        name = home.rpartition("/")[2]
+        raise ValueError(f"durable name {name!r} is bound to {stored!r}, not {pattern!r}")
 
 
 def _stored_pattern(spark: SparkSession, path: str) -> str | None:
@@ -155,10 +161,53 @@ def for_each_batch(
     )
 
 
-def dedup_stream(stream: DataFrame, id: str, event_time: str, window: str) -> DataFrame:
-    """Drop repeats of an id within ``window``; state expires with the watermark."""
-    delay = f"{duration_micros(window) // 1000} milliseconds"
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id])
+def dedup_stream(stream: DataFrame, id: str, event_time: str, window: str, *, tie: str | None = None, late: str | None = None) -> DataFrame:
+    """Rows that do not repeat an id within ``window`` of its last *accepted* row.
+
+    The rule of ``operators.dedup``, batch by batch: the state of an id is the time of its
+    last accepted row, and it goes when the watermark, ``late`` (by default the window)
+    behind the latest time, has passed the end of its window.  Within a batch rows are
+    taken in the order of time and ``tie``.  Rows without an id are never duplicates and
+    keep no state.
+    """
+    length = duration_micros(window)
+    delay = f"{duration_micros(late) // 1000 if late else length // 1000} milliseconds"
+    marked = stream.withWatermark(event_time, delay)
+    # Only the watermark column keeps its type; the rest crosses to Python as it is or,
+    # where Python has no such type, as JSON text.
+    variants = [f.name for f in stream.schema if isinstance(f.dataType, T.VariantType)]
+    plain = marked.withColumns({name: F.to_json(name) for name in variants}) if variants else marked
+    shaped = plain.withColumns({"_at": F.unix_micros(event_time), "_order": F.col(tie).cast("long") if tie else F.lit(0).cast("long")})
+    columns = shaped.columns
+
+    def accept(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get[0] if state.exists else None
+        rows = pd.concat(list(frames)).sort_values(["_at", "_order"], kind="stable")
+        times, places, at = rows["_at"].tolist(), [], 0
+        while at < len(times):
+            if last is not None:
+                at = bisect_left(times, last + length, at)
+                if at == len(times):
+                    break
+            last = times[at]
+            places.append(at)
+            at += 1
+        ends = -(-(last + length) // 1000)
+        if ends > state.getCurrentWatermarkMs():
+            state.update((last,))
+            state.setTimeoutTimestamp(ends)
+        elif state.exists:
+            state.remove()
+        if places:
+            yield rows.iloc[places][columns]
+
+    named, unnamed = shaped.where(F.col(id).isNotNull()), shaped.where(F.col(id).isNull())
+    kept = named.groupBy(id).applyInPandasWithState(accept, shaped.schema, "last long", "append", "EventTimeTimeout")
+    found = kept.unionByName(unnamed).drop("_at", "_order")
+    return found.withColumns({name: F.parse_json(name) for name in variants}) if variants else found
 
 
 def counted(stream: DataFrame, task: str) -> DataFrame:

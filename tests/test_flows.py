@@ -152,7 +152,10 @@ def test_templated_landing_and_bulk_export(spark, tmp_path):
     receipts = result.outputs[0].collect()
     assert result.written["w"] == root + "/land"
     assert {r["data"]["status"] for r in receipts} == {"success"} and all(r["id"] == r["data"]["e_tag"] for r in receipts)
-    assert sorted(r["data"]["path"].split("/land/")[1].rsplit("/", 1)[0] for r in receipts) == [
+    # Below a folder of the run's own.
+    inside = [r["data"]["path"].split("/land/")[1].partition("/") for r in receipts]
+    assert len({run for run, _, _ in inside}) == 1 and inside[0][0].startswith("run=")
+    assert sorted(path.rsplit("/", 1)[0] for _, _, path in inside) == [
         "destination=in.0/year=2024/month=1/day=1", "destination=in.1/year=2024/month=1/day=2"
     ]
     # A second run appends; its receipts are about its own files only.
@@ -203,7 +206,7 @@ def test_csv_reading(spark, tmp_path):
 
 
 def test_json_documents_and_mixed_folder(spark, tmp_path, caplog):
-    (tmp_path / "a.json").write_text('{\n "name": "test",\n "value": 123\n}')
+    (tmp_path / "a.json").write_text('{\n "depot": "north",\n "gates": [4, 5]\n}')
     (tmp_path / "b.json").write_text("{broken")
     (tmp_path / "c.csv").write_text("id,name\n1,x\n2,y\n")
     (tmp_path / "d.txt").write_text("skipped")
@@ -211,7 +214,7 @@ def test_json_documents_and_mixed_folder(spark, tmp_path, caplog):
     assert sorted((r["path"][-6:], r["_error"]) for r in docs.collect()) == [("a.json", None), ("b.json", "InvalidJson")]
     objects = read_objects(spark, str(tmp_path))
     found = sorted(r["t"] for r in objects.where("_error is null").select(F.to_json("data").alias("t")).collect())
-    assert found == ['{"id":1,"name":"x"}', '{"id":2,"name":"y"}', '{"name":"test","value":123}']
+    assert found == ['{"depot":"north","gates":[4,5]}', '{"id":1,"name":"x"}', '{"id":2,"name":"y"}']
     assert "unsupported extensions, such as txt" in caplog.text
     (tmp_path / "README").write_text("x")
     with pytest.raises(ValueError, match="no extension"):

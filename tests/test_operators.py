@@ -29,7 +29,7 @@ from millrace.sources.messages import advance_cursor, decode_payload, replay_fro
 def json_events(spark, *texts):
     rows = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
     return rows.select(
-        F.try_parse_json("text").alias("data"), F.lit("test.subject").alias("subject"), "id",
+        F.try_parse_json("text").alias("data"), F.lit("depot.in").alias("subject"), "id",
         F.lit(7).cast("bigint").alias("timestamp"), F.lit(0).alias("task_id"), F.lit("test").alias("task_type"),
     )
 
@@ -54,7 +54,7 @@ def test_envelope_needs_its_parts(spark):
 
 def test_restamp_and_key(spark):
     events = json_events(spark, "1")
-    assert events.select(event_key().alias("k")).first()["k"] == "test.subject.0"
+    assert events.select(event_key().alias("k")).first()["k"] == "depot.in.0"
     out = restamp(events, task_id=3, task_type="convert", subject="name", drop_id=True, processed_at=True)
     row = out.first()
     assert (row["subject"], row["id"], row["task_id"], row["timestamp"]) == ("name", None, 3, 7)
@@ -66,21 +66,21 @@ def test_restamp_and_key(spark):
 
 
 def test_script_map_keeps_subject_and_id(spark):
-    events = json_events(spark, '{"x":5}')
-    out = script.script_map(events, "named_struct('original', data, 'transformed', true)").first()
-    assert (out["subject"], out["id"], out["data"]["transformed"]) == ("test.subject", "0", True)
+    events = json_events(spark, '{"grams":1200}')
+    out = script.script_map(events, "named_struct('kilos', variant_get(data, '$.grams', 'int') / 1000, 'checked', 'yes')").first()
+    assert (out["subject"], out["id"], out["data"]["kilos"], out["data"]["checked"]) == ("depot.in", "0", 1.2, "yes")
 
 
 def test_script_filter_drops_null(spark):
-    events = json_events(spark, '{"x":5}', '{"x":1}', "{}")
-    assert script.script_filter(events, "variant_get(data, '$.x', 'int') > 2").count() == 1
+    events = json_events(spark, '{"grams":1200}', '{"grams":80}', "{}")
+    assert script.script_filter(events, "variant_get(data, '$.grams', 'int') > 500").count() == 1
 
 
 def test_script_fanout(spark):
-    events = json_events(spark, '[{"id":1},{"id":2},{"id":3}]', "[]", '{"a":1}', "null")
+    events = json_events(spark, '["north",{"stop":"east"},7.5,null]', "[]", '{"a":1}', "null")
     out = script.script_fanout(events, "data")
-    assert texts(out) == ['{"id":1}', '{"id":2}', '{"id":3}']
-    assert {r["subject"] for r in out.collect()} == {"test.subject"}
+    assert texts(out) == ['"north"', '{"stop":"east"}', "7.5", "null"]
+    assert {r["subject"] for r in out.collect()} == {"depot.in"}
 
 
 def test_script_envelope_types(spark):
@@ -92,7 +92,7 @@ def test_script_envelope_types(spark):
     )
     out = script.script_envelope(events, "data")
     rows = [(r["subject"], r["id"], r["t"]) for r in out.select("subject", "id", F.to_json("data").alias("t")).collect()]
-    assert rows == [("new", "n", '{"a":1}'), ("test.subject", None, "[1]"), ("only", None, "null")]
+    assert rows == [("new", "n", '{"a":1}'), ("depot.in", None, "[1]"), ("only", None, "null")]
     with pytest.raises(ValueError):
         script.script_envelope(events, "named_struct('subject', 'x')")
 
@@ -214,22 +214,22 @@ def test_batch_ids_are_bounded(spark):
 
 
 def test_iterate_root_and_key(spark):
-    good, bad = split_errors(iterate(json_events(spark, '[{"id":1},{"id":2}]', "[]", "[null]"), name="it"))
-    assert texts(good) == ['{"id":1}', '{"id":2}', "null"]
+    good, bad = split_errors(iterate(json_events(spark, '["left",{"turn":90}]', "[]", "[null]"), name="it"))
+    assert texts(good) == ['"left"', '{"turn":90}', "null"]
     assert {(r["subject"], r["id"]) for r in good.collect()} == {("it", None)} and bad.count() == 0
-    good, bad = split_errors(iterate(json_events(spark, '{"items":[{"name":"a"},{"name":"b"}],"total":2}'), "items"))
-    assert texts(good) == ['{"name":"a"}', '{"name":"b"}'] and bad.count() == 0
+    good, bad = split_errors(iterate(json_events(spark, '{"legs":[{"km":4.5},[8],"ferry"],"carrier":"x"}'), "legs"))
+    assert texts(good) == ['{"km":4.5}', "[8]", '"ferry"'] and bad.count() == 0
 
 
 def test_iterate_errors(spark):
-    events = json_events(spark, '{"items":[1,2,3]}', '{"missing":{"a":1}}', '{"missing":null}', "[1]", "5")
-    good, bad = split_errors(iterate(events, "missing", name="it"))
+    events = json_events(spark, '{"legs":["a"]}', '{"stops":{"a":1}}', '{"stops":null}', "[1]", "5")
+    good, bad = split_errors(iterate(events, "stops", name="it"))
     assert good.count() == 0
     assert [(r["id"], r["_error"], r["subject"]) for r in bad.orderBy("id").collect()] == [
-        ("0", "KeyNotFound", "test.subject"), ("1", "ExpectedArray", "test.subject"), ("2", "ExpectedArray", "test.subject"),
-        ("3", "KeyNotFound", "test.subject"), ("4", "KeyNotFound", "test.subject"),
+        ("0", "KeyNotFound", "depot.in"), ("1", "ExpectedArray", "depot.in"), ("2", "ExpectedArray", "depot.in"),
+        ("3", "KeyNotFound", "depot.in"), ("4", "KeyNotFound", "depot.in"),
     ]
-    _, bad = split_errors(iterate(json_events(spark, '{"not":"an array"}')))
+    _, bad = split_errors(iterate(json_events(spark, '{"carrier":"x"}')))
     assert [r["_error"] for r in bad.collect()] == ["ExpectedArray"]
 
 
@@ -303,12 +303,12 @@ def skewed_rows(n=3000, seed=1):
     return rows + [(None, 5, n), (None, 5, n + 1)]
 
 
-@pytest.mark.parametrize("hot_rows", [10_000, 100, 5])
+@pytest.mark.parametrize("ranges", [None, 4, 60])
 @pytest.mark.parametrize("window", [1, 700_000, 10_000_000, 10**12])
-def test_dedup_against_brute_force(spark, hot_rows, window):
+def test_dedup_against_brute_force(spark, ranges, window):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, "id string, t bigint, tie bigint")
-    kept = [tuple(r) for r in dedup(df, "id", "t", "tie", window, hot_rows=hot_rows).collect()]
+    kept = [tuple(r) for r in dedup(df, "id", "t", "tie", window, ranges=ranges).collect()]
     assert sorted(kept, key=str) == brute_dedup(rows, window)
 
 
@@ -430,7 +430,7 @@ def test_request_payload_priority(spark):
     config["payload"] = {"object": {"o": "{{event.id}}", "k": 2}, "input": "[]"}
     assert render_requests(events, config).first()["body"] == '{"o":"0","k":2}'
     config["payload"] = {"input": '{"i":"{{event.subject}}"}'}
-    assert render_requests(events, config).first()["body"] == '{"i":"test.subject"}'
+    assert render_requests(events, config).first()["body"] == '{"i":"depot.in"}'
     config["payload"] = {"input": "{broken"}
     assert render_requests(events, config).first()["_error"] == "InvalidJson"
     config["payload"] = {}
