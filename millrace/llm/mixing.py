@@ -5,15 +5,16 @@ comes first; the rest of the target is a budget that is spent on the documents w
 smallest hashes.  The hash at which the budget ends is found without sorting documents:
 words are summed by source and hash bucket, the running total over the buckets says in
 which bucket the budget ends, and only that bucket is summed again by the next bits of
-the hash, down to single hash values.  A filter by that one number per source then takes
-the documents.  A larger budget only moves the number up, so mixes are nested.
+the hash, down to single hash values.  The value at which the budget ends counts if that
+brings the words nearer to it.  A filter by that one number per source then takes the
+documents.  A larger budget only moves the number up, so mixes are nested.
 
 Defined results for unusual rows:
 
 - a null text has size 0, and a document of size 0 takes 0 words;
 - a null source is a source of its own, the last in order;
 - rows equal in id and text share one hash and so one fate: the taken words of a source
-  are below its target by less than the words of one such group;
+  differ from its target by half the words of one such group at most;
 - an empty table gives an empty result; extra columns are kept by ``mix``.
 """
 
@@ -111,7 +112,7 @@ def _level(rows: DataFrame, state: DataFrame, shift: int) -> DataFrame:
     within = (
         rows.withColumn("_outer", F.shiftright("hash", min(shift + LEVEL_BITS, HASH_BITS)))
         .join(
-            state.withColumnRenamed("source", "_source"),
+            state.select(F.col("source").alias("_source"), "prefix", "left"),
             F.col("source").eqNullSafe(F.col("_source")) & (F.col("_outer") == F.col("prefix")),
         )
         .groupBy("source", F.shiftright("hash", shift).alias("bucket"))
@@ -125,6 +126,7 @@ def _level(rows: DataFrame, state: DataFrame, shift: int) -> DataFrame:
         .agg(
             F.min("bucket").alias("prefix"),
             F.min_by(F.col("left") - (F.col("upto") - F.col("words")), "bucket").alias("left"),
+            F.min_by("words", "bucket").alias("words"),
         )
     )
 
@@ -137,10 +139,12 @@ def thresholds(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int
     level reads only the rows of the bucket that the level before it left open.
     """
     targets = materialize(source_targets(sized, weights, cap), "mix-targets")
+    few = targets.count() <= BROADCAST_SOURCES
     state = targets.select("source", F.lit(0).cast("bigint").alias("prefix"), F.col("budget").alias("left"))
     for shift in range(HASH_BITS - LEVEL_BITS, -1, -LEVEL_BITS):
-        state = _level(sized, state, shift)
-    ends = state.select(F.col("source").alias("_source"), F.col("prefix").alias("threshold"))
+        state = _level(sized, F.broadcast(state) if few else state, shift)
+    nearer = (F.col("words") - F.col("left") < F.col("left")).cast("bigint")
+    ends = state.select(F.col("source").alias("_source"), (F.col("prefix") + nearer).alias("threshold"))
     return targets.join(ends, F.col("source").eqNullSafe(F.col("_source")), "left").select(
         "source", "source_size", "target", "passes", "threshold"
     )
@@ -208,10 +212,13 @@ targets AS (
   SELECT source, source_size, least(CAST(source_size * 3 AS DOUBLE), (SELECT level FROM common) * weight) AS target FROM levels),
 budgets AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS passes FROM targets),
-spent AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY hash) AS upto FROM sized)
-SELECT s.doc_id, s.size, b.source_size, b.target,
-       CAST(s.size * (b.passes + CASE WHEN s.upto <= b.target - b.passes * b.source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM spent s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source
+spent AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY hash) AS upto, sum(size) OVER (PARTITION BY source, hash) AS own FROM sized),
+judged AS (
+  SELECT s.*, b.*, b.target - b.passes * b.source_size AS budget FROM spent s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (passes + CASE WHEN upto <= budget OR (upto - own < budget AND upto - budget < budget - (upto - own)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM judged
 """
 
 
