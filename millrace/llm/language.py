@@ -9,10 +9,16 @@ short texts.  Since everything after the hashing is linear, the trained model is
 table of subword rows by languages, and a text is scored by one pass over its letters.
 
 Scores are calibrated: the logits are scaled by a factor that depends on the number of
-subwords, fitted on rows that the training did not see.  A text is rejected if it has no
-letter or if its score is below a threshold that is also found on those rows: the lowest
-one that gives the wanted precision, but never one that would reject more than a set
-share of right predictions.
+subwords, fitted on rows that the training did not see.  Rejection is judged piece by
+piece, so that a text in several of the languages is not taken for one in none of them: a
+piece is known if its margin, by which the best language's mean logit is above the second
+one's, reaches a threshold, and a text is rejected if less than half of its subwords are
+in known pieces, or if it has no letter.  (Scores do not serve here: with many subwords
+they are near 1 for any text.  Margins are small where the subwords are those of no
+language, since these speak for one language as much as for another.)  The thresholds,
+one for each of several numbers of subwords, are found on those same rows: the lowest one
+that gives the wanted precision, but never one that would reject more than a set share of
+right predictions of that size.
 
 Defined results for unusual rows: a null text or one without letters is ``und`` with
 score 0 and is rejected; texts of any length are read whole, in stretches whose ends
@@ -45,8 +51,10 @@ STRETCH = 1 << 18
 ROWS_PER_LANGUAGE = 800
 DRAWS = 512
 
-# Whatever the calibration says, a text half of which is in one language is not rejected.
-HIGHEST_THRESHOLD = 0.4
+# Letters and spaces of a piece.
+PIECE = 200
+# Numbers of subwords that the calibration looks at, besides all draws.
+CALIBRATED = (6, 20, 60)
 
 
 @functools.cache
@@ -54,11 +62,12 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
-def _stretch_buckets(text: str) -> np.ndarray:
+def _subwords(text: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Bucket and piece of each subword, in order, for each length of subwords."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[points]
     if not letter.any():
-        return np.empty(0, np.uint32)
+        return []
     # Every run of other characters becomes one space, and so do both ends.
     padded = np.zeros(len(points) + 2, bool)
     padded[1:-1] = letter
@@ -83,15 +92,18 @@ def _stretch_buckets(text: str) -> np.ndarray:
             hashed += chars[k : last + k]
             hashed *= np.uint32(0x9E3779B1)
             hashed ^= hashed >> np.uint32(15)
-        parts.append(hashed[whole] >> np.uint32(32 - BITS))
-    return np.concatenate(parts)
+        parts.append((hashed[whole] >> np.uint32(32 - BITS), np.flatnonzero(whole) // PIECE))
+    return parts
+
+
+def _stretches(text: str) -> list[str]:
+    return [text[at : at + STRETCH] for at in range(0, len(text), STRETCH)]
 
 
 def subword_buckets(text: str) -> np.ndarray:
     """Buckets of all subwords of a text, repeats included."""
-    if len(text) <= STRETCH:
-        return _stretch_buckets(text)
-    return np.concatenate([_stretch_buckets(text[at : at + STRETCH]) for at in range(0, len(text), STRETCH)])
+    found = [buckets for stretch in _stretches(text) for buckets, _ in _subwords(stretch)]
+    return np.concatenate([np.empty(0, np.uint32), *found])
 
 
 @dataclass(frozen=True)
@@ -100,27 +112,55 @@ class LanguageModel:
     table: np.ndarray  # bucket by language
     bias: np.ndarray
     scale: tuple[float, float]  # log of the logit factor: intercept, slope by log of subwords
-    threshold: float
+    thresholds: tuple[tuple[float, float], ...]  # by the number of subwords
+
+    def piece_sums(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Sums of the subwords' rows (piece by language) and numbers of subwords."""
+        sums, counts = [np.zeros((0, len(self.languages)))], [np.zeros(0, np.int64)]
+        for stretch in _stretches(text):
+            parts = [(buckets, pieces) for buckets, pieces in _subwords(stretch) if len(buckets)]
+            size = max((int(pieces[-1]) for _, pieces in parts), default=-1) + 1
+            own, many = np.zeros((size, len(self.languages))), np.zeros(size, np.int64)
+            for buckets, pieces in parts:
+                begins = np.flatnonzero(np.diff(pieces, prepend=-1))
+                own[pieces[begins]] += np.add.reduceat(self.table[buckets], begins, axis=0, dtype=np.float64)
+                many += np.bincount(pieces, minlength=size)
+            sums.append(own[many > 0])
+            counts.append(many[many > 0])
+        return np.concatenate(sums), np.concatenate(counts)
+
+    def shares(self, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities of the languages, a row each."""
+        return _softmax((sums / counts[:, None] + self.bias) * _factor(self.scale, counts)[:, None])
+
+    def margins(self, sums: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return _margins(sums / counts[:, None] + self.bias)
+
+    def threshold(self, counts: np.ndarray) -> np.ndarray:
+        sizes, least = np.array(self.thresholds).T
+        return np.interp(np.log(counts), np.log(sizes), least)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score, rejected."""
-        buckets = subword_buckets(text) if text else np.empty(0, np.uint32)
-        if not len(buckets) or not self.languages:
+        sums, counts = self.piece_sums(text or "") if self.languages else (None, ())
+        if not len(counts):
             return UNKNOWN, 0.0, True
-        if len(buckets) < 4096:
-            mean = self.table[buckets].mean(axis=0, dtype=np.float64)
-        else:
-            mean = np.bincount(buckets, minlength=1 << BITS) @ self.table / len(buckets)
-        shares = _softmax((mean + self.bias) * _factor(self.scale, len(buckets)))
+        shares = self.shares(sums.sum(axis=0)[None], counts.sum()[None])[0]
+        known = self.margins(sums, counts) >= self.threshold(counts)
         best = int(shares.argmax())
-        score = float(shares[best])
-        return self.languages[best], score, score < self.threshold
+        return self.languages[best], float(shares[best]), bool(counts[known].sum() * 2 < counts.sum())
 
 
 def _factor(scale: tuple[float, float], n) -> np.ndarray:
     return np.exp(scale[0] + scale[1] * np.log1p(n))
 
 
+def _margins(logits: np.ndarray) -> np.ndarray:
+    """By how much the best of each row is above the second; of one language its logit."""
+    ranked = np.sort(logits, axis=1)
+    return ranked[:, -1] - ranked[:, -2] if logits.shape[1] > 1 else ranked[:, -1]
+
+
 def _softmax(logits: np.ndarray) -> np.ndarray:
     raised = np.exp(logits - logits.max(axis=-1, keepdims=True))
     return raised / raised.sum(axis=-1, keepdims=True)
@@ -134,7 +174,7 @@ def train(
     epochs: int = 6,
     rate: float = 2.0,
     precision: float = 0.995,
-    lost: float = 0.001,
+    lost: float = 0.005,
     seed: int = 7,
 ) -> LanguageModel:
     """Fit on ``draws`` (rows by subword buckets) with ``labels`` (numbers of languages).
@@ -167,8 +207,9 @@ def train(
         aside = order
     # Calibration on short and on full draws of the rows left out.
     logits, sizes, truth = [], [], []
+    looked = (*[size for size in CALIBRATED if size < draws.shape[1]], draws.shape[1])
     for at in aside:
-        for size in (6, 20, 60, draws.shape[1]):
+        for size in looked:
             logits.append(flat[draws[at, :size]].mean(axis=0) + bias)
             sizes.append(size)
             truth.append(labels[at])
@@ -177,14 +218,19 @@ def train(
         ((a, b) for a in np.linspace(-2, 4, 25) for b in np.linspace(0, 1, 11)),
         key=lambda s: -np.log(_softmax(logits * _factor(s, sizes)[:, None])[np.arange(len(truth)), truth] + 1e-12).mean(),
     )
-    shares = _softmax(logits * _factor(best, sizes)[:, None])
-    right, score = shares.argmax(axis=1) == truth, shares.max(axis=1)
+    right, margin = logits.argmax(axis=1) == truth, _margins(logits)
+    found = tuple((float(size), _threshold(margin[sizes == size], right[sizes == size], precision, lost)) for size in looked)
+    return LanguageModel(languages, flat.astype(np.float32), bias, (float(best[0]), float(best[1])), found)
+
+
+def _threshold(score: np.ndarray, right: np.ndarray, precision: float, lost: float) -> float:
+    """The lowest score at and above which predictions are precise enough, if that does
+    not lose more than a share ``lost`` of the right ones."""
     ranked = np.argsort(-score)
     precise = np.cumsum(right[ranked]) / np.arange(1, len(ranked) + 1) >= precision
     wanted = score[ranked[np.flatnonzero(precise)[-1]]] if precise.any() else 1.0
-    full = right & (sizes == draws.shape[1])
-    bound = np.quantile(score[full], lost) if full.any() else 0.0
-    return LanguageModel(languages, flat.astype(np.float32), bias, (float(best[0]), float(best[1])), float(min(wanted, bound, HIGHEST_THRESHOLD)))
+    bound = np.quantile(score[right], lost) if right.any() else 0.0
+    return float(min(wanted, bound))
 
 
 def fit(
@@ -214,7 +260,7 @@ def fit(
     sample = bounded_sample(known.select(key, F.col(text).alias("text"), F.col(lang).alias("lang")), rows_per_language, key, "lang")
     found = sample.select("lang", drawn("text").alias("draws")).where(F.size("draws") > 0).toArrow()
     if not found.num_rows:
-        return LanguageModel((), np.zeros((1, 0), np.float32), np.zeros(0), (0.0, 0.0), 1.0)
+        return LanguageModel((), np.zeros((1, 0), np.float32), np.zeros(0), (0.0, 0.0), ((1.0, 1.0),))
     names = found["lang"].to_pylist()
     languages = tuple(sorted(set(names)))
     matrix = found["draws"].combine_chunks().values.to_numpy().reshape(-1, draws)
