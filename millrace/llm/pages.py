@@ -19,6 +19,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +52,10 @@ HINTS = frozenset(
 )
 OUTER_HINTS = frozenset(["header", "masthead"])
 
+# In a tag a quote encloses a value only after an equals sign; elsewhere it is a character.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^>]*)(?:>|\Z)",
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)",
     re.S,
 )
 NAMING = re.compile(r"""(?:^|\s)(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|\Z)""", re.I)
@@ -206,8 +207,10 @@ class _Blocks:
         self.pieces: list[str] = []
         self.linked: list[str] = []
         self.in_link = False
-        # Open containers: tag, whether text in it is in an article, whether it is named.
+        # Open containers: tag, whether text in it is in an article, whether it is named;
+        # and how many of each tag are open.
         self.open: list[tuple[str, bool, bool]] = []
+        self.depth: Counter[str] = Counter()
 
     def text(self, raw: str) -> None:
         if raw:
@@ -245,6 +248,7 @@ class _Blocks:
             if attributes:
                 named = named or _named(attributes, article)
             self.open.append((tag, article, named))
+            self.depth[tag] += 1
 
     def end(self, tag: str) -> None:
         if tag == "a":
@@ -253,9 +257,11 @@ class _Blocks:
         if tag in BLOCK_TAGS or tag == "button":
             self.flush()
             self.in_link = False
-        if tag in CONTAINERS and any(tag == held[0] for held in self.open):
-            while self.open.pop()[0] != tag:
-                pass
+        if self.depth[tag]:
+            closed = None
+            while closed != tag:
+                closed = self.open.pop()[0]
+                self.depth[closed] -= 1
 
 
 def _named(attributes: str, article: bool) -> bool:
@@ -284,7 +290,7 @@ def _closing(tag: str) -> re.Pattern:
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """Blocks in page order: text, words, linked words, in an article, named as other."""
-    out, at = _Blocks(), 0
+    out, at, unclosed = _Blocks(), 0, set()
     while True:
         match = TOKEN.search(page, at)
         if match is None:
@@ -292,19 +298,22 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             break
         out.text(page[at : match.start()])
         at = match.end()
-        tag = match["tag"] or match["tag2"]
+        tag = match["tag"]
         if tag is None:
             continue
         tag = tag.lower()
-        attributes = match["attributes"] or match["attributes2"] or ""
-        if match["end"] or match["end2"]:
+        attributes = match["attributes"] or ""
+        if match["end"]:
             out.end(tag)
         elif tag in SILENT_TAGS and not attributes.endswith("/"):
-            close = _closing(tag).search(page, at)
+            # Once there is no closing tag ahead, there is none later either.
+            close = None if tag in unclosed else _closing(tag).search(page, at)
             if close is not None:
                 at = close.end()
             elif tag in ("script", "style"):
                 break
+            else:
+                unclosed.add(tag)
         else:
             out.begin(tag, attributes)
     out.flush()

@@ -70,3 +70,19 @@ def test_unusual_rows(spark):
     assert [r.text for r in found[:2]] == ["", ""] and found[2].text == found[3].text
     assert found[2].text.count("\n") == 99_999 and found[4].text == ""
     assert pages.extract(given.limit(0)).count() == 0
+
+
+def test_quotes_outside_of_values():
+    page = "<article><p title=Bob's>first</p><p>Ann's > second</p><p title=\"a > b\" x='>'>third</p></article>"
+    assert pages.main_text(page) == "first\nAnn's > second\nthird"
+    assert pages.main_text("<article><p title=\"never closed>first</p><p>second</p></article>") == "first\nsecond"
+    assert pages.main_text("<article><p>kept</p><p class=cut") == "kept"
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+
+    begun = time.perf_counter()
+    for page in ("<noscript>" * 500_000, "<div>" * 500_000 + "</section>" * 500_000, "<a title='" * 400_000, "<!-" * 1_000_000, "<p =" * 800_000):
+        pages.blocks(page)
+    assert time.perf_counter() - begun < 60
