@@ -21,6 +21,7 @@ the same name.
 from __future__ import annotations
 
 import functools
+import math
 import operator
 import sys
 import unicodedata
@@ -126,7 +127,7 @@ def _word_bucket(word: str) -> int:
 def _extra(name: str, value) -> int:
     """Feature of a metadata value: its name with the step of its size, or its text."""
     if isinstance(value, (int, float)) and not isinstance(value, bool):
-        value = "large" if value != value else int(np.log2(1 + abs(value)) * 2)
+        value = int(np.log2(1 + abs(value)) * 2) if math.isfinite(value) else "large"
     return zlib.crc32(f"{name}={value}".encode("utf-8", "surrogatepass"))
 
 

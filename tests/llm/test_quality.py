@@ -59,3 +59,27 @@ def test_one_label_only(spark):
     docs = spark.createDataFrame([(1, "a", 1), (2, "b", None)], "doc_id long, text string, quality int")
     assert quality.fit(docs).score("c") == pytest.approx(0.75)
     assert quality.fit(docs.limit(0)).score("c") == pytest.approx(0.5, abs=1e-6)
+
+
+def test_scores_against_plain_version(spark, model):
+    """Bias, weights, the double sum over pairs of features and the sigmoid, one by one."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "n_chars").orderBy("doc_id").limit(60)
+    got = {r.doc_id: r.score for r in quality.classify(docs, model, metadata=("n_chars",)).collect()}
+    for row in docs.collect():
+        numbers, values = quality.features((row.text or "")[:20_000], {"n_chars": row.n_chars})
+        if len(row.text or "") > 20_000 or len(numbers) > 400:
+            continue
+        raw = model.bias + sum(float(model.weights[i]) * float(v) for i, v in zip(numbers, values))
+        for (i, a), (j, b) in itertools.combinations(list(zip(numbers, values)), 2):
+            raw += float(model.factors[i] @ model.factors[j]) * float(a) * float(b)
+        slope, shift = model.calibration
+        assert got[row.doc_id] == pytest.approx(1 / (1 + np.exp(-(slope * raw + shift))), abs=1e-4)
+
+
+def test_infinite_null_and_repeated_metadata(spark, model):
+    rows = [(1, "some words here", float("inf")), (1, "some words here", float("-inf")), (None, "some words here", float("nan")), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars double")
+    found = [r.score for r in quality.classify(docs, model, metadata=("n_chars",)).collect()]
+    assert found[0] == found[1] == found[2] and all(0 <= s <= 1 for s in found)
+    labelled = docs.selectExpr("*", "1 AS quality").unionByName(docs.selectExpr("*", "0 AS quality"))
+    assert 0 <= quality.fit(labelled, metadata=("n_chars",)).score("words") <= 1
