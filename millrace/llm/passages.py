@@ -1,5 +1,8 @@
 """Passages that repeat across documents: paragraph MinHash banding, anchored runs, components.
 
+Equal texts are one class from the start: each different text is scanned once, and what
+is found in it holds for all documents that have it.
+
 Paragraphs are lines of at least ``words`` words; neighbouring shorter lines are taken
 together, on and back from each of them as many as have ``words`` words. Equal
 paragraphs are one class; the others are banded: the minwise sketch of a paragraph's
@@ -10,11 +13,11 @@ paragraphs of a band are dealt to tasks in pairs of blocks, and a pair is verifi
 in the first band that it shares.
 
 A repeated passage may also stand anywhere else in a text, over lines and from the middle
-of a sentence on.  Every run of ``words`` words has an anchor, the least hash of the runs
-of half as many words in it, so that equal runs have equal anchors.  Runs of neighbouring
-words with one anchor make a stretch.  An anchor of several documents whose stretches are
-all equal repeats in whole; where they differ, at the ends of an equal passage, the texts
-are read again and the runs themselves compared.  So every run of ``words`` words that is
+of a sentence on.  Every run of ``words`` words has an anchor, the least hash of the
+shorter runs in it, so that equal runs have equal anchors.  Runs of neighbouring words
+with one anchor make a stretch.  An anchor of several documents whose stretches are all
+equal repeats in whole; where they differ, at the ends of an equal passage, the texts are
+read again and the runs themselves compared.  So every run of ``words`` words that is
 equal in two documents is found, and nothing else; neighbouring runs make one passage.
 
 The first occurrence of a repeat, by document id and place, is kept and all others are
@@ -22,8 +25,10 @@ removals; overlapping removals of a document are one.
 
 Defined results for unusual rows: null, empty and short texts have no passages; a class
 that occurs in one document only is no repeat; null ids come last in order; rows that
-repeat an id are documents of their own; an empty table gives an empty result; whole
-texts are read, and no band, bucket or partner is dropped.
+repeat an id are documents of their own, also those that repeat its text; an empty table
+gives an empty result; whole texts are read, and no band, bucket or partner is dropped.
+Only the two named columns are read; ``without_repeats`` keeps all others, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -35,7 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import in_block_pairs
@@ -51,7 +56,7 @@ class PassageSettings:
     words: int = 50
     threshold: float = 0.8
     recall: float = 0.999
-    rows: int = 4  # sketch values of a band
+    rows: int = 3  # sketch values of a band
 
     @property
     def bands(self) -> int:
@@ -138,11 +143,11 @@ class _Words:
 
     def stretches(self, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Anchor, hash, and the first words of the first and last run of each stretch."""
-        n, half = len(self.hashes) - words + 1, max(1, words // 2)
+        n, short = len(self.hashes) - words + 1, max(1, words // ANCHOR)
         if n < 1:
             return (np.empty(0, np.int64),) * 4
-        at = np.arange(len(self.hashes) - half + 1)
-        hashes, span = self.run_hashes(at, at + half), words - half + 1
+        at = np.arange(len(self.hashes) - short + 1)
+        hashes, span = self.run_hashes(at, at + short), words - short + 1
         # The first of equal least hashes, so the place depends on the run alone and never
         # moves back from one run to the next.
         place = np.empty(n, np.int64)
@@ -159,6 +164,12 @@ LINES = "array<struct<sid:binary,size:int,begin:int,finish:int,sketch:binary,key
 STRETCHES = "array<struct<anchor:bigint,hash:bigint,begin:int,finish:int>>"
 RUNS = "array<struct<hash:bigint,begin:int,finish:int>>"
 STEP = 1 << 14
+# An anchor is a run of this part of the words of a run.
+ANCHOR = 5
+# Places of stretches that are broadcast with their texts.
+BROADCAST_PLACES = 2_000_000
+# Texts with this share of the documents are few and joined by broadcast.
+FEW = 10_000
 
 
 def _listed(parts: list[tuple[np.ndarray, ...]], fields: list[tuple[str, pa.DataType]]) -> pa.Array:
@@ -169,8 +180,20 @@ def _listed(parts: list[tuple[np.ndarray, ...]], fields: list[tuple[str, pa.Data
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 
 
-def _scanned(docs: DataFrame, doc_id: str, text: str, settings: PassageSettings) -> DataFrame:
-    """``doc_id, text_id, lines, stretches`` of each text; places are code points."""
+def _text_id(text: Column) -> Column:
+    """A digest of a text; null without one."""
+    return F.when(text != "", F.unhex(F.md5(text.cast("binary"))))
+
+
+def _broadcast(table: DataFrame, rows: int) -> DataFrame:
+    """A stored table, broadcast if it has no more rows."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
+
+
+def _scanned(docs: DataFrame, copied: DataFrame, settings: PassageSettings) -> DataFrame:
+    """``doc_id, text_id, many, lines, stretches`` of each different text; places are code
+    points, and ``many`` tells that several documents have the text.  Of those only the
+    first is scanned."""
     count = settings.bands * settings.rows
 
     @F.arrow_udf(f"lines {LINES}, stretches {STRETCHES}")
@@ -199,29 +222,27 @@ def _scanned(docs: DataFrame, doc_id: str, text: str, settings: PassageSettings)
         fields = [("anchor", pa.int64()), ("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())]
         return pa.StructArray.from_arrays([pa.array(lines, pa.list_(line)), _listed(stretches, fields)], ["lines", "stretches"])
 
-    own = F.col(text).cast("string")
-    scanned = docs.select(F.col(doc_id).alias("doc_id"), _text_id(doc_id, own).alias("text_id"), run(own).alias("s"))
-    return scanned.select("doc_id", "text_id", "s.*")
+    first = copied.select("text_id", F.col("first.doc_id").alias("_first"), F.lit(True).alias("many"))
+    texts = docs.where(F.col("text_id").isNotNull()).join(_broadcast(first, BROADCAST_IDS), "text_id", "left")
+    texts = texts.where(F.col("many").isNull() | F.col("doc_id").eqNullSafe(F.col("_first")))
+    return texts.select("doc_id", "text_id", F.coalesce("many", F.lit(False)).alias("many"), run("text").alias("s")).select("doc_id", "text_id", "many", "s.*")
 
 
-def _text_id(doc_id: str, text):
-    """The same for rows of equal id and text."""
-    return F.xxhash64(F.col(doc_id), text)
+def _place() -> Column:
+    """Where an occurrence stands, in order: nulls last."""
+    return F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_id", "begin")
 
 
-def _place():
-    """Where an occurrence stands, in order: nulls last."""
-    return F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row", "begin")
+def _several() -> Column:
+    """Whether the rows of a group are of several documents."""
+    return (F.min("text_id") != F.max("text_id")) | F.max("many")
 
 
-def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_id: str, text: str, settings: PassageSettings, scratch: Scratch) -> DataFrame:
+def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, settings: PassageSettings, scratch: Scratch) -> DataFrame:
     """Candidates with their whole sets, made anew from the first occurrence of each."""
     wanted = candidates.select("sid").distinct().join(sets.select("sid", "first"), "sid")
-    wanted = wanted.groupBy(F.col("first.doc_id").alias("_id")).agg(F.collect_set("first.begin").alias("_begins"))
-    wanted = scratch.store(wanted, "wanted-lines")
-    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("_text"))
-    texts = texts.join(chosen, F.col("_doc").eqNullSafe(F.col("_id")))
+    wanted = wanted.groupBy(F.col("first.text_id").alias("_id"), F.col("first.doc_id").alias("_doc")).agg(F.collect_set("first.begin").alias("_begins"))
+    texts = _texts_of(docs, scratch.store(wanted, "wanted-lines"))
 
     @F.arrow_udf("array<struct<sid:binary,shingles:binary>>")
     def run(values: pa.Array, begins: pa.Array) -> pa.Array:
@@ -233,24 +254,29 @@ def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, doc_
             out.append(own)
         return pa.array(out, pa.list_(pa.struct([("sid", pa.binary()), ("shingles", pa.binary())])))
 
-    made = texts.select(F.explode(run.asNondeterministic()("_text", "_begins")).alias("s")).select("s.*")
+    made = texts.select(F.explode(run.asNondeterministic()("text", "_begins")).alias("s")).select("s.*")
     return candidates.join(scratch.store(made.dropDuplicates(["sid"]), "line-shingles"), "sid")
 
 
-def _equal_runs(base: DataFrame, docs: DataFrame, doc_id: str, text: str, settings: PassageSettings, scratch: Scratch) -> DataFrame:
-    """``doc_id, row, begin, finish, first`` of runs that are equal in several documents."""
-    stretches = base.select("doc_id", "row", "text_id", F.inline("stretches"))
-    several = [F.min(_place()).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
-    anchors = stretches.groupBy("anchor").agg((F.min("hash") == F.max("hash")).alias("equal"), *several)
-    anchors = scratch.store(anchors.where("low <> high").select("anchor", "equal", "first"), "anchors")
-    anchored = scratch.store(stretches.drop("hash").join(anchors, "anchor").drop("anchor"), "anchored")
-    whole = anchored.where("equal").select("doc_id", "row", "begin", "finish", "first")
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The texts that a stored ``_id, _doc, _begins`` names, with the places asked for."""
+    size = wanted.agg(F.count("*"), F.sum(F.size("_begins"))).first()
+    chosen = F.broadcast(wanted) if size[0] <= BROADCAST_IDS and (size[1] or 0) <= BROADCAST_PLACES else wanted
+    return docs.join(chosen, (F.col("text_id") == F.col("_id")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
 
-    wanted = anchored.where("not equal").groupBy("text_id").agg(F.collect_set("begin").alias("_begins"))
-    wanted = scratch.store(wanted.withColumnRenamed("text_id", "_wanted"), "wanted-stretches")
-    chosen = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS // 10 else wanted
-    own = F.col(text).cast("string")
-    texts = docs.select(_text_id(doc_id, own).alias("text_id"), own.alias("_text")).join(chosen, F.col("text_id") == F.col("_wanted"))
+
+def _equal_runs(base: DataFrame, docs: DataFrame, settings: PassageSettings, scratch: Scratch) -> DataFrame:
+    """``text_id, begin, finish, first`` of runs that are equal in several documents."""
+    stretches = base.select("doc_id", "text_id", "many", F.inline("stretches"))
+    # First the anchors alone, then the places of those that several documents have.
+    shared = stretches.groupBy("anchor").agg((F.min("hash") == F.max("hash")).alias("equal"), _several().alias("several"))
+    shared = scratch.store(shared.where("several").select("anchor", "equal"), "anchors")
+    anchored = scratch.store(stretches.join(shared, "anchor").drop("hash", "many"), "anchored")
+    firsts = anchored.where("equal").groupBy("anchor").agg(F.min(_place()).alias("first"))
+    whole = anchored.where("equal").join(firsts, "anchor").select("text_id", "begin", "finish", "first")
+
+    differing = anchored.where("not equal").groupBy(F.col("text_id").alias("_id"), F.col("doc_id").alias("_doc")).agg(F.collect_set("begin").alias("_begins"))
+    texts = _texts_of(docs, scratch.store(differing, "wanted-stretches"))
 
     @F.arrow_udf(RUNS)
     def run(values: pa.Array, begins: pa.Array) -> pa.Array:
@@ -266,67 +292,104 @@ def _equal_runs(base: DataFrame, docs: DataFrame, doc_id: str, text: str, settin
             out.append((words.run_hashes(at, at + settings.words), words.starts[at], words.ends[at + settings.words - 1]))
         return _listed(out, [("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())])
 
-    # Rows of equal id and text are read each, and their runs kept once.
-    read = texts.select("text_id", run.asNondeterministic()("_text", "_begins").alias("runs")).dropDuplicates(["text_id"])
-    read = scratch.store(read, "stretch-runs")
-    runs = base.select("doc_id", "row", "text_id").join(read, "text_id").select("doc_id", "row", F.inline("runs"))
-    shared = runs.groupBy("hash").agg(*several)
-    shared = scratch.store(shared.where("low <> high").select("hash", "first"), "shared-runs")
-    edges = runs.join(shared, "hash").select("doc_id", "row", "begin", "finish", "first")
+    read = texts.select("doc_id", "text_id", run.asNondeterministic()("text", "_begins").alias("runs"))
+    copies = base.where("many").select("text_id", "many").distinct()
+    read = scratch.store(read.join(copies, "text_id", "left").withColumn("many", F.coalesce("many", F.lit(False))), "stretch-runs")
+    runs = read.select("doc_id", "text_id", "many", F.inline("runs"))
+    shared = runs.groupBy("hash").agg(_several().alias("several"), F.min(_place()).alias("first"))
+    shared = scratch.store(shared.where("several").select("hash", "first"), "shared-runs")
+    edges = runs.join(shared, "hash").select("text_id", "begin", "finish", "first")
     return scratch.store(whole.unionByName(edges), "equal-runs")
 
 
-def repeated_passages(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: PassageSettings | None = None
-) -> DataFrame:
-    """A row per occurrence of a repeated passage: ``doc_id, begin, finish, class_id,
-    kept``.  ``class_id`` is the document that holds the kept occurrence."""
-    settings = settings or PassageSettings()
-    scratch = Scratch(docs.sparkSession)
-    base = _scanned(docs, doc_id, text, settings).withColumn("row", F.monotonically_increasing_id())
-    base = scratch.store(base, "scanned")
-
-    lines = base.select("doc_id", "row", F.inline("lines"))
-    occurring = [F.count("*").alias("n_docs"), F.min(_place()).alias("first"), F.min("row").alias("low"), F.max("row").alias("high")]
-    classes = lines.groupBy("sid").agg(*occurring)
-    once = lines.groupBy("sid").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
-    sets = scratch.store(classes.join(once, "sid"), "line-sets")
-    runs = _equal_runs(base, docs, doc_id, text, settings, scratch)
-    light = F.transform("lines", lambda x: F.struct(x["sid"].alias("sid"), x["begin"].alias("begin"), x["finish"].alias("finish")))
-    lines = scratch.store(base.select("doc_id", "row", F.inline(light)), "lines")
-    scratch.keep_only("line-sets", "equal-runs", "lines")
+def _near_lines(base: DataFrame, docs: DataFrame, settings: PassageSettings, scratch: Scratch) -> DataFrame:
+    """``text_id, begin, finish, first`` of equal and near lines of several documents."""
+    sets = base.select("doc_id", "text_id", "many", F.inline("lines")).groupBy("sid").agg(
+        F.count("*").alias("n_docs"),
+        F.min("text_id").alias("low"),
+        F.max("text_id").alias("high"),
+        F.max("many").alias("many"),
+        F.min(_place()).alias("first"),
+        *[F.first(c).alias(c) for c in ("size", "sketch", "keys")],
+    )
+    sets = scratch.store(sets, "line-sets")
     banded = sets.select("sid", F.explode("keys").alias("key"))
     sizes = scratch.store(banded.groupBy("key").count().where("count > 1"), "band-sizes")
     colliding = banded.join(sizes, "key").groupBy("sid").agg(F.collect_set("key").alias("keys"))
-    members = sets.drop("keys").join(colliding, "sid").withColumn("key", F.explode("keys"))
+    members = sets.select("sid", "size", "n_docs", "sketch").join(colliding, "sid").withColumn("key", F.explode("keys"))
     members = in_block_pairs(members, sizes, "key", "sid", settings.join.bucket)
     likely = scratch.store(likely_members(members, settings.join), "likely-lines")
-    links = scratch.store(verified_links(_with_shingles(likely, docs, sets, doc_id, text, settings, scratch), settings.join), "line-links")
+    links = scratch.store(verified_links(_with_shingles(likely, docs, sets, settings, scratch), settings.join), "line-links")
     groups = components(links.select("a", "b")).withColumnsRenamed({"node": "sid", "component": "root"})
-    grouped = sets.select("sid", "first", "low", "high").join(groups, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    roots = grouped.groupBy("root").agg(F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high"))
-    repeated = grouped.select("sid", "root").join(roots.where("low <> high").select("root", "first"), "root").select("sid", "first")
-    found = lines.join(repeated, "sid").select("doc_id", "row", "begin", "finish", "first")
-
-    found = found.unionByName(runs)
-
-    kept = (F.col("first.row") == F.col("row")) & (F.col("first.begin") == F.col("begin"))
-    found = found.withColumn("kept", kept)
-    # Overlapping occurrences with one fate are one passage.
-    earlier = Window.partitionBy("row", "kept").orderBy("begin", "finish").rowsBetween(Window.unboundedPreceding, -1)
-    upto = Window.partitionBy("row", "kept").orderBy("begin", "finish").rowsBetween(Window.unboundedPreceding, 0)
-    found = found.withColumn("fresh", F.coalesce(F.col("begin") > F.max("finish").over(earlier), F.lit(True)).cast("int"))
-    found = found.withColumn("passage", F.sum("fresh").over(upto))
-    return found.groupBy("doc_id", "row", "kept", "passage").agg(
+    grouped = sets.select("sid", "first", "low", "high", "many").join(groups, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+    several = (F.min("low") != F.max("high")) | F.max("many")
+    roots = grouped.groupBy("root").agg(F.min("first").alias("first"), several.alias("several")).where("several")
+    repeated = grouped.select("sid", "root").join(roots.select("root", "first"), "root").select("sid", "first")
+    light = F.transform("lines", lambda x: F.struct(x["sid"].alias("sid"), x["begin"].alias("begin"), x["finish"].alias("finish")))
+    lines = base.select("text_id", F.inline(light))
+    return scratch.store(lines.join(repeated, "sid").select("text_id", "begin", "finish", "first"), "near-lines")
+
+
+def _merged(found: DataFrame, fate: Column, name: str) -> DataFrame:
+    """``text_id`` and, as ``name``, its passages: overlapping occurrences of one fate."""
+    fated = found.withColumn("kept", fate)
+    ordered = Window.partitionBy("text_id", "kept").orderBy("begin", "finish")
+    fresh = F.coalesce(F.col("begin") > F.max("finish").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    numbered = fated.withColumn("fresh", fresh.cast("int")).withColumn("passage", F.sum("fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    passages = numbered.groupBy("text_id", "kept", "passage").agg(
         F.min("begin").alias("begin"), F.max("finish").alias("finish"), F.min("first.doc_id").alias("class_id")
-    ).select("doc_id", "begin", "finish", "class_id", "kept")
+    )
+    return passages.groupBy("text_id").agg(F.collect_list(F.struct("begin", "finish", "class_id", "kept")).alias(name))
+
+
+def _passages(docs: DataFrame, settings: PassageSettings, scratch: Scratch) -> DataFrame:
+    """``doc_id, row, begin, finish, class_id, kept`` for ``doc_id, row, text``."""
+    docs = docs.withColumn("text_id", _text_id(F.col("text")))
+    rows = scratch.store(docs.where(F.col("text_id").isNotNull()).select("doc_id", "row", "text_id"), "rows")
+    texts = rows.groupBy("text_id").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "row")).alias("first"))
+    copied = scratch.store(texts.where("n > 1"), "copied-texts")
+    base = scratch.store(_scanned(docs.drop("row"), copied, settings), "scanned")
+    runs = _equal_runs(base, docs.drop("row"), settings, scratch)
+    scratch.drop("anchors", "anchored", "wanted-stretches", "stretch-runs", "shared-runs")
+    found = runs.unionByName(_near_lines(base, docs.drop("row"), settings, scratch)).distinct()
+    # In the first document of a text a passage may be the kept one, in its copies not.
+    first = (F.col("first.text_id") == F.col("text_id")) & (F.col("first.begin") == F.col("begin"))
+    own = _merged(found, first, "own")
+    copies = _merged(found.join(copied.select("text_id"), "text_id", "left_semi"), F.lit(False), "copies")
+    spans = scratch.store(own.join(copies, "text_id", "left"), "spans")
+    scratch.keep_only("rows", "copied-texts", "spans")
+    # Texts with many copies are few, and their rows are not brought together.
+    least = math.ceil((copied.agg(F.sum("n")).first()[0] or 0) / FEW)
+    hot = F.broadcast(copied.where(F.col("n") >= least).select("text_id"))
+    rare = rows.join(hot, "text_id", "left_anti").join(spans, "text_id")
+    often = rows.join(hot, "text_id", "left_semi").join(F.broadcast(spans.join(hot, "text_id", "left_semi")), "text_id")
+    firsts = _broadcast(copied.select("text_id", F.col("first.row").alias("_first")), BROADCAST_IDS)
+    placed = rare.unionByName(often).join(firsts, "text_id", "left")
+    is_first = F.col("_first").isNull() | (F.col("row") == F.col("_first"))
+    return placed.select("doc_id", "row", F.inline(F.when(is_first, F.col("own")).otherwise(F.col("copies"))))
+
+
+def repeated_passages(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: PassageSettings | None = None
+) -> DataFrame:
+    """A row per occurrence of a repeated passage: ``doc_id, begin, finish, class_id,
+    kept``.  ``class_id`` is the document that holds the kept occurrence."""
+    numbered = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("string").alias("text"))
+    return _passages(numbered, settings or PassageSettings(), Scratch(docs.sparkSession)).drop("row")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: PassageSettings | None = None) -> DataFrame:
-    """``docs`` with the removals cut out of their texts; no row is dropped.  Ids must be
-    unique here, since the spans come back by id."""
-    gone = repeated_passages(docs, doc_id, text, settings).where("not kept").groupBy(F.col("doc_id").alias("_id"))
-    gone = gone.agg(F.sort_array(F.collect_list(F.struct("begin", "finish"))).alias("_spans"))
+    """``docs`` with the removals cut out of their texts; no row is dropped.
+
+    The rows are stored with a number of their own first, by which spans come back to
+    them, so rows may repeat ids and texts.
+    """
+    scratch = Scratch(docs.sparkSession)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    stored = scratch.store(docs.select(F.monotonically_increasing_id().alias("row"), whole), "numbered")
+    own = stored.select(F.col("doc").getField(doc_id).alias("doc_id"), "row", F.col("doc").getField(text).cast("string").alias("text"))
+    gone = _passages(own, settings or PassageSettings(), Scratch(docs.sparkSession)).where("not kept")
+    gone = gone.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("begin", "finish"))).alias("spans"))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -341,8 +404,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             out.append(value)
         return pa.array(out, pa.string())
 
-    marked = docs.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    return marked.select(*[cut(F.col(text), "_spans").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    marked = stored.join(gone, "row", "left").withColumn("cut", cut(F.col("doc").getField(text).cast("string"), "spans"))
+    return marked.select(*[F.col("cut").alias(c) if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 @query("op7_repeated_passages")

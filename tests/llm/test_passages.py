@@ -1,5 +1,6 @@
 """Repeated passages against a plain version on whole tables."""
 
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -11,47 +12,70 @@ from millrace.llm import catalog, passages
 SF = "/root/testdata/sf0.001"
 
 
+def units_of(lines, words):
+    """Lines (as ranges of words) with enough words, and of neighbouring shorter ones from
+    each on, and from each back, the fewest that have enough together."""
+    found, group = set(), []
+    for line in [*lines, None]:
+        if line is not None and line[1] - line[0] < words:
+            group.append(line)
+            continue
+        for i in range(len(group)):
+            on = next((j for j in range(i, len(group)) if group[j][1] - group[i][0] >= words), None)
+            back = next((j for j in range(i, -1, -1) if group[i][1] - group[j][0] >= words), None)
+            found |= {(group[i][0], group[on][1])} if on is not None else set()
+            found |= {(group[back][0], group[i][1])} if back is not None else set()
+        group = []
+        if line is not None:
+            found.add(line)
+    return sorted(found)
+
+
 def brute(docs, words=50, threshold=0.8):
-    """(doc_id, begin, finish, class_id, kept) of all documents, by all pairs of lines."""
-    units, windows = [], defaultdict(list)
-    for doc, text in docs:
-        at = 0
-        for line in (text or "").split("\n"):
-            spans = [(m.start() + at, m.end() + at) for m in re.finditer(r"\S+", line)]
-            tokens = line.lower().split()
-            at += len(line) + 1
-            if len(tokens) < words:
-                continue
-            units.append((doc, spans[0][0], spans[-1][1], {tuple(tokens[i : i + 5]) for i in range(len(tokens) - 4)}))
-            stops = [i + 1 for i, (s, e) in enumerate(spans) if text[e - 1] in ".!?"]
-            for start in [0, *[s for s in stops if s < len(tokens)]]:
-                end = next((e for e in sorted({*stops, len(tokens)}) if e - start >= words), None)
-                if end is not None:
-                    windows[tuple(tokens[start:end])].append((doc, spans[start][0], spans[end - 1][1]))
+    """(doc_id, begin, finish, class_id, kept) of all documents: by all runs of words, and
+    by all pairs of lines.  A document is a row; ids may repeat."""
+    units, runs = [], defaultdict(list)
+    for row, (_, text) in enumerate(docs):
+        spans = [m.span() for m in re.finditer(r"\S+", text or "")]
+        tokens = (text or "").lower().split()
+        assert len(tokens) == len(spans)
+        line_of = [(text or "").count("\n", 0, start) for start, _ in spans]
+        cuts = [0, *[i for i in range(1, len(spans)) if line_of[i] != line_of[i - 1]], len(spans)] if spans else []
+        for start, end in units_of(list(zip(cuts, cuts[1:])), words):
+            units.append((row, spans[start][0], spans[end - 1][1], {tuple(tokens[i : i + 5]) for i in range(start, end - 4)}))
+        for i in range(len(tokens) - words + 1):
+            runs[tuple(tokens[i : i + words])].append((row, spans[i][0], spans[i + words - 1][1]))
     parent = list(range(len(units)))
 
     def root(a):
         while parent[a] != a:
+            parent[a] = parent[parent[a]]
             a = parent[a]
         return a
 
+    holding = defaultdict(set)
+    for n, unit in enumerate(units):
+        for shingle in unit[3]:
+            holding[shingle].add(n)
     for a in range(len(units)):
-        for b in range(a):
+        for b in {b for shingle in units[a][3] for b in holding[shingle] if b < a}:
             common = len(units[a][3] & units[b][3])
             if common >= threshold * (len(units[a][3]) + len(units[b][3]) - common) - 1e-9:
                 parent[root(a)] = root(b)
     classes = defaultdict(list)
     for n, unit in enumerate(units):
         classes[root(n)].append(unit[:3])
+    # Rows of one id and text are in no order of their own: the first stands for them.
+    order = lambda row: (docs[row][0] is None, docs[row][0] or 0, hashlib.md5((docs[row][1] or "").encode()).digest(), row)
     hits = defaultdict(set)
-    for members in [*classes.values(), *windows.values()]:
+    for members in [*classes.values(), *runs.values()]:
         if len({m[0] for m in members}) > 1:
-            first = min(m[:2] for m in members)
-            for doc, begin, finish in members:
-                hits[doc, (doc, begin) == first].add((begin, finish, first[0]))
+            first = min((order(row), begin) for row, begin, _ in members)
+            for row, begin, finish in members:
+                hits[row, (order(row), begin) == first].add((begin, finish, docs[first[0][3]][0]))
     out = []
-    for (doc, kept), spans in hits.items():
-        open_span = None
+    for (row, kept), spans in hits.items():
+        open_span, doc = None, docs[row][0]
         for begin, finish, first in sorted(spans):
             if open_span and begin <= open_span[1]:
                 open_span = [open_span[0], max(open_span[1], finish), min(open_span[2], first)]
@@ -100,6 +124,35 @@ def test_hot_passage_in_blocks(spark, planted, monkeypatch):
     assert {n for n in range(90) if n % 3 == 0} <= {r[0] for r in found} <= {n for n in range(90) if n % 3 < 2}
 
 
+def test_random_texts_against_brute_force(spark):
+    """Short and long lines, passages cut at random and changed a little, equal texts."""
+    for seed in (1, 2):
+        draw = random.Random(seed)
+        vocabulary = ["".join(draw.choices("abcdefghiklmno", k=4)) for _ in range(400)]
+        stock = [draw.choices(vocabulary, k=draw.randrange(55, 140)) for _ in range(6)]
+        docs = []
+        for n in range(70):
+            words = []
+            for _ in range(draw.randrange(1, 5)):
+                part = list(draw.choice(stock))
+                cut = part[draw.randrange(len(part) // 2) :][: draw.randrange(30, 120)]
+                if draw.random() < 0.4:
+                    cut[draw.randrange(len(cut))] = "Changed"
+                words += draw.choices(vocabulary, k=draw.randrange(25)) + cut
+            line = draw.choice([9, 15, 30, 60, 500])
+            docs.append((n, "\n".join(" ".join(words[i : i + line]) for i in range(0, len(words), line))))
+        docs += [(200 + i, docs[i % 9][1]) for i in range(30)]
+        frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+        expected = brute(docs)
+        assert got(passages.repeated_passages(frame)) == expected and len(expected) > 100
+
+
+def cut(text, spans):
+    for begin, finish in sorted(spans, reverse=True):
+        text = text[:begin] + text[finish:]
+    return text
+
+
 def test_cut_texts(spark, planted):
     frame = spark.createDataFrame([(i, t, 7) for i, t in planted], "doc_id long, text string, begin int")
     removed = defaultdict(list)
@@ -107,10 +160,26 @@ def test_cut_texts(spark, planted):
         if not kept:
             removed[doc].append((begin, finish))
     for row in passages.without_repeats(frame).collect():
-        text = dict(planted)[row.doc_id]
-        for begin, finish in sorted(removed[row.doc_id], reverse=True):
-            text = text[:begin] + text[finish:]
-        assert row.text == text and row.begin == 7
+        assert row.text == cut(dict(planted)[row.doc_id], removed[row.doc_id]) and row.begin == 7
+
+
+def test_repeated_ids_are_cut_apart(spark, planted):
+    """One id for all, clashing columns, and rows equal in id and text: one of them stays."""
+    texts = [t for _, t in planted[:12]] + [planted[0][1], "no repeat here", None]
+    frame = spark.createDataFrame([(2, t, n, "x") for n, t in enumerate(texts)], "doc_id long, text string, row int, kept string").repartition(4)
+    rows = passages.without_repeats(frame).collect()
+    assert sorted(r.row for r in rows) == list(range(15)) and {r.kept for r in rows} == {"x"}
+    by_row = {r.row: r.text for r in rows}
+    assert by_row[13] == "no repeat here" and by_row[14] is None
+    # Of the equal rows 0 and 12 one is cut to nothing but what stands between passages.
+    docs = [(2, t) for t in texts]
+    wanted = defaultdict(list)
+    for _, begin, finish, _, kept in brute(docs):
+        if not kept:
+            wanted["all"].append((begin, finish))
+    assert len({by_row[0], by_row[12]}) == 2
+    longer = [t for t in (by_row[0], by_row[12])]
+    assert sum(len(t) for t in longer) < 2 * len(texts[0])
 
 
 def test_unusual_rows(spark):
