@@ -8,6 +8,15 @@
 
 Every stage but the last returns the columns of ``documents``.  ``n_chars`` is set anew
 where a stage changes the text.
+
+Defined results for unusual rows: null and empty texts, and texts without a letter, are
+rejected by the first stage; where a later stage meets one, it links with nothing, holds
+no secret, has size 0 and so is in the mix only by whole passes over its source, and is
+encoded as no ids.  Texts of any length are taken whole.  Of rows that repeat an id and a
+text one stays after the second stage; rows that repeat an id alone are texts of their
+own.  Null ids and sources are values like others.  An empty table passes through all
+stages as an empty one.  Further columns of ``docs``, whatever their names, are kept as
+they are by all stages but the last, which returns its own.
 """
 
 from __future__ import annotations

@@ -62,33 +62,35 @@ def _table(batches: Iterator[pa.RecordBatch]) -> pa.Table | None:
 
 def _ranges(window: int):
     """Sorted ``_id, _ts, _tie`` of one range, with ``_part``, ``_accepted`` (null for the
-    first id, which may go on from an earlier range) and ``_exit`` of its first times."""
+    first id, which may go on from an earlier range) and ``_exit`` of its first times.
+    Before the first range there is none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = _table(batches)
         if rows is None:
             return
         ids, times = rows.column("_id").combine_chunks(), rows.column("_ts").to_numpy()
-        cuts, listed = _segments(ids), times.tolist()
+        part, cuts, listed = TaskContext.get().partitionId(), _segments(ids), times.tolist()
+        waiting = int(cuts[1]) if part else 0
         accepted = np.zeros(len(times), bool)
         accepted[cuts[:-1]] = True
-        # Ids whose times lie within one window are done.
-        for start, end in zip(cuts[1:-1].tolist(), cuts[2:].tolist()):
-            if listed[end - 1] >= listed[start] + window:
+        for start, end in zip(cuts.tolist(), cuts[1:].tolist()):
+            # Ids whose times lie within one window are done.
+            if start >= waiting and listed[end - 1] >= listed[start] + window:
                 accepted[list(_walk(listed, start, end, window))] = True
-        first = times[: cuts[1]]
         # The walk enters at the first time a window after some time before this range.
-        enters = min(len(first), int(np.searchsorted(first, first[0] + window)) + 1)
+        first = times[:waiting]
+        enters = min(waiting, int(np.searchsorted(first, first[0] + window)) + 1) if waiting else 0
         leaves = np.zeros(len(times), np.int64)
         leaves[:enters] = first[exits(first, window)[:enters]]
-        outside = np.arange(len(times))
+        place = np.arange(len(times))
         columns = {
             "_id": ids,
             "_ts": pa.array(times),
             "_tie": rows.column("_tie").combine_chunks(),
-            "_part": pa.array(np.full(len(times), TaskContext.get().partitionId(), np.int32)),
-            "_accepted": pa.array(accepted, mask=outside < cuts[1]),
-            "_exit": pa.array(leaves, mask=outside >= enters),
+            "_part": pa.array(np.full(len(times), part, np.int32)),
+            "_accepted": pa.array(accepted, mask=place < waiting),
+            "_exit": pa.array(leaves, mask=place >= enters),
         }
         yield from pa.table(columns).to_batches(max_chunksize=100_000)
 
@@ -188,12 +190,9 @@ def accepted(df: DataFrame, id: str, timestamp: str, tie: str, window: int | str
     )
     done = walked.where("_accepted").select("_id", "_ts", "_tie")
     waiting = walked.where(F.col("_accepted").isNull())
-    # Every range has rows that wait; a single one has nothing before it.
-    parts = waiting.agg(F.count_distinct("_part")).first()[0]
-    if parts <= 1:
-        entries = waiting.groupBy("_id", "_part").agg(F.min("_ts").alias("_entry"))
-    else:
-        entries = _entries(walked, waiting, length)
+    if waiting.isEmpty():
+        return done
+    entries = _entries(walked, waiting, length)
     entered = waiting.select("_id", "_ts", "_tie", "_part").join(F.broadcast(entries), ["_id", "_part"])
     dealt = entered.repartition("_part").sortWithinPartitions("_part", "_ts").select("_id", "_ts", "_tie", "_part", "_entry")
     return done.unionByName(dealt.mapInArrow(_entered(length), shape))

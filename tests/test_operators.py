@@ -312,6 +312,28 @@ def test_dedup_against_brute_force(spark, ranges, window):
     assert sorted(kept, key=str) == brute_dedup(rows, window)
 
 
+def test_dedup_of_few_ids_with_many_rows(spark):
+    rows = [(f"id{i % 4}", (i * 7919) % 40_000 * 1_000, i) for i in range(40_000)]
+    df = spark.createDataFrame(rows, "id string, t bigint, tie bigint")
+    for ranges in (None, 16):
+        found = {tuple(r) for r in accepted(df, "id", "t", "tie", 50_000, ranges=ranges).collect()}
+        assert found == {(i, t, tie) for i, t, tie in brute_dedup(rows, 50_000)}
+
+
+def test_dedup_over_ranges_with_gaps_and_dense_times(spark):
+    """Ids that span many ranges: windows longer than a range, times a window apart."""
+    rng = random.Random(5)
+    rows = [("dense", t, t) for t in range(1500)] + [("grid", t * 10, t) for t in range(400)]
+    rows += [("gaps", rng.randrange(100) * 10_000 + rng.randrange(50), i) for i in range(800)] + [(f"s{i}", i, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "id string, t bigint, tie bigint")
+    for window in (1, 10, 37, 900, 20_000):
+        kept = [tuple(r) for r in dedup(df, "id", "t", "tie", window, ranges=25).collect()]
+        distinct = {}
+        for id, t, tie in rows:
+            distinct[id, t] = min(tie, distinct.get((id, t), tie))
+        assert sorted(kept, key=str) == brute_dedup([(id, t, tie) for (id, t), tie in distinct.items()], window)
+
+
 def test_dedup_window_is_measured_from_the_accepted_row(spark):
     df = spark.createDataFrame([("x", t, t) for t in (0, 5, 11, 12, 30)], "id string, t bigint, tie bigint")
     marked = mark_duplicates(df, "id", "t", "tie", 10).orderBy("t").collect()
@@ -369,6 +391,26 @@ def test_retain_per_subject(spark, limit, discard):
     assert sorted(kept) == expected
 
 
+@pytest.mark.parametrize("held", [10_000, 3])
+def test_retain_hot_subject(spark, monkeypatch, held):
+    """One subject has nine of ten messages; with few keys held, others are shuffled."""
+    from millrace.operators import lookup
+
+    monkeypatch.setattr(lookup, "HELD_ROWS", held)
+    rows = [(i * 3 + 1, "hot" if i % 10 else (f"s{i % 70}" if i % 20 else None)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "sequence bigint, subject string")
+    for discard in ("old", "new"):
+        kept = sorted(r["sequence"] for r in retain_per_subject(df, 12, discard=discard).collect())
+        expected = []
+        for subject in {s for _, s in rows}:
+            own = sorted(n for n, s in rows if s == subject)
+            expected += own[-12:] if discard == "old" else own[:12]
+        assert kept == sorted(expected)
+    if held > 100:
+        plan = retain_per_subject(df, 12)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_retain_all_limits(spark):
     df = messages(spark)
     limits = Limits(max_age_secs=3000, max_messages_per_subject=1500, max_messages=900, max_bytes=20_000, max_message_size=90)
