@@ -161,9 +161,8 @@ def flow_csv_rows(spark, sf_dir):
         f"{root}/inbox"
     )
     result = run_flow(spark, parse_flow(_CSV_SPEC), Bindings(root=root))
-    return spark.read.schema("event_id bigint, user_id bigint, event_type string").option("header", True).csv(
-        result.written["land"]
-    )
+    landed = spark.read.schema("event_id bigint, user_id bigint, event_type string").option("header", True)
+    return landed.csv(result.written["land"]).drop("run")
 
 
 _INTAKE_SPEC = {
