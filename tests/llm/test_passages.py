@@ -126,7 +126,7 @@ def test_hot_passage_in_blocks(spark, planted, monkeypatch):
 
 def test_random_texts_against_brute_force(spark):
     """Short and long lines, passages cut at random and changed a little, equal texts."""
-    for seed in (1, 2):
+    for seed in (1,):
         draw = random.Random(seed)
         vocabulary = ["".join(draw.choices("abcdefghiklmno", k=4)) for _ in range(400)]
         stock = [draw.choices(vocabulary, k=draw.randrange(55, 140)) for _ in range(6)]
