@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.lookup import left_lookup
 from .scratch import Scratch
 
 
@@ -16,16 +15,15 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect every larger neighbour of a node to the smallest node around it."""
     around = _both_ways(edges)
-    least = around.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("edges"))
-    least = least.select("a", F.least("a", "m").alias("m"), "edges")
-    return left_lookup(around.where("b > a"), least, "a", "edges").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = around.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect every smaller neighbour of a node, and the node, to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("edges"))
-    moved = left_lookup(edges, least, "a", "edges").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(least.withColumnRenamed("m", "b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -33,11 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
     smallest node.
 
     Large and small stars alternate until nothing changes; every round is one stored
-    table of at most as many edges as before, and long paths shrink by half a round.  A
-    node with a large share of all edges, the centre of a star, gives its smallest
-    neighbour to them by broadcast, so that its edges do not meet in one task.  Loops and
-    nulls are ignored, repeated edges are one; no edges give no rows.  Nothing is
-    collected but a checksum per round and a bounded number of such centres.
+    table of at most as many edges as before, and long paths shrink by half a round.
+    Loops and nulls are ignored, repeated edges are one; no edges give no rows.  Nothing
+    is collected but a checksum per round.
     """
     scratch = Scratch(edges.sparkSession)
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -2,10 +2,7 @@
 
 import random
 
-import pytest
-
 from millrace.llm.components import components
-from millrace.operators import lookup
 
 
 def plain(edges):
@@ -39,9 +36,7 @@ def test_random_graphs(spark):
     assert found(spark, edges) == plain(edges)
 
 
-@pytest.mark.parametrize("held", [10_000, 5])
-def test_paths_stars_loops_and_nulls(spark, monkeypatch, held):
-    monkeypatch.setattr(lookup, "HELD_ROWS", held)
+def test_paths_stars_loops_and_nulls(spark):
     path = [(n, n + 1) for n in range(40, 110)]
     star = [(500, 1000 + n) for n in range(200)] + [(1000 + n, 500) for n in range(0, 200, 7)]
     edges = path + star + [(1003, 2), (7, 7), (None, 3), (3, None), (None, None), (60, 61), (60, 61)]
