@@ -132,7 +132,8 @@ def _followers(leaving: DataFrame, waiting: DataFrame, window: int) -> DataFrame
     placed = probes.join(F.broadcast(ends), "_id").where((F.col("_at") <= F.col("_end")) & (F.col("_at") > F.col("_before")))
     inside = placed.select("_id", "_part", F.greatest("_at", "_begin").alias("_at"), F.col("_ts").alias("_from"), F.lit(1).alias("_probe"))
     nodes = waiting.where(F.col("_exit").isNotNull()).select("_id", "_part", F.col("_ts").alias("_at"), F.lit(None).cast("bigint").alias("_from"), F.lit(2).alias("_probe"))
-    ahead = Window.partitionBy("_id", "_part").orderBy("_at", "_probe").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # From the last row back: a frame up to the end would be computed anew for each row.
+    ahead = Window.partitionBy("_id", "_part").orderBy(F.desc("_at"), F.desc("_probe")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = inside.unionByName(nodes).withColumn("_next", F.min(F.when(F.col("_probe") == 2, F.col("_at"))).over(ahead))
     return found.where("_probe = 1").select("_id", F.col("_from").alias("_ts"), "_next", F.col("_part").alias("_next_part")).where(F.col("_next").isNotNull())
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import convert, script
 from millrace.operators.convert import batch_to_json, to_json_value, to_record, with_batch_id
-from millrace.operators.dedup import accepted, dedup, mark_duplicates
+from millrace.operators.dedup import _followers, accepted, dedup, mark_duplicates
 from millrace.operators.envelope import COLUMNS, event_key, restamp, to_events
 from millrace.operators.errors import split_errors
 from millrace.operators.iterate import iterate
@@ -334,6 +334,15 @@ def test_dedup_over_ranges_with_gaps_and_dense_times(spark):
         assert sorted(kept, key=str) == brute_dedup([(id, t, tie) for (id, t), tie in distinct.items()], window)
 
 
+def test_followers_of_dense_times_take_linear_frames(spark):
+    """A frame up to the end of a partition is computed anew for each of its rows."""
+    waiting = spark.createDataFrame([("x", t, 1, t) for t in range(1000, 1300)], "_id string, _ts bigint, _part int, _exit bigint")
+    leaving = spark.createDataFrame([("x", t, t) for t in range(0, 1000)], "_id string, _ts bigint, _exit bigint")
+    found = _followers(leaving, waiting, 400)
+    assert "unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
+    assert {tuple(r) for r in found.collect()} == {("x", t, max(t + 400, 1000), 1) for t in range(900)}
+
+
 def test_dedup_window_is_measured_from_the_accepted_row(spark):
     df = spark.createDataFrame([("x", t, t) for t in (0, 5, 11, 12, 30)], "id string, t bigint, tie bigint")
     marked = mark_duplicates(df, "id", "t", "tie", 10).orderBy("t").collect()
