@@ -67,7 +67,7 @@ def stream_subscribe(spark, sf_dir):
 def stream_distinct(spark, sf_dir):
     """Message ids kept once within a window longer than the table's span."""
     home = scratch_path(spark, "stream-distinct")
-    named = _event_stream(spark, sf_dir).withColumn("id", F.concat_ws(".", "user_id", "subject"))
+    named = _event_stream(spark, sf_dir).select("event_id", "user_id", "subject", "at", F.concat_ws(".", "user_id", "subject").alias("id"))
     once = dedup_stream(named, "id", "at", "365d", tie="event_id").select("user_id", "subject")
     land_stream(once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(f"{home}/data")

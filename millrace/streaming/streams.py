@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from ..operators import errors
 from ..session import path_exists
 from ..sources.messages import subscribe
 
+# Groups that the ids of a deduplicated stream are dealt to.
+ID_BUCKETS = 1024
+
 
 def message_stream(
     spark: SparkSession,
@@ -161,14 +165,21 @@ def for_each_batch(
     )
 
 
-def dedup_stream(stream: DataFrame, id: str, event_time: str, window: str, *, tie: str | None = None, late: str | None = None) -> DataFrame:
+def dedup_stream(
+    stream: DataFrame, id: str, event_time: str, window: str, *, tie: str | None = None, late: str | None = None, buckets: int = ID_BUCKETS
+) -> DataFrame:
     """Rows that do not repeat an id within ``window`` of its last *accepted* row.
 
     The rule of ``operators.dedup``, batch by batch: the state of an id is the time of its
-    last accepted row, and it goes when the watermark, ``late`` (by default the window)
+    last accepted row, and it goes once the watermark, ``late`` (by default the window)
     behind the latest time, has passed the end of its window.  Within a batch rows are
     taken in the order of time and ``tie``.  Rows without an id are never duplicates and
     keep no state.
+
+    Ids are dealt by their hash to ``buckets``, each one group with one state: a call of
+    Python for each id would cost far more than its rows.  State that has passed goes when
+    its bucket has rows again, or with the last of the bucket.  A checkpoint keeps the
+    number of buckets for good.
     """
     length = duration_micros(window)
     delay = f"{duration_micros(late) // 1000 if late else length // 1000} milliseconds"
@@ -177,36 +188,54 @@ def dedup_stream(stream: DataFrame, id: str, event_time: str, window: str, *, ti
     # where Python has no such type, as JSON text.
     variants = [f.name for f in stream.schema if isinstance(f.dataType, T.VariantType)]
     plain = marked.withColumns({name: F.to_json(name) for name in variants}) if variants else marked
-    shaped = plain.withColumns({"_at": F.unix_micros(event_time), "_order": F.col(tie).cast("long") if tie else F.lit(0).cast("long")})
+    # Python compares ids as texts, of other types as JSON.
+    kind = stream.schema[id].dataType
+    number = F.col(id) + F.lit(0).cast(kind) if isinstance(kind, T.FractionalType) else F.col(id)  # no -0.0
+    text = F.col(id) if isinstance(kind, T.StringType) else F.to_json(F.struct(number.alias("id")))
+    shaped = plain.withColumns({
+        "_at": F.unix_micros(event_time),
+        "_order": F.col(tie).cast("long") if tie else F.lit(0).cast("long"),
+        "_key": F.when(F.col(id).isNotNull(), text),
+        "_bucket": F.pmod(F.xxhash64(text), F.lit(buckets)).cast("int"),
+    })
     columns = shaped.columns
 
     def accept(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
-        rows = pd.concat(list(frames)).sort_values(["_at", "_order"], kind="stable")
-        times, places, at = rows["_at"].tolist(), [], 0
-        while at < len(times):
+        passed = state.getCurrentWatermarkMs()
+        ends = lambda last: -(-(last + length) // 1000)
+        known = dict(zip(*state.get)) if state.exists else {}
+        rows = pd.concat(list(frames), ignore_index=True)
+        codes, ids = pd.factorize(rows["_key"])
+        # Stable: rows of one id at one time and tie stay as they came.
+        places = np.lexsort((rows["_order"].to_numpy(), rows["_at"].to_numpy(), codes))
+        times = rows["_at"].to_numpy()[places].tolist()
+        cuts = np.searchsorted(codes[places], np.arange(len(ids) + 1)).tolist()
+        chosen = []
+        for name, at, end in zip(ids.tolist(), cuts, cuts[1:]):
+            last = known.get(name)
             if last is not None:
-                at = bisect_left(times, last + length, at)
-                if at == len(times):
-                    break
-            last = times[at]
-            places.append(at)
-            at += 1
-        ends = -(-(last + length) // 1000)
-        if ends > state.getCurrentWatermarkMs():
-            state.update((last,))
-            state.setTimeoutTimestamp(ends)
+                at = bisect_left(times, last + length, at, end)
+            while at < end:
+                chosen.append(at)
+                last = times[at]
+                at = bisect_left(times, last + length, at + 1, end)
+            known[name] = last
+        known = {name: last for name, last in known.items() if ends(last) > passed}
+        if known:
+            state.update((list(known), list(known.values())))
+            state.setTimeoutTimestamp(ends(max(known.values())))
         elif state.exists:
             state.remove()
-        if places:
-            yield rows.iloc[places][columns]
+        if chosen:
+            yield rows.iloc[places[chosen]][columns]
 
     named, unnamed = shaped.where(F.col(id).isNotNull()), shaped.where(F.col(id).isNull())
-    kept = named.groupBy(id).applyInPandasWithState(accept, shaped.schema, "last long", "append", "EventTimeTimeout")
-    found = kept.unionByName(unnamed).drop("_at", "_order")
+    held = "ids array<string>, lasts array<bigint>"
+    kept = named.groupBy("_bucket").applyInPandasWithState(accept, shaped.schema, held, "append", "EventTimeTimeout")
+    found = kept.unionByName(unnamed).drop("_at", "_order", "_key", "_bucket")
     return found.withColumns({name: F.parse_json(name) for name in variants}) if variants else found
 
 

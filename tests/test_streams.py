@@ -104,6 +104,34 @@ def test_dedup_stream_across_batches(spark, tmp_path):
     assert sorted(r["subject"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "a", "b", "c", "z"]
 
 
+def test_dedup_stream_of_many_ids_takes_few_groups(spark, tmp_path):
+    """Thousands of ids in a few states, over batches, against the walk of each id."""
+    rows = [(f"id{i * 31 % 2000}", i, 1000 + i * 7919 % 600) for i in range(6000)]
+    for part in range(3):
+        add_file(spark, tmp_path / "in", [r for r in rows if (r[2] - 1000) // 200 == part])
+        once = dedup_stream(stream(spark, tmp_path / "in"), "subject", "at", "100s", tie="n", buckets=3)
+        query = land_stream(once, str(tmp_path / "out"), str(tmp_path / "cp"))
+        query.awaitTermination()
+    last, expected = {}, set()
+    for subject, n, at in sorted(rows, key=lambda r: (r[2], r[1])):
+        if subject not in last or at >= last[subject] + 100:
+            last[subject] = at
+            expected.add((subject, n))
+    found = [(r["subject"], r["n"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(found) == sorted(expected)
+    assert max(s.numRowsTotal for p in query.recentProgress for s in p.stateOperators) <= 3
+
+
+@pytest.mark.parametrize("id", ["cast(n % 7 as double) * 0", "struct(n % 7 as a, subject as b)", "cast(subject as binary)", "array(n % 5)"])
+def test_dedup_stream_by_ids_of_other_types(spark, tmp_path, id):
+    rows = [(f"id{i % 11}", i - 50, 100) for i in range(100)]
+    add_file(spark, tmp_path / "in", rows)
+    once = dedup_stream(stream(spark, tmp_path / "in").withColumn("id", F.expr(id)), "id", "at", "10s", tie="n", buckets=2)
+    land_stream(once, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    firsts = spark.createDataFrame(rows, "subject string, n bigint, at bigint").groupBy(F.expr(id).alias("id")).agg(F.min("n").alias("n"))
+    assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(r["n"] for r in firsts.collect())
+
+
 def test_stream_equals_batch(spark, tmp_path):
     inbox = tmp_path / "in"
     add_file(spark, inbox, [("a", i, i * 86_400) for i in range(20)])
