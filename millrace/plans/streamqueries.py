@@ -86,7 +86,7 @@ def stream_dedup(spark, sf_dir):
         earlier = F.col("at") < end if part < 2 else F.lit(True)
         events.where(later & earlier).drop("ts").write.mode("append").parquet(f"{home}/inbox")
         stream = message_stream(spark, f"{home}/inbox", events.drop("ts").schema)
-        named = stream.withColumn("id", F.concat_ws(".", "user_id", "event_type"))
+        named = stream.select("event_id", "user_id", "event_type", "at", F.concat_ws(".", "user_id", "event_type").alias("id"))
         once = dedup_stream(named, "id", "at", "3d", tie="event_id").select("event_id", "user_id", "event_type")
         land_stream(once, f"{home}/data", f"{home}/checkpoint", state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     return spark.read.parquet(f"{home}/data")
