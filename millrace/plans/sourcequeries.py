@@ -12,7 +12,7 @@ from ..operators.iterate import iterate
 from ..operators.requests import parse_responses, publish_records, render_requests
 from ..session import scratch_path
 from ..sinks.files import write_events, write_receipts
-from ..sources.files import read_csv_typed, read_from_events, read_json_docs, read_objects
+from ..sources.files import file_paths, read_csv_typed, read_from_events, read_json_docs, read_objects
 from ..sources.messages import decode_payload
 from ..sources.requests import ingest_requests
 from ..sources.schedule import interval_run_of, interval_schedule, run_windows, cron_schedule, with_cron_run
@@ -137,14 +137,19 @@ def _order_documents(spark, sf_dir):
     )
 
 
+def _by_part(rows):
+    """Writer of a file for each ``part``, dealt over all cores: adaptive execution would
+    merge partitions of few bytes, and one task would write every file."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "part").write.partitionBy("part")
+
+
 def _write_documents(spark, sf_dir) -> str:
     """One file per document, named by Spark, under a fresh folder."""
     path = scratch_path(spark, "documents")
     text = F.concat(F.lit('{"document":'), F.col("batch_id").cast("string"), F.lit(',"orders":'), "data", F.lit("}"))
     document = "document bigint, orders array<struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>>"
-    _order_documents(spark, sf_dir).select(
-        F.from_json(text, document).alias("d"), F.col("batch_id").alias("part")
-    ).select("d.*", "part").write.partitionBy("part").json(path)
+    documents = _order_documents(spark, sf_dir).select(F.from_json(text, document).alias("d"), F.col("batch_id").alias("part"))
+    _by_part(documents.select("d.*", "part")).json(path)
     return path
 
 
@@ -262,9 +267,8 @@ def by_extension(spark, sf_dir):
     table(spark, sf_dir, "events").select("event_id", "event_type").write.option("header", True).csv(
         f"{root}/batches"
     )
-    _order_documents(spark, sf_dir).select(
-        F.col("batch_id").alias("document"), "n_rows", F.col("batch_id").alias("part")
-    ).write.partitionBy("part").json(f"{root}/documents")
+    documents = _order_documents(spark, sf_dir).select(F.col("batch_id").alias("document"), "n_rows", F.col("batch_id").alias("part"))
+    _by_part(documents).json(f"{root}/documents")
     table(spark, sf_dir, "region").select("r_name").write.text(f"{root}/notes")
     objects = read_objects(spark, root)
     extension = F.regexp_extract("path", r"\.([^./]+)$", 1)
@@ -312,8 +316,8 @@ def wanted_files(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     events.select("event_id", "event_type", F.col("event_type").alias("part")).write.partitionBy("part").option("header", True).csv(f"{root}/rows")
     orders = table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 1000).alias("document")).distinct()
-    orders.withColumn("part", F.col("document")).write.partitionBy("part").json(f"{root}/documents")
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(F.substring_index("path", root.rpartition("/")[2], -1).alias("f"))
+    _by_part(orders.withColumn("part", F.col("document"))).json(f"{root}/documents")
+    listed = file_paths(spark, root).select(F.substring_index("path", root.rpartition("/")[2], -1).alias("f"))
     part = F.regexp_extract("f", "part=([^/]+)/", 1)
     some = listed.where(part.isin("click", "view") | (F.startswith("f", F.lit("/documents")) & (part.try_cast("int") % 2 == 0)))
     key = F.col("n_nationkey")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,6 +71,22 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(place) if status.isDirectory())
 
 
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Folders are listed by a few tasks for each core while this holds.
+
+    Spark takes a task for each folder, up to 10,000 of them, each of which costs far more
+    than the names of a small folder.  Files are listed when a reader loads its paths.
+    """
+    option = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual = spark.conf.get(option)
+    spark.conf.set(option, min(int(usual), 4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, usual)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and continue from the stored columns.
 

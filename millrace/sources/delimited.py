@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import listing, materialize
 
 QUOTE = '"'
 # Rows of a broadcast table: one a file or a split.
@@ -39,7 +39,8 @@ def text_lines(spark: SparkSession, paths: list[str], *, options: dict[str, str]
     ``parts`` holds partition columns of the folder.  Without ``line_ending`` lines end
     with a line feed, and a carriage return before it stays.
     """
-    text = spark.read.options(**(options or {})).option("lineSep", line_ending or "\n").text(paths)
+    with listing(spark):
+        text = spark.read.options(**(options or {})).option("lineSep", line_ending or "\n").text(paths)
     folders = [F.col(f"`{c}`") for c in text.columns if c != "value"]
     return text.select(
         F.col("_metadata.file_path").alias("file"),

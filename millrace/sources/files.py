@@ -15,7 +15,7 @@ from ..functions.payload import with_json
 from ..functions.template import render
 from ..operators import errors
 from ..operators.envelope import ERROR
-from ..session import materialize
+from ..session import listing, materialize
 from . import delimited
 
 log = logging.getLogger(__name__)
@@ -39,12 +39,9 @@ def read_json_docs(spark: SparkSession, paths: str | list[str], *, recursive: bo
 
     A file that does not parse stays as a row marked ``InvalidJson``.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", recursive)
-        .option("pathGlobFilter", "*.json")
-        .text(_paths(paths), wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("_text"))
-    )
+    with listing(spark):
+        texts = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.json").text(_paths(paths), wholetext=True)
+    files = texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("_text"))
     parsed = with_json(files, "data", F.col("_text"))
     return errors.mark(
         parsed, F.when(F.col("data").isNull(), F.lit(errors.INVALID_JSON))
@@ -183,13 +180,18 @@ def read_avro(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         raise RuntimeError("reading avro needs the spark-avro package on the classpath") from failure
 
 
+def file_paths(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` of every file under a folder; no file is read."""
+    with listing(spark):
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+
+
 def extensions_under(spark: SparkSession, root: str) -> dict[str, int | str | None]:
     """File counts: per known extension, ``none`` and ``other`` with one example.
 
     Lists names only, file contents are not read; the answer is one row.
     """
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    found = names.select(F.regexp_extract("path", r"\.([^./]+)$", 1).alias("x"))
+    found = file_paths(spark, root).select(F.regexp_extract("path", r"\.([^./]+)$", 1).alias("x"))
     unknown = ~F.col("x").isin("", *EXTENSIONS)
     return (
         found.agg(
@@ -360,8 +362,7 @@ def wanted_paths(spark: SparkSession, root: str, wanted: DataFrame) -> list[str]
     """Paths of the files under ``root`` that ``wanted`` (``_path``) names; None if they
     are more than NAMED_PATHS.  A join with the listing: no file is opened."""
     base = re.sub(_SCHEME, "", root).rstrip("/")
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
-    listed = listed.withColumn("_path", _place_under(F.col("path"), base))
+    listed = file_paths(spark, root).withColumn("_path", _place_under(F.col("path"), base))
     met = listed.join(wanted.select("_path").distinct(), "_path", "left_semi").select("path")
     rows = met.limit(NAMED_PATHS + 1).collect()
     return None if len(rows) > NAMED_PATHS else sorted(row["path"] for row in rows)

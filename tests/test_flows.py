@@ -351,3 +351,32 @@ def test_streaming_flow_equals_batch_flow(spark, tmp_path):
     assert landed(str(tmp_path / "s"), stream, checkpoints=str(tmp_path / "cp")) == batch
     with pytest.raises(ValueError, match="checkpoint"):
         landed(str(tmp_path / "x"), stream)
+
+
+def test_documents_are_written_by_many_tasks(spark):
+    from pathlib import Path
+
+    from millrace.plans.sourcequeries import _write_documents
+
+    files = list(Path(_write_documents(spark, "/root/testdata/sf0.01")).rglob("part-*.json"))
+    assert len(files) == len({f.parent for f in files}) > 8
+    assert len({f.name.split("-")[1] for f in files}) > 4
+
+
+def test_listing_takes_few_tasks_for_many_folders(spark, tmp_path):
+    from millrace.sources.files import file_paths, read_json_docs
+
+    for number in range(120):
+        (tmp_path / "in" / f"part={number}").mkdir(parents=True)
+        (tmp_path / "in" / f"part={number}" / "a.json").write_text(f'{{"n": {number}}}')
+    context, option = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual, tracker = spark.conf.get(option), context.statusTracker()
+    context.setJobGroup("listing", "listing")
+    try:
+        listed, docs = file_paths(spark, str(tmp_path / "in")), read_json_docs(spark, str(tmp_path / "in"))
+        stages = [stage for job in tracker.getJobIdsForGroup("listing") for stage in tracker.getJobInfo(job).stageIds]
+        assert stages and max(tracker.getStageInfo(stage).numTasks for stage in stages) <= 32
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.conf.get(option) == usual
+    assert listed.count() == 120 and sorted(r["n"] for r in docs.selectExpr("cast(data:n as int) n").collect()) == list(range(120))
