@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 
 from millrace.llm import jaccard, language, mixing, secrets, tokens
 from millrace.llm.scratch import Scratch
-from millrace.llm.shipping import ship
+from millrace.llm.shipping import ship, small_batches
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    small_batches(ship(spark))
     model = language.fit_on_documents(docs)
     names = docs.columns
     # Only the verdict is added to the rows; columns of these names in docs stay as they are.
@@ -40,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    small_batches(ship(spark))
     return jaccard.keep_one(docs)
 
 
@@ -56,7 +56,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
+    small_batches(ship(spark))
     encoded = tokens.encode(docs.select("doc_id", "source", "text"), tokens.public_vocabulary())
     whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return encoded.select(

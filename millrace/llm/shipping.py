@@ -10,6 +10,9 @@ from pyspark.sql import SparkSession
 
 _SHIPPED = "_millrace_shipped"
 
+# Texts of an Arrow batch; Spark's own 10,000 suit numbers.
+BATCH_TEXTS = 1_000
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Give this package to the Python workers, once per context.
@@ -29,3 +32,17 @@ def ship(spark: SparkSession) -> SparkSession:
     context.addPyFile(str(archive))
     setattr(context, _SHIPPED, True)
     return spark
+
+
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Rows go to Python in batches of at most BATCH_TEXTS, all rows as before.
+
+    A batch is held by the JVM, beside its heap, and by Python at once, for each task.
+    The option is read when a table is planned, after a stage has returned it, so the
+    session keeps it.  A smaller number that is set already stays.
+    """
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = int(spark.conf.get(option))
+    if not 0 < usual <= BATCH_TEXTS:
+        spark.conf.set(option, BATCH_TEXTS)
+    return spark

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -103,3 +104,17 @@ def test_run_and_unusual_documents(spark, tmp_path):
     assert {r.doc_id for r in found} <= {4, 5, 6} and all(r.round_trip for r in found)
     frame.limit(0).write.mode("overwrite").parquet(str(tmp_path / "empty" / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_stages_send_few_texts_at_a_time_to_python(spark):
+    option = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual, docs = spark.conf.get(option), spark.createDataFrame([(i, f"some words that differ {i}") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    try:
+        for held, expected in (("10000", 1000), ("0", 1000), ("200", 200)):
+            spark.conf.set(option, held)
+            kept = corpus_pipeline.jaccard_join(spark, docs, "")
+            sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+            assert max(r["n"] for r in sizes) == expected and sum(r["n"] for r in sizes) == 3000
+        assert kept.count() == 3000
+    finally:
+        spark.conf.set(option, usual)
