@@ -67,6 +67,49 @@ def map_groups(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], Iter
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def map_whole_groups(rows: DataFrame, keys: list[str], work: Callable[[pa.Table, np.ndarray], Iterable[pa.Table]], schema: str) -> DataFrame:
+    """``map_groups`` with all groups that end in an Arrow batch at once: ``work`` also gets,
+    for each row, where its group ends.  One batch and one group are held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def finish():
+            table = pa.Table.from_batches(held)
+            last = np.append(np.flatnonzero(_changes(table, keys)) + 1, table.num_rows)
+            for found in work(table, np.repeat(last, np.diff(last, prepend=0))):
+                yield from found.to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held:
+                seam = pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)])
+                if _changes(seam, keys)[0]:
+                    yield from finish()
+                    held = []
+            changes = np.flatnonzero(_changes(batch, keys))
+            if len(changes):
+                held.append(batch.slice(0, changes[-1] + 1))
+                yield from finish()
+                held = [batch.slice(changes[-1] + 1)]
+            else:
+                held.append(batch)
+        if held:
+            yield from finish()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _changes(rows: pa.Table | pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """Whether each row but the first begins another group."""
+    out = np.zeros(rows.num_rows - 1, bool)
+    for name in keys:
+        values = rows.column(name).to_numpy() if isinstance(rows, pa.Table) else rows.column(name).to_numpy(zero_copy_only=False)
+        out |= values[1:] != values[:-1]
+    return out
+
+
 class Forest:
     """Which of a few numbered things hang together."""
 

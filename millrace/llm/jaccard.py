@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Forest, in_block_pairs, map_groups
+from .blocks import Forest, in_block_pairs, map_whole_groups
 from .components import components
 from .registry import query, table
 from .scratch import Scratch
@@ -155,71 +155,69 @@ def _column(table: pa.Table, name: str, kind, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(table[name].to_pylist()), kind).reshape(-1, width)
 
 
-class _Group:
-    """The sets of one task: which pairs of them it has to look at."""
-
-    def __init__(self, table: pa.Table, settings: JoinSettings) -> None:
-        self.table, self.settings = table, settings
-        self.key = table["key"][0].as_py()
-        self.sketch = _column(table, "sketch", np.uint8, settings.sketch)
-        self.size = table["size"].to_numpy()
-        self.lists = [set(x) for x in table["keys"].to_pylist()]
-        left, right = table["left"][0].as_py(), table["right"][0].as_py()
-        block = table["block"].to_numpy()
-        self.sides = (np.arange(len(block)),) * 2 if left == right else (np.flatnonzero(block == left), np.flatnonzero(block == right))
-        self.same = left == right
-
-    def likely(self):
-        """Pairs of rows whose sizes and sketches allow the threshold, and whose first
-        common bucket is this one."""
-        ours, theirs = self.sides
-        t, least = self.settings.threshold, self.settings.least_matches
-        for place, a in enumerate(ours):
-            others = theirs[place + 1 :] if self.same else theirs
-            if not len(others):
-                continue
-            small, large = np.minimum(self.size[others], self.size[a]), np.maximum(self.size[others], self.size[a])
-            others = others[small >= t * large]
-            matches = np.count_nonzero(self.sketch[others] == self.sketch[a], axis=1)
-            for b in others[matches >= least]:
-                if min(self.lists[a] & self.lists[b]) == self.key:
-                    yield int(a), int(b)
+def _likely_pairs(groups: pa.Table, ends: np.ndarray, settings: JoinSettings, done=lambda a, b: np.zeros(len(a), bool)):
+    """Pairs of rows of many tasks at once whose sizes and sketches allow the threshold, and
+    whose first common bucket is that of their task.  ``ends`` tells for each row where its
+    task ends; pairs that are ``done`` are left out."""
+    at = np.flatnonzero(np.arange(groups.num_rows) + 1 < ends)
+    if not len(at):
+        return
+    sketch, size = _column(groups, "sketch", np.uint8, settings.sketch), groups["size"].to_numpy()
+    key, block = groups["key"].to_numpy(), groups["block"].to_numpy()
+    same = groups["left"].to_numpy() == groups["right"].to_numpy()
+    listed = groups["keys"].combine_chunks()
+    values, offsets = listed.values.to_numpy(), listed.offsets.to_numpy()
+    lists = functools.cache(lambda row: set(values[offsets[row] : offsets[row + 1]].tolist()))
+    step = 0
+    while len(at):
+        step += 1
+        a = at[same[at] | (block[at] != block[at + step])]
+        small, large = np.minimum(size[a], size[a + step]), np.maximum(size[a], size[a + step])
+        a = a[small >= settings.threshold * large]
+        a = a[np.count_nonzero(sketch[a] == sketch[a + step], axis=1) >= settings.least_matches]
+        for row in a[~done(a, a + step)].tolist():
+            if min(lists(row) & lists(row + step)) == key[row]:
+                yield row, row + step
+        at = at[at + step + 1 < ends[at]]
 
 
 def likely_members(members: DataFrame, settings: JoinSettings) -> DataFrame:
     """Rows of ``members`` that have a likely partner in their task."""
 
-    def work(group: pa.Table):
-        if group.num_rows > 1:
-            own = _Group(group, settings)
-            used = sorted({row for pair in own.likely() for row in pair})
-            if used:
-                yield group.take(used)
+    def work(groups: pa.Table, ends: np.ndarray):
+        used = np.zeros(groups.num_rows, bool)
+        for pair in _likely_pairs(groups, ends, settings, lambda a, b: used[a] & used[b]):
+            used[list(pair)] = True
+        if used.any():
+            yield groups.take(np.flatnonzero(used))
 
     names = ["key", "left", "right", "block", "sid", "size", "n_docs", "sketch", "keys"]
     schema = "key bigint, left int, right int, block int, sid binary, size int, n_docs bigint, sketch binary, keys array<bigint>"
-    return map_groups(members.select(names), ["key", "left", "right"], work, schema)
+    return map_whole_groups(members.select(names), ["key", "left", "right"], work, schema)
 
 
 def verified_links(candidates: DataFrame, settings: JoinSettings) -> DataFrame:
     """``a, b, n``: for each set of a task its number of linked texts there, and the
     smallest set that its links lead to."""
 
-    def work(group: pa.Table):
-        if group.num_rows < 2:
-            return
-        own = _Group(group, settings)
-        sets = [np.frombuffer(x, np.uint64) for x in group["shingles"].to_pylist()]
-        ids, n_docs = group["sid"].to_pylist(), group["n_docs"].to_pylist()
+    def work(groups: pa.Table, ends: np.ndarray):
+        pairs: dict[int, list[tuple[int, int]]] = {}
+        for a, b in _likely_pairs(groups, ends, settings):
+            pairs.setdefault(int(ends[a]), []).append((a, b))
+        ids, n_docs, shingles = groups["sid"].to_pylist(), groups["n_docs"].to_numpy(), groups["shingles"]
         order = sorted(range(len(ids)), key=ids.__getitem__)
         rank = {row: place for place, row in enumerate(order)}
         forest, links = Forest(len(ids)), [0] * len(ids)
-        pairs = list(own.likely())
-        for (a, b), common in zip(pairs, _common(sets, pairs)):
-            if common >= settings.threshold * (len(sets[a]) + len(sets[b]) - common) - 1e-9:
-                links[a] += n_docs[b]
-                links[b] += n_docs[a]
-                forest.join(rank[a], rank[b])
+        for own in pairs.values():
+            # The sets of one task, and of these only those with a likely partner.
+            rows = sorted({row for pair in own for row in pair})
+            place = {row: n for n, row in enumerate(rows)}
+            sets = [np.frombuffer(shingles[row].as_py(), np.uint64) for row in rows]
+            for (a, b), common in zip(own, _common(sets, [(place[a], place[b]) for a, b in own])):
+                if common >= settings.threshold * (len(sets[place[a]]) + len(sets[place[b]]) - common) - 1e-9:
+                    links[a] += int(n_docs[b])
+                    links[b] += int(n_docs[a])
+                    forest.join(rank[a], rank[b])
         rows = [row for row in range(len(ids)) if links[row]]
         if rows:
             yield pa.table(
@@ -230,7 +228,7 @@ def verified_links(candidates: DataFrame, settings: JoinSettings) -> DataFrame:
                 }
             )
 
-    return map_groups(candidates, ["key", "left", "right"], work, "a binary, b binary, n bigint")
+    return map_whole_groups(candidates, ["key", "left", "right"], work, "a binary, b binary, n bigint")
 
 
 # Above so many pairs of a task, their common shingles are counted by matrix product.

@@ -48,7 +48,7 @@ from .components import components
 from .jaccard import BROADCAST_IDS, JoinSettings, likely_members, set_id, verified_links
 from .registry import query, table
 from .scratch import Scratch
-from .shingles import WORDS, minima, mixed, shingle_hashes, word_hashes
+from .shingles import WORDS, hash_values, minima, mixed
 
 
 @dataclass(frozen=True)
@@ -76,26 +76,63 @@ def _spaces() -> np.ndarray:
 # An odd base for hashes of runs of words, and its inverse modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+# Powers that are kept, and words of a text whose sketches are made at once.
+STEP = 1 << 14
 
 
 def _powers(base: int, n: int) -> np.ndarray:
+    if n <= STEP:
+        return _first_powers(base)[:n]
     out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@functools.cache
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(STEP, base, np.uint64)
+    out[0] = 1
     return np.cumprod(out, dtype=np.uint64)
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _bounds(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end."""
+    space = np.ones(len(points) + 2, bool)
+    space[1:-1] = _spaces()[points]
+    turns = np.flatnonzero(space[:-1] != space[1:])
+    return turns[::2], turns[1::2]
+
+
+def _range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash for each range of the values, the same wherever it stands."""
+    n = len(values)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(mixed(values) * _powers(BASE, n), dtype=np.uint64, out=sums[1:])
+    return mixed((sums[end] - sums[start]) * _powers(INVERSE, n)[start] ^ (end - start).astype(np.uint64))
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    ordered = np.sort(hashes)
+    fresh = ordered[1:] != ordered[:-1]
+    return ordered if fresh.all() else ordered[np.concatenate([np.ones(1, bool), fresh])]
+
+
 class _Words:
     """Words of a text with their places, lines and sentence ends."""
 
     def __init__(self, text: str) -> None:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        space = np.ones(len(points) + 2, bool)
-        space[1:-1] = _spaces()[points]
-        self.starts = np.flatnonzero(space[:-1] & ~space[1:])
-        self.ends = np.flatnonzero(~space[:-1] & space[1:])
+        points = _points(text)
+        self.starts, self.ends = _bounds(points)
         line = np.cumsum(points == 10)[self.starts] if len(self.starts) else self.starts
-        self.hashes = word_hashes(text.lower().split())
+        # A letter may be longer in lower case, which moves the words after it.
+        small = text.lower()
+        places = (self.starts, self.ends) if len(small) == len(text) else _bounds(_points(small))
+        self.hashes = _range_hashes(_points(small).astype(np.uint64), *places)
         n = len(self.hashes)
         # Lines as ranges of words.
         changes = np.flatnonzero(np.diff(line)) + 1
@@ -124,11 +161,24 @@ class _Words:
         """Sorted distinct shingles of each run of words."""
         if not spans:
             return []
-        whole = shingle_hashes(self.hashes, WORDS)
-        return [
-            np.unique(whole[start : end - WORDS + 1] if end - start >= WORDS else shingle_hashes(self.hashes[start:end], WORDS))
-            for start, end in spans
-        ]
+        whole = self._shingles
+        short = lambda start, end: self.run_hashes(np.array([start]), np.array([end])).view(np.uint64)
+        return [_distinct(whole[start : end - WORDS + 1] if end - start >= WORDS else short(start, end)) for start, end in spans]
+
+    @functools.cached_property
+    def _shingles(self) -> np.ndarray:
+        """Hashes of all shingles, repeats included."""
+        at = np.arange(max(0, len(self.hashes) - WORDS + 1))
+        return self.run_hashes(at, at + WORDS).view(np.uint64)
+
+    def sketches(self, spans: list[tuple[int, int]], sets: list[np.ndarray], count: int) -> np.ndarray:
+        """The least of each hash function over each run of words; ``sets`` are their shingles."""
+        ends = np.array(spans, np.int64).reshape(-1, 2) - [0, WORDS - 1]
+        if not len(ends) or len(self.hashes) > STEP or (ends[:, 0] >= ends[:, 1]).any():
+            return np.array([minima(found, count) for found in sets], np.uint32).reshape(-1, count)
+        # All runs at once: every second range of the flat bounds is one of them.
+        values = hash_values(np.append(self._shingles, np.uint64(0)), count)
+        return np.minimum.reduceat(values, ends.ravel(), axis=1)[:, ::2].T
 
     @functools.cached_property
     def _sums(self) -> tuple[np.ndarray, np.ndarray]:
@@ -149,12 +199,12 @@ class _Words:
         at = np.arange(len(self.hashes) - short + 1)
         hashes, span = self.run_hashes(at, at + short), words - short + 1
         # The first of equal least hashes, so the place depends on the run alone and never
-        # moves back from one run to the next.
-        place = np.empty(n, np.int64)
-        for low in range(0, n, STEP):
-            high = min(n, low + STEP)
-            seen = np.lib.stride_tricks.sliding_window_view(hashes[low : high + span - 1], span)
-            place[low:high] = at[low:high] + seen.argmin(axis=1)
+        # moves back from one run to the next.  Windows are doubled, the last two overlap.
+        least, place, width = hashes, at, 1
+        while width < span:
+            by = min(width, span - width)
+            place = np.where(least[by:] < least[:-by], place[by:], place[:-by])
+            least, width = np.minimum(least[by:], least[:-by]), width + by
         first = np.flatnonzero(np.diff(place, prepend=-1))
         last = np.append(first[1:], n) - 1
         return hashes[place[first]], self.run_hashes(first, last + words), first, last
@@ -163,7 +213,6 @@ class _Words:
 LINES = "array<struct<sid:binary,size:int,begin:int,finish:int,sketch:binary,keys:array<bigint>>>"
 STRETCHES = "array<struct<anchor:bigint,hash:bigint,begin:int,finish:int>>"
 RUNS = "array<struct<hash:bigint,begin:int,finish:int>>"
-STEP = 1 << 14
 # An anchor is a run of this part of the words of a run.
 ANCHOR = 5
 # Places of stretches that are broadcast with their texts.
@@ -199,28 +248,31 @@ def _scanned(docs: DataFrame, copied: DataFrame, settings: PassageSettings) -> D
     @F.arrow_udf(f"lines {LINES}, stretches {STRETCHES}")
     def run(texts: pa.Array) -> pa.Array:
         salts = mixed(np.arange(1, settings.bands + 1, dtype=np.uint64))
-        lines, stretches = [], []
+        parts, least, sids, stretches = [], [np.empty((0, count), np.uint32)], [], []
         for value in texts:
             words = _Words(value.as_py() or "")
             units = words.units(settings.words)
             sets = words.shingle_sets(units)
-            least = np.array([minima(found, count) for found in sets], np.uint32).reshape(-1, count)
-            keys = np.tile(salts, (len(units), 1))
-            for row in range(settings.rows):
-                keys = mixed(keys ^ least[:, row :: settings.rows].astype(np.uint64))
-            sketches = ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
-            own = [
-                {"sid": set_id(found), "size": len(found), "begin": int(words.starts[start]), "finish": int(words.ends[end - 1]), "sketch": sketch.tobytes(), "keys": key}
-                for (start, end), found, sketch, key in zip(units, sets, sketches, keys.view(np.int64))
-            ]
-            lines.append(own)
+            least.append(words.sketches(units, sets, count))
+            sids += map(set_id, sets)
+            start, end = np.array(units, np.int64).reshape(-1, 2).T
+            parts.append((words.starts[start], words.ends[end - 1], np.array([len(found) for found in sets], np.int64)))
             anchors, hashes, first, last = words.stretches(settings.words)
             stretches.append((anchors, hashes, words.starts[first], words.ends[last + (settings.words - 1)]))
-        line = pa.struct(
-            [("sid", pa.binary()), ("size", pa.int32()), ("begin", pa.int32()), ("finish", pa.int32()), ("sketch", pa.binary()), ("keys", pa.list_(pa.int64()))]
+        whole = np.concatenate(least)
+        keys = np.tile(salts, (len(whole), 1))
+        for row in range(settings.rows):
+            keys = mixed(keys ^ whole[:, row :: settings.rows].astype(np.uint64))
+        sketches = ((whole * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+        begin, finish, size = (pa.array(np.concatenate([np.empty(0, np.int64), *column]), pa.int32()) for column in (list(zip(*parts)) or [()] * 3))
+        listed = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * settings.bands, pa.int32()), pa.array(keys.view(np.int64).ravel()))
+        line = pa.StructArray.from_arrays(
+            [pa.array(sids, pa.binary()), size, begin, finish, pa.array([x.tobytes() for x in sketches], pa.binary()), listed],
+            ["sid", "size", "begin", "finish", "sketch", "keys"],
         )
+        lines = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *[len(part[0]) for part in parts]]), pa.int32()), line)
         fields = [("anchor", pa.int64()), ("hash", pa.int64()), ("begin", pa.int32()), ("finish", pa.int32())]
-        return pa.StructArray.from_arrays([pa.array(lines, pa.list_(line)), _listed(stretches, fields)], ["lines", "stretches"])
+        return pa.StructArray.from_arrays([lines, _listed(stretches, fields)], ["lines", "stretches"])
 
     first = copied.select("text_id", F.col("first.doc_id").alias("_first"), F.lit(True).alias("many"))
     texts = docs.where(F.col("text_id").isNotNull()).join(_broadcast(first, BROADCAST_IDS), "text_id", "left")
@@ -235,7 +287,8 @@ def _place() -> Column:
 
 def _several() -> Column:
     """Whether the rows of a group are of several documents."""
-    return (F.min("text_id") != F.max("text_id")) | F.max("many")
+    text = F.xxhash64("text_id")
+    return (F.min(text) != F.max(text)) | F.max("many")
 
 
 def _with_shingles(candidates: DataFrame, docs: DataFrame, sets: DataFrame, settings: PassageSettings, scratch: Scratch) -> DataFrame:
@@ -272,6 +325,7 @@ def _equal_runs(base: DataFrame, docs: DataFrame, settings: PassageSettings, scr
     shared = stretches.groupBy("anchor").agg((F.min("hash") == F.max("hash")).alias("equal"), _several().alias("several"))
     shared = scratch.store(shared.where("several").select("anchor", "equal"), "anchors")
     anchored = scratch.store(stretches.join(shared, "anchor").drop("hash", "many"), "anchored")
+    scratch.drop("anchors")
     firsts = anchored.where("equal").groupBy("anchor").agg(F.min(_place()).alias("first"))
     whole = anchored.where("equal").join(firsts, "anchor").select("text_id", "begin", "finish", "first")
 
@@ -306,8 +360,8 @@ def _near_lines(base: DataFrame, docs: DataFrame, settings: PassageSettings, scr
     """``text_id, begin, finish, first`` of equal and near lines of several documents."""
     sets = base.select("doc_id", "text_id", "many", F.inline("lines")).groupBy("sid").agg(
         F.count("*").alias("n_docs"),
-        F.min("text_id").alias("low"),
-        F.max("text_id").alias("high"),
+        F.min(F.xxhash64("text_id")).alias("low"),
+        F.max(F.xxhash64("text_id")).alias("high"),
         F.max("many").alias("many"),
         F.min(_place()).alias("first"),
         *[F.first(c).alias(c) for c in ("size", "sketch", "keys")],
@@ -320,6 +374,7 @@ def _near_lines(base: DataFrame, docs: DataFrame, settings: PassageSettings, scr
     members = in_block_pairs(members, sizes, "key", "sid", settings.join.bucket)
     likely = scratch.store(likely_members(members, settings.join), "likely-lines")
     links = scratch.store(verified_links(_with_shingles(likely, docs, sets, settings, scratch), settings.join), "line-links")
+    scratch.drop("band-sizes", "likely-lines", "wanted-lines", "line-shingles")
     groups = components(links.select("a", "b")).withColumnsRenamed({"node": "sid", "component": "root"})
     grouped = sets.select("sid", "first", "low", "high", "many").join(groups, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     several = (F.min("low") != F.max("high")) | F.max("many")
@@ -327,17 +382,19 @@ def _near_lines(base: DataFrame, docs: DataFrame, settings: PassageSettings, scr
     repeated = grouped.select("sid", "root").join(roots.select("root", "first"), "root").select("sid", "first")
     light = F.transform("lines", lambda x: F.struct(x["sid"].alias("sid"), x["begin"].alias("begin"), x["finish"].alias("finish")))
     lines = base.select("text_id", F.inline(light))
-    return scratch.store(lines.join(repeated, "sid").select("text_id", "begin", "finish", "first"), "near-lines")
+    found = scratch.store(lines.join(repeated, "sid").select("text_id", "begin", "finish", "first"), "near-lines")
+    scratch.drop("scanned", "line-sets", "line-links")
+    return found
 
 
 def _merged(found: DataFrame, fate: Column, name: str) -> DataFrame:
     """``text_id`` and, as ``name``, its passages: overlapping occurrences of one fate."""
-    fated = found.withColumn("kept", fate)
+    fated = found.select("text_id", "begin", "finish", F.col("first.doc_id").alias("class_id"), fate.alias("kept"))
     ordered = Window.partitionBy("text_id", "kept").orderBy("begin", "finish")
     fresh = F.coalesce(F.col("begin") > F.max("finish").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     numbered = fated.withColumn("fresh", fresh.cast("int")).withColumn("passage", F.sum("fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     passages = numbered.groupBy("text_id", "kept", "passage").agg(
-        F.min("begin").alias("begin"), F.max("finish").alias("finish"), F.min("first.doc_id").alias("class_id")
+        F.min("begin").alias("begin"), F.max("finish").alias("finish"), F.min("class_id").alias("class_id")
     )
     return passages.groupBy("text_id").agg(F.collect_list(F.struct("begin", "finish", "class_id", "kept")).alias(name))
 
@@ -350,8 +407,8 @@ def _passages(docs: DataFrame, settings: PassageSettings, scratch: Scratch) -> D
     copied = scratch.store(texts.where("n > 1"), "copied-texts")
     base = scratch.store(_scanned(docs.drop("row"), copied, settings), "scanned")
     runs = _equal_runs(base, docs.drop("row"), settings, scratch)
-    scratch.drop("anchors", "anchored", "wanted-stretches", "stretch-runs", "shared-runs")
-    found = runs.unionByName(_near_lines(base, docs.drop("row"), settings, scratch)).distinct()
+    scratch.drop("anchored", "wanted-stretches", "stretch-runs", "shared-runs")
+    found = runs.unionByName(_near_lines(base, docs.drop("row"), settings, scratch))
     # In the first document of a text a passage may be the kept one, in its copies not.
     first = (F.col("first.text_id") == F.col("text_id")) & (F.col("first.begin") == F.col("begin"))
     own = _merged(found, first, "own")

@@ -16,7 +16,9 @@ class Scratch:
 
     def store(self, df: DataFrame, label: str) -> DataFrame:
         """Write ``df`` and go on from the written rows: cuts the lineage and freezes
-        columns that are not the same when computed again."""
+        columns that are not the same when computed again.  Shuffle files of earlier steps
+        are deleted: Spark does so once the driver's JVM has collected what held them."""
+        self.spark._jvm.java.lang.System.gc()
         path = scratch_path(self.spark, label)
         df.write.parquet(path)
         self.paths[label] = path

@@ -55,6 +55,12 @@ def _multipliers(count: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return odd[:, None], random.integers(0, 1 << 32, count, np.uint32)[:, None]
 
 
+def hash_values(hashes: np.ndarray, count: int, seed: int = 3) -> np.ndarray:
+    """``count`` hash functions of each of some hashes, those of ``minima``."""
+    scale, shift = _multipliers(count, seed)
+    return (hashes >> np.uint64(32)).astype(np.uint32)[None, :] * scale + shift
+
+
 def minima(hashes: np.ndarray, count: int, seed: int = 3) -> np.ndarray:
     """The least of ``count`` hash functions over a non-empty set of 64-bit hashes."""
     low = (hashes >> np.uint64(32)).astype(np.uint32)
