@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -101,6 +102,39 @@ def map_whole_groups(rows: DataFrame, keys: list[str], work: Callable[[pa.Table,
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def map_beside_groups(
+    rows: DataFrame, keys: list[str], beside: str, most: int, prepare: Callable[[pa.Table], Any], work: Callable[[Any, pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """Meet the rows of each combination of ``keys`` for which ``beside`` is true with the others.
+
+    ``prepare`` gets the others of a group as one table; ``work`` gets what it returned and,
+    ``most`` at a time, the rows beside them, of which a group may have any number.  A group
+    without others is left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        held_key, ready = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = [0, *(np.flatnonzero(_changes(batch, [*keys, beside])) + 1).tolist(), batch.num_rows]
+            for start, end in zip(starts, starts[1:]):
+                key = tuple(batch.column(k)[start].as_py() for k in keys)
+                if key != held_key:
+                    held_key, held, ready = key, [], None
+                if not batch.column(beside)[start].as_py():
+                    held.append(batch.slice(start, end - start))
+                    continue
+                if ready is None and held:
+                    ready, held = prepare(pa.Table.from_batches(held)), []
+                if ready is not None:
+                    for n in range(start, end, most):
+                        yield from work(ready, batch.slice(n, min(most, end - n)))
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, beside).mapInArrow(run, schema)
+
+
 def _changes(rows: pa.Table | pa.RecordBatch, keys: list[str]) -> np.ndarray:
     """Whether each row but the first begins another group."""
     out = np.zeros(rows.num_rows - 1, bool)

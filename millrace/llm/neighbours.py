@@ -8,9 +8,10 @@ sin(angle), so every perturbed bucket has a probability of holding a neighbour.
 order of that estimate until their sum reaches the share that, over all tables, gives
 the target recall.  The angle is estimated on a bounded sample; every row is indexed.
 Buckets are worked on by region (the first functions of a table): a query goes once to
-each region in which it visits buckets, a region with many rows is cut into parts, and
-every task returns the query's best of the buckets that it visits there.  The candidates
-of all tables are merged and ranked by the exact cosine in double precision.
+each region in which it visits buckets, with one bit for each bucket, a region with many
+rows is cut into parts, and every task returns the query's best of the buckets that it
+visits there.  A task holds the rows of one part and a few of the queries that go there.
+The candidates of all tables are merged and ranked by the exact cosine in double precision.
 
 Of equal vectors only the first ``k + 1`` by id are indexed: any other has at least ``k``
 equal ones before it, so no result changes.  A query that ends with fewer than ``k``
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import map_groups
+from .blocks import map_beside_groups
 from .registry import query, table
 from .scratch import Scratch
 from .vectors import directions, matrix, numbered, sample_directions
@@ -46,6 +47,10 @@ REGION_FUNCTIONS = 2
 REGION_ROWS = 20_000
 # Scores closer than this are told apart by exact sums.
 CLOSE = 1e-9
+# Queries that a task scores, or sends to their regions, at once.
+AT_ONCE = 128
+# Sampled vectors held against the whole sample at once on the driver.
+PROBES_AT_ONCE = 16
 
 
 @dataclass(frozen=True)
@@ -66,7 +71,10 @@ class Index:
         # Cosine of the k-th neighbour within the sample; it can only be smaller there
         # than among all rows, so buckets enough are visited.
         probes = points[: min(len(points), 400)]
-        near = -np.sort(-(probes @ points.T), axis=1)[:, min(k, len(points) - 1)]
+        place = max(0, len(points) - 1 - k)
+        near = np.empty(len(probes))
+        for n in range(0, len(probes), PROBES_AT_ONCE):
+            near[n : n + PROBES_AT_ONCE] = np.partition(probes[n : n + PROBES_AT_ONCE] @ points.T, place, axis=1)[:, place]
         cosine = float(np.clip(np.quantile(near, 0.1), 0.0, 0.999)) if len(points) > 1 else 0.0
         share = 1 - (1 - recall) ** (1 / tables)
         return Index(
@@ -122,91 +130,113 @@ def _indexed(classes: DataFrame, index, width: int) -> DataFrame:
 
 
 def _sent(queries: DataFrame, index, width: int, everywhere: bool) -> DataFrame:
-    """``place, visits, row, vec_id, vector``: each query with the buckets it visits there."""
+    """``place, visits, row, vec_id, vector``: each query with the buckets it visits there,
+    a bit for each bucket of the region."""
 
     def run(batches):
         own = index.value
-        for batch in batches:
-            points = directions(matrix(batch.column("vector"), width))
-            places, visits, rows = [], [], []
-            for n, point in enumerate(points):
-                for t in range(len(own.directions)):
-                    found = np.sort(own.visits(point, t, 1.0 if everywhere else own.share))
-                    region, starts = np.unique(found // own.region_size, return_index=True)
-                    for part, values in zip(region.tolist(), np.split(found, starts[1:])):
-                        places.append(t * SLOTS**REGION_FUNCTIONS + part)
-                        visits.append(values.astype(np.int32))
-                        rows.append(n)
-            taken = pa.array(rows, pa.int64())
-            yield pa.record_batch(
-                [pa.array(places, pa.int32()), pa.array(visits, pa.list_(pa.int32())), *(batch.column(c).take(taken) for c in ("row", "vec_id", "vector"))],
-                ["place", "visits", "row", "vec_id", "vector"],
-            )
+        for whole in batches:
+            for start in range(0, whole.num_rows, AT_ONCE):
+                batch = whole.slice(start, AT_ONCE)
+                points = directions(matrix(batch.column("vector"), width))
+                places, visits, rows = [], [], []
+                for n, point in enumerate(points):
+                    for t in range(len(own.directions)):
+                        visited = np.zeros(SLOTS ** own.directions.shape[1], bool)
+                        visited[own.visits(point, t, 1.0 if everywhere else own.share)] = True
+                        visited = visited.reshape(-1, own.region_size)
+                        regions = np.flatnonzero(visited.any(axis=1))
+                        places += (t * SLOTS**REGION_FUNCTIONS + regions).tolist()
+                        visits += [bits.tobytes() for bits in np.packbits(visited[regions], axis=1)]
+                        rows += [n] * len(regions)
+                taken = pa.array(rows, pa.int64())
+                yield pa.record_batch(
+                    [pa.array(places, pa.int32()), pa.array(visits, pa.binary()), *(batch.column(c).take(taken) for c in ("row", "vec_id", "vector"))],
+                    ["place", "visits", "row", "vec_id", "vector"],
+                )
 
-    schema = "place int, visits array<int>, row bigint, vec_id bigint, vector array<double>"
+    schema = "place int, visits binary, row bigint, vec_id bigint, vector array<double>"
     return queries.select("row", "vec_id", "vector").repartition(F.col("row")).mapInArrow(run, schema)
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> float:
-    """Cosine from correctly rounded sums: equal vectors give equal scores."""
-    a, b = a / np.abs(a).max(), b / np.abs(b).max()
-    total = lambda x, y: math.fsum((x * y).tolist())
-    return total(a, b) / math.sqrt(total(a, a)) / math.sqrt(total(b, b))
+class _Part:
+    """The indexed rows of one part of a region."""
+
+    def __init__(self, rows: pa.Table, width: int, region_size: int) -> None:
+        values = matrix(rows["vector"], width)
+        self.points = directions(values)
+        self.scaled = _scaled(values)
+        self.bucket = rows["bucket"].to_numpy() % region_size
+        self.vec_id = rows["vec_id"].to_pylist()
+        self.row = rows["row"].to_numpy()
+        self.by_row = np.argsort(self.row)
+        self.norms: dict[int, float] = {}
 
+    def own(self, row: int) -> np.ndarray:
+        """Where the row of that number is."""
+        left, right = (np.searchsorted(self.row, row, side, sorter=self.by_row) for side in ("left", "right"))
+        return self.by_row[left:right]
 
-def _best(places: DataFrame, width: int, k: int) -> DataFrame:
+    def exact(self, query: np.ndarray, norm: float, n: int) -> float:
+        """Cosine from correctly rounded sums: equal vectors give equal scores."""
+        if n not in self.norms:
+            self.norms[n] = _total(self.scaled[n], self.scaled[n])
+        return _total(query, self.scaled[n]) / math.sqrt(norm) / math.sqrt(self.norms[n])
+
+
+def _scaled(values: np.ndarray) -> np.ndarray:
+    return values / np.abs(values).max(axis=1, keepdims=True)
+
+
+def _total(a: np.ndarray, b: np.ndarray) -> float:
+    return math.fsum((a * b).tolist())
+
+
+def _best(places: DataFrame, index, width: int, k: int) -> DataFrame:
     """``query_row, query_id, row, vec_id, score``: of each task, the best of each query."""
 
-    def work(group: pa.Table):
-        visits = group["visits"].to_pylist()
-        asking = [n for n, v in enumerate(visits) if v is not None]
-        if not asking or len(asking) == group.num_rows:
-            return
-        values = matrix(group["vector"], width)
-        points = directions(values)
-        row, vec_id, bucket = (group[c].to_pylist() for c in ("row", "vec_id", "bucket"))
-        data = np.array([n for n, v in enumerate(visits) if v is None])
-        data = data[np.argsort([bucket[n] for n in data], kind="stable")]
-        numbers = np.array([bucket[n] for n in data])
-        names, starts = np.unique(numbers, return_index=True)
-        ends = np.append(starts[1:], len(numbers))
-        own_rows = np.array([row[n] for n in data])
+    def work(part: _Part, asking: pa.RecordBatch):
+        values = matrix(asking.column("vector"), width)
+        bits = np.frombuffer(b"".join(asking.column("visits").to_pylist()), np.uint8).reshape(len(values), -1)
+        wanted = np.unpackbits(bits, axis=1).astype(bool)
+        scores = directions(values) @ part.points.T
         out = []
-        for n in asking:
-            wanted = np.flatnonzero(np.isin(names, visits[n], assume_unique=True))
-            if not len(wanted):
-                continue
-            places = np.concatenate([np.arange(starts[w], ends[w]) for w in wanted])
-            places = places[own_rows[places] != row[n]]
-            if not len(places):
-                continue
-            score = points[data[places]] @ points[n]
-            if len(places) > k:
+        for query, visited, score, row, vec_id in zip(
+            _scaled(values), wanted, scores, asking.column("row").to_pylist(), asking.column("vec_id").to_pylist()
+        ):
+            visited = visited[part.bucket]
+            visited[part.own(row)] = False
+            met = np.flatnonzero(visited)
+            if len(met) > k:
+                score = score[met]
                 least = np.partition(score, len(score) - k)[len(score) - k]
-                places = places[score >= least - CLOSE]
+                met = met[score >= least - CLOSE]
+            norm = _total(query, query)
             ranked = sorted(
-                ((-_exact(values[n], values[m]), vec_id[m] is None, vec_id[m] or 0, row[m]) for m in data[places].tolist())
+                (-part.exact(query, norm, m), part.vec_id[m] is None, part.vec_id[m] or 0, found) for m, found in zip(met.tolist(), part.row[met].tolist())
             )
-            out += [(row[n], vec_id[n], found, None if none else name, -score) for score, none, name, found in ranked[:k]]
+            out += [(row, vec_id, found, None if none else name, -score) for score, none, name, found in ranked[:k]]
         if out:
             columns = list(zip(*out))
-            yield pa.table(
+            yield pa.record_batch(
                 [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.float64()])], ["query_row", "query_id", "row", "vec_id", "score"]
             )
 
     schema = "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double"
-    return map_groups(places, ["place", "part"], work, schema)
+    prepare = lambda rows: _Part(rows, width, index.value.region_size)
+    return map_beside_groups(places.withColumn("asks", F.col("visits").isNotNull()), ["place", "part"], "asks", AT_ONCE, prepare, work, schema)
 
 
-def _search(indexed: DataFrame, sent: DataFrame, width: int, k: int) -> DataFrame:
-    parts = indexed.groupBy("place").agg(F.ceil(F.count("*") / REGION_ROWS).cast("int").alias("parts"))
+def _search(indexed: DataFrame, sent: DataFrame, index, width: int, k: int) -> DataFrame:
+    # A row for each region of a table: without a broadcast the vectors would be shuffled by it.
+    parts = F.broadcast(indexed.groupBy("place").agg(F.ceil(F.count("*") / REGION_ROWS).cast("int").alias("parts")))
     data = indexed.join(parts, "place").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
     asked = sent.join(parts, "place").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     none = F.lit(None)
-    both = data.select("place", "part", "bucket", none.cast("array<int>").alias("visits"), "row", "vec_id", "vector").unionByName(
+    both = data.select("place", "part", "bucket", none.cast("binary").alias("visits"), "row", "vec_id", "vector").unionByName(
         asked.select("place", "part", none.cast("int").alias("bucket"), "visits", "row", "vec_id", "vector")
     )
-    best = _best(both, width, k).groupBy("query_row", "row").agg(
+    best = _best(both, index, width, k).groupBy("query_row", "row").agg(
         F.first("query_id").alias("query_id"), F.first("vec_id").alias("vec_id"), F.first("score").alias("score")
     )
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last(), "row")
@@ -230,11 +260,11 @@ def nearest(
     index = rows.sparkSession.sparkContext.broadcast(Index.fit(points, count, k, recall, tables))
     queries = valid.where(asks)
     indexed = scratch.store(_indexed(kept, index, width), "indexed")
-    found = scratch.store(_search(indexed, _sent(queries, index, width, False), width, k), "found")
+    found = scratch.store(_search(indexed, _sent(queries, index, width, False), index, width, k), "found")
     enough = found.where(F.col("rank") == min(k, count - 1)).select(F.col("query_row").alias("row"))
     short = scratch.store(queries.join(enough, "row", "left_anti"), "short")
     if short.limit(1).count():
-        again = _search(indexed, _sent(short, index, width, True), width, k)
+        again = _search(indexed, _sent(short, index, width, True), index, width, k)
         found = found.join(short.select(F.col("row").alias("query_row")), "query_row", "left_anti").unionByName(again)
     return found.select("query_id", "rank", "vec_id", "score")
 
